@@ -2,11 +2,12 @@
 
 The dictionaries are raw text of each language, from a bounded sample of labelled rows: ``SAMPLE_DOCS`` documents a language, chosen by a hash of their id, up to ``DICT_BYTES`` bytes. Whole texts are encoded, in chunks of ``CHUNK`` characters so that a long text doesn't become its own dictionary.
 
-Null texts and texts without a letter are ``und`` with score 0. With no labelled row at all every text is ``und``. Ties go to the language whose name sorts first. Repeated rows get equal results; other columns play no part.
+Only words count: text is lower-cased and what lies between words becomes one space, in dictionaries too. Null texts and texts without a letter are ``und`` with score 0. With no labelled row at all every text is ``und``. Ties go to the language with more labelled rows, then to the name that sorts first. Repeated rows get equal results; other columns play no part.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,11 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_DOCS, DICT_BYTES, CHUNK, LEVEL = 64, 65_536, 4_000, 3
+SAMPLE_DOCS, DICT_BYTES, CHUNK = 64, 65_536, 4_000
+#: zstandard levels for texts of fewer than ``SHORT`` characters, and for others.
+SHORT, SHORT_LEVEL, LEVEL = 400, 12, 6
 #: Below this score the two best languages are too near: the document is rejected.
 MIN_SCORE = 0.55
 UND = "und"
 
+between_words = re.compile(r"[\W\d_]+").sub
+
+
+def plain(text: str) -> str:
+    return between_words(" ", text.lower())
+
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Language -> dictionary. Reads lang and doc_id of all labelled rows, but texts of about ``sample_docs`` rows a language only."""
@@ -40,24 +49,28 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
         # every document gives its share first; what is left over is filled up with the rest of them
         raw, rest = b"", b""
         for t in texts:
-            b = t.encode()
-            raw, rest = raw + b[:each] + b"\n", rest + b[each : each + dict_bytes // 4]
+            b = plain(t).encode()
+            raw, rest = raw + b[:each] + b" ", rest + b[each : each + dict_bytes // 4]
         out[k] = (rest[: max(0, dict_bytes - len(raw))] + raw)[-dict_bytes:]
-    return dict(sorted(out.items()))
+    return {k: out[k] for k in sorted(out, key=lambda k: (-counts[k], k))}
 
 
 class Model:
-    def __init__(self, dictionaries: dict[str, bytes], chunk: int = CHUNK, level: int = LEVEL):
-        self.langs, self.chunk = sorted(dictionaries), chunk
-        self.coders = []
-        for k in self.langs:
-            d = zstandard.ZstdCompressionDict(dictionaries[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=level)
-            self.coders.append(zstandard.ZstdCompressor(dict_data=d, level=level, write_checksum=False, write_content_size=False, write_dict_id=False))
+    def __init__(self, dictionaries: dict[str, bytes], chunk: int = CHUNK, level: int = LEVEL, short_level: int = SHORT_LEVEL):
+        self.langs, self.chunk = list(dictionaries), chunk
+        self.coders = {at: [self._coder(dictionaries[k], at) for k in self.langs] for at in (level, short_level)}
+        self.levels = level, short_level
+
+    @staticmethod
+    def _coder(raw: bytes, level: int) -> zstandard.ZstdCompressor:
+        d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        return zstandard.ZstdCompressor(dict_data=d, level=level, write_checksum=False, write_content_size=False, write_dict_id=False)
 
     def sizes(self, text: str) -> list[int]:
+        text = plain(text)
         parts = [text[i : i + self.chunk].encode() for i in range(0, len(text), self.chunk)]
-        return [sum(len(c.compress(p)) for p in parts) for c in self.coders]
+        return [sum(len(c.compress(p)) for p in parts) for c in self.coders[self.levels[len(text) < SHORT]]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and a score: the share of the winner when each saved byte doubles the odds."""

@@ -7,15 +7,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from lotline.llm import chat, exact_dedup, fingerprints, language_id, licenses, mixing, near_dedup, packing, secrets, sharding
 from lotline.llm.common import LOWER, UPPER, read
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    text = lambda kinds: F.array_join(F.transform(F.filter("found", lambda x: x["kind"].isin(*kinds)), lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
+    n = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(text(secrets.KINDS[:3]), 256).alias("base_sha256"), text(secrets.KINDS).alias("spans"), n("markov"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return packing.pack(docs, with_ids=False)
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shard(docs, 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _op5_sql() -> str:
+    known = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)
+    return f"""
+WITH known AS (SELECT DISTINCT license, sha256({licenses.canonical_sql("t")}) AS digest FROM (VALUES {known}) k(license, t)),
+d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS uid FROM documents),
+lines AS (SELECT uid, unnest(string_split(text, chr(10))) AS line FROM d),
+hits AS (SELECT uid, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n_lines
+  FROM (SELECT uid, sha256({licenses.canonical_sql("line")}) AS digest FROM lines WHERE line ILIKE '%licen%' OR line ILIKE '%permission%' OR line ILIKE '%software%') JOIN known USING (digest) GROUP BY uid),
+w AS (SELECT uid, doc_id, sha256({licenses.canonical_sql("text")}) AS text_digest FROM d)
+SELECT doc_id, text_digest, license AS text_license, coalesce(line_licenses, '') AS line_licenses, coalesce(n_lines, 0) AS n_lines
+FROM w LEFT JOIN known ON text_digest = digest LEFT JOIN hits USING (uid)
+"""
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = exact_dedup.dedup(docs, exact_dedup.loads_of())
@@ -29,6 +65,12 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.canonical_turns(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    control = chat.canonical_turns(chat.control_conversation(spark))
+    return chat.read_back(chat.format_turns(rows.unionByName(control)))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix_sources(docs, [mixing.domain(F.col("source")), "lang", "source"]).drop("uid")
@@ -54,8 +96,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op6_exact_dedup, op8_mixing, op9_language_id, op10_near_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_sharding, op4_fingerprints, op5_license_scan, op6_exact_dedup, op7_chat_formatting, op8_mixing, op9_language_id, op10_near_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL}
