@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_DOCS, DICT_BYTES, CHUNK = 64, 65_536, 4_000
-#: zstandard levels for texts of fewer than ``SHORT`` characters, and for others.
-SHORT, SHORT_LEVEL, LEVEL = 400, 12, 6
+#: zstandard levels for texts of fewer than ``SHORT`` characters, and for others. A short text is encoded ``REPEAT`` times over: its first occurrence is what the dictionary makes cheaper, and the others keep the encoder from storing the text as it is.
+SHORT, SHORT_LEVEL, LEVEL, REPEAT = 400, 12, 6, 4
 #: Below this score the two best languages are too near: the document is rejected.
 MIN_SCORE = 0.55
 UND = "und"
@@ -69,8 +69,11 @@ class Model:
 
     def sizes(self, text: str) -> list[int]:
         text = plain(text)
+        short = len(text) < SHORT
+        if short:
+            text = f"{text} " * REPEAT
         parts = [text[i : i + self.chunk].encode() for i in range(0, len(text), self.chunk)]
-        return [sum(len(c.compress(p)) for p in parts) for c in self.coders[self.levels[len(text) < SHORT]]]
+        return [sum(len(c.compress(p)) for p in parts) for c in self.coders[self.levels[short]]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and a score: the share of the winner when each saved byte doubles the odds."""
