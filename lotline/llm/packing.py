@@ -9,6 +9,7 @@ A null or empty text is the end token alone. Null sources are one queue. Repeate
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 import zlib
@@ -25,8 +26,8 @@ from lotline.llm.common import bits_for, materialize, prefix_sums, uniform_hash
 VOCABULARY, END, WINDOW, SEED = "word_bpe_49k.json", 2, 4096, 7
 #: Sources, at most: targets are configuration, kept by the driver and broadcast.
 MAX_SOURCES = 100_000
-#: Pieces of text that a worker keeps with their ids.
-CACHE = 400_000
+#: Words that a worker process keeps with their ids.
+CACHE = 700_000
 #: Rounds whose documents one window task orders.
 ROUNDS = 4
 
@@ -38,34 +39,52 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    """Ids of the tokenizer as 16-bit numbers. Below U+0300 its normaliser only folds white space and case, and it encodes every piece (letters, digit, other signs) by itself: such texts are cut here and pieces looked up, and the tokenizer encodes each new piece once. It encodes all other texts whole."""
+    """Ids of the tokenizer as 16-bit numbers. Below U+0300 its normaliser only folds white space and case, and its pieces (letters, a digit, other signs) never reach across white space: such texts are split at white space, and what stands between is looked up or, the first time, cut into pieces and given to the tokenizer's model. The tokenizer encodes all other texts whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
         low = [chr(c) for c in range(0x300)]
         of = lambda kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind)
-        letters, digits, white = of("L"), of("N"), "\\t\\n\\x0b\\x0c\\r \\x85\\xa0"
-        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{white}{letters}{digits}]+").findall
-        self.other = re.compile("[^\x00-˿]|İ|<\\|(?:start|end)oftext\\|>").search
+        letters, digits = of("L"), of("N")
+        self.pieces = re.compile(f"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^{letters}{digits}]+").findall
+        self.other = re.compile("[^\x00-\x1b\x20-\u02ff]|\u0130|<\\|(?:start|end)oftext\\|>").search
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in byte-level BPE
+        hidden = iter(range(256, 512))
+        self.bytes = {b: chr(b if b in shown else next(hidden)) for b in range(256)}
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return np.array(ids, "<u2").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def word(self, word: str) -> bytes:
+        """Ids of what stands between white space."""
+        model, table = self.model, self.bytes
+        return self.packed([t.id for p in self.pieces(word) for t in model(p.encode().decode("latin-1").translate(table))])
+
+    def encode(self, text: str) -> bytes:
+        if self.other(text):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        cut = [None if self.other(t) else self.pieces(t.lower()) for t in texts]
-        new = list({p for ps in cut if ps for p in ps if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[p] = self.packed(e.ids)
-        whole = [t for t, ps in zip(texts, cut, strict=True) if ps is None]
-        rest = iter([self.packed(e.ids) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)])
-        return [next(rest) if ps is None else b"".join(map(known.__getitem__, ps)) for ps in cut]
+        words = text.lower().split()
+        found = list(map(known.get, words))
+        if None in found:
+            if len(known) > CACHE:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = self.word(w)
+            found = list(map(known.__getitem__, words))
+        return b"".join(found)
+
+
+@functools.lru_cache(4)
+def encoder(path: str) -> Encoder:
+    """One for each worker process: tasks that run in it later find its words known."""
+    return Encoder(path)
 
 
 def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text: str = "text", doc_id: str = "doc_id", source: str = "source", group: int = 64) -> DataFrame:
@@ -76,11 +95,11 @@ def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(vocabulary_path(vocabulary))
+        encode = encoder(vocabulary_path(vocabulary)).encode
         for b in batches:
             for at in range(0, b.num_rows, group):
                 part = b.slice(at, group)
-                ids = [x + last for x in encoder.encode([t or "" for t in part.column(2).to_pylist()])]
+                ids = [encode(t or "") + last for t in part.column(2).to_pylist()]
                 cols = [part.column(0), part.column(1), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "tokens", "ids"])
 
