@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from lotline.llm.common import U, materialize, mix
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 28, 6
 M = BANDS * ROWS
 #: Nodes of a block and bytes of its shingles, for groups that are compared in full.
 BLOCK, BLOCK_BYTES = 512, 16 << 20
+#: Turns in which a node is compared with one head of its groups.
+SINGLE_TURNS = 3
 #: Words that one step of the signature code holds.
 SLICE_WORDS, SLICE_DOCS = 400_000, 4_000
 
@@ -244,6 +246,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that no links join yet."""
+    la = labels.select(F.col("node").alias("a"), F.col("label").alias("__la"))
+    lb = labels.select(F.col("node").alias("b"), F.col("label").alias("__lb"))
+    both = pairs.join(la, "a", "left").join(lb, "b", "left")
+    return both.where(F.coalesce("__la", "a") != F.coalesce("__lb", "b")).select("a", "b")
+
+
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, uid, class_id (the least doc_id of its class), kept (one row of a class)."""
     rows = materialize(signatures(docs, text, doc_id).withColumn("uid", F.monotonically_increasing_id()))
@@ -251,12 +261,25 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
     banded = nodes.where(F.size("bands") > 0).select(F.col("rep.doc_id").alias("node"), F.explode("bands").alias("band"))
     groups = banded.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(banded.join(groups, "band").select("band", "node", "head", "n"))
-    pairs = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    bags = materialize(multisets(texts.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
-    edges = materialize(verify(pairs, bags).where(F.col("sim") >= threshold).select("a", "b"))
-    labels = components(edges)
+    # a shuffle join at every size: the list of candidates grows with the table
+    bags = materialize(multisets(texts.join(wanted.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+
+    left = materialize(members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
+    edges, labels = None, None
+    for turn in range(SINGLE_TURNS + 1):
+        if not left.limit(1).count():
+            break
+        # each node tries one head a turn, and then no head that it is linked with already; the last turn tries all that are left
+        now = left if turn == SINGLE_TURNS else left.groupBy("a").agg(F.min("b").alias("b"))
+        found = verify(now, bags).where(F.col("sim") >= threshold).select("a", "b")
+        edges = materialize(found if edges is None else edges.union(found))
+        labels = components(edges)
+        if turn < SINGLE_TURNS:
+            left = materialize(apart(left.join(now, ["a", "b"], "left_anti"), labels))
+    if labels is None:
+        labels = nodes.select(F.col("rep.doc_id").alias("node"), F.col("rep.doc_id").alias("label")).limit(0)
 
     lab = labels.select("node", "label")
     open_ = members.where("n > 2").join(lab, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
