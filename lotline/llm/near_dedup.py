@@ -4,7 +4,7 @@ A text is the multiset of its five-word shingles (a text of one to four words: o
 
 ``BANDS`` bands of ``ROWS`` components give candidate groups. Each member of a group is compared with the group's least node (exact multiset overlap), which links nearly all of a true group in linear work. Groups that still hold several components are compared in full, in blocks of ``BLOCK`` nodes, and only links come out. Classes are the connected components of the links of similarity ``THRESHOLD`` or more; the class id is the least doc_id.
 
-Null and empty texts, and texts without a word, are equal (empty) multisets: one class. Rows that repeat belong to one class, of which one row is kept; rows that share a doc_id should repeat the text. An empty table gives an empty result. Whole texts are read; nothing is capped: a signature misses a pair of similarity 0.8 in all bands with probability 0.0002.
+Null and empty texts, and texts without a word, are equal (empty) multisets: one class. Rows that repeat belong to one class, of which one row is kept; rows that share a doc_id should repeat the text, and rows without one are compared for equal multisets only. An empty table gives an empty result. Whole texts are read; nothing is capped: a signature misses a pair of similarity 0.8 in all bands with probability 0.0002.
 """
 
 from __future__ import annotations
@@ -189,7 +189,7 @@ def verify(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], first: np.ndarray, threshold: float) -> tuple[list[int], list[int]]:
-    """Links between ``first`` nodes and the others (or among them where all are first), of different labels only."""
+    """Links between ``first`` nodes and the others (or among them where all are first): as many as join what all such links join, and no more."""
     sizes = np.array([len(x) for x in bags], np.int64)
     values = np.concatenate(bags) if bags else np.zeros(0, U)
     row = np.repeat(np.arange(len(bags)), sizes)
@@ -206,9 +206,24 @@ def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], firs
         m[row[on], column[on] - s] = 1
         common += m[left] @ m[right].T
     sim = common / np.maximum(1, sizes[left][:, None] + sizes[right][None, :] - common)
-    hit = (sim >= threshold) & (label[left][:, None] != label[right][None, :])
-    i, j = np.nonzero(hit)
-    return ids[left[i]].tolist(), ids[right[j]].tolist()
+    i, j = np.nonzero(sim >= threshold)
+    of = np.unique(label, return_inverse=True)[1]
+    root = list(range(len(of)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    a, b = [], []
+    for p, q in zip(left[i].tolist(), right[j].tolist(), strict=True):
+        x, y = find(of[p]), find(of[q])
+        if x != y:
+            root[x] = y
+            a.append(int(ids[p]))
+            b.append(int(ids[q]))
+    return a, b
 
 
 def compare_groups(members: DataFrame, bags: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -257,8 +272,8 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, uid, class_id (the least doc_id of its class), kept (one row of a class)."""
     rows = materialize(signatures(docs, text, doc_id).withColumn("uid", F.monotonically_increasing_id()))
-    nodes = materialize(rows.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "uid")).alias("rep"), F.first("bands").alias("bands")))
-    banded = nodes.where(F.size("bands") > 0).select(F.col("rep.doc_id").alias("node"), F.explode("bands").alias("band"))
+    nodes = materialize(rows.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("rep"), F.first("bands").alias("bands")))
+    banded = nodes.where(F.size("bands") > 0).select(F.col("rep.doc_id").alias("node"), F.explode("bands").alias("band")).where(F.col("node").isNotNull())
     groups = banded.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(banded.join(groups, "band").select("band", "node", "head", "n"))
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
@@ -289,6 +304,6 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
         labels = components(edges.union(more))
 
     tops = nodes.select("d1", "d2", F.col("rep.doc_id").alias("node"), F.col("rep.uid").alias("rep_uid"))
-    tops = tops.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"), F.when(F.coalesce("label", "node") == F.col("node"), F.col("rep_uid")).alias("keep_uid"))
+    tops = tops.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"), F.when(F.coalesce("label", "node").eqNullSafe(F.col("node")), F.col("rep_uid")).alias("keep_uid"))
     tops = materialize(tops)
     return rows.join(tops, ["d1", "d2"]).select("doc_id", "uid", "class_id", F.coalesce(F.col("uid") == F.col("keep_uid"), F.lit(False)).alias("kept"))
