@@ -47,6 +47,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
         low = [chr(c) for c in range(0x300)]
         of = lambda kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind)
         letters, digits = of("L"), of("N")
@@ -62,8 +63,13 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """Ids of what stands between white space."""
-        model, table = self.model, self.bytes
-        return self.packed([t.id for p in self.pieces(word) for t in model(p.encode().decode("latin-1").translate(table))])
+        known, out = self.known_pieces, b""
+        for p in self.pieces(word):
+            ids = known.get(p)
+            if ids is None:
+                ids = known[p] = self.packed([t.id for t in self.model(p.encode().decode("latin-1").translate(self.bytes))])
+            out += ids
+        return out
 
     def encode(self, text: str) -> bytes:
         if self.other(text):
@@ -74,6 +80,7 @@ class Encoder:
         if None in found:
             if len(known) > CACHE:
                 known.clear()
+                self.known_pieces.clear()
             for w in words:
                 if w not in known:
                     known[w] = self.word(w)
