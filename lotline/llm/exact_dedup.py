@@ -130,7 +130,8 @@ def same_bytes(docs: DataFrame, pairs: DataFrame, text: str, doc_id: str) -> Dat
     """The digests of ``pairs`` (digest, old_id, new_id) whose texts are the same bytes. Only texts of filter hits move; Spark's runtime bloom filter prunes the rest at the scan where the table is large."""
     wanted = pairs.select("digest", F.explode(F.array("old_id", "new_id")).alias("__id")).distinct()
     d = docs.select(F.col(doc_id).alias("__id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    t = wanted.join(d, "__id").where(F.sha2("__t", 256) == F.col("digest"))
+    w = wanted.withColumnRenamed("__id", "__wanted")
+    t = w.join(d, w["__wanted"].eqNullSafe(d["__id"])).where(F.sha2("__t", 256) == F.col("digest"))
     return t.groupBy("digest").agg((F.min("__t") == F.max("__t")).alias("__same")).where("__same").select("digest")
 
 

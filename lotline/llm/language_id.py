@@ -85,7 +85,8 @@ class Model:
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` with lang_pred, score and rejected (no language, or a narrow margin). No shuffle: the dictionaries, of bounded size, go to every executor."""
+    """``docs`` with lang_pred, score and rejected (no language, or a narrow margin); columns of these names are replaced. No shuffle: the dictionaries, of bounded size, go to every executor."""
+    docs = docs.drop("lang_pred", "score", "rejected")
     sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     schema = T.StructType([*docs.schema.fields, *new])
@@ -102,4 +103,4 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -21,7 +21,8 @@ from pyspark.sql import Window as W
 
 from lotline.llm.common import materialize
 
-TOLERANCE, PROBES = 0.002, 24
+#: Shares of a shard by which its boundaries may be off, and by which they may move to keep a group together.
+TOLERANCE, GROUP_TOLERANCE, PROBES = 0.002, 0.01, 24
 #: Rows of a run, about, and runs, at most: the splitters that the driver holds and sends.
 RUN_ROWS, MAX_RUNS = 250_000, 65_536
 GROUP_BITS = 31
@@ -109,7 +110,7 @@ def shard(docs: DataFrame, shards: int, key: Column | None = None, size: Column
     edge = [i % runs == 0 for i in range(1, shards * runs)]
     slack = [tolerance * total / shards if e else 0.2 * total / (shards * runs) for e in edge]
     found = splitters(rows, "key", "size", targets, slack)
-    ends = at_group_ends(rows, "key", "size", [k for k, e in zip(found, edge, strict=True) if e], [x for x, e in zip(targets, edge, strict=True) if e], 2 * tolerance * total / shards)
+    ends = at_group_ends(rows, "key", "size", [k for k, e in zip(found, edge, strict=True) if e], [x for x, e in zip(targets, edge, strict=True) if e], GROUP_TOLERANCE * total / shards)
     inner = [k for k, e in zip(found, edge, strict=True) if not e]
     cuts = sorted([(k, 1) for k in ends] + [(k, 0) for k in inner])
     shard_of = np.concatenate([[0], np.cumsum([x for _, x in cuts])]).astype(int).tolist()
