@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from lotline.functions import ids
 from lotline.functions.dates import seen_seconds
@@ -22,18 +21,34 @@ def completeness(columns: Sequence[str]) -> Column:
     return sum((F.when(F.col(c).isNotNull() & ~F.col(c).cast("string").isin("", "[]"), 1).otherwise(0) for c in columns), F.lit(0))
 
 
-def build_units(listings: DataFrame, only_active: bool = True, fields: Sequence[str] = LISTING_FIELDS, marketplaces: Sequence[str] = MARKETPLACES) -> DataFrame:
-    """Every listing with unit_key, unit_id, cluster_size and is_canonical.
+def _order(fields: Sequence[str], marketplaces: Sequence[str]) -> Column:
+    return F.struct(F.col("source").isin(*marketplaces).cast("int").alias("resold"), (-completeness(fields)).alias("empty"), (-seen_seconds(F.col("last_seen"))).alias("unseen"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("source_id", F.lit("")).alias("source_id"))
 
-    Of a unit's rows the canonical one comes from a direct feed before a marketplace, then has more fields filled, was seen later, and sorts first by source and id.
-    """
+
+def keyed(listings: DataFrame, only_active: bool = True) -> DataFrame:
+    """Listings with unit_key and unit_id: the unit's, or the row's own where it names no unit."""
     d = listings.where("status = 'active'") if only_active else listings
-    present = [f for f in fields if f in d.columns]
     d = d.withColumn("unit_key", group_key(unit_key(F.col("address"), F.col("unit_number"), F.col("bedrooms")), F.col("source"), F.col("source_id")))
-    d = d.withColumn("unit_id", ids.unit_id(F.col("unit_key")))
-    order = [F.col("source").isin(*marketplaces).cast("int"), F.desc(completeness(present)), F.desc(seen_seconds(F.col("last_seen"))), F.coalesce("source", F.lit("")), F.coalesce("source_id", F.lit(""))]
-    w = W.partitionBy("unit_key")
-    return d.withColumn("is_canonical", (F.row_number().over(w.orderBy(*order)) == 1).cast("int")).withColumn("cluster_size", F.count(F.lit(1)).over(w))
+    return d.withColumn("unit_id", ids.unit_id(F.col("unit_key")))
+
+
+def build_units(listings: DataFrame, only_active: bool = True, fields: Sequence[str] = LISTING_FIELDS, marketplaces: Sequence[str] = MARKETPLACES) -> DataFrame:
+    """Every listing with unit_key, unit_id, cluster_size and is_canonical; (source, source_id) is a key.
+
+    Of a unit's rows the canonical one comes from a direct feed before a marketplace, then has more fields filled, was seen later, and sorts first by source and id. The winner is an aggregate that is joined back, so a unit with very many ads needs no task of its own.
+    """
+    d = keyed(listings, only_active)
+    order = _order([f for f in fields if f in d.columns], marketplaces)
+    best = d.groupBy("unit_key").agg(F.min(order).alias("__best"), F.count(F.lit(1)).alias("cluster_size"))
+    return d.join(best, "unit_key").withColumn("is_canonical", (order == F.col("__best")).cast("int")).drop("__best")
+
+
+def canonical_rows(listings: DataFrame, columns: Sequence[str], only_active: bool = True, fields: Sequence[str] = LISTING_FIELDS, marketplaces: Sequence[str] = MARKETPLACES) -> DataFrame:
+    """The canonical rows alone, with cluster_size: one aggregation, combined before the shuffle."""
+    d = keyed(listings, only_active)
+    order = _order([f for f in fields if f in d.columns], marketplaces)
+    best = d.groupBy("unit_key").agg(F.min_by(F.struct(*columns), order).alias("__row"), F.count(F.lit(1)).alias("cluster_size"))
+    return best.select(ids.unit_id(F.col("unit_key")).alias("unit_id"), "__row.*", "cluster_size")
 
 
 def unit_stats(units: DataFrame) -> DataFrame:

@@ -16,16 +16,25 @@ c = F.col
 DOC_UNITS_SQL = "SELECT doc_id, source, sha1(text) AS k, row_number() OVER (PARTITION BY text ORDER BY CASE WHEN source IN ('src0', 'src7') THEN 1 ELSE 0 END, (CASE WHEN doc_id % 3 > 0 THEN 1 ELSE 0 END) DESC, source, doc_id::VARCHAR) AS n, count(*) OVER (PARTITION BY text) AS cluster_size FROM documents"
 
 
-def _doc_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _doc_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as ads: equal texts advertise the same unit."""
-    d = read(spark, sf_dir, "documents").select("doc_id", "source", c("doc_id").cast("string").alias("source_id"), F.concat(F.lit("1 Main Street "), F.upper(F.sha1(c("text").cast("binary")))).alias("address"), F.concat(F.lit("1"), F.upper(F.sha1(c("text").cast("binary")))).alias("unit_number"), F.lit(None).cast("double").alias("bedrooms"), F.lit("2026-01-01 00:00:00").alias("last_seen"), F.lit("active").alias("status"), F.when(c("doc_id") % 3 > 0, c("lang")).otherwise("").alias("neighborhood"))
-    return units.build_units(d, fields=["address", "unit_number", "neighborhood"], marketplaces=["src0", "src7"])
+    return read(spark, sf_dir, "documents").select("doc_id", "source", c("doc_id").cast("string").alias("source_id"), F.concat(F.lit("1 Main Street "), F.upper(F.sha1(c("text").cast("binary")))).alias("address"), F.concat(F.lit("1"), F.upper(F.sha1(c("text").cast("binary")))).alias("unit_number"), F.lit(None).cast("double").alias("bedrooms"), F.lit("2026-01-01 00:00:00").alias("last_seen"), F.lit("active").alias("status"), F.when(c("doc_id") % 3 > 0, c("lang")).otherwise("").alias("neighborhood"))
+
+
+def _doc_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.build_units(_doc_ads(spark, sf_dir), fields=["address", "unit_number", "neighborhood"], marketplaces=["src0", "src7"])
 
 
 @query(f"SELECT doc_id, source, cluster_size FROM ({DOC_UNITS_SQL}) WHERE n = 1")
 def e06_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: one row for each physical unit."""
-    return units.canonical_listings(_doc_units(spark, sf_dir)).select("doc_id", "source", "cluster_size")
+    out = units.canonical_rows(_doc_ads(spark, sf_dir), ["doc_id", "source"], fields=["address", "unit_number", "neighborhood"], marketplaces=["src0", "src7"])
+    return out.select("doc_id", "source", "cluster_size")
+
+
+@query(f"SELECT doc_id, (n = 1)::INTEGER AS is_canonical, cluster_size FROM ({DOC_UNITS_SQL})")
+def e06_build_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doc_units(spark, sf_dir).select("doc_id", "is_canonical", "cluster_size")
 
 
 @query("SELECT count(*) AS n, count(DISTINCT source) AS sources, array_to_string(list_sort(list(concat(source, ':', doc_id))), ',') AS members FROM documents GROUP BY text HAVING count(*) >= 2 AND count(DISTINCT source) >= 2")
