@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from lotline.llm.common import read, shared_dir
+from lotline.llm.common import read
+from lotline.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: The mix takes this share of the tokens that reach it, each document once at most.
@@ -57,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    base = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         at = f"{base}/{k}"
         stage(spark, docs, sf_dir).write.parquet(at)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -11,26 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lotline.session import shared_dir
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may lack it."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="lotline-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    at = f"{shared_dir(spark).rstrip('/')}/lotline-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/lotline-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
