@@ -9,7 +9,7 @@ from lotline.functions import dates, ids
 from lotline.functions import text as X
 from lotline.operators import coverage, enrich, keys, merges, portfolios, reconcile, resolve, units, upsert
 from lotline.plans.catalog import query, read
-from lotline.plans.queries_scalars import LAT, LNG
+from lotline.plans.queries_scalars import point
 
 c = F.col
 
@@ -134,7 +134,7 @@ def m06_condo_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j24_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = c("s_suppkey")
     stations = read(spark, sf_dir, "supplier").where(k <= 90).select(c("s_name").alias("name"), (F.lit(40.5) + (k % 37) / F.lit(100.0)).alias("lat"), (F.lit(-74.2) + (k % 41) / F.lit(100.0)).alias("lng"), F.lit("N W").alias("daytime_routes"))
-    b = read(spark, sf_dir, "customer").select(c("c_custkey").cast("string").alias("bbl"), LAT.alias("latitude"), LNG.alias("longitude"))
+    b = read(spark, sf_dir, "customer").select(c("c_custkey").cast("string").alias("bbl"), point()[0].alias("latitude"), point()[1].alias("longitude"))
     return enrich.nearest_station(b, stations).select(c("bbl").cast("long").alias("c_custkey"), c("nearest_subway").alias("nearest"), c("subway_dist_m").alias("metres"))
 
 

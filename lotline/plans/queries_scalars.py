@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import dates, geo, ids, numbers
@@ -39,7 +39,11 @@ def _sql_unit(u: str) -> str:
     return f"(CASE WHEN regexp_full_match({e}, '[0-9]+') THEN CAST(CAST({e} AS BIGINT) AS VARCHAR) ELSE {e} END)"
 
 
-ADDRESS = F.concat(c("p_partkey").cast("string"), F.lit(" West "), (c("p_size") + 1).cast("string"), F.lit("th Street, Apt "), c("p_brand"))
+
+def address() -> Column:
+    return F.concat(c("p_partkey").cast("string"), F.lit(" West "), (c("p_size") + 1).cast("string"), F.lit("th Street, Apt "), c("p_brand"))
+
+
 ADDRESS_SQL = "concat(p_partkey, ' West ', p_size + 1, 'th Street, Apt ', p_brand)"
 
 
@@ -47,7 +51,7 @@ ADDRESS_SQL = "concat(p_partkey, ' West ', p_size + 1, 'th Street, Apt ', p_bran
 def f01_normalize_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = c("p_partkey")
     a = (
-        F.when(k % 4 == 0, ADDRESS)
+        F.when(k % 4 == 0, address())
         .when(k % 4 == 1, F.concat(k.cast("string"), F.lit(" Saint Nicholas Avenue "), c("p_size").cast("string")))
         .when(k % 4 == 2, F.concat(F.lit("Unit "), c("p_size").cast("string")))
         .otherwise(F.concat(k.cast("string"), F.lit(" Fifth  Avenue, #"), c("p_size").cast("string"), F.lit(" no fee 2 beds")))
@@ -74,7 +78,7 @@ def f03_normalize_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f05_unit_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     beds = F.when(c("p_size") % 2 == 0, (c("p_size") % 5).cast("double"))
     unit = F.when(c("p_size") % 3 > 0, c("p_size").cast("string"))
-    d = read(spark, sf_dir, "part").withColumn("unit_key", X.unit_key(ADDRESS, unit, beds))
+    d = read(spark, sf_dir, "part").withColumn("unit_key", X.unit_key(address(), unit, beds))
     return d.select("p_partkey", "unit_key", X.group_key(c("unit_key"), c("p_brand"), c("p_partkey").cast("string")).alias("group_key"))
 
 
@@ -137,12 +141,14 @@ def f50_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", numbers.truncated(c("c_acctbal").cast("string")).alias("truncated"), numbers.positive(c("c_acctbal")).alias("positive"), numbers.strict_int(text).alias("strict"))
 
 
-LAT, LNG = F.lit(40.5) + (c("c_custkey") % 400) / F.lit(1000.0), F.lit(-74.2) + (c("c_custkey") % 433) / F.lit(1000.0)
+def point() -> tuple[Column, Column]:
+    """A latitude and a longitude of a customer's key."""
+    return F.lit(40.5) + (c("c_custkey") % 400) / F.lit(1000.0), F.lit(-74.2) + (c("c_custkey") % 433) / F.lit(1000.0)
 
 
 @query("SELECT c_custkey, CAST(round_even(12742000 * asin(sqrt(pow(sin(radians(40.7 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(40.7)) * pow(sin(radians(-74.0 - lng) / 2), 2))), 0) AS INTEGER) AS metres FROM (SELECT c_custkey, 40.5 + (c_custkey % 400) / 1000.0::DOUBLE AS lat, -74.2 + (c_custkey % 433) / 1000.0::DOUBLE AS lng FROM customer)")
 def f53_haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").select("c_custkey", numbers.half_even(geo.haversine(LAT, LNG, F.lit(40.7), F.lit(-74.0))).alias("metres"))
+    return read(spark, sf_dir, "customer").select("c_custkey", numbers.half_even(geo.haversine(*point(), F.lit(40.7), F.lit(-74.0))).alias("metres"))
 
 
 RING = [(-74.1, 40.55), (-73.9, 40.6), (-73.85, 40.8), (-74.05, 40.85), (-74.15, 40.7)]
@@ -156,7 +162,7 @@ def _sql_ring() -> str:
 
 @query(f"SELECT c_custkey, {_sql_ring()} AS inside FROM (SELECT c_custkey, 40.5e0 + (c_custkey % 400) / 1000e0 AS lat, -74.2e0 + (c_custkey % 433) / 1000e0 AS lng FROM customer)")
 def f55_point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "customer").select("c_custkey", LAT.alias("lat"), LNG.alias("lng"))
+    d = read(spark, sf_dir, "customer").select("c_custkey", point()[0].alias("lat"), point()[1].alias("lng"))
     return enrich.inside(d, F.array(geo.ring_literal(RING)), "inside", "lat", "lng").select("c_custkey", "inside")
 
 

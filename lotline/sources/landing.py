@@ -31,7 +31,7 @@ def feed_rows(spark: SparkSession, path: str, fields: Sequence[str], where: Colu
 def pages(spark: SparkSession, path: str) -> DataFrame:
     """path, text: one row per landed page, broken bytes replaced."""
     d = spark.read.format("binaryFile").load(path)
-    return d.select("path", F.decode(F.col("content"), F.lit("UTF-8")).alias("text"))
+    return d.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def csv_rows(spark: SparkSession, path: str, required: Sequence[str] = (), encoding: str = "UTF-8") -> DataFrame:
