@@ -26,12 +26,15 @@ from lotline.llm.common import bits_for, materialize, prefix_sums, uniform_hash
 VOCABULARY, END, WINDOW, SEED = "word_bpe_49k.json", 2, 4096, 7
 #: Sources, at most: targets are configuration, kept by the driver and broadcast.
 MAX_SOURCES = 100_000
-#: Words that a worker process keeps with their ids.
-CACHE = 700_000
+#: Words, and pieces of words, that a worker process keeps with their ids: the first ones it meets, which the frequent ones are among.
+CACHE = 200_000
 #: Rounds whose documents one window task orders.
 ROUNDS = 4
 
 
+TWO_BYTES = [i.to_bytes(2, "little") for i in range(1 << 16)]
+
+
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
@@ -61,30 +64,36 @@ class Encoder:
     def packed(ids: list[int]) -> bytes:
         return np.array(ids, "<u2").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.bytes)
+        ids = b"".join([TWO_BYTES[t.id] for t in self.model(shown)])
+        if len(self.known_pieces) < CACHE:
+            self.known_pieces[piece] = ids
+        return ids
+
     def word(self, word: str) -> bytes:
-        """Ids of what stands between white space."""
-        known, out = self.known_pieces, b""
-        for p in self.pieces(word):
-            ids = known.get(p)
-            if ids is None:
-                ids = known[p] = self.packed([t.id for t in self.model(p.encode().decode("latin-1").translate(self.bytes))])
-            out += ids
-        return out
+        """Ids of what stands between white space. Words, and words with one sign after them, need no pattern to be cut."""
+        known = self.known_pieces
+        if word.isalpha():
+            return known.get(word) or self.piece(word)
+        head, last = word[:-1], word[-1]
+        if head.isalpha() and not last.isalnum():
+            return (known.get(head) or self.piece(head)) + (known.get(last) or self.piece(last))
+        return b"".join([known.get(p) or self.piece(p) for p in self.pieces(word)])
 
     def encode(self, text: str) -> bytes:
         if self.other(text):
             return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        known = self.known
+        known, word = self.known, self.word
         words = text.lower().split()
         found = list(map(known.get, words))
         if None in found:
-            if len(known) > CACHE:
-                known.clear()
-                self.known_pieces.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self.word(w)
-            found = list(map(known.__getitem__, words))
+            for i, ids in enumerate(found):
+                if ids is None:
+                    w = words[i]
+                    ids = found[i] = known.get(w) or word(w)
+                    if len(known) < CACHE:
+                        known[w] = ids
         return b"".join(found)
 
 
