@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from lotline.llm.common import read
+from lotline.llm.common import drop_stage_tables, read, stage_tables
 from lotline.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -60,7 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        at = f"{base}/{k}"
+        at, before = f"{base}/{k}", stage_tables()
         stage(spark, docs, sf_dir).write.parquet(at)
+        drop_stage_tables(spark, before)
         docs = spark.read.parquet(at)
     return docs

@@ -17,11 +17,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Stage tables of this process.
+_written: list[str] = []
+
+
+def stage_tables() -> int:
+    return len(_written)
+
+
+def drop_stage_tables(spark: SparkSession, since: int = 0) -> None:
+    """Removes the stage tables that this process wrote (all, or those after the first ``since``). Results that rest on them and were not yet written or collected can't be read after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    while len(_written) > since:
+        p = path(_written.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/lotline-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
+    _written.append(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
