@@ -10,6 +10,7 @@ A null or empty text is the end token alone. Null sources are one queue. Repeate
 from __future__ import annotations
 
 import functools
+import os
 import re
 import unicodedata
 import zlib
@@ -36,6 +37,9 @@ TWO_BYTES = [i.to_bytes(2, "little") for i in range(1 << 16)]
 
 
 def vocabulary_path(name: str) -> str:
+    """The place of a vocabulary file: ``name`` itself if it is a path, else that of the installed file of the name."""
+    if os.path.isabs(name):
+        return name
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -108,8 +112,6 @@ def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text
     last = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = encoder(vocabulary_path(vocabulary)).encode
         for b in batches:
