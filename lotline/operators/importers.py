@@ -68,10 +68,10 @@ SOURCES = {
         Source("ose_str_snapshot", "str_registration_listing", lambda: first_filled(c("listing_id"), c("registration_id"), F.concat(F.lit("row-"), c("row_no"))), lambda: c("snapshot_date"), lambda: c("unit"), lambda: c("address"), lambda: F.coalesce(c("zipcode"), F.lit("")), payload_kind="xlsx_row"),
         Source("hpd_omo_work_orders", "official_unit_mention", lambda: c("omoid"), lambda: iso_date(first_date(c("omocreatedate"), c("omoawarddate"))), lambda: c("apartment"), lambda: street_address(c("housenumber"), c("streetname")), lambda: c("zip"), _bbl("boroid", "bbl"), lambda: c("omostatusreason")),
         Source("acris_property_legals", "official_unit_mention", lambda: F.concat_ws(":", c("document_id"), ids.assembled_bbl(c("borough"), c("block"), c("lot")), ids.catalog_id("row", c("payload"))), lambda: iso_date(c("good_through_date")), lambda: c("unit"), lambda: street_address(c("street_number"), c("street_name")), lambda: F.lit(None).cast("string"), _bbl("borough"), lambda: c("property_type"), needs_bbl=True),
-        Source("vayo_all_nyc_units", "archived_unit_mention", lambda: c("unit_id"), lambda: iso_date(c("snapshot_at")), lambda: c("unit_number"), lambda: c("address"), lambda: c("zipcode"), lambda: ids.catalog_bbl(c("bbl")), grade="archived_secondary_source", payload_kind="archive_row", needs_bbl=True, building_confidence=0.9, unit_confidence=0.8, extra_labels=NOT_DWELLINGS_EXTRA_ARCHIVE, where=lambda: F.coalesce(c("is_placeholder").try_cast("int"), F.lit(0)) == 0, mined=lambda: F.upper(c("source_systems")).contains("TEXT_MINED")),
-        Source("vayo_streeteasy_unit_summary", "archived_listing_history", lambda: c("id"), lambda: iso_date(first_date(c("date"), c("scraped_at"), c("snapshot_at"))), lambda: c("unit"), lambda: c("address"), lambda: F.lit(None).cast("string"), status=lambda: c("status"), price=lambda: c("price_numeric").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8),
-        Source("vayo_elliman_mls_archive", "archived_listing_history", lambda: c("core_listing_id"), lambda: iso_date(first_date(c("close_date"), c("list_date"), c("update_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address"), c("unit"))["unit"], lambda: split_mls_address(c("address"), c("unit"))["street"], lambda: filled(c("zip")), status=lambda: c("listing_status"), price=lambda: F.coalesce(c("close_price").try_cast("double"), c("list_price").try_cast("double")), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("core_listing_id", "address", "unit", "zip", "listing_status", "listing_type", "home_type", "ownership_type", "list_price", "close_price", "list_date", "close_date", "update_date", "bedrooms", "bathrooms_total", "living_area_sqft", "year_built", "building_name", "source_mls", "fetched_at")),
-        Source("vayo_corcoran_archive", "archived_listing_history", lambda: c("listing_id"), lambda: iso_date(first_date(c("closed_rented_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address1"), c("address2"))["unit"], lambda: split_mls_address(c("address1"), c("address2"))["street"], lambda: filled(c("zip_code")), status=lambda: c("listing_status"), price=lambda: c("price").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("listing_id", "property_id", "source_id", "listing_status", "transaction_type", "listing_type", "building_type", "property_type", "ownership", "unit_type", "address1", "address2", "zip_code", "borough", "neighborhood", "price", "bedrooms", "bathrooms", "total_bathrooms", "square_footage", "closed_rented_date", "fetched_at")),
+        Source("archive_all_units", "archived_unit_mention", lambda: c("unit_id"), lambda: iso_date(c("snapshot_at")), lambda: c("unit_number"), lambda: c("address"), lambda: c("zipcode"), lambda: ids.catalog_bbl(c("bbl")), grade="archived_secondary_source", payload_kind="archive_row", needs_bbl=True, building_confidence=0.9, unit_confidence=0.8, extra_labels=NOT_DWELLINGS_EXTRA_ARCHIVE, where=lambda: F.coalesce(c("is_placeholder").try_cast("int"), F.lit(0)) == 0, mined=lambda: F.upper(c("source_systems")).contains("TEXT_MINED")),
+        Source("archive_unit_summary", "archived_listing_history", lambda: c("id"), lambda: iso_date(first_date(c("date"), c("scraped_at"), c("snapshot_at"))), lambda: c("unit"), lambda: c("address"), lambda: F.lit(None).cast("string"), status=lambda: c("status"), price=lambda: c("price_numeric").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8),
+        Source("archive_mls_listings", "archived_listing_history", lambda: c("core_listing_id"), lambda: iso_date(first_date(c("close_date"), c("list_date"), c("update_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address"), c("unit"))["unit"], lambda: split_mls_address(c("address"), c("unit"))["street"], lambda: filled(c("zip")), status=lambda: c("listing_status"), price=lambda: F.coalesce(c("close_price").try_cast("double"), c("list_price").try_cast("double")), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("core_listing_id", "address", "unit", "zip", "listing_status", "listing_type", "home_type", "ownership_type", "list_price", "close_price", "list_date", "close_date", "update_date", "bedrooms", "bathrooms_total", "living_area_sqft", "year_built", "building_name", "source_mls", "fetched_at")),
+        Source("archive_broker_listings", "archived_listing_history", lambda: c("listing_id"), lambda: iso_date(first_date(c("closed_rented_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address1"), c("address2"))["unit"], lambda: split_mls_address(c("address1"), c("address2"))["street"], lambda: filled(c("zip_code")), status=lambda: c("listing_status"), price=lambda: c("price").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("listing_id", "property_id", "source_id", "listing_status", "transaction_type", "listing_type", "building_type", "property_type", "ownership", "unit_type", "address1", "address2", "zip_code", "borough", "neighborhood", "price", "bedrooms", "bathrooms", "total_bathrooms", "square_footage", "closed_rented_date", "fetched_at")),
         *(
             Source(name, "official_sale", lambda: ids.catalog_id("sale", F.coalesce(ids.catalog_bbl(bbl()), ids.assembled_bbl(c("borough"), c("block"), c("lot"))), iso_date(c("sale_date")), c("address"), c("apartment_number"), c("sale_price")), lambda: iso_date(c("sale_date")), lambda: c("apartment_number"), lambda: sale_address(c("address"), c("apartment_number")), lambda: c("zip_code"), lambda: F.coalesce(ids.catalog_bbl(bbl()), ids.assembled_bbl(c("borough"), c("block"), c("lot"))), lambda: c("building_class_category"), lambda: c("sale_price").try_cast("double"), needs_date=True)
             for name, bbl in (("annualized_sales", lambda: c("bbl")), ("rolling_sales", lambda: F.lit(None).cast("string")))

@@ -18,8 +18,28 @@ from lotline.operators.units import LISTING_FIELDS
 
 c = F.col
 FEEDS: dict[str, Callable[..., DataFrame]] = {}
-# Fixed value: the sources that resell other sources' ads.
+# The sources that resell other sources' ads, and the patterns of feeds' pages.
 MARKETPLACES = ["nooklyn"]
+CARD = r'<h4\s+class="pc-card-title">'
+CARD_TITLE = r"(?s)^(.*?)</h4>"
+CARD_UNIT = r'(?s)data-unitid="(\d+)"(.*?)(?=data-unitid="|<h4\s|$)'
+CARD_TERM = r'(?i)<option\s+value="\d+">\s*(\d+)\s+Months?\s+\(([\d,.]+)\s+USD\)'
+CARD_LABEL = 'data-title="([^"]+)"'
+CARD_SQFT = r'data-th="Sqft"[^>]*>\s*([\d,]+)'
+CARD_DATE = 'data-available-date="([^"]+)"'
+CARD_PLAN = 'data-src="(https://[^"]+)"'
+CARD_STABILIZED = 'data-all-dhcr-units="True"'
+HOP_ID = r"[?&]lid=(\d+)"
+HOP_LINE = r'class="pprice"[^>]*>([^<]+)'
+HOP_PRICE = r"schedule-appointment-listing-today/\?lid=\d+[^\"]*?price=(\d+)"
+HOP_CONVERTIBLE = r"(?i)CONV(\d)"
+HOP_PLAN = r"glenwoodadmin\.com/webdav/images/floorplans/[^\"']+"
+HOP_TEXT = r'(?is)class="[^"]*listing-description[^"]*"[^>]*>(.*?)</div>'
+HOP_PHONE = r"^\d{3}\.\d{3}"
+PLAN = r"(?is)<caption[^>]*>Apartment Details.*?Floor Plan:\s*"
+PLAN_ROW = r"(?s)data-label='Apartment'[^>]*>#?(\w+)</th>.*?data-label=Sq\.Ft\.>(\d+)</td>.*?data-label='Rent'>\$([\d,]+)</td>"
+PLAN_DATE = r'(?s)^.*?ApplyNowClick\([^,]+,[^,]+,[^,]+,"([^"]+)"'
+OGDEN_ROW = r'(?s)data-th="Unit"[^>]*>\s*<span[^>]*>([^<]+)</span>.*?data-alt="([^"]+)".*?data-th="Sqft">([\d,]+)</td>.*?data-th="Available">([^<]+)</td>.*?data-rent-range="([^"]+)".*?data-unitid="([^"]+)".*?data-unit-address="([^"]+)".*?data-available-date="([^"]+)"'
 
 
 def feed(name: str) -> Callable:
@@ -79,19 +99,19 @@ def corcoran(pages: DataFrame) -> DataFrame:
 @feed("durst")
 def durst(pages: DataFrame) -> DataFrame:
     """pages: text, id, name, address, hood, boro. Cards with a heading of rooms, each with rows of units and their lease terms. A heading without a number keeps the rooms of the card before it."""
-    d = pages.select("*", F.posexplode(sections(c("text"), r'<h4\s+class="pc-card-title">')).alias("card_no", "card"))
-    title = F.regexp_extract("card", r"(?s)^(.*?)</h4>", 1)
+    d = pages.select("*", F.posexplode(sections(c("text"), CARD)).alias("card_no", "card"))
+    title = F.regexp_extract("card", CARD_TITLE, 1)
     beds = F.when(F.lower(title).contains("studio"), F.lit(0.0)).otherwise(X.number_before(title, "bed"))
     d = d.withColumns({"beds_here": beds, "baths_here": X.number_before(title, "bath")})
 
     so_far = W.partitionBy("id").orderBy("card_no").rowsBetween(W.unboundedPreceding, 0)
     d = d.withColumns({"beds": F.coalesce(F.last("beds_here", True).over(so_far), F.lit(0.0)), "baths": F.coalesce(F.last("baths_here", True).over(so_far), F.lit(1.0))})
-    d = d.withColumn("u", F.explode(groups(c("card"), r'(?s)data-unitid="(\d+)"(.*?)(?=data-unitid="|<h4\s|$)', "uid", "block")))
+    d = d.withColumn("u", F.explode(groups(c("card"), CARD_UNIT, "uid", "block")))
     block = c("u.block")
     part = lambda p: X.filled(F.regexp_extract(block, p, 1))
-    terms = F.transform(groups(block, r'(?i)<option\s+value="\d+">\s*(\d+)\s+Months?\s+\(([\d,.]+)\s+USD\)', "months", "price"), lambda t: F.struct(F.concat(t["months"].cast("int").cast("string"), F.lit(" months")).alias("term"), F.regexp_replace(t["price"], ",", "").cast("double").cast("int").alias("price")))
+    terms = F.transform(groups(block, CARD_TERM, "months", "price"), lambda t: F.struct(F.concat(t["months"].cast("int").cast("string"), F.lit(" months")).alias("term"), F.regexp_replace(t["price"], ",", "").cast("double").cast("int").alias("price")))
     d = d.withColumn("terms", terms)
-    return shaped(d, "durst", source_id=F.concat_ws("-", F.lit("durst"), "id", "u.uid"), building_name=c("name"), address=c("address"), unit_number=F.coalesce(part('data-title="([^"]+)"'), "u.uid"), bedrooms=c("beds"), bathrooms=c("baths"), price=term_price(c("terms")), sqft=F.regexp_replace(part(r'data-th="Sqft"[^>]*>\s*([\d,]+)'), ",", "").try_cast("int"), available_date=part('data-available-date="([^"]+)"'), lease_terms=F.when(F.size("terms") > 0, F.to_json("terms")), floor_plan_url=part('data-src="(https://[^"]+)"'), neighborhood=c("hood"), borough=c("boro"), is_flex=F.lit(0), is_rent_stabilized=block.contains('data-all-dhcr-units="True"').cast("int"))
+    return shaped(d, "durst", source_id=F.concat_ws("-", F.lit("durst"), "id", "u.uid"), building_name=c("name"), address=c("address"), unit_number=F.coalesce(part(CARD_LABEL), "u.uid"), bedrooms=c("beds"), bathrooms=c("baths"), price=term_price(c("terms")), sqft=F.regexp_replace(part(CARD_SQFT), ",", "").try_cast("int"), available_date=part(CARD_DATE), lease_terms=F.when(F.size("terms") > 0, F.to_json("terms")), floor_plan_url=part(CARD_PLAN), neighborhood=c("hood"), borough=c("boro"), is_flex=F.lit(0), is_rent_stabilized=block.contains(CARD_STABILIZED).cast("int"))
 
 
 @feed("elliman")
@@ -114,24 +134,24 @@ def crawl_buckets(borough_counts: DataFrame, cap: int = 300, bedrooms: int = 6)
 
 def glenwood_ids(pages: DataFrame) -> DataFrame:
     """The first hop: distinct listing ids of building pages (text, name, addr, hood)."""
-    return pages.select("name", "addr", "hood", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[?&]lid=(\d+)"), F.lit(1)))).alias("lid"))
+    return pages.select("name", "addr", "hood", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(F.lit(HOP_ID)), F.lit(1)))).alias("lid"))
 
 
 @feed("glenwood")
 def glenwood(found: DataFrame, details: DataFrame) -> DataFrame:
     """The second hop: ids joined with their detail pages (lid, text)."""
     d = found.join(details, "lid")
-    lines = F.filter(F.transform(F.regexp_extract_all("text", F.lit(r'class="pprice"[^>]*>([^<]+)'), F.lit(1)), X.strip), lambda x: (x != "") & ~x.rlike(r"^\d{3}\.\d{3}"))
+    lines = F.filter(F.transform(F.regexp_extract_all("text", F.lit(F.lit(HOP_LINE)), F.lit(1)), X.strip), lambda x: (x != "") & ~x.rlike(HOP_PHONE))
     d = d.withColumn("lines", lines)
     try_last = lambda f: F.get(F.reverse(F.filter(F.transform("lines", f), lambda x: x.isNotNull())), F.lit(0))
     beds = try_last(lambda x: F.coalesce(X.number_before(x, "BR"), F.when(F.lower(x).contains("studio"), F.lit(0.0))))
     baths = try_last(lambda x: X.number_before(x, "Bath"))
     listed = F.get(F.filter(F.transform("lines", lambda x: F.when(x.rlike(r"^[\d,]+$"), F.regexp_replace(x, ",", "").try_cast("double"))), lambda x: x.isNotNull()), F.lit(0))
-    framed = F.regexp_extract(F.col("text"), r"schedule-appointment-listing-today/\?lid=\d+[^\"]*?price=(\d+)", 1).try_cast("double")
-    d = d.withColumns({"beds": F.coalesce(beds, F.regexp_extract("text", r"(?i)CONV(\d)", 1).try_cast("double")), "baths": baths, "price": F.coalesce(framed, listed)})
+    framed = F.regexp_extract(F.col("text"), HOP_PRICE, 1).try_cast("double")
+    d = d.withColumns({"beds": F.coalesce(beds, F.regexp_extract("text", HOP_CONVERTIBLE, 1).try_cast("double")), "baths": baths, "price": F.coalesce(framed, listed)})
     d = d.where(c("price").isNotNull() | c("beds").isNotNull())
-    plan = X.filled(F.regexp_extract("text", r"glenwoodadmin\.com/webdav/images/floorplans/[^\"']+", 0))
-    about = X.strip(F.regexp_replace(F.regexp_extract("text", r'(?is)class="[^"]*listing-description[^"]*"[^>]*>(.*?)</div>', 1), "<[^>]+>", ""))
+    plan = X.filled(F.regexp_extract("text", HOP_PLAN, 0))
+    about = X.strip(F.regexp_replace(F.regexp_extract("text", HOP_TEXT, 1), "<[^>]+>", ""))
     return shaped(d, "glenwood", source_id=F.concat(F.lit("glenwood-"), "lid"), building_name=c("name"), address=c("addr"), bedrooms=c("beds"), bathrooms=c("baths"), price=c("price"), description=X.filled(about), floor_plan_url=F.concat(F.lit("https://"), plan), neighborhood=c("hood"), borough=F.when(c("hood") == "Riverdale", "Bronx").otherwise("Manhattan"), is_flex=F.lit(0), is_rent_stabilized=F.lit(0))
 
 
@@ -143,9 +163,6 @@ def nooklyn(pages: DataFrame) -> DataFrame:
     return shaped(d, "nooklyn", source_id=c("i.id"), address=c("a.street"), unit_number=X.labelled_unit(c("i.short_address")), bedrooms=c("i.bedrooms"), bathrooms=c("i.bathrooms"), price=dollars(c("i.price")), sqft=c("i.square_feet"), available_date=F.when(F.length("i.date_available") >= 10, F.substring("i.date_available", 1, 10)), description=c("i.description"), latitude=c("i.latitude"), longitude=c("i.longitude"), neighborhood=c("i.neighborhood.name"), borough=X.filled(X.city_borough(c("a.city"))), zipcode=c("a.zipcode"), raw_json=F.to_json("i"))
 
 
-OGDEN_ROW = r'(?s)data-th="Unit"[^>]*>\s*<span[^>]*>([^<]+)</span>.*?data-alt="([^"]+)".*?data-th="Sqft">([\d,]+)</td>.*?data-th="Available">([^<]+)</td>.*?data-rent-range="([^"]+)".*?data-unitid="([^"]+)".*?data-unit-address="([^"]+)".*?data-available-date="([^"]+)"'
-
-
 @feed("ogdencap")
 def ogdencap(pages: DataFrame) -> DataFrame:
     """pages: text, code, name, hood, boro. One pattern for a row; the low end of the rent."""
@@ -156,12 +173,12 @@ def ogdencap(pages: DataFrame) -> DataFrame:
 @feed("securecafe")
 def securecafe(pages: DataFrame) -> DataFrame:
     """pages: text, subdomain, label, address, hood, boro. A table for each floor plan; move-in dates from the apply links."""
-    d = pages.withColumn("section", F.explode(sections(c("text"), r"(?is)<caption[^>]*>Apartment Details.*?Floor Plan:\s*")))
+    d = pages.withColumn("section", F.explode(sections(c("text"), PLAN)))
     head = F.regexp_extract("section", r"^([^<]+)", 1)
     d = d.withColumns({"beds": F.coalesce(X.number_before(head, "Bed"), F.lit(0.0)), "baths": F.coalesce(X.number_before(head, "Bath"), F.lit(1.0))})
-    d = d.withColumn("u", F.explode(groups(c("section"), r"(?s)data-label='Apartment'[^>]*>#?(\w+)</th>.*?data-label=Sq\.Ft\.>(\d+)</td>.*?data-label='Rent'>\$([\d,]+)</td>", "unit", "sqft", "rent")))
+    d = d.withColumn("u", F.explode(groups(c("section"), PLAN_ROW, "unit", "sqft", "rent")))
     after = F.expr("substring(section, greatest(1, locate(concat(\"id='\", u.unit, \"'\"), section)))")
-    date = F.when(F.expr("locate(concat(\"id='\", u.unit, \"'\"), section) > 0"), X.filled(F.regexp_extract(after, r'(?s)^.*?ApplyNowClick\([^,]+,[^,]+,[^,]+,"([^"]+)"', 1)))
+    date = F.when(F.expr("locate(concat(\"id='\", u.unit, \"'\"), section) > 0"), X.filled(F.regexp_extract(after, PLAN_DATE, 1)))
     return shaped(d, "securecafe", source_id=F.concat_ws("-", F.lit("sc"), "subdomain", "u.unit"), building_name=c("label"), address=c("address"), unit_number=c("u.unit"), bedrooms=c("beds"), bathrooms=c("baths"), price=F.regexp_replace("u.rent", ",", "").try_cast("double"), sqft=c("u.sqft").try_cast("int"), available_date=date, neighborhood=c("hood"), borough=c("boro"), is_flex=F.lit(0), is_rent_stabilized=F.lit(0))
 
 

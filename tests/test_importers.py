@@ -57,16 +57,16 @@ def test_evictions_keep_units_of_addresses_unresolved(spark):
 
 def test_archive_rules(spark):
     row = {"unit_id": "1", "bbl": "1000010001", "address": "5 Main St", "zipcode": "1", "unit_number": "6", "is_placeholder": "0", "source_systems": '["PERMITS"]', "snapshot_at": "2025-05-05 00:00:00"}
-    o = observed(spark, "vayo_all_nyc_units", [row, row | {"unit_id": "2", "unit_number": "7", "source_systems": '["text_mined"]'}, row | {"unit_id": "3", "is_placeholder": "1"}, row | {"unit_id": "4", "unit_number": "FINISHES"}])
+    o = observed(spark, "archive_all_units", [row, row | {"unit_id": "2", "unit_number": "7", "source_systems": '["text_mined"]'}, row | {"unit_id": "3", "is_placeholder": "1"}, row | {"unit_id": "4", "unit_number": "FINISHES"}])
     assert units(o) == {"6": ("1000010001", "resolved", 0.8), "7": ("1000010001", "unresolved", 0.0), "FINISHES": ("1000010001", "not_a_dwelling", 0.0)}
     s = {"id": "1", "date": "02/06/26", "scraped_at": None, "snapshot_at": "x", "unit": "", "address": "5 Main St", "status": "s", "price_numeric": "1590000"}
-    (r,) = observed(spark, "vayo_streeteasy_unit_summary", [s], addresses(spark)).collect()
+    (r,) = observed(spark, "archive_unit_summary", [s], addresses(spark)).collect()
     assert (r["unit"]["status"], r["observed_at"], r["price"]) == ("not_a_dwelling", "02/06/26", 1590000.0)
 
 
 def test_agent_contacts_never_leave(spark):
     row = {"core_listing_id": "1", "address": "211 W 10th St 2B, New York", "unit": None, "zip": "", "listing_status": "Closed", "listing_type": "R", "home_type": "x", "ownership_type": "x", "list_price": "10", "close_price": None, "list_date": "2026-01-01", "close_date": "", "update_date": None, "bedrooms": "1", "bathrooms_total": "1", "living_area_sqft": None, "year_built": None, "building_name": None, "source_mls": None, "fetched_at": "2026", "snapshot_at": "2026", "listing_agent_email": "a@b.c"}
-    (r,) = observed(spark, "vayo_elliman_mls_archive", [row], addresses(spark)).collect()
+    (r,) = observed(spark, "archive_mls_listings", [row], addresses(spark)).collect()
     assert "a@b.c" not in r["raw_fields"] and json.loads(r["raw_fields"])["core_listing_id"] == "1"
     assert (r["address"], r["unit_label"], r["observed_at"], r["price"]) == ("211 W 10th St", "2B", "2026-01-01", 10.0)
 
