@@ -150,6 +150,21 @@ def addresses_of(observed: DataFrame) -> DataFrame:
     return d.select(ids.catalog_id("addr", c("building.bbl"), c("norm_address")).alias("address_id"), c("building.bbl").alias("bbl"), "address", c("norm_address").alias("normalized"), "zipcode", "source")
 
 
+def official_addresses(crosswalk: DataFrame, zips: Sequence[str] | None = None) -> DataFrame:
+    """The address file's rows for the catalog, of some zips or all."""
+    d = crosswalk.where(c("zipcode").isin(*zips)) if zips else crosswalk
+    d = d.select("bbl", c("norm_address").alias("address"), c("norm_address").alias("normalized"), "zipcode").distinct()
+    return d.select(ids.catalog_id("addr", c("bbl"), c("normalized")).alias("address_id"), "*", F.lit("nyc_pad").alias("source"))
+
+
+def record_backbone(buildings: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
+    """(buildings, addresses) of the catalog from the record's buildings table."""
+    b = buildings.where(filled(c("bbl")).isNotNull())
+    known = b.select("bbl", "borough", c("address").alias("primary_address"), "zipcode", "units_res", "units_total", "building_class", F.lit("record_db").alias("source"), F.lit(now).alias("first_seen"), F.lit(now).alias("last_seen"))
+    a = b.withColumn("normalized", normalize_address(c("address"))).where("normalized <> ''")
+    return known, a.select(ids.catalog_id("addr", c("bbl"), c("normalized")).alias("address_id"), "bbl", "address", "normalized", "zipcode", F.lit("record_db").alias("source"))
+
+
 def condo_lots(rows: DataFrame, retrieved_at: str) -> tuple[DataFrame, DataFrame]:
     """(official lots of condominium units, their unresolved links). Rows without a valid unit BBL are left out; the borough is no filter."""
     d = rows.withColumn("unit_lot_bbl", ids.catalog_bbl(c("unit_bbl"))).where(c("unit_lot_bbl").isNotNull())

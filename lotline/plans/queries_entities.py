@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lotline.functions import dates, ids
 from lotline.functions import text as X
-from lotline.operators import coverage, enrich, keys, merges, portfolios, reconcile, resolve, units, upsert
+from lotline.operators import coverage, enrich, importers, keys, merges, portfolios, reconcile, resolve, units, upsert
 from lotline.plans.catalog import query, read
 from lotline.plans.queries_scalars import point
 
@@ -279,3 +280,58 @@ def e01_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = read(spark, sf_dir, "customer").select(F.concat((F.lit(1_000_000_000) + c("c_custkey")).cast("string"), F.lit(".0")).alias("bbl"), F.concat((c("c_nationkey") + 1).cast("string"), F.lit(" Main  Street #4")).alias("address"), F.lit("BRONX").alias("borough"), F.lit("10001").alias("zipcode"), c("c_custkey").alias("arrival"))
     out = resolve.crosswalk_from_lots(lots.union(lots))
     return out.select((c("bbl").cast("long") - 1_000_000_000).cast("string").alias("bbl"), "norm_address")
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN b IS NULL THEN 'unresolved' WHEN p_size % 4 = 0 THEN 'not_a_dwelling' WHEN p_size % 4 = 1 THEN 'unresolved' ELSE 'resolved' END AS status, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN concat('unit_', substr(sha256(concat(b, '\\x1f', 'B', p_partkey)), 1, 20)) END AS unit_id, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN 1.0 ELSE 0.0 END AS confidence FROM (SELECT *, CASE WHEN l_suppkey % 7 BETWEEN 1 AND 5 THEN printf('%d%05d%04d', l_suppkey % 7, l_orderkey, l_suppkey) END AS b FROM lineitem JOIN part ON p_partkey = l_partkey)")
+def e09_unit_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part").select("p_partkey", "p_size"), c("l_partkey") == c("p_partkey"))
+    text = lambda x: x.cast("string")
+    bbl = ids.assembled_bbl(text(c("l_suppkey") % 7), text(c("l_orderkey")), text(c("l_suppkey")))
+    s = c("p_size") % 4
+    label = F.when(s == 0, " roof").when(s == 1, " - ").otherwise(F.concat(F.lit("Apt b"), text(c("p_partkey"))))
+    claim = importers.unit_claim(bbl, label, importers.SOURCES["hpd_violations"])
+    return d.select("l_orderkey", "l_linenumber", claim.alias("u")).select("l_orderkey", "l_linenumber", "u.status", "u.unit_id", "u.confidence")
+
+
+@query("SELECT o_orderkey, observed_at, price, CASE WHEN observed_at = last_day THEN 'source_document' ELSE 'legacy_snapshot' END AS grade FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS last_day, coalesce(strftime(h.d, '%Y-%m-%d'), strftime(o_orderdate, '%Y-%m-%d')) AS observed_at, coalesce(h.p, o_totalprice) AS price FROM orders LEFT JOIN (SELECT l_orderkey, l_extendedprice AS p, l_shipdate AS d FROM lineitem WHERE l_returnflag = 'R') h ON h.l_orderkey = o_orderkey WHERE o_orderstatus = 'P')")
+def e20_listing_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = lambda x: F.date_format(x, "yyyy-MM-dd")
+    none = F.lit(None)
+    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.lit("s").alias("source"), c("o_orderkey").cast("string").alias("source_id"), F.lit("5 Main Street").alias("address"), F.lit("6B").alias("unit_number"), none.cast("double").alias("bedrooms"), none.cast("double").alias("bathrooms"), c("o_totalprice").alias("price"), F.lit("active").alias("status"), F.concat(day("o_orderdate"), F.lit(" 00:00:00")).alias("last_seen"), none.cast("string").alias("zipcode"))
+    h = read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.lit("s").alias("source"), c("l_orderkey").cast("string").alias("source_id"), day("l_shipdate").alias("snapshot_date"), c("l_extendedprice").alias("price"), F.lit("active").alias("status"))
+    out = importers.listing_observations(o, h, _index(spark, sf_dir))
+    return out.select(c("source_id").cast("long").alias("o_orderkey"), "observed_at", "price", "grade")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'NEW' ELSE c_name END AS address, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_mktsegment END AS zipcode, CASE WHEN c_custkey % 3 = 0 THEN 'nyc_pad' ELSE 'record_db' END AS source FROM customer WHERE c_custkey % 3 > 0 OR c_custkey % 2 = 0")
+def d09_address_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = c("c_custkey")
+    d = read(spark, sf_dir, "customer").select(k.cast("string").alias("bbl"), F.lit("n").alias("normalized"), c("c_name").alias("address"), c("c_mktsegment").alias("zipcode"), F.lit("record_db").alias("source"), "c_custkey")
+    new = d.where(k % 2 == 0).select("bbl", "normalized", F.lit("NEW").alias("address"), F.lit(None).cast("string").alias("zipcode"), F.lit("nyc_pad").alias("source"), F.lit(1).alias("arrival"))
+    out = upsert.address_upsert(d.where(k % 3 > 0).drop("c_custkey"), new)
+    return out.select(c("bbl").cast("long").alias("c_custkey"), "address", "zipcode", "source")
+
+
+@query("SELECT user_id::VARCHAR AS bbl, event_type AS normalized_unit, arg_min(event_id, {'t': ts, 'e': event_id})::VARCHAR AS unit_id, arg_max(event_id, {'t': ts, 'e': event_id})::VARCHAR AS unit_label, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY ALL")
+def d10_unit_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    d = read(spark, sf_dir, "events").withColumn("arrival", F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long"))
+    d = d.select(c("user_id").cast("string").alias("bbl"), c("event_type").alias("normalized_unit"), c("event_id").cast("string").alias("unit_id"), c("event_id").cast("string").alias("unit_label"), at.alias("first_seen"), at.alias("last_seen"), "arrival")
+    return upsert.unit_upsert(d.limit(0).drop("arrival"), d, ["bbl", "normalized_unit"], "unit_id", "unit_label")
+
+
+@query("SELECT user_id::VARCHAR AS observation_id, arg_max(event_type, {'t': ts, 'e': event_id}) AS status, 'unit' AS entity_type FROM events GROUP BY user_id")
+def d07_match_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "events").select(c("user_id").cast("string").alias("observation_id"), F.lit("unit").alias("entity_type"), c("event_type").alias("status"), F.struct("ts", "event_id").alias("pass_no"))
+    return upsert.match_upsert(d.where("pass_no.event_id % 2 = 0"), d.where("pass_no.event_id % 2 = 1")).select("observation_id", "entity_type", "status")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '5 MAIN ST' WHEN o_orderkey % 3 = 1 THEN '5 MAIN ST, 9' ELSE concat(o_orderkey, ' MAIN ST') END AS sale, CASE WHEN o_orderkey % 3 = 0 THEN '211 W 10th St' WHEN o_orderkey % 3 = 1 THEN '622 Avenue B' ELSE '7 Oak Road' END AS street, CASE WHEN o_orderkey % 3 = 0 THEN concat(o_orderkey % 10, 'B') END AS unit FROM orders")
+def f20_split_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = c("o_orderkey") % 3
+    u = (c("o_orderkey") % 10).cast("string")
+    sale = F.when(k == 0, F.concat(F.lit("5 MAIN ST, Apt "), u, F.lit("B"))).when(k == 1, "5 MAIN ST, 9").otherwise(F.concat(c("o_orderkey").cast("string"), F.lit(" MAIN ST")))
+    mls = F.when(k == 0, F.concat(F.lit("211 W 10th St "), u, F.lit("b, New York"))).when(k == 1, "622 Avenue B, New York").otherwise("7 Oak Road")
+    split = X.split_mls_address(mls, F.lit(None).cast("string"))
+    d = read(spark, sf_dir, "orders")
+    return d.select("o_orderkey", X.sale_address(sale, F.when(k == 0, F.concat(u, F.lit("b"))).otherwise("1")).alias("sale"), split["street"].alias("street"), split["unit"].alias("unit"))

@@ -101,3 +101,11 @@ def test_premises(spark):
 
 def test_every_source_has_rules():
     assert len(I.SOURCES) == 15 and all(s.name and s.kind for s in I.SOURCES.values())
+
+
+def test_address_backbones(spark):
+    cw = spark.createDataFrame([("5 MAIN ST", "1000010001", "X", "1"), ("7 MAIN ST", "1000010002", "X", "2")], "norm_address string, bbl string, borough string, zipcode string")
+    assert I.official_addresses(cw, ["2"]).first()["source"] == "nyc_pad" and I.official_addresses(cw).count() == 2
+    b = spark.createDataFrame([("1000010001", "X", "5 Main Street", "1", 2, 3, "C"), ("", "X", "x", "1", 2, 3, "C"), ("1000010003", "X", None, "1", 2, 3, "C")], "bbl string, borough string, address string, zipcode string, units_res int, units_total int, building_class string")
+    known, a = I.record_backbone(b, NOW)
+    assert known.count() == 2 and [r["normalized"] for r in a.collect()] == ["5 MAIN ST"]

@@ -166,3 +166,20 @@ def test_workbook(spark, tmp_path):
 def test_registries():
     assert len(registry.LISTING_FEEDS) == 12 and len(registry.RECORD_FEEDS) == 12 and len(registry.IMPORTERS) == 15
     assert registry.discover("lotline.streaming") == {}
+
+
+def test_paged_feed(spark, tmp_path):
+    from lotline.sources import paged
+
+    paged.register(spark)
+    for offset in (0, 3, 6):
+        (tmp_path / f"{offset}-3.json").write_text(json.dumps([{"id": i, "name": f"n{i}", "more": {"x": 1}} for i in range(offset, min(offset + 3, 8))]))
+    (tmp_path / "3-2.json").write_text(json.dumps([{"id": 3}, {"id": 4}]))
+    read = spark.read.format("paged_feed").option("url", f"file://{tmp_path}/{{offset}}-{{limit}}.json").option("fields", "id, name,more").option("page_size", 3).option("pause", 0)
+    got = read.load()
+    assert got.count() == 8 and tuple(got.orderBy("id").first()) == ("0", "n0", '{"x": 1}')
+    assert sorted(r["id"] for r in read.option("limit", 5).load().collect()) == ["0", "1", "2", "3", "4"]
+    side = spark.read.format("paged_feed").option("url", f"file://{tmp_path}/{{offset}}-{{limit}}.json").option("fields", "id").option("page_size", 3).option("pages", 3).load()
+    assert side.rdd.getNumPartitions() == 3 and side.count() == 8
+    with pytest.raises(OSError):
+        paged.fetch(f"file://{tmp_path}/none.json", retries=2, pause=0)
