@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from lotline import session
 from lotline.functions import ids
 from lotline.lake import Lake
-from lotline.operators import coverage, export, importers, portfolios, resolve, rollup, units, upsert
+from lotline.functions.text import normalize_unit
+from lotline.operators import coverage, export, importers, merges, portfolios, reconcile, resolve, rollup, units, upsert
 from lotline.sources import landing, records, registry
 from lotline.sources.listings import MARKETPLACES, liveness
 from lotline.streaming import incremental
@@ -123,6 +124,11 @@ def catalog(lake: Lake, a: argparse.Namespace) -> int:
         lake.append("addresses", importers.addresses_of(o))
         lake.append("units", importers.units_of(o, a.now))
         lake.append("candidates", resolve.candidate_rows(o, "observation_id"))
+    if a.demote:
+        matches, left = upsert.demote(lake.read("entity_matches"), lake.read("units"), lake.read("observations"))
+        lake.replace_all({"entity_matches": matches, "units": left})
+    if a.reconcile:
+        settle(lake, a.now)
     if a.coverage:
         done = lake.read("observations").join(lake.read("entity_matches").where("entity_type = 'unit' AND status = 'resolved'").select("observation_id"), "observation_id", "left_semi")
         show(coverage.listing_coverage(lake.read("listings", LISTINGS), done.select("source", F.col("source_ref").alias("source_id"))))
@@ -135,6 +141,38 @@ def catalog(lake: Lake, a: argparse.Namespace) -> int:
     return 0
 
 
+def settle(lake: Lake, now: str) -> None:
+    """Ambiguous listings that official unit evidence settles."""
+    obs, matches = lake.read("observations"), lake.read("entity_matches")
+    open_ = matches.where("entity_type = 'building' AND status = 'ambiguous'").select("observation_id")
+    found = lake.read("candidates", "observation_id string, entity_type string, candidate_id string").groupBy("observation_id").agg(F.collect_set("candidate_id").alias("bbls"))
+    asked = obs.join(open_, "observation_id", "left_semi").join(found, "observation_id").select("observation_id", "address", "unit_label", "bbls")
+    unit = matches.where("entity_type = 'unit' AND status = 'resolved'").select("observation_id", F.col("entity_id").alias("unit_id"))
+    building = matches.where("entity_type = 'building' AND status = 'resolved'").select("observation_id", F.col("entity_id").alias("bbl"))
+    official = obs.where("source = 'hpd_violations' AND address IS NOT NULL").join(unit, "observation_id").join(building, "observation_id")
+    settled = reconcile.corroborate(asked, official.select("observation_id", "source_ref", "address", "bbl", "unit_id", normalize_unit(F.col("unit_label")).alias("normalized_unit")))
+    done = settled.where("outcome = 'resolved'")
+    claim = lambda kind, value: done.select("observation_id", F.lit(kind).alias("entity_type"), F.col(value).alias("entity_id"), F.lit("resolved").alias("status"), "confidence", "rationale", F.lit(now).alias("matched_at"))
+    new = claim("building", "bbl").unionByName(claim("unit", "unit_id"))
+    lake.replace_all({"entity_matches": matches.join(new.select("observation_id", "entity_type"), ["observation_id", "entity_type"], "left_anti").unionByName(new), "entity_match_evidence": reconcile.evidence_edges(settled)})
+    show(lake.read("entity_match_evidence").agg(F.count_distinct("observation_id").alias("settled")))
+
+
+def merge(lake: Lake, a: argparse.Namespace) -> int:
+    """Archives (--rows NAME=PATH of rows with address, unit, zip, source_ref) into routed rows, units and claims."""
+    archives = []
+    for name, _, path in (x.partition("=") for x in a.rows or []):
+        d = lake.spark.read.option("multiLine", "true").schema("address string, unit string, zip string, source_ref string").json(path)
+        archives.append((name, d, {k: F.col(k) for k in merges.COLUMNS[1:]}))
+    read = lambda t, extra: upsert.with_columns_of(lake.read(t, extra), {x.split()[0]: x.split()[1] for x in extra.split(", ")})
+    buildings = read("buildings", "bbl string, units_res long, address string").withColumnRenamed("address", "primary_address")
+    archive = read("archive_units", "unit_id string, source_systems string")
+    out = merges.run(archives, read("addresses", "bbl string, normalized string, zipcode string"), read("official_unit_lots", "unit_lot_bbl string, unit_designation string"), buildings, read("units", "bbl string"), archive, a.source, a.now)
+    lake.replace_all({f"merge_{k}": v for k, v in out.items()})
+    show(rollup.path_counts(lake.read("merge_routed"), F.col("route")))
+    return 0
+
+
 def acquire(lake: Lake, a: argparse.Namespace) -> int:
     """Pages of a landed feed, with a durable log; goes on where it stopped."""
     scope = incremental.scope_of(a.boro)
@@ -187,7 +225,7 @@ def health(lake: Lake, a: argparse.Namespace) -> int:
     return len(down)
 
 
-COMMANDS = {"scrape": scrape, "build_record": build_record, "catalog": catalog, "acquire": acquire, "stage": stage, "catalog_export": release, "catalog_report": report, "healthcheck": health}
+COMMANDS = {"scrape": scrape, "build_record": build_record, "catalog": catalog, "acquire": acquire, "stage": stage, "catalog_export": release, "catalog_report": report, "healthcheck": health, "merge": merge}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -205,7 +243,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--commit")
     p.add_argument("--boro")
     p.add_argument("--slots", metavar="RUN")
-    for flag in ("list", "status", "dedupe", "crosswalk", "portfolios", "coverage", "quiet"):
+    for flag in ("list", "status", "dedupe", "crosswalk", "portfolios", "coverage", "demote", "reconcile", "quiet"):
         p.add_argument(f"--{flag}", action="store_true")
     for number, default in (("limit", None), ("gaps", None), ("offset", None), ("page-size", 50_000), ("pages-count", 1)):
         p.add_argument(f"--{number}", type=int, default=default, dest="page_count" if number == "pages-count" else None)

@@ -29,19 +29,23 @@ class Lake:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        new, old = f"{self.root}/_new_{name}", f"{self.root}/_old_{name}"
-        df.write.mode("overwrite").parquet(new)
-        fs, at = self._fs(f"{self.root}/{name}")
-        _, was = self._fs(old)
-        _, to = self._fs(new)
-        if fs.exists(was):
-            fs.delete(was, True)
-        if fs.exists(at):
-            fs.rename(at, was)
-        fs.rename(to, at)
-        if fs.exists(was):
-            fs.delete(was, True)
+        self.replace_all({name: df})
         return self.read(name)
 
+    def replace_all(self, tables: dict[str, DataFrame]) -> None:
+        """All are written before the first is renamed, so each may be made from the old state of any."""
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.root}/_new_{name}")
+        for name in tables:
+            fs, at = self._fs(f"{self.root}/{name}")
+            was, to = self._fs(f"{self.root}/_old_{name}")[1], self._fs(f"{self.root}/_new_{name}")[1]
+            if fs.exists(was):
+                fs.delete(was, True)
+            if fs.exists(at):
+                fs.rename(at, was)
+            fs.rename(to, at)
+            if fs.exists(was):
+                fs.delete(was, True)
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.root}/{name}")

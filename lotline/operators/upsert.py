@@ -91,7 +91,8 @@ def demote(matches: DataFrame, units: DataFrame, observations: DataFrame, marker
     mined = observations.where(F.col("raw_fields").ilike(f"%{marker}%")).select("observation_id").distinct().withColumn("__mined", F.lit(True))
     m = matches.join(mined, "observation_id", "left").withColumn("__was", F.col("__mined").isNotNull() & (F.col("entity_type") == "unit") & (F.col("status") == "resolved"))
     touched = m.where("__was").select(F.col("entity_id").alias("unit_id")).distinct()
-    out = m.select("observation_id", "entity_type", F.when(F.col("__was"), F.lit(None)).otherwise(F.col("entity_id")).alias("entity_id"), F.when(F.col("__was"), F.lit("unresolved")).otherwise(F.col("status")).alias("status"), F.when(F.col("__was"), F.lit(0.0)).otherwise(F.col("confidence")).alias("confidence"))
+    new = {"entity_id": F.when(F.col("__was"), F.lit(None)).otherwise(F.col("entity_id")), "status": F.when(F.col("__was"), F.lit("unresolved")).otherwise(F.col("status")), "confidence": F.when(F.col("__was"), F.lit(0.0)).otherwise(F.col("confidence"))}
+    out = m.withColumns(new).select(*matches.columns)
     held = out.where("entity_type = 'unit' AND status = 'resolved'").select(F.col("entity_id").alias("unit_id")).distinct()
     lost = touched.join(held, "unit_id", "left_anti")
     return out, units.join(lost, "unit_id", "left_anti")

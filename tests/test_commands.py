@@ -47,3 +47,22 @@ def test_pages_and_stage(spark, tmp_path, capsys):
     lines = tmp_path / "lines.txt"
     lines.write_text("a\nb\na\n")
     assert [run(spark, capsys, "stage", "--db", db, "--landed", lines)[1] for _ in range(2)] == [[{"inserted": 2}], [{"inserted": 0}]]
+
+
+def test_reconcile_demote_and_merge(spark, tmp_path, capsys):
+    db = tmp_path / "db"
+    lake = Lake(spark, str(db))
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    lake.replace("observations", frame([("l", "listing", "1", "5 Main Street", "6B", "x"), ("v", "hpd_violations", "2", "5 MAIN ST", "6b", "x"), ("m", "archive", "3", "9 MAIN ST", "1", "text_mined")], "observation_id string, source string, source_ref string, address string, unit_label string, raw_fields string"))
+    claim = "observation_id string, entity_type string, entity_id string, status string, confidence double, rationale string, matched_at string"
+    lake.replace("entity_matches", frame([("l", "building", None, "ambiguous", 0.0, "", ""), ("l", "unit", None, "ambiguous", 0.0, "", ""), ("v", "building", "1", "resolved", 1.0, "", ""), ("v", "unit", "u1", "resolved", 1.0, "", ""), ("m", "unit", "u2", "resolved", 0.8, "", "")], claim))
+    lake.replace("candidates", frame([("l", "building", "1"), ("l", "building", "2")], "observation_id string, entity_type string, candidate_id string"))
+    lake.replace("units", frame([("u1", "1"), ("u2", "9")], "unit_id string, bbl string"))
+    assert run(spark, capsys, "catalog", "--db", db, "--reconcile", "--demote")[1] == [{"settled": 1}]
+    got = {(r["observation_id"], r["entity_type"]): (r["entity_id"], r["status"], r["confidence"]) for r in lake.read("entity_matches").collect()}
+    assert got[("l", "unit")] == ("u1", "resolved", 0.98) and got[("l", "building")][0] == "1" and got[("m", "unit")] == (None, "unresolved", 0.0)
+    assert [r["unit_id"] for r in lake.read("units").collect()] == ["u1"]
+    lake.replace("addresses", frame([("1", "5 MAIN ST", None)], "bbl string, normalized string, zipcode string"))
+    rows = tmp_path / "a.json"
+    rows.write_text(json.dumps([{"address": "5 Main St", "unit": "2", "source_ref": "r"}, {"address": "x", "unit": "2", "source_ref": "q"}]))
+    assert sorted((r["path"], r["n"]) for r in run(spark, capsys, "merge", "--db", db, "--rows", f"a={rows}")[1]) == [("units", 1), ("unresolved", 1)]
