@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,3 +26,27 @@ def shared_dir(spark: SparkSession) -> str:
         at = "file://" + tempfile.mkdtemp(prefix="lotline-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
+
+
+#: Bytes of an Arrow batch: documents are long, and each task holds a batch or two on both sides of the pipe to Python.
+ARROW_BYTES = "8m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Makes a session ready for the operators that run Python: executors get this package (which a cluster may have installed anyway), and Arrow batches a bound of bytes, unless the session has one of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in {k for k, _ in spark.sparkContext.getConf().getAll()}:
+        spark.conf.set(key, ARROW_BYTES)
+    sc = spark.sparkContext
+    if getattr(sc, "_lotline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lotline-"), "lotline.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._lotline_shipped = True
