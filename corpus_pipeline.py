@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from lotline.llm.common import drop_stage_tables, read, stage_tables
-from lotline.session import shared_dir
+from lotline.session import prepare, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: The mix takes this share of the tokens that reach it, each document once at most.
@@ -18,23 +18,27 @@ MIX_SHARE = 0.9
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: no text, no letter, or two languages that encode it equally well."""
+    prepare(spark)
     model = language_id.train(docs)
     return language_id.classify(docs.select(*COLUMNS), model).where(~F.col("rejected")).select(*COLUMNS)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each exact text, by binary-fuse filters."""
+    prepare(spark)
     return exact_dedup.keep_one(docs, COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate class."""
+    prepare(spark)
     out = near_dedup.near_dedup(docs).where("kept").select("doc_id")
     return docs.join(out, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes ``MIX_SHARE`` of the tokens, evenly over domains, their languages and their sources as far as these have them."""
+    prepare(spark)
     tree = [mixing.domain(F.col("source")), "lang", "source"]
     out = mixing.mix_sources(docs, tree, total_share=MIX_SHARE, max_epochs=1).select("doc_id")
     return docs.join(out, "doc_id", "left_semi").select(*COLUMNS)
@@ -42,6 +46,7 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents that are left into windows of the sources' proportions."""
+    prepare(spark)
     return packing.pack(docs)
 
 
