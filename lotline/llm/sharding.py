@@ -25,6 +25,8 @@ from lotline.llm.common import materialize
 TOLERANCE, GROUP_TOLERANCE, PROBES = 0.002, 0.01, 24
 #: Rows of a run, about, and runs, at most: the splitters that the driver holds and sends.
 RUN_ROWS, MAX_RUNS = 250_000, 65_536
+#: Probes of one count: what is sent to each task, and the numbers that come back.
+MOST_PROBES = 200_000
 GROUP_BITS = 31
 
 
@@ -56,6 +58,7 @@ def weight_below(rows: DataFrame, key: str, weight: str, probes: Sequence[int])
 
 def splitters(rows: DataFrame, key: str, weight: str, targets: Sequence[int], slack: Sequence[float], probes: int = PROBES) -> list[int]:
     """Keys such that the weight below the i-th differs from ``targets[i]`` by ``slack[i]`` at most, or by less than the rows of one key."""
+    probes = max(2, min(probes, MOST_PROBES // max(1, len(targets))))
     lo, hi, total = rows.agg(F.min(key), F.max(key), F.sum(weight)).first()
     if lo is None:
         return [0] * len(targets)
