@@ -69,7 +69,7 @@ def j04_prioritised_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.first_bbl(_lookups(spark, sf_dir), _index(spark, sf_dir).withColumnRenamed("normalized", "norm_address")).select("c_custkey", "bbl")
 
 
-@query(f"SELECT c_custkey, CASE WHEN n = 1 THEN b END AS bbl, CASE WHEN n = 1 THEN 'resolved' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status, CASE WHEN n = 1 THEN 1.0 ELSE 0.0 END AS confidence, n AS found FROM (SELECT l.c_custkey, count(DISTINCT i.bbl) AS n, min(i.bbl::VARCHAR) AS b FROM ({LOOKUP_SQL}) l LEFT JOIN ({INDEX_SQL}) i ON i.a = l.a AND (l.z IS NULL OR i.z IS NULL OR l.z = i.z) GROUP BY l.c_custkey)")
+@query(f"SELECT c_custkey, CASE WHEN n = 1 THEN b END AS bbl, CASE WHEN n = 1 THEN 'resolved' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status, CASE WHEN n = 1 THEN 1e0 ELSE 0e0 END AS confidence, n AS found FROM (SELECT l.c_custkey, count(DISTINCT i.bbl) AS n, min(i.bbl::VARCHAR) AS b FROM ({LOOKUP_SQL}) l LEFT JOIN ({INDEX_SQL}) i ON i.a = l.a AND (l.z IS NULL OR i.z IS NULL OR l.z = i.z) GROUP BY l.c_custkey)")
 def e04_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = resolve.candidates(_lookups(spark, sf_dir), _index(spark, sf_dir), "c_custkey")
     s = resolve.status_of(c("bbls"), c("norm_address"))
@@ -111,7 +111,7 @@ def m02_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _routed(spark, sf_dir).select("source_ref", "route", "bbl", "candidate_bbls")
 
 
-@query(f"WITH r AS ({M02_SQL}), x AS (SELECT source_ref, unnest(string_split(candidate_bbls, ',')) AS bbl FROM r WHERE route = 'ambiguous') SELECT source_ref, min(x.bbl) AS bbl, 0.9 AS confidence FROM x WHERE CAST(x.bbl AS BIGINT) % 4 = 1 GROUP BY source_ref HAVING count(*) = 1")
+@query(f"WITH r AS ({M02_SQL}), x AS (SELECT source_ref, unnest(string_split(candidate_bbls, ',')) AS bbl FROM r WHERE route = 'ambiguous') SELECT source_ref, min(x.bbl) AS bbl, 0.9e0 AS confidence FROM x WHERE CAST(x.bbl AS BIGINT) % 4 = 1 GROUP BY source_ref HAVING count(*) = 1")
 def m05_tiebreak(spark: SparkSession, sf_dir: str) -> DataFrame:
     buildings = _index(spark, sf_dir).select("bbl", F.when(c("bbl").cast("long") % 4 == 1, 2).otherwise(0).alias("units_res"))
     return merges.merge_tiebreak(_routed(spark, sf_dir), buildings, "2026-01-01 00:00:00").select("source_ref", "bbl", "confidence")
@@ -282,7 +282,7 @@ def e01_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select((c("bbl").cast("long") - 1_000_000_000).cast("string").alias("bbl"), "norm_address")
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN b IS NULL THEN 'unresolved' WHEN p_size % 4 = 0 THEN 'not_a_dwelling' WHEN p_size % 4 = 1 THEN 'unresolved' ELSE 'resolved' END AS status, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN concat('unit_', substr(sha256(concat(b, '\\x1f', 'B', p_partkey)), 1, 20)) END AS unit_id, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN 1.0 ELSE 0.0 END AS confidence FROM (SELECT *, CASE WHEN l_suppkey % 7 BETWEEN 1 AND 5 THEN printf('%d%05d%04d', l_suppkey % 7, l_orderkey, l_suppkey) END AS b FROM lineitem JOIN part ON p_partkey = l_partkey)")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN b IS NULL THEN 'unresolved' WHEN p_size % 4 = 0 THEN 'not_a_dwelling' WHEN p_size % 4 = 1 THEN 'unresolved' ELSE 'resolved' END AS status, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN concat('unit_', substr(sha256(concat(b, '\\x1f', 'B', p_partkey)), 1, 20)) END AS unit_id, CASE WHEN b IS NOT NULL AND p_size % 4 > 1 THEN 1e0 ELSE 0e0 END AS confidence FROM (SELECT *, CASE WHEN l_suppkey % 7 BETWEEN 1 AND 5 THEN printf('%d%05d%04d', l_suppkey % 7, l_orderkey, l_suppkey) END AS b FROM lineitem JOIN part ON p_partkey = l_partkey)")
 def e09_unit_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part").select("p_partkey", "p_size"), c("l_partkey") == c("p_partkey"))
     text = lambda x: x.cast("string")

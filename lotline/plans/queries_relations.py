@@ -89,7 +89,7 @@ def g17_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution(read(spark, sf_dir, "events"), "event_type")
 
 
-@query("SELECT count(*) AS rows, count(DISTINCT o_custkey) AS customers, count(DISTINCT (o_custkey, o_orderpriority)) AS pairs, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total, round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 6) AS filled, 0.0 AS of_none FROM orders")
+@query("SELECT count(*) AS rows, count(DISTINCT o_custkey) AS customers, count(DISTINCT (o_custkey, o_orderpriority)) AS pairs, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total, round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 6) AS filled, 0e0 AS of_none FROM orders")
 def g16_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_custkey", "o_orderpriority").alias("pairs"), F.coalesce(money("o_totalprice"), F.lit(0.0)).alias("total"), F.count_if(c("o_orderstatus") == "F").alias("f"))
     return d.select("rows", "customers", "pairs", "total", numbers.ratio(c("f"), c("rows"), 6).alias("filled"), numbers.ratio(c("f"), F.lit(0)).alias("of_none"))
