@@ -231,7 +231,7 @@ def compare_groups(members: DataFrame, bags: DataFrame, threshold: float = THRES
     sized = bags.select(F.col("doc_id").alias("node"), F.octet_length("bag").alias("bytes"))
     m = members.join(sized, "node")
     stats = m.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    m = m.select("band", "node", "label").join(stats, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    m = m.select("band", "node", "label").join(materialize(stats), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.select("band", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     m = m.join(bags.select(F.col("doc_id").alias("node"), "bag"), "node")
@@ -274,7 +274,8 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
     rows = materialize(signatures(docs, text, doc_id).withColumn("uid", F.monotonically_increasing_id()))
     nodes = materialize(rows.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("rep"), F.first("bands").alias("bands")))
     banded = nodes.where(F.size("bands") > 0).select(F.col("rep.doc_id").alias("node"), F.explode("bands").alias("band")).where(F.col("node").isNotNull())
-    groups = banded.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # as tables, so that the joins have an exchange on both sides and Spark can split a frequent band
+    groups = materialize(banded.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = materialize(banded.join(groups, "band").select("band", "node", "head", "n"))
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -298,7 +299,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
 
     lab = labels.select("node", "label")
     open_ = members.where("n > 2").join(lab, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = open_.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
+    mixed = materialize(open_.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band"))
     more = materialize(compare_groups(open_.join(mixed, "band"), bags, threshold))
     if more.limit(1).count():
         labels = components(edges.union(more))
