@@ -55,8 +55,7 @@ def borough_code_of(name: Column) -> Column:
 
 def whole(c: Column) -> Column:
     """Digits with a sign, and white space around them, as a number; else null."""
-    t = strip(c.cast("string"))
-    return F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("long"))
+    return c.cast("string").try_cast("long")
 
 
 def assembled_bbl(borough: Column, block: Column, lot: Column, ranged: bool = True) -> Column:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lotline.functions.text import strip
-
 
 def floating(c: Column) -> Column:
     return c.try_cast("double")
@@ -22,9 +20,8 @@ def positive(c: Column) -> Column:
 
 
 def strict_int(c: Column) -> Column:
-    """Digits only: '42.0' is null."""
-    t = strip(c.cast("string"))
-    return F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("int"))
+    """Digits with a sign, and white space around them; '42.0' is null."""
+    return c.cast("string").try_cast("int")
 
 
 def dollars(cents: Column) -> Column:
