@@ -71,3 +71,13 @@ def test_duplicates_within_a_watermark(spark, tmp_path):
     q = s.writeStream.foreachBatch(lambda x, i: x.write.mode("append").parquet(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_windows_of_files_that_overlap_in_time(spark, tmp_path):
+    from lotline.plans.catalog import QUERIES
+
+    for k in range(4):  # each file spans three days; rows are late from the third batch on
+        d = spark.range(72).select(F.timestamp_seconds(1_767_225_600 + F.col("id") * 3600 + 60 * k).cast("timestamp_ntz").alias("ts"), F.lit("a").alias("event_type"))
+        d.coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["t10_windowed_counts"](spark, str(tmp_path)).collect()
+    assert len(got) == 72 and {r["n"] for r in got} == {4}
