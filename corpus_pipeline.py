@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from lotline.llm.common import drop_stage_tables, read, stage_tables
+from lotline.llm.common import drop_stage_tables, materialize, read, stage_tables
 from lotline.session import prepare, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -16,6 +16,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIX_SHARE = 0.9
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """A stage table of the documents with a number for each row, since a doc_id may be null or repeated."""
+    return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: no text, no letter, or two languages that encode it equally well."""
     prepare(spark)
@@ -30,18 +35,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class."""
+    """Keeps one document of each near-duplicate class: the one of the least doc_id, one without only if none has any. Rows count as documents of their own, whatever their doc_id."""
     prepare(spark)
-    out = near_dedup.near_dedup(docs).where("kept").select("doc_id")
-    return docs.join(out, "doc_id", "left_semi").select(*COLUMNS)
+    d = _numbered(docs)
+    classes = near_dedup.near_dedup(d, doc_id="__row").select(F.col("doc_id").alias("__row"), "class_id").join(d.select("__row", "doc_id"), "__row")
+    best = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("best"))
+    return d.join(best.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select(*COLUMNS)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes ``MIX_SHARE`` of the tokens, evenly over domains, their languages and their sources as far as these have them."""
+    """Takes ``MIX_SHARE`` of the tokens, evenly over domains, their languages and their sources as far as these have them. Rows count as documents of their own, whatever their doc_id."""
     prepare(spark)
+    d = _numbered(docs)
     tree = [mixing.domain(F.col("source")), "lang", "source"]
-    out = mixing.mix_sources(docs, tree, total_share=MIX_SHARE, max_epochs=1).select("doc_id")
-    return docs.join(out, "doc_id", "left_semi").select(*COLUMNS)
+    out = mixing.mix_sources(d, tree, total_share=MIX_SHARE, max_epochs=1, uid="__row").select(F.col("uid").alias("__row"))
+    return d.join(out, "__row", "left_semi").select(*COLUMNS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

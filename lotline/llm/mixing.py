@@ -67,11 +67,11 @@ def budgets(supply: Mapping[tuple, int], weights: Mapping[tuple, float], total:
     return {leaf: min(out.get(leaf, 0), supply[leaf] * max_epochs) for leaf in supply}
 
 
-def mix_sources(docs: DataFrame, tree: Sequence[str | Column] = TREE, weights: Mapping[tuple, float] | None = None, total_share: float = 1.0, total_tokens: int | None = None, max_epochs: int = 2, seed: int = SEED, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows doc_id, uid, leaf, epoch, tokens, tokens_used, leaf_tokens, leaf_budget. The budget is ``total_tokens``, or ``total_share`` of the table's tokens."""
+def mix_sources(docs: DataFrame, tree: Sequence[str | Column] = TREE, weights: Mapping[tuple, float] | None = None, total_share: float = 1.0, total_tokens: int | None = None, max_epochs: int = 2, seed: int = SEED, text: str = "text", doc_id: str = "doc_id", uid: str | None = None) -> DataFrame:
+    """Rows doc_id, uid, leaf, epoch, tokens, tokens_used, leaf_tokens, leaf_budget. ``uid``: a column that numbers the rows, if there is one. The budget is ``total_tokens``, or ``total_share`` of the table's tokens."""
     path = F.array(*[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in tree])
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), path.alias("leaf"), token_count(F.col(text)).alias("tokens"))
-    rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()))
+    number = F.monotonically_increasing_id() if uid is None else F.col(uid)
+    rows = materialize(docs.select(F.col(doc_id).cast("long").alias("doc_id"), path.alias("leaf"), token_count(F.col(text)).alias("tokens"), number.alias("uid")))
     found = rows.groupBy("leaf").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(found) > MAX_LEAVES:
         raise ValueError(f"the tree has over {MAX_LEAVES} leaves")

@@ -47,3 +47,25 @@ def test_stages_against_brute_force(spark, tmp_path):
     same = lambda d: sorted((r["sequence_id"], r["offset"], r["doc_id"], r["ids_crc32"]) for r in d.collect())
     assert same(run) == same(kept[4])
     assert language_id.MIN_SCORE < 2 / 3  # one byte decides
+
+
+def test_null_and_repeated_ids_in_every_stage(spark, tmp_path):
+    """No stage loses a row for its null or repeated doc_id, or returns one that it dropped."""
+    rng = random.Random(5)
+    text = [sentence(rng, "en", 200) for _ in range(60)]
+    data = [(None if i < 40 else 7 if i < 50 else i, t, "en", f"s{i % 3}", 0) for i, t in enumerate(text)]
+    near = [(k, edited(rng, data[i][1], 0.01), "en", "s1", 0) for k, i in ((None, 3), (7, 45))]
+    docs = documents(spark, data + near + [(None, text[0].upper(), "en", "s1", 0)])
+    want, n = [63, 62, 60], 0
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs.count()
+        stage(spark, docs, "").write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if name == "packing":
+            assert docs.where("start = 0").count() == before
+        elif name == "mixing":
+            words = sum(len(r["text"].split()) for r in docs.collect())
+            assert 0.89 < words / n < 0.99 and docs.where("doc_id IS NULL").count() >= 30
+        else:
+            assert docs.count() == want[k]
+            n = sum(len(r["text"].split()) for r in docs.collect())
