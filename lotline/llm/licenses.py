@@ -2,14 +2,18 @@
 
 A text is normalised (lower case A-Z, no copyright lines, equivalent spellings made one, punctuation and white space folded to single spaces) and the digest of the whole of it is joined with the digests of known license texts and notices. Documents are looked up as a whole, and each of their lines as a text of its own, so that a notice among other text is found too.
 
-Null and empty texts have no license. Lines that repeat count each. The known table is a constant of the library, so it is broadcast. Other columns play no part.
+Null and empty texts have no license. Lines that repeat count each. The known table is small (a constant of the library, unless one is given), so it is broadcast. Other columns play no part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotline.llm import license_texts
 from lotline.llm.common import LOWER, UPPER, ascii_lower
 
 #: Spellings that count as one, applied in order to lower-cased text.
@@ -36,6 +40,46 @@ ISC = """Permission to use, copy, modify, and/or distribute this software for an
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 
+BSD_START = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"""
+BSD_ITEMS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Names that notices give a license, beside its SPDX identifiers.
+NAMES = {
+    "MIT": ["MIT License"],
+    "ISC": ["ISC License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License"],
+    **{f"{a}GPL-{v}": [f"GNU {n} General Public License, version {w}".replace("  ", " ") for w in {v, v.removesuffix(".0")}] + [f"GNU {n} General Public License v{v}".replace("  ", " "), f"{a}GPLv{v.removesuffix('.0')}"] for a, n, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser", "2.1"), ("L", "Lesser", "3.0"), ("A", "Affero", "3.0"))},
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal License"],
+    **{f"CC-{k}-{v}": [f"CC {k} {v}", f"Creative Commons {n} {v} {where}", f"Creative Commons {n} {v} {where} License"] for k, n in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")) for v, where in (("3.0", "Unported"), ("4.0", "International"))},
+}
+NOTICES = ("Licensed under", "Released under", "Distributed under", "This project is licensed under", "This work is licensed under", "This software is licensed under", "This code is licensed under")
+#: A line without any of these is not looked up, unless a table of one's own has notices without them.
+MARKS = ("licen", "permission", "software")
+
+
+def _notices() -> list[tuple[str, str]]:
+    """Each notice of each name, with and without an article, and SPDX tags."""
+    out = []
+    for license, names in NAMES.items():
+        lines = [f"{a} {b}{name}" for a in NOTICES for b in ("", "the ", "a ") for name in [*names, license]]
+        ids = [license] if "GPL" not in license else [license, f"{license}-only"]
+        out += [(license, t) for t in lines + [f"SPDX-License-Identifier: {i}" for i in ids] if any(m in t.lower() for m in MARKS)]
+        if "GPL" in license:
+            out.append((f"{license}-or-later", f"SPDX-License-Identifier: {license}-or-later"))
+    return out
+
+
+def _bsd(clauses: int, mark: str) -> str:
+    return "\n\n".join([BSD_START, *[f"{mark.format(i + 1)} {t}" for i, t in enumerate(BSD_ITEMS[:clauses])], BSD_END])
+
+
 #: (license, text): whole licenses and the usual notices.
 KNOWN = (
     ("MIT", MIT),
@@ -57,6 +101,9 @@ KNOWN = (
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    *license_texts.TEXTS.items(),
+    *[(f"BSD-{n}-Clause", title + _bsd(n, mark)) for n in (2, 3) for mark in ("{}.", "*") for title in ("", f"BSD {n}-Clause License\n\n")],
+    *_notices(),
 )
 
 
@@ -75,25 +122,29 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({t}, '[^a-z0-9]+', ' ', 'g'))"
 
 
-def known_digests(spark) -> DataFrame:
-    table = spark.createDataFrame([(n, t) for n, t in KNOWN], "license string, known string")
+def known_digests(spark, known=None) -> DataFrame:
+    table = spark.createDataFrame([(n, t) for n, t in (KNOWN if known is None else known)], "license string, known string")
     return table.select(F.sha2(canonical(F.col("known")), 256).alias("digest"), "license").distinct()
 
 
-def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", known: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """One row per document: doc_id, text_digest (of the whole canonical text), text_license (null if not known), line_licenses (of its lines, sorted, comma-joined) and n_lines (that match).
 
-    No exchange: lines are looked up inside their row, in the same constant table that whole texts are joined with.
+    ``known``: (license, text) of one's own instead of ``KNOWN``; of licenses whose canonical text is the same the least name counts. No exchange: lines are looked up inside their row, in the same constant table that whole texts are joined with.
     """
     spark = docs.sparkSession
-    known = F.broadcast(known_digests(spark))  # a constant of the library
-    of = {r["digest"]: r["license"] for r in known_digests(spark).collect()}
-    table = F.create_map(*[F.lit(x) for pair in sorted(of.items()) for x in pair])
+    own = [*known] if known is not None else list(KNOWN)
+    of: dict[str, str] = {}
+    for r in known_digests(spark, own).collect():
+        of[r["digest"]] = min(r["license"], of.get(r["digest"], r["license"]))
+    pairs = sorted(of.items())
+    digests = F.broadcast(spark.createDataFrame(pairs, "__digest string, text_license string"))  # as small as the table
+    table = F.create_map(*[F.lit(x) for pair in pairs for x in pair]) if pairs else F.lit(None).cast("map<string,string>")
     t = F.coalesce(F.col(text), F.lit(""))
+    marks = MARKS if all("\n" in x or any(m in x.lower() for m in MARKS) for _, x in own) else ("",)
     # notices hold the word license, or come from a text that does; other lines need no digest
-    lines = F.filter(F.split(ascii_lower(t), "\n"), lambda x: x.contains("licen") | x.contains("permission") | x.contains("software"))
+    lines = F.filter(F.split(ascii_lower(t), "\n"), lambda x: reduce(lambda a, b: a | b, [x.contains(m) for m in marks]))
     found = F.filter(F.transform(lines, lambda x: table[F.sha2(canonical(x), 256)]), lambda x: x.isNotNull())
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.sha2(canonical(t), 256).alias("text_digest"), found.alias("found"))
-    whole = known.select(F.col("digest").alias("__digest"), F.col("license").alias("text_license"))
-    d = d.join(whole, d["text_digest"] == whole["__digest"], "left")
+    d = d.join(digests, d["text_digest"] == digests["__digest"], "left")
     return d.select("doc_id", "text_digest", "text_license", F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("line_licenses"), F.size("found").cast("long").alias("n_lines"))

@@ -33,3 +33,21 @@ def test_texts_and_lines(spark, clash):
 def test_lines_that_can_match_are_looked_up():
     """The cheap test before hashing a line never hides a known text."""
     assert all(any(w in t.lower() for w in ("licen", "permission", "software")) for _, t in C.KNOWN if "\n" not in t)
+
+
+def test_whole_texts_and_notices_of_the_usual_licenses(spark):
+    from lotline.llm.license_texts import TEXTS
+
+    data = [(i, t, "en", "s", 0) for i, t in enumerate(TEXTS.values())]
+    data += [(100, "prose\nLicensed under CC BY-NC 4.0.\nmore", "en", "s", 0), (101, "SPDX-License-Identifier: MPL-2.0", "en", "s", 0), (102, C._bsd(3, "*"), "en", "s", 0), (103, "x\nLicensed under the GNU Affero General Public License v3.0", "en", "s", 0)]
+    by = {r["doc_id"]: (r["text_license"], r["line_licenses"]) for r in C.scan(documents(spark, data)).collect()}
+    assert [by[i][0] for i in range(len(TEXTS))] == list(TEXTS)
+    assert by[100] == (None, "CC-BY-NC-4.0") and by[101] == ("MPL-2.0", "MPL-2.0") and by[102][0] == "BSD-3-Clause" and by[103] == (None, "AGPL-3.0")
+    of = {}
+    assert all(of.setdefault(r["digest"], r["license"]) == r["license"] for r in C.known_digests(spark).collect())
+
+
+def test_a_table_of_ones_own(spark):
+    docs = documents(spark, [(1, "Use at will", "en", "s", 0), (2, "x\nuse, at WILL!", "en", "s", 0), (3, C.MIT, "en", "s", 0)])
+    got = {r["doc_id"]: (r["text_license"], r["line_licenses"]) for r in C.scan(docs, known=[("own", "Use at will.")]).collect()}
+    assert got == {1: ("own", "own"), 2: (None, "own"), 3: (None, "")}
