@@ -2,9 +2,9 @@
 
 Splitters of a sort key are found by counting: candidate boundaries (probes) are broadcast, every partition counts the exact weight below each, the counts meet on the driver (a number a probe), and each splitter's bracket narrows to the probes around its target. This repeats until all splitters are within tolerance; then rows are exchanged once, by splitter. Finer splitters cut a shard into runs that one task sorts, so no task holds a shard.
 
-The key puts a text's hash first and the row's hash below it: rows of equal text are neighbours and share a shard as far as the tolerance allows (a boundary moves to the end of its group if that keeps the sizes within it); a group too large for that is split.
+The key puts a text's hash first and the row's hashes below it: rows of equal text are neighbours and share a shard as far as the tolerance allows (a boundary moves to the end of its group if that keeps the sizes within it); a group too large for that is split, by doc_id and, for rows that share it or have none, by the row's number.
 
-Null texts have size 1 (no bytes, plus 1) and CRC 0. Repeated rows get slots of their own, ties fall to doc_id. An empty table gives an empty result. Other columns play no part.
+Null texts have size 1 (no bytes, plus 1) and CRC 0. Repeated rows get slots of their own; ties fall to doc_id and then to the row. A very long text is one row of its size: its shard is as much over as the text is. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ TOLERANCE, GROUP_TOLERANCE, PROBES = 0.002, 0.01, 24
 RUN_ROWS, MAX_RUNS = 250_000, 65_536
 #: Probes of one count: what is sent to each task, and the numbers that come back.
 MOST_PROBES = 200_000
-GROUP_BITS = 31
+GROUP_BITS, ROW_BITS = 31, 11
 
 
-def group_key(text: Column, doc_id: Column) -> Column:
-    """A key of 63 bits: 32 of the text's hash, 31 of the row's."""
+def group_key(text: Column, doc_id: Column, uid: Column) -> Column:
+    """A key of 63 bits: 32 of the text's hash, 20 of the doc_id's, 11 of the row number's, so that rows of one doc_id can be parted too."""
     t = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 32)
-    return F.shiftleft(t, GROUP_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(3), doc_id), 33))
+    d = F.shiftrightunsigned(F.xxhash64(F.lit(3), doc_id), 64 - (GROUP_BITS - ROW_BITS))
+    r = F.shiftrightunsigned(F.xxhash64(F.lit(5), uid), 64 - ROW_BITS)
+    return F.shiftleft(t, GROUP_BITS).bitwiseOR(F.shiftleft(d, ROW_BITS)).bitwiseOR(r)
 
 
 def bucket_of(key: str, splitters: Sequence[int]) -> Column:
@@ -104,9 +106,9 @@ def shard(docs: DataFrame, shards: int, key: Column | None = None, size: Column
     """One row per document: doc_id, size, text_crc32, shard and slot (its place in the shard, in key order). Shards are near equal in ``size``."""
     t = F.coalesce(F.col(text), F.lit(""))
     size = F.octet_length(t) + 1 if size is None else size
-    key = group_key(F.col(text), F.col(doc_id)) if key is None else key
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), size.cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"), key.alias("key"))
-    rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()))
+    numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
+    key = group_key(F.col(text), F.col(doc_id), F.col("__uid")) if key is None else key
+    rows = materialize(numbered.select(F.col(doc_id).cast("long").alias("doc_id"), size.cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"), key.alias("key"), F.col("__uid").alias("uid")))
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     runs = min(max(4, n // (shards * RUN_ROWS)), max(1, MAX_RUNS // shards))
     targets = [total * i // (shards * runs) for i in range(1, shards * runs)]

@@ -57,6 +57,21 @@ def test_a_group_of_a_third_is_split_evenly(spark):
     assert max(hot) - min(hot) + 1 == len(hot)  # neighbours
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_key_are_split_evenly(spark, doc_id):
+    """Half of the rows have the same text and no doc_id, or the same one."""
+    rng = random.Random(7)
+    data = [(doc_id, "same text", "en", "s", 0) if i % 2 else (i + 10, sentence(rng, "en", 3), "en", "s", 0) for i in range(3000)]
+    got = H.shard(documents(spark, data), 16).collect()
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    mean = sum(sizes.values()) / 16
+    assert len(got) == 3000 and len(sizes) == 16 and max(abs(x - mean) for x in sizes.values()) < 0.03 * mean
+    for k in sizes:
+        assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got)))
+
+
 def test_splitters_meet_tolerance(spark):
     rng = random.Random(6)
     data = [(int(rng.paretovariate(0.4) * 1e6) % (1 << 62), rng.randint(1, 100)) for _ in range(5000)]
