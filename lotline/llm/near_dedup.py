@@ -2,9 +2,9 @@
 
 A text is the multiset of its five-word shingles (a text of one to four words: one shingle of all of them; words are runs of letters and digits in lower case). Texts with equal multisets are one node. A node's signature holds ``M`` minima of Poisson processes: a shingle's weight axis is cut into dyadic blocks, each with a process of its own, whose points fall on weight levels by the bits of their hash; a point counts for a multiset that reaches its level. Two signatures agree in a component with the probability of the weighted Jaccard similarity.
 
-``BANDS`` bands of ``ROWS`` components give candidate groups. Each member of a group is compared with the group's least node (exact multiset overlap), which links nearly all of a true group in linear work. Groups that still hold several components are compared in full, in blocks of ``BLOCK`` nodes, and only links come out. Classes are the connected components of the links of similarity ``THRESHOLD`` or more; the class id is the least doc_id.
+``BANDS`` bands of ``ROWS`` components give candidate groups. Each member of a group is compared with the group's least node (exact multiset overlap), which links nearly all of a true group in linear work. Of groups that still hold several components, one for each set of members is compared further: the nodes outside of its largest component with all nodes of other components, in blocks of ``BLOCK`` nodes, of which only links come out. Classes are the connected components of the links of similarity ``THRESHOLD`` or more; the class id is the least doc_id.
 
-Null and empty texts, and texts without a word, are equal (empty) multisets: one class. Rows that repeat belong to one class, of which one row is kept; rows that share a doc_id should repeat the text, and rows without one are compared for equal multisets only. An empty table gives an empty result. Whole texts are read; nothing is capped: a signature misses a pair of similarity 0.8 in all bands with probability 0.0002.
+Every row counts by itself: rows that share a doc_id may have different texts, and rows without one are compared like others (a class of such rows only has a null class id). Null and empty texts, and texts without a word, are equal (empty) multisets: one class. Of a class the row of the least doc_id is kept, of rows that tie any one. An empty table gives an empty result; other columns play no part. Whole texts are read; nothing is capped: a signature misses a pair of similarity 0.8 in all bands with probability 0.0002.
 """
 
 from __future__ import annotations
@@ -124,12 +124,12 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.values)[off[0] : off[-1]], np.diff(off).astype(np.int64)
 
 
-def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, d1 and d2 (a 128-bit digest of the multiset), bands (none for an empty multiset)."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """Of ``docs`` (uid, doc_id, text): uid, doc_id, d1 and d2 (a 128-bit digest of the multiset), bands (none for an empty multiset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values, lengths = flat(b.column(1))
+            values, lengths = flat(b.column(2))
             at = 0
             for i, j in sliced(lengths):
                 n, own = j - i, lengths[i:j]
@@ -144,13 +144,13 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                 some = own > 0
                 offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[some].ravel()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.array(digest[0]), pa.array(digest[1]), bands], names=["doc_id", "d1", "d2", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), b.column(1).slice(i, n), pa.array(digest[0]), pa.array(digest[1]), bands], names=["uid", "doc_id", "d1", "d2", "bands"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(run, "doc_id long, d1 long, d2 long, bands array<long>")
+    return docs.select("uid", "doc_id", words(F.col("text")).alias("w")).mapInArrow(run, "uid long, doc_id long, d1 long, d2 long, bands array<long>")
 
 
-def multisets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, bag: the expanded multiset as little-endian 64-bit numbers, sorted."""
+def multisets(docs: DataFrame) -> DataFrame:
+    """Of ``docs`` (uid, text): node (the uid), bag: the expanded multiset as little-endian 64-bit numbers, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -162,9 +162,9 @@ def multisets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
                 at += int(own.sum())
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
                 bags = [expanded(element[s:e], weight[s:e]).tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(bags, pa.binary())], names=["doc_id", "bag"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(bags, pa.binary())], names=["node", "bag"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(run, "doc_id long, bag binary")
+    return docs.select("uid", words(F.col("text")).alias("w")).mapInArrow(run, "node long, bag binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -177,8 +177,8 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
 
 def verify(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with their exact similarity. A node with many partners moves to its partners' tasks; Spark splits such a key."""
-    left = pairs.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a")
-    both = left.join(bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b").select("a", "b", "bag_a", "bag_b")
+    left = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), "a")
+    both = left.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b").select("a", "b", "bag_a", "bag_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -189,7 +189,7 @@ def verify(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], first: np.ndarray, threshold: float) -> tuple[list[int], list[int]]:
-    """Links between ``first`` nodes and the others (or among them where all are first): as many as join what all such links join, and no more."""
+    """Links between ``first`` nodes and the others, of different labels: as many as join what all such links join, and no more."""
     sizes = np.array([len(x) for x in bags], np.int64)
     values = np.concatenate(bags) if bags else np.zeros(0, U)
     row = np.repeat(np.arange(len(bags)), sizes)
@@ -197,8 +197,7 @@ def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], firs
     shared = count[column] > 1
     row, column = row[shared], column[shared]
     keep, column = np.unique(column, return_inverse=True)
-    one = first.all()
-    left, right = np.flatnonzero(first), np.arange(len(bags)) if one else np.flatnonzero(~first)
+    left, right = np.flatnonzero(first), np.flatnonzero(~first)
     common = np.zeros((len(left), len(right)), np.float32)
     for s in range(0, len(keep), 4096):  # a bounded number of columns at a time
         on = (column >= s) & (column < s + 4096)
@@ -206,8 +205,8 @@ def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], firs
         m[row[on], column[on] - s] = 1
         common += m[left] @ m[right].T
     sim = common / np.maximum(1, sizes[left][:, None] + sizes[right][None, :] - common)
-    i, j = np.nonzero(sim >= threshold)
     of = np.unique(label, return_inverse=True)[1]
+    i, j = np.nonzero((sim >= threshold) & (of[left][:, None] != of[right][None, :]))
     root = list(range(len(of)))
 
     def find(x: int) -> int:
@@ -226,21 +225,31 @@ def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], firs
     return a, b
 
 
+def mixed_groups(members: DataFrame) -> DataFrame:
+    """band and main (the label that most of its members have) of the groups of ``members`` (band, node, label) with several labels, one band for each set of members."""
+    per = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64(F.lit(s), "node")).alias(f"h{s}") for s in (1, 2)])
+    per = per.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
+    return per.where("labels > 1").groupBy("n", "h1", "h2").agg(F.min(F.struct("band", "main")).alias("g")).select("g.band", "g.main")
+
+
 def compare_groups(members: DataFrame, bags: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Links (a, b) of the groups in full: ``members`` is (band, node, label). A group is dealt into blocks by hash; each pair of blocks is one task's work, of bounded size."""
-    sized = bags.select(F.col("doc_id").alias("node"), F.octet_length("bag").alias("bytes"))
-    m = members.join(sized, "node")
-    stats = m.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    m = m.select("band", "node", "label").join(materialize(stats), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("band", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    m = m.join(bags.select(F.col("doc_id").alias("node"), "bag"), "node")
+    """Links (a, b) that join the components of each group: ``members`` is (band, node, label, main). Nodes outside of the main component meet all nodes of the group; both sides are dealt into blocks by hash, and a pair of blocks is one task's work, of bounded size. So a node is moved once for each block of the few that are outside, not for each block of its group."""
+    sized = bags.select("node", F.octet_length("bag").alias("bytes"))
+    m = members.join(sized, "node").withColumn("out", F.col("label") != F.col("main"))
+    blocks = lambda on: F.greatest(F.lit(1), F.ceil(F.count_if(on) / BLOCK), F.ceil(F.sum(F.when(on, F.col("bytes")).otherwise(0)) / BLOCK_BYTES)).cast("int")
+    stats = m.groupBy("band").agg(blocks(F.col("out")).alias("lefts"), blocks(F.lit(True)).alias("rights"))
+    m = m.select("band", "node", "label", "out").join(materialize(stats), "band")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    right = m.select("band", "node", "label", F.lit(False).alias("first"), F.explode(every("lefts")).alias("i"), block("rights").alias("j"))
+    left = m.where("out").select("band", "node", "label", F.lit(True).alias("first"), block("lefts").alias("i"), F.explode(every("rights")).alias("j"))
+    m = left.unionByName(right).join(bags, "node")
 
     def run(table: pa.Table) -> pa.Table:
         t = table.combine_chunks()
         ids, label = t.column("node").to_numpy(), t.column("label").to_numpy()
         bags_ = [np.frombuffer(x, U) for x in t.column("bag").to_pylist()]
-        a, b = block_links(ids, label, bags_, t.column("block").to_numpy() == t.column("i").to_numpy(), threshold)
+        a, b = block_links(ids, label, bags_, t.column("first").to_numpy(zero_copy_only=False), threshold)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return m.groupBy("band", "i", "j").applyInArrow(run, "a long, b long")
@@ -269,18 +278,19 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("__la", "a") != F.coalesce("__lb", "b")).select("a", "b")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, uid, class_id (the least doc_id of its class), kept (one row of a class)."""
-    rows = materialize(signatures(docs, text, doc_id).withColumn("uid", F.monotonically_increasing_id()))
-    nodes = materialize(rows.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("rep"), F.first("bands").alias("bands")))
-    banded = nodes.where(F.size("bands") > 0).select(F.col("rep.doc_id").alias("node"), F.explode("bands").alias("band")).where(F.col("node").isNotNull())
+def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, uid: str | None = None) -> DataFrame:
+    """One row per document: doc_id, uid, class_id (the least doc_id of its class), kept (one row of a class). ``uid``: a column that numbers the rows of a stage table, if there is one."""
+    d = docs.select((F.monotonically_increasing_id() if uid is None else F.col(uid)).alias("uid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    d = materialize(d) if uid is None else d
+    rows = materialize(signatures(d))
+    nodes = materialize(rows.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("rep"), F.first("bands").alias("bands")).select("d1", "d2", F.col("rep.uid").alias("node"), "rep", "bands"))
+    banded = nodes.where(F.size("bands") > 0).select("node", F.explode("bands").alias("band"))
     # as tables, so that the joins have an exchange on both sides and Spark can split a frequent band
     groups = materialize(banded.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = materialize(banded.join(groups, "band").select("band", "node", "head", "n"))
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    wanted = members.select(F.col("node").alias("uid")).distinct()
     # a shuffle join at every size: the list of candidates grows with the table
-    bags = materialize(multisets(texts.join(wanted.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+    bags = materialize(multisets(d.select("uid", "text").join(wanted.hint("merge"), "uid", "left_semi")))
 
     left = materialize(members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
     edges, labels = None, None
@@ -295,16 +305,17 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
         if turn < SINGLE_TURNS:
             left = materialize(apart(left.join(now, ["a", "b"], "left_anti"), labels))
     if labels is None:
-        labels = nodes.select(F.col("rep.doc_id").alias("node"), F.col("rep.doc_id").alias("label")).limit(0)
+        labels = nodes.select("node", F.col("node").alias("label")).limit(0)
 
     lab = labels.select("node", "label")
     open_ = members.where("n > 2").join(lab, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = materialize(open_.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band"))
-    more = materialize(compare_groups(open_.join(mixed, "band"), bags, threshold))
-    if more.limit(1).count():
-        labels = components(edges.union(more))
-
-    tops = nodes.select("d1", "d2", F.col("rep.doc_id").alias("node"), F.col("rep.uid").alias("rep_uid"))
-    tops = tops.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id"), F.when(F.coalesce("label", "node").eqNullSafe(F.col("node")), F.col("rep_uid")).alias("keep_uid"))
-    tops = materialize(tops)
-    return rows.join(tops, ["d1", "d2"]).select("doc_id", "uid", "class_id", F.coalesce(F.col("uid") == F.col("keep_uid"), F.lit(False)).alias("kept"))
+    mixed = materialize(mixed_groups(open_))
+    if mixed.limit(1).count():
+        more = materialize(compare_groups(open_.join(mixed, "band"), bags, threshold))
+        if more.limit(1).count():
+            labels = components(edges.union(more))
+
+    tops = nodes.select("d1", "d2", "node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classes = tops.groupBy("label").agg(F.min("rep").alias("best"))
+    tops = materialize(tops.select("d1", "d2", "label").join(classes, "label").select("d1", "d2", F.col("best.doc_id").alias("class_id"), F.col("best.uid").alias("keep_uid")))
+    return rows.join(tops, ["d1", "d2"]).select("doc_id", "uid", "class_id", (F.col("uid") == F.col("keep_uid")).alias("kept"))

@@ -77,6 +77,34 @@ def test_hot_group_in_blocks(spark, monkeypatch):
     check(spark, data)
 
 
+def test_rows_that_share_or_lack_a_doc_id(spark):
+    """Classes go by rows: a repeated or null doc_id hides no link."""
+    rng = random.Random(8)
+    data = []
+    for i in range(12):
+        text = sentence(rng, "en", 120)
+        for k in range(4):
+            data.append(([1, None, i, 100][k], edited(rng, text, 0.01) if k else text, "en", "s", 0))
+    numbered = [(n, t, *rest) for n, (_, t, *rest) in enumerate(data)]
+    want = brute_classes(numbered)
+    docs = documents(spark, numbered).withColumnRenamed("doc_id", "n").join(spark.createDataFrame([(n, i) for n, (i, *_) in enumerate(data)], "n long, doc_id long"), "n")
+    got = N.near_dedup(docs, uid="n").collect()
+    classes, members = {}, {}
+    for n, (i, *_) in enumerate(data):
+        members.setdefault(want[n], []).append(i)
+    for r in got:
+        own = [i for i in members[want[r["uid"]]] if i is not None]
+        assert r["class_id"] == (min(own) if own else None)
+        classes.setdefault(want[r["uid"]], []).append(r["kept"])
+    assert len(got) == len(data) and all(sum(k) == 1 for k in classes.values()) and len(classes) == 12
+
+
+def test_identical_groups_are_compared_once(spark):
+    rows_ = [(b, n, n % 3) for b in (1, 2, 3) for n in range(9)] + [(4, n, 5) for n in range(5)] + [(5, n, n % 2) for n in range(7)]
+    got = N.mixed_groups(spark.createDataFrame(rows_, "band long, node long, label long")).collect()
+    assert sorted((r["band"], r["main"]) for r in got) == [(1, 2), (5, 0)]
+
+
 def test_empty_table_and_null_ids(spark):
     assert N.near_dedup(documents(spark, [])).count() == 0
     got = N.near_dedup(documents(spark, [(None, "a b c d e f", "en", "s", 0), (1, "g h i j k l", "en", "s", 0)])).collect()
@@ -102,8 +130,8 @@ def test_block_links_join_what_all_links_join():
     rng = random.Random(7)
     base = list(range(100))
     bags = [np.array(sorted(set(rng.sample(base, 90)) | {1000 + i}), np.uint64) for i in range(30)]
-    ids = np.arange(30)
-    a, b = N.block_links(ids, ids, bags, np.ones(30, bool), 0.8)
+    ids = np.concatenate([np.arange(30), np.arange(30)])
+    a, b = N.block_links(ids, ids, bags + bags, np.arange(60) < 30, 0.8)
     assert len(a) < 30
 
     def parts(pairs):
