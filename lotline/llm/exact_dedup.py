@@ -1,14 +1,13 @@
 """Exact dedup with static binary-fuse filters.
 
-Every immutable snapshot keeps its distinct digests in buckets, each with a binary-fuse filter. A new batch is grouped by digest first, so that its own copies meet without the snapshot; then its distinct digests are screened by the filters. What a filter denies is new. What it lets pass joins the exact bucket, and the texts of both sides are compared byte by byte.
+Every load of rows becomes an immutable snapshot: its distinct digests in buckets, and one table of binary-fuse filters, a filter for each bucket, written once. A load is grouped by digest first, so that its own copies meet without any snapshot; then its distinct digests are screened by the filters of all loads before it, in one pass. What all filters deny is new. What one lets pass joins that snapshot's exact bucket, and the texts of both sides are compared byte by byte.
 
-Texts are equal when they are identical after lower-casing A-Z; null counts as empty. Of equal texts the row with the largest doc_id stays (of rows that repeat a doc_id too, one stays). Other columns play no part, an empty table gives an empty result, and the length of a text is no matter: only its digest moves, and for filter hits one text a side.
+Texts are equal when they are identical after lower-casing A-Z; null counts as empty. Of equal texts the row with the largest doc_id stays (of rows that repeat a doc_id or have none, one stays). Other columns play no part, an empty table gives an empty result, and the length of a text is no matter: only its digest moves, and for filter hits one text a side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -89,12 +88,12 @@ class BinaryFuse:
         return prints == c[places[0]] ^ c[places[1]] ^ c[places[2]]
 
 
-def digests(docs: DataFrame, batch: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """A stage table: doc_id, uid (a number for the row), digest (of the normalised text), key (its first 64 bits) and batch."""
+def digests(docs: DataFrame, batch: Column, text: str = "text", doc_id: str = "doc_id", uid: str | None = None) -> DataFrame:
+    """A stage table: doc_id, uid (a number for the row), digest (of the normalised text), key (its first 60 bits) and batch."""
     norm = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    df = docs.select(F.col(doc_id).alias("doc_id"), batch.cast("int").alias("batch"), F.sha2(norm, 256).alias("digest"))
-    df = df.withColumn("key", F.conv(F.substring("digest", 1, 15), 16, 10).cast("long"))
-    return materialize(df.withColumn("uid", F.monotonically_increasing_id()))
+    number = F.monotonically_increasing_id() if uid is None else F.col(uid)
+    df = docs.select(F.col(doc_id).alias("doc_id"), batch.cast("int").alias("batch"), F.sha2(norm, 256).alias("digest"), number.alias("uid"))
+    return materialize(df.withColumn("key", F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")))
 
 
 def group(rows: DataFrame) -> DataFrame:
@@ -103,68 +102,58 @@ def group(rows: DataFrame) -> DataFrame:
 
 
 def build_filters(keys: DataFrame) -> DataFrame:
-    """One filter for each bucket of a snapshot's distinct digests: bucket, seed, segment, count, cells."""
+    """The filters of snapshots, one for each (batch, bucket) of their distinct digests: batch, bucket, seed, segment, count, cells. To be written once and kept with the snapshot."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         f = BinaryFuse.build(pdf["key"].to_numpy())
-        return pd.DataFrame({"bucket": pdf["bucket"][:1], "seed": [f.seed], "segment": [f.segment], "count": [f.count], "cells": [f.cells.tobytes()]})
+        return pd.DataFrame({"batch": pdf["batch"][:1], "bucket": pdf["bucket"][:1], "seed": [f.seed], "segment": [f.segment], "count": [f.count], "cells": [f.cells.tobytes()]})
 
-    return keys.select("bucket", "key").groupBy("bucket").applyInPandas(build, "bucket int, seed int, segment int, count int, cells binary")
+    return keys.select("batch", "bucket", "key").groupBy("batch", "bucket").applyInPandas(build, "batch int, bucket int, seed int, segment int, count int, cells binary")
 
 
 def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
-    """``incoming`` (bucket, key, digest) with ``maybe``: whether the bucket's filter lets the key pass. A bucket without a filter denies all."""
+    """The rows of ``incoming`` (batch, bucket, key, digest) that a filter of an earlier batch lets pass, with that batch as ``old``: a row for each such filter. One pass over the buckets, whatever the number of snapshots."""
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if len(right):
-            r = right.iloc[0]
-            hit = BinaryFuse(int(r["seed"]), int(r["segment"]), int(r["count"]), np.frombuffer(r["cells"], np.uint8)).probe(left["key"].to_numpy())
-        else:
-            hit = np.zeros(len(left), bool)
-        return left[["bucket", "key", "digest"]].assign(maybe=hit)
-
-    return incoming.select("bucket", "key", "digest").groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "bucket int, key long, digest string, maybe boolean")
-
-
-def same_bytes(docs: DataFrame, pairs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The digests of ``pairs`` (digest, old_id, new_id) whose texts are the same bytes. Only texts of filter hits move; Spark's runtime bloom filter prunes the rest at the scan where the table is large."""
-    wanted = pairs.select("digest", F.explode(F.array("old_id", "new_id")).alias("__id")).distinct()
-    d = docs.select(F.col(doc_id).alias("__id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    w = wanted.withColumnRenamed("__id", "__wanted")
-    t = w.join(d, w["__wanted"].eqNullSafe(d["__id"])).where(F.sha2("__t", 256) == F.col("digest"))
+        out = []
+        for r in right.itertuples():
+            later = left[left["batch"] > r.batch]
+            if len(later):
+                f = BinaryFuse(int(r.seed), int(r.segment), int(r.count), np.frombuffer(r.cells, np.uint8))
+                out.append(later[f.probe(later["key"].to_numpy())].assign(old=r.batch))
+        hit = pd.concat(out) if out else left.head(0).assign(old=pd.Series([], dtype="int32"))
+        return hit[["bucket", "digest", "batch", "old"]]
+
+    return incoming.select("batch", "bucket", "key", "digest").groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "bucket int, digest string, batch int, old int")
+
+
+def same_bytes(docs: DataFrame, pairs: DataFrame, text: str = "text", doc_id: str = "doc_id", uid: str | None = None) -> DataFrame:
+    """The digests of ``pairs`` (digest, old and new: structs of doc_id and uid) whose texts are all the same bytes. Only texts of filter hits move, found by their number or, without one, by doc_id; Spark's runtime bloom filter prunes the rest at the scan where the table is large."""
+    wanted = pairs.select("digest", F.explode(F.array("old", "new")).alias("w")).select("digest", (F.col("w.doc_id") if uid is None else F.col("w.uid")).alias("__wanted")).distinct()
+    d = docs.select(F.col(doc_id if uid is None else uid).alias("__id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
+    t = wanted.join(d, wanted["__wanted"].eqNullSafe(d["__id"])).where(F.sha2("__t", 256) == F.col("digest"))
     return t.groupBy("digest").agg((F.min("__t") == F.max("__t")).alias("__same")).where("__same").select("digest")
 
 
-def dedup(docs: DataFrame, batch: Column, text: str = "text", doc_id: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def dedup(docs: DataFrame, batch: Column | None = None, text: str = "text", doc_id: str = "doc_id", bucket_rows: int = BUCKET_ROWS, uid: str | None = None) -> DataFrame:
     """One row per document: doc_id, uid, digest, keep_id, group_size, kept.
 
-    ``batch``: the number of the load that a row came with, from 0 on. Each load is screened by the filters of all loads before it, which are immutable snapshots by then.
+    ``batch``: the number of the load that a row came with, from 0 on (without it all rows are one load, which meets no snapshot). ``uid``: a column that numbers the rows of a stage table, if there is one.
     """
-    rows = digests(docs, batch, text, doc_id)
-    loads = sorted(r[0] for r in rows.select("batch").distinct().collect())
-    groups = group(rows)
+    rows = digests(docs, F.lit(0) if batch is None else batch, text, doc_id, uid)
     buckets = max(1, rows.count() // bucket_rows)
-    groups = materialize(groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")))
-    verified: list[DataFrame] = []
-    for new in loads[1:]:
-        incoming = groups.where(F.col("batch") == new)
-        for old in loads[: loads.index(new)]:
-            held = groups.where(F.col("batch") == old)
-            hits = screen(incoming, build_filters(held)).where("maybe").select("bucket", "digest")
-            exact = hits.join(held.select("bucket", "digest", F.col("best.doc_id").alias("old_id")), ["bucket", "digest"])
-            pairs = exact.join(incoming.select("bucket", "digest", F.col("best.doc_id").alias("new_id")), ["bucket", "digest"])
-            pairs = materialize(pairs)
-            verified.append(same_bytes(docs, pairs, text, doc_id).select("digest", F.lit(old).alias("old"), F.lit(new).alias("new")))
+    groups = materialize(group(rows).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")))
+    last = groups.agg(F.max("batch")).first()[0]
+    filters = materialize(build_filters(groups.where(F.col("batch") < F.lit(last))))
+    hits = screen(groups, filters)
+    held = groups.select("bucket", "digest", F.col("batch").alias("old"), F.col("best").alias("old_row"))
+    exact = hits.join(held, ["bucket", "digest", "old"]).join(groups.select("bucket", "digest", "batch", F.col("best").alias("new_row")), ["bucket", "digest", "batch"])
+    pairs = materialize(exact.select("digest", F.col("old_row").alias("old"), F.col("new_row").alias("new")))
     # digests that several loads have and whose bytes agree form one class; the others are a class for each load
-    seen = reduce(DataFrame.unionByName, verified) if verified else None
-    if seen is not None:
-        linked = seen.select("digest").distinct().withColumn("__linked", F.lit(True))
-        g = groups.join(linked, "digest", "left").withColumn("scope", F.when(F.col("__linked"), F.lit(-1)).otherwise(F.col("batch")))
-    else:
-        g = groups.withColumn("scope", F.col("batch"))
-    merged = g.groupBy("digest", "scope").agg(F.max("best").alias("best"), F.sum("n").alias("n"), F.collect_set("batch").alias("loads"))
-    final = merged.select("digest", F.explode("loads").alias("batch"), "best", F.col("n").alias("group_size"))
-    final = materialize(final)
+    linked = same_bytes(docs, pairs, text, doc_id, uid).withColumn("__linked", F.lit(True))
+    g = groups.join(linked, "digest", "left").withColumn("scope", F.when(F.col("__linked"), F.lit(-1)).otherwise(F.col("batch")))
+    classes = g.groupBy("digest", "scope").agg(F.max("best").alias("best"), F.sum("n").alias("group_size"))
+    final = materialize(g.select("digest", "batch", "scope").join(classes, ["digest", "scope"]).select("digest", "batch", "best", "group_size"))
     out = rows.join(final, ["digest", "batch"])
     return out.select("doc_id", "uid", "digest", F.col("best.doc_id").alias("keep_id"), F.col("group_size").cast("long").alias("group_size"), (F.col("uid") == F.col("best.uid")).alias("kept"))
 
@@ -174,9 +163,7 @@ def loads_of(doc_id: str = "doc_id", loads: int = 2) -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id)), F.lit(loads)).cast("int")
 
 
-def keep_one(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows that stay, with ``columns``: every class keeps exactly one row."""
-    out = dedup(docs, loads_of()).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    d = docs.withColumn("__digest", F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256))
-    hit = d.join(out, [d["doc_id"].eqNullSafe(out["__id"]), d["__digest"] == out["__digest"]], "left_semi")
-    return hit.dropDuplicates(["doc_id", "__digest"]).select(*columns)
+def keep_one(docs: DataFrame, columns: Sequence[str], uid: str, batch: Column | None = None) -> DataFrame:
+    """The rows that stay, with ``columns``: every class keeps exactly one row. ``docs`` is a stage table whose rows ``uid`` numbers; its texts move once."""
+    out = dedup(docs, batch, uid=uid).where("kept").select(F.col("uid").alias(uid))
+    return docs.join(out, uid, "left_semi").select(*columns)

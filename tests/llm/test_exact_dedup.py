@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup as E
 
@@ -53,5 +54,24 @@ def test_null_ids_and_empty_table(spark):
 
 def test_hot_group_keeps_one(spark):
     data = [(i, "Same text" if i % 3 else f"other {i}", "en", "s", 0) for i in range(600)]
-    kept = E.keep_one(documents(spark, data), ["doc_id", "text"]).collect()
-    assert len(kept) == 201 and max(r["doc_id"] for r in kept if r["text"] == "Same text") == 599
+    for batch in (None, E.loads_of()):
+        kept = E.keep_one(documents(spark, data).withColumn("n", F.col("doc_id")), ["doc_id", "text"], "n", batch).collect()
+        assert len(kept) == 201 and max(r["doc_id"] for r in kept if r["text"] == "Same text") == 599
+
+
+def test_one_filter_for_each_snapshot(spark, monkeypatch):
+    """Of k loads all but the last are snapshots; each one's filters are built once, whatever the number of loads that they screen."""
+    built = []
+    build = E.build_filters
+    monkeypatch.setattr(E, "build_filters", lambda keys: built.append(keys.select("batch", "bucket").distinct().count()) or build(keys))
+    data = [(i, f"text {i % 70}", "en", "s", 0) for i in range(300)]
+    got = E.dedup(documents(spark, data), F.col("doc_id") % 5, bucket_rows=10_000).collect()
+    assert built == [4] and sum(r["kept"] for r in got) == 70 and all(r["keep_id"] == max(i for i in range(300) if i % 70 == r["doc_id"] % 70) for r in got)
+
+
+def test_screening_sees_earlier_loads_only(spark):
+    keys = [(b, 0, k, f"d{k}") for b, ks in enumerate([range(50), range(40, 90), range(80, 130)]) for k in ks]
+    g = spark.createDataFrame(keys, "batch int, bucket int, key long, digest string")
+    hits = {(r["digest"], r["batch"], r["old"]) for r in E.screen(g, E.build_filters(g.where("batch < 2"))).collect()}
+    want = {(f"d{k}", 1, 0) for k in range(40, 50)} | {(f"d{k}", 2, 1) for k in range(80, 90)}
+    assert want <= hits and all(new > old for _, new, old in hits) and len(hits) < len(want) + 8
