@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
@@ -52,12 +53,12 @@ def bits_for(rows: int, per_bucket: int) -> int:
     return max(1, min(30, (max(rows, 1) // per_bucket).bit_length()))
 
 
-def prefix_sums(df: DataFrame, value: str, fine: str, order: Sequence[str], keys: Sequence[str] = (), span: int = 512, out: str = "before", total: str | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, value: str, fine: str, order: Sequence[str], keys: Sequence[str] = (), out: str = "before", total: str | None = None, fine_count: int = 1 << 18) -> DataFrame:
     """Sum of ``value`` in the rows before each row, by key, in the order of ``fine`` (a long that rises with the order) and then ``order``.
 
-    Three levels, so that no task holds a key: rows of one ``fine`` bucket, buckets of one span, spans of one key. ``df`` should be a stage table, as it is read twice; ``order`` has to be total for a repeatable result. ``total``: a column for the key's sum. Null keys are a key of their own.
+    Three levels, so that no task holds a key: rows of one ``fine`` bucket, buckets of one span, spans of one key. A span is as many buckets as there are spans (``fine_count``: about how many buckets there are in all), so the second and third levels' tasks grow with the square root of the buckets. ``df`` should be a stage table, as it is read twice; ``order`` has to be total for a repeatable result. ``total``: a column for the key's sum. Null keys are a key of their own.
     """
-    keys = list(keys)
+    keys, span = list(keys), max(64, math.isqrt(max(fine_count, 1)))
     w0 = W.partitionBy(fine, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     rows = df.withColumn("__local", F.coalesce(F.sum(value).over(w0), F.lit(0)))
     sums = df.groupBy(fine, *keys).agg(F.sum(value).alias("__sum")).withColumn("__span", F.floor(F.col(fine) / span))

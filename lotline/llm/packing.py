@@ -1,10 +1,10 @@
 """Packing by deficit round-robin over source queues.
 
-Every source is a queue of documents in a seeded order. In each round a queue's deficit grows by its quantum: its target share of a window. It sends whole documents while the deficit is positive, and the (negative) rest is carried into later rounds. So a document leaves in the round in which its queue's quanta first exceed the tokens before it: round = floor(tokens before / quantum). With that, prefix sums give every document's place without any task holding a queue, and deficits carry across windows and partitions as they would in one loop.
+Every source is a queue of documents in a seeded order. In each round, which is as long as a window, a queue's deficit grows by its quantum: its target share of the window. It sends tokens while the deficit covers a grain of ``GRAIN`` tokens, cutting a document where the quantum ends, and carries the rest of the deficit into later rounds. So by the end of round r a queue has sent ``grain * floor(((r + 1) * quantum + phase) / grain)`` tokens in all, and prefix sums give every token's place without any task holding a queue: deficits carry across windows and partitions as they would in one loop. (Phases keep small sources from sending in the same rounds.)
 
-The stream of all rounds is cut into windows of ``window`` tokens: no window but the last has padding, and a document is cut only where a window ends. By default the targets are the sources' own token shares, so all queues end together; with other ``targets`` some queues end early and the rest goes on among the others.
+The stream of all rounds is cut into windows of ``window`` tokens: no window but the last has padding, and each holds every source that still has tokens at its target share, within a grain a source. By default the targets are the sources' own token shares, so all queues end together; with other ``targets`` some queues end early and the rest goes on among the others in their proportions.
 
-A null or empty text is the end token alone. Null sources are one queue. Repeated rows are packed each. An empty table gives an empty result. Other columns play no part.
+A null or empty text is the end token alone. Null sources are one queue; sources that ``targets`` lacks, or gives nothing, send a tenth of what the least target does. A very long text is cut over many windows, at its source's quantum. Repeated rows are packed each; ties in the seeded order fall to doc_id and then to the row. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 from lotline.llm.common import bits_for, materialize, prefix_sums, uniform_hash
 
 VOCABULARY, END, WINDOW, SEED = "word_bpe_49k.json", 2, 4096, 7
-#: Sources, at most: targets are configuration, kept by the driver and broadcast.
-MAX_SOURCES = 100_000
+#: Tokens that a queue sends at once, at least.
+GRAIN = 16
 #: Words, and pieces of words, that a worker process keeps with their ids: the first ones it meets, which the frequent ones are among.
 CACHE = 200_000
-#: Rounds whose documents one window task orders.
+#: Rounds whose pieces are ordered together.
 ROUNDS = 4
 
 
@@ -125,37 +125,74 @@ def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text
     return d.mapInArrow(run, "doc_id long, source string, tokens long, ids binary")
 
 
-def places(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """``rows`` (uid, doc_id, source, tokens) with start (the place in the stream), round and deficit (its queue's tokens owed after it)."""
-    found = rows.groupBy("source").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources")
-    n = sum(r["n"] for r in found)
-    want = {r["source"]: (targets.get(r["source"], 0) if targets else r["t"]) for r in found}
-    floor = min([x for x in want.values() if x > 0], default=1) / 10
-    want = {k: x if x > 0 else floor for k, x in want.items()}
-    whole = sum(want.values()) or 1
-    schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("queue", T.IntegerType()), T.StructField("quantum", T.DoubleType())])
-    queues = [(k, i, window * want[k] / whole) for i, k in enumerate(sorted(want, key=lambda x: (x is not None, x)))]
-    table = F.broadcast(rows.sparkSession.createDataFrame(queues, schema)).select(F.col("source").alias("__source"), "queue", "quantum")  # MAX_SOURCES rows at most
-    d = rows.join(table, rows["source"].eqNullSafe(F.col("__source"))).drop("__source").withColumn("u", uniform_hash(seed, "doc_id"))
-    d = d.withColumn("bucket", F.shiftright("u", 31 - bits_for(n, 64)).cast("long"))
-    d = prefix_sums(d, "tokens", "bucket", ["u", "doc_id", "uid"], ["queue"], out="in_queue")
-    d = d.withColumn("round", F.floor(F.col("in_queue") / F.col("quantum")))
-    d = d.withColumn("deficit", (F.col("round") + 1) * F.col("quantum") - F.col("in_queue") - F.col("tokens"))
-    d = materialize(d.withColumn("rounds", F.floor(F.col("round") / ROUNDS)).select("uid", "doc_id", "tokens", "queue", "in_queue", "round", "rounds", "deficit"))
-    return prefix_sums(d, "tokens", "rounds", ["round", "queue", "in_queue"], out="start").select("uid", "start", "round", "deficit")
-
-
-def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, seed: int = SEED, with_ids: bool = True, **columns: str) -> DataFrame:
+def queues(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
+    """A stage table of __source, quantum (tokens a round) and phase of every source, however many there are."""
+    own = materialize(rows.groupBy("source").agg(F.sum("tokens").cast("double").alias("t")))
+    if targets:
+        schema = T.StructType([T.StructField("__s", T.StringType()), T.StructField("w", T.DoubleType())])
+        given = rows.sparkSession.createDataFrame([(k, float(w)) for k, w in targets.items() if w > 0], schema)
+        own = own.join(given, own["source"].eqNullSafe(given["__s"]), "left").select("source", F.col("w").alias("t"))
+    low, high, n = own.agg(F.min(F.when(F.col("t") > 0, F.col("t"))), F.sum("t"), F.count_if(~(F.coalesce("t", F.lit(0.0)) > 0))).first()
+    floor = (low or 1.0) / 10
+    whole = (high or 0.0) + floor * n or 1.0
+    quantum = F.when(F.col("t") > 0, F.col("t")).otherwise(floor) * F.lit(window / whole)
+    phase = F.pmod(F.xxhash64("source"), F.lit(grain * 64)).cast("double") / 64
+    return materialize(own.select(F.col("source").alias("__source"), quantum.alias("quantum"), phase.alias("phase")))
+
+
+def cuts(before: int, tokens: int, quantum: float, phase: float, grain: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and round of the pieces of a document that has ``before`` tokens before it in its queue."""
+    block = np.arange(before // grain, (before + tokens - 1) // grain + 1)
+    # a block is sent in the first round by whose end the quanta cover it
+    rnd = np.maximum(0, np.ceil((grain * (block + 1.0) - phase) / quantum).astype(np.int64) - 1)
+    first = np.flatnonzero(np.concatenate([[True], rnd[1:] != rnd[:-1]]))
+    start = np.maximum(block[first] * grain - before, 0)
+    return start, np.diff(np.append(start, tokens)), rnd[first]
+
+
+def pieces(queued: DataFrame, grain: int = GRAIN) -> DataFrame:
+    """A row for each piece: uid, source, in_queue (its first token's place in the queue), piece, tokens, round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["uid", "source", "in_queue", "piece", "tokens", "round"]
+        for b in batches:
+            at, n, quantum, phase = (b.column(i).to_numpy() for i in (2, 3, 4, 5))
+            found = [cuts(*x, grain) for x in zip(at.tolist(), n.tolist(), quantum.tolist(), phase.tolist(), strict=True)]
+            if not found:
+                continue
+            of = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            start, length, rnd = (np.concatenate([f[i] for f in found]) for i in range(3))
+            cols = [b.column(0).take(pa.array(of)), b.column(1).take(pa.array(of)), pa.array(at[of] + start), pa.array(start), pa.array(length), pa.array(rnd)]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return queued.select("uid", "source", "in_queue", "tokens", "quantum", "phase").mapInArrow(run, "uid long, source string, in_queue long, piece long, tokens long, round long")
+
+
+def places(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, seed: int = SEED, grain: int = GRAIN) -> DataFrame:
+    """The pieces of ``rows`` (uid, doc_id, source, tokens), one row for each of ``rows``: uid and pieces, an array of (piece, tokens, start, round), start being the place in the stream."""
+    n = rows.count()
+    table = queues(rows, targets, window, grain)
+    d = rows.withColumn("u", uniform_hash(seed, "doc_id"))
+    bits = bits_for(n, 64)
+    d = d.withColumn("bucket", F.shiftright("u", 31 - bits).cast("long"))
+    d = prefix_sums(d, "tokens", "bucket", ["u", "doc_id", "uid"], ["source"], out="in_queue", fine_count=1 << bits)
+    d = d.join(table, d["source"].eqNullSafe(F.col("__source")))
+    p = materialize(pieces(d, grain).withColumn("rounds", F.floor(F.col("round") / ROUNDS)))
+    last = p.agg(F.max("rounds")).first()[0] or 0
+    p = prefix_sums(p, "tokens", "rounds", ["round", "source", "in_queue"], out="start", fine_count=last + 1)
+    return p.groupBy("uid").agg(F.collect_list(F.struct("piece", "tokens", "start", "round")).alias("pieces"))
+
+
+def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, seed: int = SEED, with_ids: bool = True, grain: int = GRAIN, **columns: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, round, padded_to and (``with_ids``) ids.
 
-    A sequence is padded to ``window``; the last one, if it is a power of two long, isn't padded.
+    A sequence is padded to ``window``; the last one, if it is a power of two long, isn't padded. The list of a document's pieces is as long as the document, in grains at most.
     """
     rows = materialize(tokenize(docs, **columns).withColumn("uid", F.monotonically_increasing_id()))
-    at = places(rows.select("uid", "doc_id", "source", "tokens"), targets, window, seed)
+    at = places(rows.select("uid", "doc_id", "source", "tokens"), targets, window, seed, grain)
     end = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    both = rows.select("uid", "doc_id", "ids").join(at, "uid").select("doc_id", "ids", "start", "round")
+    of = lambda name: F.col(f"pieces.{name}").alias(name)
+    both = rows.select("uid", "doc_id", "ids").join(at, "uid").select("doc_id", "ids", of("piece"), of("tokens"), of("start"), of("round"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "round", "padded_to", *(["ids"] if with_ids else [])]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: len(names)]
     tail = end % window
@@ -166,17 +203,25 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in names]
-            for doc, raw, start, rnd in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for doc, raw, *parts in zip(b.column(0).to_pylist(), b.column(1), *(b.column(i).to_pylist() for i in range(2, 6)), strict=True):
                 ids = np.frombuffer(raw.as_buffer(), "<u2")
-                n, done = len(ids), 0
-                while done < n:
-                    sequence, offset = divmod(start + done, window)
-                    length = min(window - offset, n - done)
-                    piece = ids[done : done + length]
-                    values = (doc, done, length, zlib.crc32(piece.astype("<u4").tobytes()), n, sequence, offset, rnd, padded(sequence), piece.tobytes())
-                    for column, value in zip(out, values, strict=False):
-                        column.append(value)
-                    done += length
+                # consecutive pieces that the stream holds without a gap are one
+                runs: list[list[int]] = []
+                for first, n, at, rnd in sorted(zip(*parts, strict=True)):
+                    if runs and runs[-1][2] + runs[-1][1] == at:
+                        runs[-1][1] += n
+                    else:
+                        runs.append([first, n, at, rnd])
+                for first, n, at, rnd in runs:
+                    done = 0
+                    while done < n:
+                        sequence, offset = divmod(at + done, window)
+                        length = min(window - offset, n - done)
+                        piece = ids[first + done : first + done + length]
+                        values = (doc, first + done, length, zlib.crc32(piece.astype("<u4").tobytes()), len(ids), sequence, offset, rnd, padded(sequence), piece.tobytes())
+                        for column, value in zip(out, values, strict=False):
+                            column.append(value)
+                        done += length
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)

@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -61,43 +61,75 @@ def test_round_trip(spark, tokenizer, clash):
         assert zlib.crc32(np.frombuffer(r["ids"], "<u2").astype("<u4").tobytes()) == r["ids_crc32"]
 
 
-def test_rounds_follow_one_loop(spark, tokenizer):
-    """Rounds and order are those of a deficit round-robin loop over the queues."""
+def looped(n, queue_of, order, share, window, phase, grain):
+    """(document, first token, tokens) in the order of a plain deficit round-robin loop."""
+    line = {s: [(i, k) for i in sorted((i for i in n if queue_of[i] == s), key=lambda i: (order[i], i)) for k in range(n[i])] for s in share}
+    sent, deficit, out = dict.fromkeys(share, 0), dict(phase), []
+    while any(sent[s] < len(line[s]) for s in share):
+        for s in sorted(share):
+            deficit[s] += window * share[s]
+            while deficit[s] >= grain - 1e-7 and sent[s] < len(line[s]):
+                deficit[s] -= grain
+                out += line[s][sent[s] : sent[s] + grain]
+                sent[s] += grain
+    return out
+
+
+@pytest.mark.parametrize("targets", [None, {"a": 1, "b": 2, "c": 1}])
+def test_stream_follows_one_loop(spark, tokenizer, targets):
     rng = random.Random(8)
-    data = [(i, sentence(rng, "en", rng.randint(5, 300)), "en", rng.choice(["a", "a", "a", "b", "c"]), 0) for i in range(150)]
+    data = [(i, sentence(rng, "en", rng.randint(5, 300)), "en", rng.choice(["a", "a", "a", "b", "c"]), 0) for i in range(120)]
     window = 256
     docs = documents(spark, data)
-    got = P.pack(docs, window=window).collect()
+    got = P.pack(docs, targets, window=window).collect()
     check(got, data, tokenizer, window)
     from lotline.llm.common import uniform_hash
 
     order = {r["doc_id"]: r["u"] for r in docs.select("doc_id", uniform_hash(P.SEED, "doc_id").alias("u")).collect()}
     n = {i: len(encoded(tokenizer, t)) for i, t, *_ in data}
-    queues = {s: sorted((i for i, _, _, q, _ in data if q == s), key=lambda i: (order[i], i)) for s in "abc"}
+    queue_of = {i: s for i, _, _, s, _ in data}
     total = sum(n.values())
-    share = {s: sum(n[i] for i in q) / total for s, q in queues.items()}
-    deficit, sent, rnd, place = dict.fromkeys(queues, 0.0), [], 0, {}
-    while any(queues.values()):
-        for s, q in queues.items():
-            deficit[s] += window * share[s]
-            while q and deficit[s] > 1e-6:
-                i = q.pop(0)
-                deficit[s] -= n[i]
-                place[i] = rnd
-                sent.append(i)
-        rnd += 1
-    stream = [r["doc_id"] for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
-    assert stream == sent and all(r["round"] == place[r["doc_id"]] for r in got)
+    share = {s: (targets[s] / 4 if targets else sum(n[i] for i in n if queue_of[i] == s) / total) for s in "abc"}
+    phase = {r["__source"]: r["phase"] for r in P.queues(docs.selectExpr("source", "1L AS tokens"), targets, window).collect()}
+    want = looped(n, queue_of, order, share, window, phase, P.GRAIN)
+    stream = [(r["doc_id"], k) for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])) for k in range(r["start"], r["start"] + r["length"])]
+    assert stream == want
 
 
-def test_targets_and_mixture(spark):
+def deviation(got, source, want, window, full):
+    """Total-variation distance of each full window from the wanted shares."""
+    held = defaultdict(Counter)
+    for r in got:
+        held[r["sequence_id"]][source[r["doc_id"]]] += r["length"]
+    return [sum(abs(held[w][s] / window - want[s]) for s in want) / 2 for w in range(full)]
+
+
+def test_every_window_holds_the_mixture(spark, tokenizer):
+    """Long documents too, some as long as many windows."""
     rng = random.Random(9)
+    data = [(i, sentence(rng, "en", 6000 if i % 50 == 0 else rng.choice([5, 30, 800])), "en", f"s{min(i % 12, 7)}", 0) for i in range(300)]
+    source = {i: s for i, _, _, s, _ in data}
+    n = {i: len(encoded(tokenizer, t)) for i, t, *_ in data}
+    total = sum(n.values())
+    own = Counter()
+    for i, x in n.items():
+        own[source[i]] += x / total
+    got = P.pack(documents(spark, data)).collect()
+    off = deviation(got, source, own, P.WINDOW, total // P.WINDOW)
+    assert len(off) > 20 and max(off) < 0.05 and np.mean(off) < 0.03
+
+
+def test_targets(spark, tokenizer):
+    rng = random.Random(10)
     data = [(i, sentence(rng, "en", 30), "en", "hot" if i % 2 else "cold", 0) for i in range(400)]
     got = P.pack(documents(spark, data), targets={"hot": 3, "cold": 1}, window=512).collect()
-    source = {i: s for i, _, _, s, _ in data}
-    first = [r for r in got if r["sequence_id"] < 10]
-    hot = sum(r["length"] for r in first if source[r["doc_id"]] == "hot") / sum(r["length"] for r in first)
-    assert 0.7 < hot < 0.8
+    off = deviation(got, {i: s for i, _, _, s, _ in data}, {"hot": 0.75, "cold": 0.25}, 512, 10)
+    assert max(off) < 0.04
+
+
+def test_many_sources_need_no_list_on_the_driver(spark, tokenizer):
+    data = [(i, "one two three", "en", f"host{i}" if i % 3 else None, 0) for i in range(600)]
+    check(P.pack(documents(spark, data), window=256).collect(), data, tokenizer, 256)
 
 
 def test_empty_table(spark):
