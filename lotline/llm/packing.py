@@ -4,7 +4,7 @@ Every source is a queue of documents in a seeded order. In each round, which is
 
 The stream of all rounds is cut into windows of ``window`` tokens: no window but the last has padding, and each holds every source that still has tokens at its target share, within a grain a source. By default the targets are the sources' own token shares, so all queues end together; with other ``targets`` some queues end early and the rest goes on among the others in their proportions.
 
-A null or empty text is the end token alone. Null sources are one queue; sources that ``targets`` lacks, or gives nothing, send a tenth of what the least target does. A very long text is cut over many windows, at its source's quantum. Repeated rows are packed each; ties in the seeded order fall to doc_id and then to the row. An empty table gives an empty result. Other columns play no part.
+A null or empty text is the end token alone. Null sources are one queue; sources that ``targets`` lacks, or gives nothing, send a tenth of what the least target does. A very long text is cut over many windows, at its source's quantum. Repeated rows are packed each; ties in the seeded order fall to doc_id and then to the row, and rows without a doc_id are ordered by their number. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -172,7 +172,7 @@ def places(rows: DataFrame, targets: Mapping[str, float] | None = None, window:
     """The pieces of ``rows`` (uid, doc_id, source, tokens), one row for each of ``rows``: uid and pieces, an array of (piece, tokens, start, round), start being the place in the stream."""
     n = rows.count()
     table = queues(rows, targets, window, grain)
-    d = rows.withColumn("u", uniform_hash(seed, "doc_id"))
+    d = rows.withColumn("u", F.when(F.col("doc_id").isNull(), uniform_hash(seed, "uid")).otherwise(uniform_hash(seed, "doc_id")))
     bits = bits_for(n, 64)
     d = d.withColumn("bucket", F.shiftright("u", 31 - bits).cast("long"))
     d = prefix_sums(d, "tokens", "bucket", ["u", "doc_id", "uid"], ["source"], out="in_queue", fine_count=1 << bits)

@@ -71,9 +71,40 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.unionByName(control)))
 
 
+#: Target weights among siblings of the tree: two domains and a language count more, a source less.
+OP8_WEIGHTS = {("domain0",): 3, ("domain1",): 2, ("domain0", "en"): 2, ("domain1", "en"): 2, ("domain2", "en"): 2, ("domain3", "en"): 2, ("domain0", "en", "src1"): 0.5}
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix_sources(docs, [mixing.domain(F.col("source")), "lang", "source"]).drop("uid")
+    return mixing.mix_sources(docs, [mixing.domain(F.col("source")), "lang", "source"], OP8_WEIGHTS).drop("uid")
+
+
+def _op8_sql() -> str:
+    """Level by level: children that have less per weight than what their family still has are full, the others share the rest by weight."""
+    hashed = lambda x: f"('0x' || substr(md5({x}), 1, 15))::BIGINT"
+    weight = {1: "CASE l1 WHEN 'domain0' THEN 3000000 WHEN 'domain1' THEN 2000000 ELSE 1000000 END", 2: "CASE WHEN l2 = 'en' THEN 2000000 ELSE 1000000 END", 3: "CASE WHEN l1 = 'domain0' AND l2 = 'en' AND l3 = 'src1' THEN 500000 ELSE 1000000 END"}
+    ctes, up = [], ""
+    for k in (1, 2, 3):
+        path = ", ".join(f"l{i}" for i in range(1, k + 1))
+        family = ", ".join(f"l{i}" for i in range(1, k)) or "1"
+        amount = "(SELECT least(sum(supply), sum(supply) * 2) FROM leaves)" if k == 1 else "up.amount"
+        ctes.append(f"""
+c{k} AS (SELECT {", ".join(f"c.l{i}" for i in range(1, k + 1))}, room, w, {amount}::HUGEINT AS amount FROM (SELECT {path}, (sum(supply) * 2)::BIGINT AS room, {weight[k]} AS w FROM leaves GROUP BY {path}) c {up} WHERE room > 0),
+o{k} AS (SELECT *, coalesce(sum(room) OVER b, 0)::HUGEINT AS room_before, coalesce(sum(w) OVER b, 0)::HUGEINT AS w_before, sum(w) OVER (PARTITION BY {family})::HUGEINT AS w_all FROM c{k} WINDOW b AS (PARTITION BY {family} ORDER BY room / w, {path} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f{k} AS (SELECT *, room * (w_all - w_before) <= w * (amount - room_before) AS is_full FROM o{k}),
+r{k} AS (SELECT *, amount - coalesce(sum(room) FILTER (WHERE is_full) OVER p, 0)::HUGEINT AS rest, w_all - coalesce(sum(w) FILTER (WHERE is_full) OVER p, 0)::HUGEINT AS rest_w, coalesce(sum(w) FILTER (WHERE NOT is_full) OVER q, 0)::HUGEINT AS upto FROM f{k} WINDOW p AS (PARTITION BY {family}), q AS (PARTITION BY {family} ORDER BY {hashed("concat_ws('/', " + path + ")")}, {path})),
+a{k} AS (SELECT {path}, CASE WHEN is_full THEN room ELSE (rest * upto) // rest_w - (rest * (upto - w)) // rest_w END AS amount FROM r{k})""")
+        up = f"JOIN a{k} up ON " + " AND ".join(f"up.l{i} = c.l{i}" for i in range(1, k + 1))
+    return f"""
+WITH d AS (SELECT doc_id, concat('domain', {hashed("coalesce(source, '')")} % 4) AS l1, coalesce(lang, '') AS l2, coalesce(source, '') AS l3, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> ''))::BIGINT AS tokens FROM documents),
+leaves AS (SELECT l1, l2, l3, sum(tokens)::BIGINT AS supply FROM d GROUP BY ALL),
+{",".join(ctes)},
+plan AS (SELECT *, CASE WHEN supply > 0 THEN budget // supply ELSE 0 END AS whole, CASE WHEN supply > 0 THEN budget % supply ELSE 0 END AS rest FROM (SELECT l1, l2, l3, supply, coalesce(amount, 0)::BIGINT AS budget FROM leaves LEFT JOIN a3 USING (l1, l2, l3))),
+s AS (SELECT d.doc_id, tokens, plan.*, coalesce(sum(tokens) OVER (PARTITION BY l1, l2, l3 ORDER BY {hashed("concat_ws('|', '20261', whole, d.doc_id)")}, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN plan USING (l1, l2, l3)),
+e AS (SELECT *, unnest(range(whole + CASE WHEN before < rest THEN 1 ELSE 0 END)) AS epoch FROM s)
+SELECT doc_id, concat_ws('/', l1, l2, l3) AS leaf, epoch::INTEGER AS epoch, tokens, CASE WHEN epoch < whole THEN tokens ELSE least(tokens, rest - before) END::BIGINT AS tokens_used, supply AS leaf_tokens, budget AS leaf_budget FROM e
+"""
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +131,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL}
+    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL, "op8_mixing": _op8_sql()}
