@@ -1,10 +1,12 @@
 """Chat formatting with schema fingerprints.
 
-A layout's nested field paths, sorted and hashed, are its fingerprint; the fingerprint selects a declarative mapping (where turns lie, which fields hold role and text, what their names mean) that yields canonical turns: conv_id, turn, role, text. A table's own columns and JSON records go the same way. An unknown fingerprint is an error that names its paths.
+A layout's nested field paths, sorted and hashed, are its fingerprint; the fingerprint selects a declarative mapping (where turns lie, which fields hold role and text, what their names mean) that yields canonical turns: conv_id, turn, role, text. A table's own columns and JSON records go the same way. An unknown fingerprint takes the mapping whose fields are the most of those there are; a table that fits none is an error that names its paths, and a record that fits none, isn't JSON or holds something else where a text or number belongs becomes one turn of the role 'unmapped' with the record as text.
 
-The template writes a turn as ``<|role|>`` line, text, ``<|end|>`` line. Inside texts and roles, the backslash and the sign that begins every control string are escaped, so no text can pass for a mark, and the output reads back exactly. The loss mask covers the text of assistant turns.
+The template writes a turn as ``<|role|>`` line, text, ``<|end|>`` line. Inside texts and roles, the backslash and the signs that begin control strings are escaped (in roles the bar too), so no text can pass for a mark, and the output reads back exactly. The loss mask covers the text of assistant turns. Formatting a turn needs no other turn, so it moves no rows.
 
-Turns are written one row each, so a long conversation is no row of its own: tasks walk rows sorted by conversation and turn. Null texts count as empty, null roles as the role ''. Turns with the same number are ordered by role and text; repeated turns stay. An empty table gives an empty result; columns that no mapping names play no part.
+Reading back takes a conversation's output as one text, finds its turns by the marks alone, and digests them in order. A digest is sequential, so one task streams a conversation, in pieces and with the memory of a turn; conversations that lack a conv_id are read as one.
+
+Null texts count as empty, null roles as the role ''. Turns with the same number are ordered by role and text, those without a number come first; repeated turns stay. Very long turns are no matter but for the memory of one. Rows of a table that share the control conversation's id would be read with it. An empty table gives an empty result; columns that no mapping names play no part.
 """
 
 from __future__ import annotations
@@ -95,22 +97,40 @@ def turns_of(record: dict) -> list[tuple[str, str]]:
     return [(as_role(record.get(m["role"])), record.get(m["text"]) or "")]
 
 
+def _whole(value: object) -> int | None:
+    """A number of a record as a 64-bit integer, from text too."""
+    if value is None:
+        return None
+    if isinstance(value, bool) or not isinstance(value, int | str):
+        raise TypeError("not a whole number")
+    n = int(value)
+    if not -(1 << 63) <= n < 1 << 63:
+        raise ValueError("not a 64-bit number")
+    return n
+
+
+def read_record(raw: str | None) -> list[tuple[int | None, int | None, str, str]]:
+    """conv_id, turn, role, text of a JSON record's turns; one 'unmapped' turn if it can't be read as any layout."""
+    try:
+        record = json.loads(raw)
+        conv, first, turns = _whole(record.get("conv_id")), _whole(record.get("turn")) or 0, turns_of(record)
+        for pair in turns:
+            for t in pair:
+                t.encode()  # text, and text that UTF-8 can hold
+        return [(conv, first + i, r, t) for i, (r, t) in enumerate(turns)]
+    except (ValueError, TypeError, AttributeError, RecursionError):
+        return [(None, 0, "unmapped", raw or "")]
+
+
 def json_turns(df: DataFrame, column: str) -> DataFrame:
-    """The same of JSON records, each of which may have a layout of its own. Records that can't be read or have no mapping come out as a turn with the role 'unmapped' and the record as text."""
+    """The same of JSON records, each of which may have a layout of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         for b in batches:
-            out: list[tuple] = []
-            for raw in b.column(0).to_pylist():
-                try:
-                    record = json.loads(raw)
-                    conv, turns = record.get("conv_id"), turns_of(record)
-                    first = record.get("turn") or 0
-                except (ValueError, TypeError, AttributeError):
-                    conv, turns, first = None, [("unmapped", raw or "")], 0
-                out += [(conv, first + i, r, t) for i, (r, t) in enumerate(turns)]
+            out = [t for raw in b.column(0).to_pylist() for t in read_record(raw)]
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["conv_id", "turn", "role", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["conv_id", "turn", "role", "text"])
 
     return df.select(column).mapInArrow(run, "conv_id long, turn long, role string, text string")
 
@@ -119,68 +139,93 @@ def escape(text: str) -> str:
     return text.replace("\\", "\\\\").replace("<", "\\l").replace("[", "\\b")
 
 
-_back = {"\\\\": "\\", "\\l": "<", "\\b": "["}
+def escape_role(role: str) -> str:
+    """A role stands before a bar, so its own are escaped too."""
+    return escape(role).replace("|", "\\p")
+
+
+_back = {"\\\\": "\\", "\\l": "<", "\\b": "[", "\\p": "|"}
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\[\\lb]", lambda m: _back[m[0]], text)
+    return re.sub(r"\\[\\lbp]", lambda m: _back[m[0]], text)
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
-    """conv_id, turn_no, segment, loss (arrays of [start, stop) in the segment, in characters): one row a turn, sorted by conversation and turn within a partition. The segments of a conversation, one after another, are its formatted text."""
+    """conv_id, turn, role, text, segment, loss (arrays of [start, stop) in the segment, in characters): one row a turn, no exchange. The segments of a conversation in the order of turn, role and text, one after another, are its formatted text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, n = None, 0
         for b in batches:
-            ids, nos, segments, loss = b.column(0).to_pylist(), [], [], []
-            for c, role, text in zip(ids, b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                n = n + 1 if c == conv and n else 1
-                conv = c
-                head, body = f"{OPEN}{escape(role)}{CLOSE}", escape(text)
-                nos.append(n - 1)
+            segments, loss = [], []
+            for role, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                head, body = f"{OPEN}{escape_role(role or '')}{CLOSE}", escape(text or "")
                 segments.append(f"{head}{body}{END}")
                 loss.append([[len(head), len(head) + len(body)]] if role == "assistant" else [])
             kind = pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int64()), pa.array(segments, pa.string()), pa.array(loss, kind)], names=["conv_id", "turn_no", "segment", "loss"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(segments, pa.string()), pa.array(loss, kind)], names=["conv_id", "turn", "role", "text", "segment", "loss"])
+
+    return turns.select("conv_id", "turn", "role", "text").mapInArrow(run, "conv_id long, turn long, role string, text string, segment string, loss array<array<long>>")
+
+
+TURN = re.compile(r"<\|((?:[^<|\\]|\\.)*)\|>\n((?:[^<\\]|\\.)*)\n<\|end\|>\n", re.DOTALL)
+
+
+class Reader:
+    """Reads one conversation's output, given in pieces of any size, with the parts of it that the mask covers."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.rest, self.n, self.chars, self.loss_chars = conv_id, "", 0, 0, 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, piece: str, masked: list[list[int]]) -> None:
+        for start, stop in masked:
+            text = unescape(piece[start:stop])
+            self.loss_chars += len(text)
+            self.loss.update(text.encode())
+        self.chars += len(piece)
+        self.rest += piece
+        at = 0
+        while m := TURN.match(self.rest, at):
+            self.n += 1
+            self.turns.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
+            at = m.end()
+        self.rest = self.rest[at:]
 
-    t = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return t.mapInArrow(run, "conv_id long, turn_no long, segment string, loss array<array<long>>")
+    def done(self) -> tuple:
+        if self.rest:
+            raise ValueError(f"conversation {self.conv_id}: what follows turn {self.n} is no turn")
+        return self.conv_id, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, parsed from the formatted text and its loss mask: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars. Needs ``format_turns`` order."""
+    """One row per conversation, parsed from the formatted text and its loss mask: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        state: list | None = None
+        state: Reader | None = None
 
-        def done(s: list) -> tuple:
-            return s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5]
+        def batch(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=names)
 
         for b in batches:
             out = []
-            for c, no, segment, loss in zip(*[x.to_pylist() for x in b.columns], strict=True):
-                if state is None or no == 0:
+            for c, segment, loss in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                if state is None or c != state.conv_id:
                     if state:
-                        out.append(done(state))
-                    state = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                m = re.fullmatch(r"<\|(.*?)\|>\n(.*)\n<\|end\|>\n", segment, re.DOTALL)
-                role, text = unescape(m[1]), unescape(m[2])
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                for start, stop in loss:
-                    masked = unescape(segment[start:stop])
-                    state[3] += len(masked)
-                    state[4].update(masked.encode())
-                state[5] += len(segment)
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=names)
+                        out.append(state.done())
+                    state = Reader(c)
+                state.add(segment, loss)
+            yield batch(out)
         if state:
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(done(state), kinds, strict=True)], names=names)
+            yield batch([state.done()])
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    order = ["conv_id", "turn", "role", "text"]
+    return formatted.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "segment", "loss").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def control_conversation(spark: SparkSession) -> DataFrame:
-    """A conversation whose texts are control strings of other templates."""
-    return spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    """A conversation whose texts are control strings of other templates, as a JSON record of the layout 'messages'."""
+    said = "</s>[INST] ok [/INST]"
+    record = {"conv_id": -1, "messages": [{"role": r, "content": said} for r in ("user", "assistant")]}
+    return json_turns(spark.createDataFrame([(json.dumps(record),)], "record string"), "record")

@@ -66,9 +66,20 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chat.canonical_turns(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
-    control = chat.canonical_turns(chat.control_conversation(spark))
-    return chat.read_back(chat.format_turns(rows.unionByName(control)))
+    """Two layouts, each found by its fingerprint: the table has a row for each turn, the control conversation is a JSON record with messages."""
+    rows = chat.canonical_turns(read(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_turns(rows.unionByName(chat.control_conversation(spark))))
+
+
+OP7_SQL = r"""
+WITH t AS (SELECT conv_id, turn, CASE coalesce(role, '') WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' WHEN 'model' THEN 'assistant' WHEN 'ai' THEN 'assistant' ELSE coalesce(role, '') END AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g')) + length(role) + length(regexp_replace(role, '[^\\<\[|]', '', 'g')) AS escaped FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(escaped + length('<||>' || chr(10) || chr(10) || '<|end|>' || chr(10)))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
 
 
 #: Target weights among siblings of the tree: two domains and a language count more, a source less.
@@ -97,7 +108,7 @@ r{k} AS (SELECT *, amount - coalesce(sum(room) FILTER (WHERE is_full) OVER p, 0)
 a{k} AS (SELECT {path}, CASE WHEN is_full THEN room ELSE (rest * upto) // rest_w - (rest * (upto - w)) // rest_w END AS amount FROM r{k})""")
         up = f"JOIN a{k} up ON " + " AND ".join(f"up.l{i} = c.l{i}" for i in range(1, k + 1))
     return f"""
-WITH d AS (SELECT doc_id, concat('domain', {hashed("coalesce(source, '')")} % 4) AS l1, coalesce(lang, '') AS l2, coalesce(source, '') AS l3, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> ''))::BIGINT AS tokens FROM documents),
+WITH d AS (SELECT doc_id, concat('domain', {hashed("coalesce(source, '')")} % 4) AS l1, coalesce(lang, '') AS l2, coalesce(source, '') AS l3, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::BIGINT AS tokens FROM documents),
 leaves AS (SELECT l1, l2, l3, sum(tokens)::BIGINT AS supply FROM d GROUP BY ALL),
 {",".join(ctes)},
 plan AS (SELECT *, CASE WHEN supply > 0 THEN budget // supply ELSE 0 END AS whole, CASE WHEN supply > 0 THEN budget % supply ELSE 0 END AS rest FROM (SELECT l1, l2, l3, supply, coalesce(amount, 0)::BIGINT AS budget FROM leaves LEFT JOIN a3 USING (l1, l2, l3))),
@@ -131,4 +142,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL, "op8_mixing": _op8_sql()}
+    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_mixing": _op8_sql()}

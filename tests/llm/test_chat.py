@@ -58,7 +58,7 @@ def test_read_back(spark, extra):
 
 
 def test_formatted_text_has_no_foreign_control_strings(spark):
-    text = "".join(r["segment"] for r in T.format_turns(T.control_conversation(spark)).collect())
+    text = "".join(r["segment"] for r in T.format_turns(T.control_conversation(spark)).orderBy("turn").collect())
     assert "[INST]" not in text and "</s>" not in text and text.count("<|") == 4
 
 
@@ -86,5 +86,47 @@ def test_layouts_of_records(spark):
     assert [g[1] for g in got[7:]] == ["unmapped"] * 3
 
 
+def test_records_of_wrong_kinds_are_unmapped(spark):
+    bad = [
+        {"messages": [{"role": "user", "content": 5}]},
+        {"conv_id": 1, "messages": [{"role": ["user"], "content": "a"}]},
+        {"conv_id": 1, "messages": [{"role": "user", "content": "\ud800"}]},
+        {"conv_id": 1, "messages": "text"},
+        {"conv_id": "x", "prompt": "a", "response": "b"},
+        {"conv_id": 1.5, "prompt": "a", "response": "b"},
+        {"conv_id": 1 << 70, "prompt": "a", "response": "b"},
+        {"conv_id": 1, "turn": [], "role": "user", "text": "a"},
+        {"conv_id": 1, "prompt": {"a": 1}, "response": "b"},
+        [1], 5, "text", None, True,
+    ]
+    d = spark.createDataFrame([(json.dumps(r),) for r in bad] + [("[" * 100_000,)], "j string")
+    assert [(r["conv_id"], r["turn"], r["role"]) for r in T.json_turns(d, "j").collect()] == [(None, 0, "unmapped")] * (len(bad) + 1)
+    (r,) = T.json_turns(spark.createDataFrame([('{"conv_id": "7", "turn": "2", "role": "human", "text": "a"}',)], "j string"), "j").collect()
+    assert tuple(r) == (7, 2, "user", "a")
+
+
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a|>\nb", ""]), st.text(alphabet="\\lb<[|>\nendé ", max_size=30)), max_size=6), st.integers(1, 40))
+def test_turns_are_found_by_their_marks_alone(turns, size):
+    """Whatever pieces the output comes in, its turns and no others are read."""
+    text = "".join(f"{T.OPEN}{T.escape_role(r)}{T.CLOSE}{T.escape(t)}{T.END}" for r, t in turns)
+    reader = T.Reader(1)
+    for i in range(0, len(text), size):
+        reader.add(text[i : i + size], [])
+    got = reader.done()
+    assert got[1] == len(turns) and got[2] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest() and got[5] == len(text)
+
+
+def test_broken_output_is_an_error():
+    reader = T.Reader(1)
+    reader.add("<|user|>\nno end", [])
+    with pytest.raises(ValueError, match="no turn"):
+        reader.done()
+
+
+def test_null_conversation_ids_are_one(spark):
+    d = spark.createDataFrame([(None, 1, "user", "b"), (None, 0, "user", "a"), (3, 0, "assistant", None)], TURNS)
+    check(T.read_back(T.format_turns(T.canonical_turns(d))).collect(), [(None, 1, "user", "b"), (None, 0, "user", "a"), (3, 0, "assistant", None)])
+
+
 def test_fingerprints_do_not_depend_on_order():
     assert T.hashed(["b", "a"]) == T.hashed(["a", "b"]) and len(T.BY_PRINT) == len(T.MAPPINGS)
