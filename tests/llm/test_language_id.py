@@ -1,5 +1,8 @@
 import random
+import re
 
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lotline.llm import language_id as L
@@ -37,9 +40,54 @@ def test_without_labels_all_is_undetermined(spark):
     assert [r["lang_pred"] for r in L.classify(docs, {}).collect()] == [L.UND]
 
 
-def test_ties_are_rejected():
+def brute(text, dictionaries):
+    """Language, score and whether it is rejected, by a plain encoder without prepared dictionaries."""
+    if not text or not any(ch.isalpha() for ch in text):
+        return "und", 0.0, True
+    words = re.sub(r"[^\w]+|[\d_]+", " ", text.lower())
+    words = re.sub(" +", " ", words)
+    sizes = {}
+    for k, raw in dictionaries.items():
+        d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=L.LEVEL)
+        sizes[k] = 0
+        for i in range(0, len(words), L.CHUNK):
+            coder = zstandard.ZstdCompressor(level=L.LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes[k] += len(coder.compress(b" " * 128 + words[i : i + L.CHUNK].encode()))
+    order = sorted(dictionaries, key=lambda k: (sizes[k], list(dictionaries).index(k)))
+    best, second = sizes[order[0]], sizes[order[1]]
+    return order[0], 1 / sum(2 ** -min(60, x - best) for x in sizes.values()), (second - best) / second < 0.02
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_against_brute_force(spark, clash):
+    rng = random.Random(7)
+    data = rows() + [(500 + i, t, "en", "s", 0) for i, t in enumerate(["the", "der und", "x", "q z", "été", sentence(rng, "fr", 9000), "the der le", "zzzz qqqq " * 50, "of " * 300])]
+    model = L.train(documents(spark, corpus()))
+    got = L.classify(documents(spark, data, clash), model).collect()
+    assert len(got) == len(data)
+    texts = {}
+    for i, t, *_ in data:
+        texts.setdefault(i, t)
+    for r in got:
+        lang, score, rejected = brute(texts[r["doc_id"]], model)
+        assert (r["lang_pred"], r["rejected"]) == (lang, rejected) and r["score"] == pytest.approx(score)
+
+
+def test_short_and_long_texts_are_told_alike(spark):
+    """One measure at all lengths: what isn't rejected is right, and the rejected share falls with the length."""
+    rng = random.Random(12)
+    model = L.Model(L.train(documents(spark, corpus(600))))
+    for n, most in ((3, 0.6), (8, 0.2), (20, 0.02), (120, 0), (3000, 0)):
+        got = [(lang, *model.predict(sentence(rng, lang, n))) for lang in WORDS for _ in range(60 if n < 1000 else 5)]
+        sure = [(lang, pred) for lang, pred, _, margin in got if margin >= L.MIN_MARGIN]
+        assert sum(lang == pred for lang, pred in sure) / len(sure) > 0.97 and 1 - len(sure) / len(got) <= most
+
+
+def test_narrow_margins_are_rejected():
     same = L.Model({"a": b"words of one kind", "b": b"words of one kind"})
-    assert same.predict("words") == ("a", 0.5)
+    assert same.predict("words") == ("a", 0.5, 0.0)
+    assert L.Model({"a": b"words of one kind"}).predict("words") == ("a", 1.0, 1.0)
 
 
 def test_held_out_remainder(spark):
