@@ -1,11 +1,12 @@
 import random
 import re
+import zlib
 
 import pytest
 
 from lotline.llm import secrets as S
 
-from .helpers import documents, rows, sentence
+from .helpers import WORDS, documents, rows, sentence
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -38,24 +39,111 @@ def test_base_against_brute_force(spark):
         assert found == sorted(found)
 
 
-def test_models_tell_random_strings_from_identifiers(spark):
+@pytest.fixture(scope="module")
+def scanner(spark):
     rng = random.Random(3)
-    docs = [(i, sentence(rng, lang, 200), lang, "s", 0) for i, lang in enumerate(["en", "de", "fr"] * 40)]
-    scanner = S.train(documents(spark, docs))
-    found = sum(any(k == 3 for _, k, _ in scanner.spans(f"see {''.join(rng.choices(a, k=32))} there")) for a in S.ALPHABETS[1:] for _ in range(100))
-    assert found / 400 > 0.93
-    words = [w for _, t, *_ in docs for w in t.split() if w.isascii()]
-    plain = sum(any(k == 3 for _, k, _ in scanner.spans("see " + "_".join(rng.choices(words, k=4)) + str(rng.randrange(10**6)))) for _ in range(400))
-    assert plain / 400 < 0.01
-    assert not any(k == 3 for t in ("2026-01-02", "4785-3805-9239-1139", "version_1_2_3_of_the_index") for _, k, _ in scanner.spans(t))
-
-
-def test_markov_spans_leave_base_spans_alone(spark):
-    scanner = S.train(documents(spark, planted()))
+    return S.train(documents(spark, [(i, sentence(rng, lang, 200) + " " + planted()[i][1], lang, "s", 0) for i, lang in enumerate(["en", "de", "fr"] * 40)]))
+
+
+@pytest.mark.parametrize("name", sorted(S.ALPHABETS))
+def test_random_strings_of_every_alphabet_are_found(scanner, name):
+    """Letters only and digits only too, alone and behind a path, and their ends are right."""
+    rng = random.Random(4)
+    for size in (24, 32, 40):
+        found = exact = 0
+        for k in range(200):
+            key = "".join(rng.choices(S.ALPHABETS[name], k=size))
+            text = ("see " if k % 2 else "home/user/data/the_list/") + key + (" there" if k % 3 else "\n")
+            at = text.index(key)
+            got = scanner.markov(text)
+            found += any(s < at + size and e > at for s, e in got)
+            exact += (at, at + size) in got
+        assert found >= 185 and exact >= 100
+
+
+def test_ordinary_text_is_left_alone(scanner):
+    rng = random.Random(5)
+    words = [w for v in WORDS.values() for w in v if w.isascii()]
+    pick = lambda k: ["".join(rng.choices(words, k=rng.randint(1, 2))) for _ in range(k)]
+    shapes = [lambda: "_".join(pick(4)) + str(rng.randrange(10**6)), lambda: "".join(w.capitalize() for w in pick(5)), lambda: "/".join(pick(6)), lambda: " ".join(pick(30)), lambda: str(rng.randrange(10**12))]
+    assert sum(bool(scanner.markov(f())) for f in shapes for _ in range(400)) < 20
+    for t in ("2026-01-02", "4785-3805-9239-1139", "version_1_2_3_of_the_index", "20260102T030405", "9780306406157", "=" * 200, "-" * 80):
+        assert not scanner.markov(t)
+
+
+def naive(scanner, text):
+    """The same by loops over characters."""
+    out, run = [], []
+    for i, ch in enumerate(text + " "):
+        if ch in S.SYMBOLS:
+            run.append(i)
+            continue
+        if run:
+            out += naive_run(scanner, text, run[0], run[-1] + 1)
+        run = []
+    return sorted(out)
+
+
+def naive_run(scanner, text, first, last):
+    gains, digits, state = [], 0, 0
+    for ch in text[first:last]:
+        code = S.SYMBOLS.index(ch) + 1
+        gains.append([g[state][code] for g in scanner.gain])
+        digits = digits + 1 if ch.isdigit() else 0
+        state = len(S.SYMBOLS) + min(digits, S.MOST_DIGITS) if digits else code
+
+    def within(s, e):
+        best = (0, 0, 0)
+        for a in range(len(scanner.gain)):
+            total, low, at, top = 0.0, 0.0, s, (0, 0, 0)
+            for i in range(s, e):
+                total += gains[i - first][a]
+                if total - low > top[0] + 1e-9:
+                    top = (total - low, at, i + 1)
+                if total < low:
+                    low, at = total, i + 1
+            best = max(best, top)
+        bits, i, j = best
+        if bits < scanner.need:
+            return []
+        ends = [k for k in range(max(s, i - 3), i + 1) if k == s or text[k - 1] in "+/_=-"]
+        i = max(ends, default=i)
+        ends = [k for k in range(j, min(e, j + 3) + 1) if k == e or text[k] in "+/_=-"]
+        j = min(ends, default=j)
+        return within(s, i) + [(i, j)] + within(j, e)
+
+    return within(first, last)
+
+
+def test_stretches_against_brute_force(scanner):
+    rng = random.Random(6)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 8)):
+            a = rng.choice(list(S.ALPHABETS.values()))
+            parts.append(rng.choice(["".join(rng.choices(a, k=rng.randint(1, 60))), "the", "that_list", "été", "12345", "=", "\U0001f600"]))
+        text = rng.choice(["", " ", "_", "/"]).join(parts)
+        assert scanner.markov(text) == naive(scanner, text), text
+
+
+def test_markov_spans_leave_base_spans_alone(scanner):
     text = "token=Zk9QxW37bLmP2sTv8RyA and Zk9QxW37bLmP2sTv8RyA"
     assert S.joined(scanner.spans(text)) == "assign:0:26,markov:31:51"
 
 
+def test_a_very_long_text_is_scanned_whole(scanner):
+    rng = random.Random(7)
+    key = "".join(rng.choices(S.SYMBOLS[:62], k=40))
+    text = sentence(rng, "en", 400_000) + " " + key + " " + "the_" * 300_000
+    assert len(text) > 2_000_000 and scanner.markov(text) == [(text.index(key), text.index(key) + 40)]
+
+
+def test_sample_covers_whole_texts():
+    text = " ".join(f"word{'abcdefghij'[i % 10] * (i // 10 % 9 + 1)}{'klmnopq'[i % 7]}" for i in range(4000))
+    _, words = S.labelled_strings(text + " onlyattheend")
+    assert len(words) == S.SAMPLE_WORDS and S.labelled_strings("token=" + "a1" * 10 + " of it") == (["a1" * 10], sorted(["of", "it"], key=lambda w: zlib.crc32(f"{S.SEED}{w}".encode())))
+
+
 @pytest.mark.parametrize("data", [[], [(1, None, None, None, None)]])
 def test_empty(spark, data):
     docs = documents(spark, data)
