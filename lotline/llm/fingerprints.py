@@ -2,7 +2,7 @@
 
 A text's bytes are parsed into dictionary phrases: each phrase is the shortest run that the dictionary lacks, and joins it. The phrase set is hashed, and the fingerprint holds the minimum hash of each of ``BINS`` classes of hashes (16 bits of it, in base64; 0 for an empty class). The share of equal minima estimates the Jaccard similarity of two phrase sets, which falls with compression distance.
 
-Null counts as empty; the fingerprint of an empty text has empty classes only, and two of these are alike by 1. Equal texts have equal fingerprints. Whole texts are parsed, in time linear in their length. Texts with the same doc_id are ordered by text. Other columns play no part.
+Null counts as empty; the fingerprint of an empty text has empty classes only, and two of these are alike by 1. Equal texts have equal fingerprints. Whole texts are parsed, in time linear in their length; a very long one needs memory for the set of its phrases, some 20 times its bytes. Rows with the same doc_id, and those without one, which come first, are ordered by a hash of their text, and rows that repeat in any order. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -22,7 +23,9 @@ from pyspark.sql import Window as W
 from lotline.llm.common import U, materialize, mix
 
 BINS = 128
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, role string, part string, text string"
+#: Bytes of text, about, that one task walks.
+RANGE_BYTES = 32 << 20
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, role string, part string, at int, text string"
 
 
 def parse(data: bytes, at: int, seen: set[bytes], phrases: list[bytes]) -> int:
@@ -100,29 +103,30 @@ def fingerprint(text: str | None) -> str:
 
 def row(doc_id: int, p: Parsed, other: Parsed) -> tuple:
     text, sk = p.edited(other.text)
-    return (doc_id, p.n, hashlib.sha256(text.encode()).hexdigest(), text_of(p.sketch), text_of(sk), likeness(p.sketch, sk), likeness(p.sketch, other.sketch), None, None, None)
+    return (doc_id, p.n, hashlib.sha256(text.encode()).hexdigest(), text_of(p.sketch), text_of(sk), likeness(p.sketch, sk), likeness(p.sketch, other.sketch), None, None, None, None)
 
 
 def batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [x.split()[0] for x in SCHEMA.split(", ")]
-    kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string()}[x.split()[1]] for x in SCHEMA.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}[x.split()[1]] for x in SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Each document's fingerprint, with those of its edited form and of the next document.
 
-    Documents are dealt by ranges of doc_id, the only exchange of texts; a task walks its range in order and hands on only its first and last text, which a second, small step joins.
+    Documents are dealt by ranges of doc_id (and of their hash and number, so that a frequent doc_id is no task of its own), as many as their bytes ask for: the only exchange of texts. A task walks its range in order and hands on only its first and last text, which a second, small step joins.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, out = uuid.uuid4().hex, None, []
+        part, at, last, out = uuid.uuid4().hex, TaskContext.get().partitionId(), None, []
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 p = Parsed(t.as_py())
                 if last is None:
-                    out.append((i, *[None] * 6, "first", part, p.text))
+                    out.append((i, *[None] * 6, "first", part, at, p.text))
                 else:
                     out.append(row(*last, p))
                 last = i, p
@@ -130,15 +134,17 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
                     yield batch(out)
                     out = []
         if last:
-            out.append((last[0], *[None] * 6, "last", part, last[1].text))
+            out.append((last[0], *[None] * 6, "last", part, at, last[1].text))
         if out:
             yield batch(out)
 
-    ranged = d.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    rows = materialize(ranged.mapInArrow(walk, SCHEMA))
-    firsts = rows.where("role = 'first'").select("doc_id", "part", "text")
+    keyed = d.withColumns({"h": F.xxhash64("text"), "n": F.monotonically_increasing_id()})
+    ranged = keyed.repartitionByRange(ranges, "doc_id", "h", "n").sortWithinPartitions("doc_id", "h", "n")
+    rows = materialize(ranged.select("doc_id", "text").mapInArrow(walk, SCHEMA))
+    firsts = rows.where("role = 'first'").select("doc_id", "part", "at", "text")
     # one row a task of the walk
-    order = materialize(firsts.select("doc_id", "part").withColumn("next_part", F.lead("part").over(W.orderBy("doc_id"))).withColumn("start", F.first("part").over(W.orderBy("doc_id"))))
+    by = W.orderBy("doc_id", F.xxhash64("text"), "at")
+    order = materialize(firsts.withColumn("next_part", F.lead("part").over(by)).withColumn("start", F.first("part").over(by)).select("part", "next_part", "start"))
     order = order.select("part", F.coalesce("next_part", "start").alias("next_part"))
     lasts = rows.where("role = 'last'").select("doc_id", "part", "text").join(order, "part")
     ends = lasts.join(firsts.select(F.col("part").alias("next_part"), F.col("text").alias("next_text")), "next_part").select("doc_id", "text", "next_text")
@@ -148,4 +154,4 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
             yield batch([row(i, Parsed(t), Parsed(x)) for i, t, x in zip(*[c.to_pylist() for c in b.columns], strict=True)])
 
     done = rows.where("role IS NULL").unionByName(ends.mapInArrow(finish, SCHEMA))
-    return done.drop("role", "part", "text")
+    return done.drop("role", "part", "at", "text")

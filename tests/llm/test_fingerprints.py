@@ -66,6 +66,22 @@ def test_small_tables(spark):
     assert len({r["fingerprint"] for r in two}) == 1 and len(two) == 2
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_key_in_many_ranges(spark, monkeypatch, doc_id):
+    """A key that many rows share is walked by many tasks, in one order all the same."""
+    monkeypatch.setattr(Z, "RANGE_BYTES", 400)
+    data = [(doc_id if i % 2 else i + 10, f"text {i % 4 if i % 3 else i} and more of it", "en", "s", 0) for i in range(120)]
+    docs = documents(spark, data)
+    got = Z.with_next(docs).collect()
+    hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) AS h").distinct().collect()}
+    ordered = sorted(((i is not None, i or 0, hashes[t]), t) for i, t, *_ in data)
+    want = []
+    for n, ((_, i, _), t) in enumerate(ordered):
+        q = len(t) // 4
+        want.append(((i or doc_id), hashlib.sha256((t[: len(t) - q] + ordered[(n + 1) % len(ordered)][1][:q]).encode()).hexdigest()))
+    assert sorted(want, key=str) == sorted(((r["doc_id"], r["edited_sha256"]) for r in got), key=str)
+
+
 def test_likeness_follows_editing():
     rng = random.Random(3)
     text = sentence(rng, "en", 400)
