@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import math
 import uuid
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -34,9 +37,20 @@ def drop_stage_tables(spark: SparkSession, since: int = 0) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _drop_at_exit() -> None:
+    """What a process didn't remove itself goes when it ends, if its session still runs."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and SparkContext._active_spark_context is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            drop_stage_tables(spark)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation."""
+    """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation. ``drop_stage_tables`` removes the tables once results are written; what is left goes when the process ends."""
     spark = df.sparkSession
+    if not _written:
+        atexit.unregister(_drop_at_exit)
+        atexit.register(_drop_at_exit)
     at = f"{shared_dir(spark)}/lotline-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
     _written.append(at)
