@@ -31,10 +31,13 @@ def stage_tables() -> int:
 
 def drop_stage_tables(spark: SparkSession, since: int = 0) -> None:
     """Removes the stage tables that this process wrote (all, or those after the first ``since``). Results that rest on them and were not yet written or collected can't be read after that."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
     while len(_written) > since:
-        p = path(_written.pop())
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        drop_table(spark, _written.pop())
+
+
+def drop_table(spark: SparkSession, at: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(at)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _drop_at_exit() -> None:
