@@ -1,4 +1,7 @@
-"""A training-data pipeline over ``documents``: each stage's result is written and read again as the next one's documents."""
+"""A training-data pipeline over ``documents``: each stage's result is written and read again as the next one's documents.
+
+Rows count as documents of their own in every stage, whatever their doc_id, which may be null or repeated: stages that choose rows number them in a stage table first. Columns other than those of ``documents`` are left out. A table without rows passes as one.
+"""
 
 from __future__ import annotations
 
@@ -8,52 +11,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from lotline.llm.common import drop_stage_tables, materialize, read, stage_tables
+from lotline.llm.common import drop_stage_tables, drop_table, materialize, read, stage_tables
 from lotline.session import prepare, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: The mix takes this share of the tokens that reach it, each document once at most.
+#: The mix takes this share of the tokens that reach it, each document once at most, by these weights among siblings of the tree (domain, language, source); those not named weigh 1.
 MIX_SHARE = 0.9
+MIX_WEIGHTS = {("domain0",): 2, ("domain1",): 1.5}
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """A stage table of the documents with a number for each row, since a doc_id may be null or repeated."""
     return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told: no text, no letter, or two languages that encode it equally well."""
+    """Drops documents whose language can't be told: null and empty texts, texts without a letter, and those that two languages encode nearly equally well. Equal texts fare alike."""
     prepare(spark)
     model = language_id.train(docs)
     return language_id.classify(docs.select(*COLUMNS), model).where(~F.col("rejected")).select(*COLUMNS)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each exact text, by binary-fuse filters."""
+    """Keeps one document of each exact text, that of the largest doc_id (of rows that tie, one): the corpus comes as two loads, the first a snapshot whose binary-fuse filters screen the second. Null and empty texts are one text."""
     prepare(spark)
-    return exact_dedup.keep_one(docs, COLUMNS)
+    return exact_dedup.keep_one(_numbered(docs), COLUMNS, "__row", exact_dedup.loads_of())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class: the one of the least doc_id, one without only if none has any. Rows count as documents of their own, whatever their doc_id."""
+    """Keeps one document of each near-duplicate class: the one of the least doc_id, one without only if none has any. Null and empty texts, and texts without a word, are one class."""
     prepare(spark)
     d = _numbered(docs)
-    classes = near_dedup.near_dedup(d, doc_id="__row").select(F.col("doc_id").alias("__row"), "class_id").join(d.select("__row", "doc_id"), "__row")
-    best = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("best"))
-    return d.join(best.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select(*COLUMNS)
+    kept = near_dedup.near_dedup(d, uid="__row").where("kept").select(F.col("uid").alias("__row"))
+    return d.join(kept, "__row", "left_semi").select(*COLUMNS)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes ``MIX_SHARE`` of the tokens, evenly over domains, their languages and their sources as far as these have them. Rows count as documents of their own, whatever their doc_id."""
+    """Takes ``MIX_SHARE`` of the tokens, by ``MIX_WEIGHTS`` as far as domains, their languages and their sources have them. Null languages and sources are branches of their own; texts without a token are taken as long as their source's budget isn't used up."""
     prepare(spark)
     d = _numbered(docs)
     tree = [mixing.domain(F.col("source")), "lang", "source"]
-    out = mixing.mix_sources(d, tree, total_share=MIX_SHARE, max_epochs=1, uid="__row").select(F.col("uid").alias("__row"))
+    out = mixing.mix_sources(d, tree, MIX_WEIGHTS, total_share=MIX_SHARE, max_epochs=1, uid="__row").select(F.col("uid").alias("__row"))
     return d.join(out, "__row", "left_semi").select(*COLUMNS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents that are left into windows of the sources' proportions."""
+    """Packs all documents that are left into windows of the sources' proportions; a null or empty text is the end token alone."""
     prepare(spark)
     return packing.pack(docs)
 
@@ -77,4 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(at)
         drop_stage_tables(spark, before)
         docs = spark.read.parquet(at)
+        if k:  # the table before it is not read again
+            drop_table(spark, f"{base}/{k - 1}")
     return docs
