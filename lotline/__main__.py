@@ -8,7 +8,9 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from lotline import session
 from lotline.functions import ids
 from lotline.lake import Lake
 from lotline.functions.text import normalize_unit
-from lotline.operators import coverage, export, importers, merges, portfolios, reconcile, resolve, rollup, units, upsert
+from lotline.operators import coverage, export, importers, keys, merges, portfolios, reconcile, resolve, rollup, units, upsert
 from lotline.sources import landing, records, registry
 from lotline.sources.listings import MARKETPLACES, liveness
 from lotline.streaming import incremental
@@ -111,19 +113,52 @@ def build_record(lake: Lake, a: argparse.Namespace) -> int:
     return 0
 
 
+ADDRESSES = "address_id string, bbl string, address string, normalized string, zipcode string, source string"
+UNITS = "unit_id string, bbl string, unit_label string, normalized_unit string, first_seen string, last_seen string"
+OBSERVATIONS = "observation_id string, document_id string, source string, source_ref string, observed_at string, observation_kind string, address string, unit_label string, price double, status string, raw_fields string, evidence_grade string, zipcode string"
+MATCHES = "observation_id string, entity_type string, entity_id string, status string, confidence double, rationale string, matched_at string"
+DOCUMENTS = "document_id string, source string, source_ref string, payload string, retrieved_at string"
+SOURCES = "source string, source_kind string, methodology string, first_seen string, last_seen string"
+
+
+def _read(lake: Lake, name: str, schema: str) -> DataFrame:
+    """A table with at least the columns of ``schema``."""
+    return upsert.with_columns_of(lake.read(name, schema), dict(x.split() for x in schema.split(", ")))
+
+
+def _with_addresses(lake: Lake, new: DataFrame) -> DataFrame:
+    merged = upsert.address_upsert(_read(lake, "addresses", ADDRESSES).select("bbl", "normalized", "address", "zipcode", "source"), new)
+    return merged.withColumn("address_id", ids.catalog_id("addr", F.col("bbl"), F.col("normalized")))
+
+
+def take_in(lake: Lake, s: importers.Source, raw: DataFrame, now: str) -> None:
+    """Rows of a source into the catalog's tables. Repeating it changes nothing but times: rows are merged by their keys, and all tables change at once."""
+    by_address = s.bbl is None or s.by_address_too
+    o = importers.observe(raw, s, now, _read(lake, "addresses", ADDRESSES) if by_address else None)
+    o = lake.replace("observed", o.withColumn("arrival", F.monotonically_increasing_id()))
+    last = keys.last_wins(o, ["observation_id"], "arrival")
+    claimed = _read(lake, "entity_matches", MATCHES).withColumn("pass_no", F.lit(-1).cast("long"))
+    buildings = last.where("building.status = 'resolved'").select(F.col("building.bbl").alias("bbl"), "source", F.lit(now).alias("first_seen"), F.lit(now).alias("last_seen"), "arrival")
+    candidates = _read(lake, "candidates", "observation_id string, entity_type string, candidate_id string")
+    sources = _read(lake, "sources", SOURCES)
+    seen = sources.unionByName(lake.spark.createDataFrame([(s.name, s.kind, s.payload_kind, now, now)], SOURCES), allowMissingColumns=True)
+    lake.replace_all({
+        "source_documents": keys.insert_or_ignore(_read(lake, "source_documents", DOCUMENTS), importers.documents(o, now).withColumn("arrival", F.lit(0)), ["document_id"], "arrival").drop("arrival"),
+        "observations": keys.insert_or_replace(_read(lake, "observations", OBSERVATIONS), last.drop("bbls", "building", "unit", "norm_address"), ["observation_id"], "arrival").drop("arrival"),
+        "buildings": keys.insert_or_ignore(_read(lake, "buildings", "bbl string"), buildings, ["bbl"], "arrival").drop("arrival"),
+        "addresses": _with_addresses(lake, importers.addresses_of(last).drop("address_id")),
+        "units": upsert.unit_upsert(_read(lake, "units", UNITS), importers.units_of(last, now), ["bbl", "normalized_unit"], "unit_id", "unit_label"),
+        "entity_matches": upsert.match_upsert(claimed, importers.claims(last, now).withColumn("pass_no", F.lit(0).cast("long"))).drop("pass_no"),
+        "candidates": candidates.join(last.select("observation_id"), "observation_id", "left_anti").unionByName(resolve.candidate_rows(last, "observation_id")),
+        "sources": seen.groupBy("source").agg(F.min("source_kind").alias("source_kind"), F.min("methodology").alias("methodology"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")),
+    })
+
+
 def catalog(lake: Lake, a: argparse.Namespace) -> int:
     """Catalog sources into observations and claims; coverage, gaps and capacity slots."""
     for spec in a.rows or []:
         name, _, path = spec.partition("=")
-        s = importers.SOURCES[name]
-        raw = lake.spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(path)
-        addresses = lake.read("addresses", "address_id string, bbl string, address string, normalized string, zipcode string, source string") if s.bbl is None or s.by_address_too else None
-        o = importers.observe(raw, s, a.now, addresses)
-        lake.append("observations", o.drop("bbls", "building", "unit", "norm_address"))
-        lake.append("entity_matches", importers.claims(o, a.now))
-        lake.append("addresses", importers.addresses_of(o))
-        lake.append("units", importers.units_of(o, a.now))
-        lake.append("candidates", resolve.candidate_rows(o, "observation_id"))
+        take_in(lake, importers.SOURCES[name], lake.spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(path), a.now)
     if a.demote:
         matches, left = upsert.demote(lake.read("entity_matches"), lake.read("units"), lake.read("observations"))
         lake.replace_all({"entity_matches": matches, "units": left})
@@ -133,14 +168,34 @@ def catalog(lake: Lake, a: argparse.Namespace) -> int:
         done = lake.read("observations").join(lake.read("entity_matches").where("entity_type = 'unit' AND status = 'resolved'").select("observation_id"), "observation_id", "left_semi")
         show(coverage.listing_coverage(lake.read("listings", LISTINGS), done.select("source", F.col("source_ref").alias("source_id"))))
     if a.gaps:
-        show(coverage.capacity_gaps(lake.read("buildings"), lake.read("units", "bbl string"), a.gaps, ids.borough_code(a.boro)))
+        show(coverage.capacity_gaps(_read(lake, "buildings", "bbl string, units_res long"), lake.read("units", "bbl string"), a.gaps, ids.borough_code(a.boro)))
     if a.slots:
-        lake.replace("housing_capacity_slots", coverage.capacity_slots(lake.read("buildings"), a.slots))
+        slots(lake, a.slots, a.batch)
     if a.status:
-        show(coverage.catalog_status(**{t: lake.read(t) for t in ("observations", "entity_matches", "units", "addresses", "buildings") if lake.has(t)}))
+        show(coverage.catalog_status(**{t: lake.read(t) for t in ("observations", "entity_matches", "units", "addresses", "buildings", "source_documents") if lake.has(t)}))
     return 0
 
 
+def slots(lake: Lake, run: str, batch: int | None) -> None:
+    """Capacity slots of a run: all at once, or the next ``batch`` buildings after the run's durable cursor, which changes with the slots."""
+    schema = "run string, cursor string, completed boolean"
+    buildings = _read(lake, "buildings", "bbl string, units_res long")
+    if batch is None:
+        lake.replace("housing_capacity_slots", coverage.capacity_slots(buildings, run))
+        return
+    runs = lake.read("capacity_runs", schema)
+    mine = runs.where(F.col("run") == run).first()
+    cursor = mine["cursor"] if mine else None
+    if mine and mine["completed"]:
+        return
+    after, completed = incremental.slots_state(lake.spark, buildings, cursor, batch)
+    here = buildings.where(F.col("bbl") <= after) if after is not None else buildings.limit(0)
+    new = coverage.capacity_slots(here.where(F.col("bbl") > cursor) if cursor is not None else here, run)
+    state = lake.spark.createDataFrame([(run, after, completed)], schema)
+    old = lake.read("housing_capacity_slots") if lake.has("housing_capacity_slots") else new.limit(0)
+    lake.replace_all({"housing_capacity_slots": old.unionByName(new), "capacity_runs": runs.where(F.col("run") != run).unionByName(state)})
+
+
 def settle(lake: Lake, now: str) -> None:
     """Ambiguous listings that official unit evidence settles."""
     obs, matches = lake.read("observations"), lake.read("entity_matches")
@@ -169,26 +224,76 @@ def merge(lake: Lake, a: argparse.Namespace) -> int:
     archive = read("archive_units", "unit_id string, source_systems string")
     out = merges.run(archives, read("addresses", "bbl string, normalized string, zipcode string"), read("official_unit_lots", "unit_lot_bbl string, unit_designation string"), buildings, read("units", "bbl string"), archive, a.source, a.now)
     lake.replace_all({f"merge_{k}": v for k, v in out.items()})
+    grow(lake, [lake.read(f"merge_{k}") for k in out if k != "routed"], a.now)
     show(rollup.path_counts(lake.read("merge_routed"), F.col("route")))
     return 0
 
 
+def grow(lake: Lake, claims: list[DataFrame], now: str) -> None:
+    """Merge claims into units, observations and matches: a unit that is stored keeps its id and label, an observation and a match that is stored stays. Repeating it changes last_seen only."""
+    new = reduce(DataFrame.unionByName, [d.select("unit_id", "bbl", "unit_label", "unit_normalized", "observation_id", "source", "source_ref", "confidence", "method", "observed_at") for d in claims]).withColumnRenamed("unit_normalized", "normalized_unit").withColumn("arrival", F.lit(0).cast("long"))
+    d = new.withColumns({"first_seen": F.lit(now), "last_seen": F.lit(now)})
+    merged = upsert.unit_upsert(_read(lake, "units", UNITS), d.select("unit_id", "bbl", "unit_label", "normalized_unit", "first_seen", "last_seen", "arrival"), ["bbl", "normalized_unit"], "unit_id", "unit_label", keep_label=True)
+    stored = new.drop("unit_id").join(merged.select("bbl", "normalized_unit", "unit_id"), ["bbl", "normalized_unit"])
+    o = new.select("observation_id", "source", "source_ref", "observed_at", F.lit("archive_identity_evidence").alias("observation_kind"), "unit_label", F.lit("legacy_snapshot").alias("evidence_grade"), "arrival")
+    claim = lambda kind, value: stored.select("observation_id", F.lit(kind).alias("entity_type"), F.col(value).alias("entity_id"), F.lit("resolved").alias("status"), "confidence", F.col("method").alias("rationale"), F.lit(now).alias("matched_at"), "arrival")
+    lake.replace_all({
+        "units": merged,
+        "observations": keys.insert_or_ignore(_read(lake, "observations", OBSERVATIONS), o, ["observation_id"], "arrival").drop("arrival"),
+        "entity_matches": keys.insert_or_ignore(_read(lake, "entity_matches", MATCHES), claim("building", "bbl").unionByName(claim("unit", "unit_id")), ["observation_id", "entity_type"], "arrival").drop("arrival"),
+    })
+
+
+# The feeds with keyset pages, and their keys.
+KEYSETS = {"hpd_problems": ("received_date", "problem_id"), "acris_unit_legals": ("document_id",)}
+
+
 def acquire(lake: Lake, a: argparse.Namespace) -> int:
-    """Pages of a landed feed, with a durable log; goes on where it stopped."""
+    """Pages of a landed feed, with a durable log or (--keyset) cursor; goes on where it stopped."""
     scope = incremental.scope_of(a.boro)
+    feed = lake.spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(a.landed)
+    sink = lambda d: lake.append(f"landed_{a.source}", d)
+    if a.keyset:
+        return acquire_keyset(lake, a, scope, feed, sink)
     log = lake.read("acquisition_pages", "source string, scope string, offset long, requested long, rows long")
     start = incremental.next_offset(log, a.source, scope, a.offset)
     if start is None:
         print("the feed's last page was read")
         return 0
-    feed = lake.spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(a.landed)
-    fetch = lambda o, n: feed.orderBy(*feed.columns).offset(o).limit(n)
-    for offset, requested, rows in incremental.run_offset_pages(fetch, lambda d: lake.append(f"landed_{a.source}", d), start, a.page_size, a.pages):
+    staged = lake.replace("feed_in_order", incremental.positioned(feed))
+    for offset, requested, rows in incremental.run_offset_pages(lambda o, n: incremental.page_of(staged, o, n), sink, start, a.page_size, a.pages):
         lake.append("acquisition_pages", lake.spark.createDataFrame([(a.source, scope, offset, requested, rows)], log.schema))
         print(json.dumps({"offset": offset, "rows": rows}))
     return 0
 
 
+def acquire_keyset(lake: Lake, a: argparse.Namespace, scope: str, feed: DataFrame, sink: Callable[[DataFrame], None]) -> int:
+    if a.source not in KEYSETS or a.offset is not None:
+        print(f"keyset pages are for {', '.join(KEYSETS)}, without an offset", file=sys.stderr)
+        return 2
+    key = KEYSETS[a.source]
+    schema = "source string, scope string, cursor array<string>"
+    kept = lake.read("acquisition_keysets", schema)
+    mine = kept.where((F.col("source") == a.source) & (F.col("scope") == scope)).first()
+    durable = tuple(mine["cursor"]) if mine else None
+    if a.cursor and durable:
+        print("a durable cursor exists; it can't be set by hand", file=sys.stderr)
+        return 2
+    if len(key) == 2:
+        fetch = lambda at, n: keys.keyset_after(feed, *key, at, n)
+    else:
+        row = feed.withColumn("__row", F.to_json(F.struct(*feed.columns)))
+        fetch = lambda at, n: keys.keyset_through(row, key[0], "__row", at[0] if at else None, n).drop("__row")
+    cursor = tuple(a.cursor.split(",")) if a.cursor else None
+    for at in incremental.run_keyset_pages(fetch, sink, cursor, key, a.page_size, a.pages, durable=durable):
+        if at is None:
+            break
+        others = lake.read("acquisition_keysets", schema).where(~((F.col("source") == a.source) & (F.col("scope") == scope)))
+        lake.replace("acquisition_keysets", others.unionByName(lake.spark.createDataFrame([(a.source, scope, list(at))], schema)))
+        print(json.dumps({"cursor": list(at)}))
+    return 0
+
+
 def stage(lake: Lake, a: argparse.Namespace) -> int:
     """Raw rows into the stage; replays add nothing."""
     raw = lake.spark.read.text(a.landed, wholetext=False).withColumnRenamed("value", "payload")
@@ -203,7 +308,7 @@ def stage(lake: Lake, a: argparse.Namespace) -> int:
 def release(lake: Lake, a: argparse.Namespace) -> int:
     matches = lake.read("entity_matches").withColumn("method", F.lit("official_bbl_and_unit_label"))
     obs = upsert.with_columns_of(lake.read("observations"), {"bedrooms": "double", "bathrooms": "double"})
-    src = lake.read("sources", "source string, source_kind string, methodology string, first_seen string, last_seen string")
+    src = _read(lake, "sources", SOURCES)
     print(json.dumps(export.release(a.out, lake.read("units").dropDuplicates(["unit_id"]), export.unit_observations(matches, obs), src, a.now, a.release_id)))
     return 0
 
@@ -243,9 +348,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--commit")
     p.add_argument("--boro")
     p.add_argument("--slots", metavar="RUN")
-    for flag in ("list", "status", "dedupe", "crosswalk", "portfolios", "coverage", "demote", "reconcile", "quiet"):
+    p.add_argument("--cursor", help="KEY[,KEY] to begin keyset pages at")
+    for flag in ("list", "status", "dedupe", "keyset", "crosswalk", "portfolios", "coverage", "demote", "reconcile", "quiet"):
         p.add_argument(f"--{flag}", action="store_true")
-    for number, default in (("limit", None), ("gaps", None), ("offset", None), ("page-size", 50_000), ("pages-count", 1)):
+    for number, default in (("limit", None), ("gaps", None), ("batch", None), ("offset", None), ("page-size", 50_000), ("pages-count", 1)):
         p.add_argument(f"--{number}", type=int, default=default, dest="page_count" if number == "pages-count" else None)
     return p
 

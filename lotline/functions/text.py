@@ -1,8 +1,8 @@
-"""Addresses, unit labels, owners and other text, as column expressions. All run inside code generation."""
+"""Addresses, unit labels, owners and other text, as column expressions of built-in functions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Spellings and words that results depend on.
@@ -57,9 +57,10 @@ def blank_as(c: Column, name: str) -> Column:
 
 
 def words(c: Column, pairs: list[tuple[str, str]]) -> Column:
-    for word, to in pairs:
-        c = F.regexp_replace(c, U + rf"\b{word}\b", to)
-    return c
+    """Whole words by a table, in one pass: what a word becomes is not looked up again."""
+    table = F.create_map(*[F.lit(x) for p in pairs for x in p])
+    found = F.regexp_extract_all(c, F.lit(U + r"\w+|\W+"), F.lit(0))
+    return F.array_join(F.transform(found, lambda w: F.coalesce(table[w], w)), "")
 
 
 def parts(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -70,18 +71,21 @@ def parts(c: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def normalize_address(raw: Column) -> Column:
-    """House number and street in one spelling; '' for null and for what has no house number or no letter."""
+    """House number and street in one spelling; '' for null and for what has no house number or no letter. Each step has the one before it as its only argument, so that a row is normalised once."""
     a = strip(F.upper(F.coalesce(raw, F.lit(""))))
     a = F.regexp_replace(a, "[,.]", " ")
-    for noise in LISTING_NOISE:
-        a = F.regexp_replace(a, U + noise, " ")
+    a = F.regexp_replace(a, U + "|".join(LISTING_NOISE), " ")
     a = words(a, ORDINALS + DIRECTIONS + SAME_WORDS)
     a = parts(a, STREET_TYPES)
     a = F.regexp_replace(a, U + rf"\b(?:{UNIT_WORDS_IN_ADDRESS})\b.*$|#.*$", "")
     a = F.regexp_replace(a, U + r"(\d+)(?:ST|ND|RD|TH)\b", "$1")
     a = F.regexp_replace(a, U + rf"\b({ENDS_OF_STREETS})\s+\d+[A-Z]?$", "$1")
-    a = collapse(a)
-    return F.when((F.length(a) >= 5) & a.rlike(U + r"^\d") & a.rlike("[A-Z]"), a).otherwise("")
+    return F.regexp_replace(collapse(a), r"(?Us)^(?!\d)(?s:.*)$|^.{0,4}$|^[^A-Z]*$", "")
+
+
+def with_address(df: DataFrame, raw: Column, out: str = "norm_address") -> DataFrame:
+    """``df`` with a normalised address. A condition on it, or a join by it, is never moved below it, so the rules run once a row whatever the plan asks of the result."""
+    return df.drop(out).select("*", F.explode_outer(F.array(normalize_address(raw))).alias(out))
 
 
 def normalize_unit(raw: Column) -> Column:
@@ -104,8 +108,9 @@ def beds_key(beds: Column) -> Column:
 
 def unit_key(address: Column, unit: Column, beds: Column) -> Column:
     """What makes two ads the same home; null without an address or a unit."""
-    a, u = normalize_address(address), normalize_unit(unit)
-    return F.when((a != "") & (u != ""), F.concat(a, F.lit("::"), u, F.lit("::beds="), beds_key(beds)))
+    # '' of either side makes the whole null, and neither is written twice
+    some = lambda x: F.nullif(x, F.lit(""))
+    return F.concat(some(normalize_address(address)), F.lit("::"), some(normalize_unit(unit)), F.lit("::beds="), beds_key(beds))
 
 
 def group_key(key: Column, source: Column, source_id: Column) -> Column:

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+LIST = "tables.json"
+
 
 class Lake:
-    """Tables by name under one folder, in any store that Spark reads. A table is replaced as a whole: written beside the old one, then renamed."""
+    """Tables by name under one folder, in any store that Spark reads. ``tables.json`` says which folder holds a table now; a folder of a table's name counts where it says nothing.
+
+    A replacement writes new folders and then the list, by one rename, so that all tables of a call change at once and a reader finds either the old ones or the new. The folders that the list no longer names are removed with the next replacement of their table, when readers of the old list are done.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -16,36 +24,64 @@ class Lake:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf), p
 
+    def _list(self) -> dict[str, str]:
+        fs, p = self._fs(f"{self.root}/{LIST}")
+        if not fs.exists(p):
+            return {}
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _write_list(self, names: dict[str, str]) -> None:
+        fs, p = self._fs(f"{self.root}/{LIST}")
+        _, new = self._fs(f"{self.root}/{LIST}.{uuid.uuid4().hex}")
+        stream = fs.create(new, True)
+        stream.write(bytearray(json.dumps(names, sort_keys=True).encode()))
+        stream.close()
+        jvm = self.spark._jvm
+        kind = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(new), fs.makeQualified(p), options)
+
+    def _at(self, name: str) -> str | None:
+        at = self._list().get(name, name)
+        fs, p = self._fs(f"{self.root}/{at}")
+        return f"{self.root}/{at}" if fs.exists(p) else None
+
     def has(self, name: str) -> bool:
-        fs, p = self._fs(f"{self.root}/{name}")
-        return fs.exists(p)
+        return self._at(name) is not None
 
     def read(self, name: str, schema: str | None = None) -> DataFrame:
         """The table; empty, with ``schema``, if there is none yet."""
-        if not self.has(name):
+        at = self._at(name)
+        if at is None:
             if schema is None:
                 raise FileNotFoundError(f"no table {name} in {self.root}")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return self.spark.read.parquet(at)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         self.replace_all({name: df})
         return self.read(name)
 
     def replace_all(self, tables: dict[str, DataFrame]) -> None:
-        """All are written before the first is renamed, so each may be made from the old state of any."""
+        """All are written before the list changes, so each may be made from the old state of any."""
+        run = uuid.uuid4().hex
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/_new_{name}")
+            df.write.parquet(f"{self.root}/{name}-{run}")
+        was = self._list()
+        self._write_list(was | {name: f"{name}-{run}" for name in tables} | {f"{name} before": was.get(name, name) for name in tables})
         for name in tables:
-            fs, at = self._fs(f"{self.root}/{name}")
-            was, to = self._fs(f"{self.root}/_old_{name}")[1], self._fs(f"{self.root}/_new_{name}")[1]
-            if fs.exists(was):
-                fs.delete(was, True)
-            if fs.exists(at):
-                fs.rename(at, was)
-            fs.rename(to, at)
-            if fs.exists(was):
-                fs.delete(was, True)
+            if old := was.get(f"{name} before"):
+                fs, p = self._fs(f"{self.root}/{old}")
+                fs.delete(p, True)
 
     def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{name}")
+        at = self._at(name)
+        if at is None:
+            self.replace(name, df)
+        else:
+            df.write.mode("append").parquet(at)

@@ -13,14 +13,21 @@ from pyspark.sql import functions as F
 
 from lotline.functions import ids
 from lotline.functions.dates import iso_date
-from lotline.functions.text import NOT_DWELLINGS_EXTRA_ARCHIVE, NOT_DWELLINGS_EXTRA_FILINGS, filled, first_date, first_filled, join_labels, normalize_address, normalize_unit, sale_address, split_labels, split_mls_address, street_address, strip
-from lotline.operators.keys import last_wins
+from lotline.functions.text import NOT_DWELLINGS_EXTRA_ARCHIVE, NOT_DWELLINGS_EXTRA_FILINGS, filled, first_date, first_filled, join_labels, normalize_unit, sale_address, split_labels, split_mls_address, street_address, strip, with_address
 from lotline.operators.resolve import candidates, status_of
+from lotline.operators.upsert import with_columns_of
 
 # Labels of places that aren't homes.
 NOT_DWELLINGS = ["BASEMENT", "CELLAR", "ROOF", "PUBLIC HALL", "PUBLIC AREA", "HALLWAY", "STAIRWAY", "STAIRWELL", "ELEVATOR", "ENTIRE BUILDING", "BUILDING WIDE", "BLDG", "BUILDING", "MEDICAL", "COMMERCIAL", "RETAIL", "OFFICE", "PARKING", "STORAGE", "RESIDENTIAL"]
 
-c = F.col
+_named: list[str] | None = None
+
+
+def c(name: str) -> Column:
+    """A column; while a source's rules are asked what they read, its name is kept."""
+    if _named is not None:
+        _named.append(name)
+    return F.col(name)
 
 
 @dataclass(frozen=True)
@@ -83,27 +90,46 @@ SOURCES = {
 }
 
 
-def not_a_dwelling(label: Column, extra: Sequence[str] = (), floors: bool = False) -> Column:
-    key = F.upper(strip(F.coalesce(label, F.lit(""))))
+def columns_of(s: Source) -> list[str]:
+    """The columns that a source's rules read. A landed row may lack any: feeds leave out what is null."""
+    global _named
+    _named = names = []
+    try:
+        for rule in (s.ref, s.observed, s.label, s.address, s.zipcode, s.bbl, s.status, s.price, s.where, s.mined):
+            if rule is not None:
+                rule()
+    finally:
+        _named = None
+    return sorted({*names} - {"payload"})
+
+
+def _common_area(key: Column, extra: Sequence[str], floors: bool) -> Column:
     out = key.isin(*NOT_DWELLINGS, *extra)
     return out | key.endswith(" FLOOR") if floors else out
 
 
-def unit_claim(bbl: Column, label: Column, s: Source, mined: Column | None = None) -> Column:
-    """struct(unit_id, status, confidence, rationale)."""
-    blank = normalize_unit(label) == ""
-    common = not_a_dwelling(label, s.extra_labels, s.floor_is_no_dwelling)
-    text_mined = F.lit(False) if mined is None else F.coalesce(mined, F.lit(False))
-    status = F.when(bbl.isNull(), "unresolved").when(common, "not_a_dwelling").when(blank, "not_a_dwelling" if s.blank_is_no_dwelling else "unresolved").when(text_mined, "unresolved").otherwise("resolved")
-    why = F.when(bbl.isNull(), "no building").when(common, "the label names a common area").when(blank, "no unit label").when(text_mined, "mined from text").otherwise("building and unit label")
-    return F.struct(F.when(status == "resolved", ids.canonical_unit(bbl, label)).alias("unit_id"), status.alias("status"), F.when(status == "resolved", s.unit_confidence).otherwise(0.0).alias("confidence"), why.alias("rationale"))
+def not_a_dwelling(label: Column, extra: Sequence[str] = (), floors: bool = False) -> Column:
+    return _common_area(F.upper(strip(F.coalesce(label, F.lit("")))), extra, floors)
+
+
+def with_unit_claim(df: DataFrame, bbl: Column, label: Column, s: Source, mined: Column | None = None, out: str = "unit") -> DataFrame:
+    """``df`` with a struct(unit_id, status, confidence, rationale). The label is normalised once a row, in a column of its own that no later step is merged with."""
+    parts = F.struct(bbl.alias("bbl"), normalize_unit(label).alias("unit"), F.upper(strip(F.coalesce(label, F.lit("")))).alias("key"), (F.lit(False) if mined is None else F.coalesce(mined, F.lit(False))).alias("mined"))
+    d = df.drop(out).select("*", F.explode_outer(F.array(parts)).alias("__parts"))
+    p = lambda name: F.col(f"__parts.{name}")
+    common = _common_area(p("key"), s.extra_labels, s.floor_is_no_dwelling)
+    status = F.when(p("bbl").isNull(), "unresolved").when(common, "not_a_dwelling").when(p("unit") == "", "not_a_dwelling" if s.blank_is_no_dwelling else "unresolved").when(p("mined"), "unresolved").otherwise("resolved")
+    why = F.when(p("bbl").isNull(), "no building").when(common, "the label names a common area").when(p("unit") == "", "no unit label").when(p("mined"), "mined from text").otherwise("building and unit label")
+    ok = status == "resolved"
+    claim = F.struct(F.when(ok, ids.catalog_id("unit", p("bbl"), p("unit"))).alias("unit_id"), status.alias("status"), F.when(ok, s.unit_confidence).otherwise(0.0).alias("confidence"), why.alias("rationale"))
+    return d.withColumn(out, claim).drop("__parts")
 
 
 def observe(rows: DataFrame, s: Source, retrieved_at: str, addresses: DataFrame | None = None) -> DataFrame:
-    """One row per observation: ids, fields, building and unit (structs), bbls (candidates). Rows without an immutable id, or without a date or BBL that the source requires, are left out."""
+    """One row per observation: ids, fields, building and unit (structs), bbls (candidates). Rows without an immutable id, or without a date or BBL that the source requires, are left out; columns that the rules read and the rows lack are null."""
     fields = [f for f in (s.fields or rows.columns) if f in rows.columns and f != "payload"]
-    payload = c("payload") if "payload" in rows.columns else F.to_json(F.struct(*[c(f) for f in sorted(fields)]))
-    d = rows.withColumn("payload", payload)
+    payload = c("payload") if "payload" in rows.columns else F.to_json(F.struct(*[c(f) for f in sorted(fields)])) if fields else F.lit("{}")
+    d = with_columns_of(rows.withColumn("payload", payload), dict.fromkeys(columns_of(s), "string"))
     d = d.where(s.where()) if s.where else d
     d = d.withColumns({"source_ref": s.ref().cast("string"), "observed_at": s.observed(), "label": s.label(), "addr": s.address(), "zip_in": s.zipcode(), "status_in": s.status(), "price_in": s.price(), "own_bbl": s.bbl() if s.bbl else F.lit(None).cast("string"), "mined": s.mined() if s.mined else F.lit(False)})
     d = d.where(filled(c("source_ref")).isNotNull())
@@ -114,18 +140,17 @@ def observe(rows: DataFrame, s: Source, retrieved_at: str, addresses: DataFrame
         d = d.withColumn("label", F.explode(split_labels(c("label"))))
         d = d.withColumn("source_ref", ids.catalog_id("unit_event", c("source_ref"), F.coalesce(filled(normalize_unit(c("label"))), F.lit("no_unit"))))
     d = d.withColumn("observation_id", ids.catalog_id("obs", F.lit(s.name), c("source_ref"), c("observed_at"), F.lit(s.kind)))
-    d = d.withColumn("norm_address", normalize_address(c("addr")))
-    if (s.bbl is None or s.by_address_too) and addresses is not None:
-        d = candidates(last_wins(d.withColumn("__at", F.lit(0)), ["observation_id"], "__at").drop("__at"), addresses, "observation_id", "norm_address", "zip_in")
+    d = with_address(d, c("addr"))
+    by_address_too = s.bbl is None or s.by_address_too
+    if by_address_too and addresses is not None:
+        d = candidates(d, addresses, "norm_address", "zip_in")
     else:
         d = d.withColumn("bbls", F.array().cast("array<string>"))
     by_address = status_of(c("bbls"), c("norm_address"))
     own = F.struct(c("own_bbl").alias("bbl"), F.lit("resolved").alias("status"), F.lit(s.building_confidence).alias("confidence"), F.lit("official_bbl").alias("method"), F.lit("the row's own building").alias("rationale"))
     none = F.struct(F.lit(None).cast("string").alias("bbl"), F.lit("unresolved").alias("status"), F.lit(0.0).alias("confidence"), F.lit("official_bbl").alias("method"), F.lit("no usable building number").alias("rationale"))
-    building = F.when(c("own_bbl").isNotNull(), own).otherwise(by_address if s.bbl is None or s.by_address_too else none)
-    d = d.withColumn("building", building)
-    unit_bbl = c("own_bbl") if s.bbl else c("building.bbl")
-    d = d.withColumn("unit", unit_claim(unit_bbl, c("label"), s, c("mined")))
+    d = d.withColumn("building", F.when(c("own_bbl").isNotNull(), own).otherwise(by_address if by_address_too else none))
+    d = with_unit_claim(d, c("own_bbl") if s.bbl else c("building.bbl"), c("label"), s, c("mined"))
     return d.select("observation_id", "document_id", F.lit(s.name).alias("source"), "source_ref", "observed_at", F.lit(s.kind).alias("observation_kind"), c("addr").alias("address"), c("label").alias("unit_label"), c("price_in").alias("price"), c("status_in").alias("status"), c("payload").alias("raw_fields"), F.lit(s.grade).alias("evidence_grade"), "norm_address", c("zip_in").alias("zipcode"), "bbls", "building", "unit")
 
 
@@ -141,13 +166,18 @@ def claims(observed: DataFrame, matched_at: str) -> DataFrame:
 
 
 def units_of(observed: DataFrame, now: str) -> DataFrame:
+    """The units that observations name, in the order of ``arrival`` if they have one."""
     d = observed.where("unit.status = 'resolved'")
-    return d.select(c("unit.unit_id").alias("unit_id"), c("building.bbl").alias("bbl"), "unit_label", normalize_unit(c("unit_label")).alias("normalized_unit"), F.lit(now).alias("first_seen"), F.lit(now).alias("last_seen"))
+    return d.select(c("unit.unit_id").alias("unit_id"), c("building.bbl").alias("bbl"), "unit_label", normalize_unit(c("unit_label")).alias("normalized_unit"), F.lit(now).alias("first_seen"), F.lit(now).alias("last_seen"), *_arrival(d))
 
 
 def addresses_of(observed: DataFrame) -> DataFrame:
     d = observed.where("building.status = 'resolved' AND norm_address <> ''")
-    return d.select(ids.catalog_id("addr", c("building.bbl"), c("norm_address")).alias("address_id"), c("building.bbl").alias("bbl"), "address", c("norm_address").alias("normalized"), "zipcode", "source")
+    return d.select(ids.catalog_id("addr", c("building.bbl"), c("norm_address")).alias("address_id"), c("building.bbl").alias("bbl"), "address", c("norm_address").alias("normalized"), "zipcode", "source", *_arrival(d))
+
+
+def _arrival(d: DataFrame) -> list[str]:
+    return [n for n in ("arrival",) if n in d.columns]
 
 
 def official_addresses(crosswalk: DataFrame, zips: Sequence[str] | None = None) -> DataFrame:
@@ -161,7 +191,7 @@ def record_backbone(buildings: DataFrame, now: str) -> tuple[DataFrame, DataFram
     """(buildings, addresses) of the catalog from the record's buildings table."""
     b = buildings.where(filled(c("bbl")).isNotNull())
     known = b.select("bbl", "borough", c("address").alias("primary_address"), "zipcode", "units_res", "units_total", "building_class", F.lit("record_db").alias("source"), F.lit(now).alias("first_seen"), F.lit(now).alias("last_seen"))
-    a = b.withColumn("normalized", normalize_address(c("address"))).where("normalized <> ''")
+    a = with_address(b, c("address"), "normalized").where("normalized <> ''")
     return known, a.select(ids.catalog_id("addr", c("bbl"), c("normalized")).alias("address_id"), "bbl", "address", "normalized", "zipcode", F.lit("record_db").alias("source"))
 
 
@@ -176,14 +206,14 @@ def condo_lots(rows: DataFrame, retrieved_at: str) -> tuple[DataFrame, DataFrame
 def listing_observations(listings: DataFrame, history: DataFrame, addresses: DataFrame) -> DataFrame:
     """Every snapshot of every listing (the listing itself where it has none): address, unit and rooms are the listing's, price and status the snapshot's. A snapshot of the last day seen is a source document, an older one a legacy snapshot."""
     s = Source("listing", "listing", lambda: c("source_id"), lambda: c("snapshot_date"), lambda: c("unit_number"))
-    l = candidates(listings.withColumn("__id", F.concat_ws("\x1f", "source", "source_id")).withColumn("norm_address", normalize_address(c("address"))), addresses, "__id")  # noqa: E741
+    l = candidates(with_address(listings, c("address")), addresses)  # noqa: E741
     l = l.withColumn("building", status_of(c("bbls"), c("norm_address")))  # noqa: E741
     h = history.select(c("source").alias("__s"), c("source_id").alias("__i"), "snapshot_date", c("price").alias("__price"), c("status").alias("__status"), F.lit(True).alias("__h"))
     d = l.join(h, (c("source") == c("__s")) & (c("source_id") == c("__i")), "left")
     last_day = F.substring("last_seen", 1, 10)
     d = d.withColumns({"observed_at": F.coalesce("snapshot_date", last_day), "price_at": F.when(c("__h"), c("__price")).otherwise(c("price")), "status_at": F.when(c("__h"), c("__status")).otherwise(c("status"))})
     d = d.withColumn("grade", F.when(c("observed_at") == last_day, "source_document").otherwise("legacy_snapshot"))
-    d = d.withColumn("unit", unit_claim(c("building.bbl"), c("unit_number"), s))
+    d = with_unit_claim(d, c("building.bbl"), c("unit_number"), s)
     d = d.withColumn("unit_status", F.when(c("building.status") != "resolved", c("building.status")).otherwise(c("unit.status")))
     return d.select(ids.catalog_id("obs", c("source"), c("source_id"), c("observed_at"), F.lit("listing")).alias("observation_id"), "source", "source_id", "observed_at", "address", "unit_number", "bedrooms", "bathrooms", c("price_at").alias("price"), c("status_at").alias("status"), "grade", "bbls", "building", c("unit.unit_id").alias("unit_id"), "unit_status")
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions import ids
-from lotline.functions.text import normalize_address, normalize_designation, normalize_unit, source_label
-from lotline.operators.resolve import by_designation, by_residence, zip_or_all
+from lotline.functions.text import normalize_designation, normalize_unit, source_label, with_address
+from lotline.operators.resolve import by_designation, by_residence, keyed_by, zip_or_all
 
 COLUMNS = ["source", "address", "unit", "zip", "source_ref"]
 SYNTHETIC = '["PLUTO_INFERRED"]'
@@ -23,8 +23,8 @@ def extract_all(*sources: tuple[str, DataFrame, dict[str, Column]]) -> DataFrame
 
 def route(rows: DataFrame, addresses: DataFrame, lots: DataFrame) -> DataFrame:
     """Every raw row with route (units, ambiguous, unresolved or no_unit), bbl, resolved_via, reason and candidate_bbls."""
-    d = rows.withColumns({"row_id": F.monotonically_increasing_id(), "unit_normalized": normalize_unit(F.col("unit")), "norm_address": normalize_address(F.col("address"))})
-    d = zip_or_all(d, addresses, "row_id", "norm_address", "zip")
+    d = with_address(keyed_by(rows, COLUMNS), F.col("address")).withColumn("unit_normalized", normalize_unit(F.col("unit")))
+    d = zip_or_all(d, addresses, "norm_address", "zip")
     tie = by_designation(d.where(F.size("bbls") > 1), lots, "row_id", "unit_normalized").withColumnRenamed("bbl", "__tie")
     d = d.join(tie, "row_id", "left")
     n = F.size("bbls")
@@ -66,7 +66,7 @@ def merge_single_family(buildings: DataFrame, units: DataFrame, now: str) -> Dat
 
 def merge_tiebreak(routed: DataFrame, buildings: DataFrame, now: str) -> DataFrame:
     """Ambiguous rows of which exactly one candidate has homes."""
-    a = routed.where("route = 'ambiguous'").withColumns({"row_id": F.monotonically_increasing_id(), "bbls": F.split("candidate_bbls", ",")}).drop("bbl")
+    a = keyed_by(routed.where("route = 'ambiguous'").drop("bbl"), [*COLUMNS, "candidate_bbls"]).withColumn("bbls", F.split("candidate_bbls", ","))
     d = a.join(by_residence(a, buildings, "row_id"), "row_id").withColumn("source", F.concat("source", F.lit("_tradable_tiebreak"))).withColumn("unit_label", F.col("unit"))
     return _unit_rows(d, now, 0.9, F.lit("residential_tiebreak"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.functions.text import normalize_address, normalize_unit
+from lotline.functions.text import normalize_unit, with_address
 from lotline.operators.importers import not_a_dwelling
 
 
@@ -14,11 +14,11 @@ def corroborate(listings: DataFrame, evidence: DataFrame) -> DataFrame:
 
     ``evidence``: observation_id, source_ref, address, bbl, unit_id, normalized_unit of resolved official violations. A listing is settled if the same unit and the same address are found on exactly one candidate building and as exactly one unit. One join replaces a lookup for each listing.
     """
-    d = listings.withColumns({"norm_address": normalize_address(F.col("address")), "normalized_unit": normalize_unit(F.col("unit_label"))})
+    d = with_address(listings, F.col("address")).withColumn("normalized_unit", normalize_unit(F.col("unit_label")))
     usable = (F.col("norm_address") != "") & (F.col("normalized_unit") != "") & ~not_a_dwelling(F.col("unit_label"))
     d = d.withColumn("usable", usable)
     asked = d.where("usable").select("observation_id", "norm_address", "normalized_unit", F.explode("bbls").alias("bbl"))
-    e = evidence.select("bbl", "normalized_unit", normalize_address(F.col("address")).alias("norm_address"), "unit_id", "source_ref", F.col("observation_id").alias("evidence_id"))
+    e = with_address(evidence, F.col("address")).select("bbl", "normalized_unit", "norm_address", "unit_id", "source_ref", F.col("observation_id").alias("evidence_id"))
     hit = asked.join(e, ["bbl", "normalized_unit", "norm_address"]).groupBy("observation_id").agg(F.collect_set("bbl").alias("found"), F.collect_set("unit_id").alias("unit_ids"), F.array_sort(F.collect_set("source_ref")).alias("refs"), F.array_sort(F.collect_set("evidence_id")).alias("evidence"))
     one = (F.size("found") == 1) & (F.size("unit_ids") == 1)
     out = d.join(hit, "observation_id", "left").withColumn("one", F.coalesce(one, F.lit(False)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions import ids
-from lotline.functions.text import filled, normalize_address, normalize_designation, strip
+from lotline.functions.text import filled, normalize_designation, strip, with_address
 from lotline.operators.keys import first_wins, insert_new
 
 #: House-number ranges wider than this are dirt.
@@ -27,7 +27,7 @@ def house_numbers(low: Column, high: Column, parity: Column) -> Column:
 
 def crosswalk_from_lots(lots: DataFrame, arrival: str = "arrival") -> DataFrame:
     """norm_address, bbl, borough, zipcode of lots (bbl as the feed writes it); the first row of a pair stays."""
-    d = lots.select(normalize_address(F.col("address")).alias("norm_address"), ids.float_bbl(F.col("bbl")).alias("bbl"), "borough", "zipcode", arrival)
+    d = with_address(lots, F.col("address")).select("norm_address", ids.float_bbl(F.col("bbl")).alias("bbl"), "borough", "zipcode", arrival)
     return first_wins(d.where((F.col("norm_address") != "") & F.col("bbl").isNotNull()), ["norm_address", "bbl"], arrival).drop(arrival)
 
 
@@ -38,28 +38,39 @@ def crosswalk_from_ranges(rows: DataFrame, existing: DataFrame, zips: Sequence[s
     d = d.withColumn("bbl", ids.file_bbl(F.col("boro"), F.col("block"), F.col("lot"))).where(F.col("bbl").isNotNull())
     d = d.withColumn("number", F.explode(house_numbers(F.col("lhnd"), F.col("hhnd"), F.col("parity"))))
     borough = F.create_map(*[F.lit(x) for code, _, name in ids.BOROUGHS for x in (str(code), name)])[strip(F.col("boro"))]
-    d = d.select(normalize_address(F.concat_ws(" ", "number", strip(F.col("stname")))).alias("norm_address"), "bbl", borough.alias("borough"), filled(strip(F.col("zipcode"))).alias("zipcode"), arrival)
+    d = with_address(d, F.concat_ws(" ", "number", strip(F.col("stname")))).select("norm_address", "bbl", borough.alias("borough"), filled(strip(F.col("zipcode"))).alias("zipcode"), arrival)
     new = insert_new(existing, first_wins(d.where("norm_address <> ''"), ["norm_address", "bbl"], arrival), ["norm_address", "bbl"])
     return new.orderBy(arrival, "norm_address").limit(limit).drop(arrival) if limit is not None else new.drop(arrival)
 
 
 def first_bbl(rows: DataFrame, crosswalk: DataFrame, address: str = "norm_address", zipcode: str = "zipcode") -> DataFrame:
-    """``rows`` with bbl: of the same address and zip, else of the same address; the least of several. Both lookups are unique by then, so rows never multiply."""
+    """``rows`` with bbl: of the same address and zip, else of the same address; the least of several. The crosswalk is one row an address by then, so rows never multiply."""
     c = crosswalk.where(F.col("norm_address") != "")
-    by_zip = c.groupBy(F.col("norm_address").alias("__a"), F.col("zipcode").alias("__z")).agg(F.min("bbl").alias("__by_zip"))
-    by_address = c.groupBy(F.col("norm_address").alias("__b")).agg(F.min("bbl").alias("__by_address"))
-    d = rows.join(by_zip, (F.col(address) == F.col("__a")) & (F.col(zipcode) == F.col("__z")), "left")
-    d = d.join(by_address, F.col(address) == F.col("__b"), "left")
-    return d.withColumn("bbl", F.coalesce("__by_zip", "__by_address")).drop("__a", "__z", "__b", "__by_zip", "__by_address")
+    by_zip = c.groupBy(F.col("norm_address").alias("__a"), F.col("zipcode").alias("__z")).agg(F.min("bbl").alias("__b"))
+    entries = F.collect_list(F.when(F.col("__z").isNotNull(), F.struct("__z", "__b")))
+    by_address = by_zip.groupBy("__a").agg(F.map_from_entries(entries).alias("__by_zip"), F.min("__b").alias("__least"))
+    d = rows.join(by_address, F.col(address) == F.col("__a"), "left")
+    return d.withColumn("bbl", F.coalesce(F.col("__by_zip")[F.col(zipcode)], "__least")).drop("__a", "__by_zip", "__least")
 
 
-def candidates(rows: DataFrame, addresses: DataFrame, row_id: str, address: str = "norm_address", zipcode: str = "zipcode") -> DataFrame:
+def _indexed(rows: DataFrame, addresses: DataFrame, address: str, zipcode: Column) -> DataFrame:
+    """``rows`` with __zips: the address's buildings by zip, gathered before the join, so that a lookup meets one row and not each building."""
+    sets = addresses.where(F.col("normalized") != "").groupBy(F.col("normalized").alias("__a"), zipcode.alias("__z")).agg(F.collect_set("bbl").alias("__set"))
+    return rows.join(sets.groupBy("__a").agg(F.collect_list(F.struct("__z", "__set")).alias("__zips")), F.col(address) == F.col("__a"), "left")
+
+
+def _buildings(zips: Column) -> Column:
+    return F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform(zips, lambda z: z["__set"])))), F.array().cast("array<string>"))
+
+
+def _agreeing(zipcode: Column) -> Column:
+    return F.filter("__zips", lambda z: zipcode.isNull() | z["__z"].isNull() | (z["__z"] == zipcode))
+
+
+def candidates(rows: DataFrame, addresses: DataFrame, address: str = "norm_address", zipcode: str = "zipcode") -> DataFrame:
     """``rows`` with bbls, the sorted distinct buildings of the address: zips agree, or either side has none ('' is a zip of its own)."""
-    a = addresses.select(F.col("normalized").alias("__a"), F.col("zipcode").alias("__z"), F.col("bbl").alias("__bbl"))
-    r = rows.select(row_id, F.col(address).alias("__n"), F.col(zipcode).alias("__rz")).where(F.col("__n") != "")
-    hit = r.join(a, F.col("__n") == F.col("__a")).where(F.col("__rz").isNull() | F.col("__z").isNull() | (F.col("__rz") == F.col("__z")))
-    sets = hit.groupBy(row_id).agg(F.array_sort(F.collect_set("__bbl")).alias("bbls"))
-    return rows.join(sets, row_id, "left").withColumn("bbls", F.coalesce("bbls", F.array().cast("array<string>")))
+    d = _indexed(rows, addresses, address, F.col("zipcode"))
+    return d.withColumn("bbls", _buildings(_agreeing(F.col(zipcode)))).drop("__a", "__zips")
 
 
 def status_of(bbls: Column, address: Column) -> Column:
@@ -79,27 +90,28 @@ def candidate_rows(resolved: DataFrame, row_id: str, entity: str = "building") -
     return resolved.where(F.size("bbls") > 1).select(F.col(row_id).alias("observation_id"), F.lit(entity).alias("entity_type"), F.explode("bbls").alias("candidate_id"))
 
 
-def zip_or_all(rows: DataFrame, addresses: DataFrame, row_id: str, address: str = "norm_address", zipcode: str = "zipcode") -> DataFrame:
+def zip_or_all(rows: DataFrame, addresses: DataFrame, address: str = "norm_address", zipcode: str = "zipcode") -> DataFrame:
     """As ``candidates``, but if no candidate's zip agrees all of them stay. A blank zip on either side agrees."""
-    a = addresses.select(F.col("normalized").alias("__a"), filled(F.col("zipcode")).alias("__z"), F.col("bbl").alias("__bbl"))
-    r = rows.select(row_id, F.col(address).alias("__n"), filled(F.col(zipcode)).alias("__rz")).where(F.col("__n") != "")
-    hit = r.join(a, F.col("__n") == F.col("__a"))
-    agrees = F.col("__rz").isNull() | F.col("__z").isNull() | (F.col("__rz") == F.col("__z"))
-    sets = hit.groupBy(row_id).agg(F.array_sort(F.collect_set(F.when(agrees, F.col("__bbl")))).alias("__near"), F.array_sort(F.collect_set("__bbl")).alias("__all"))
-    sets = sets.select(row_id, F.when(F.size("__near") > 0, F.col("__near")).otherwise(F.col("__all")).alias("bbls"))
-    return rows.join(sets, row_id, "left").withColumn("bbls", F.coalesce("bbls", F.array().cast("array<string>")))
+    d = _indexed(rows, addresses, address, filled(F.col("zipcode")))
+    near = _agreeing(filled(F.col(zipcode)))
+    return d.withColumn("bbls", _buildings(F.when(F.size(near) > 0, near).otherwise(F.col("__zips")))).drop("__a", "__zips")
+
+
+def keyed_by(rows: DataFrame, columns: Sequence[str], out: str = "row_id") -> DataFrame:
+    """``rows`` with a key made of their content: rows that are alike share it, and share what is found for it."""
+    return rows.withColumn(out, F.sha2(F.to_json(F.struct(*columns)), 256))
 
 
 def by_designation(rows: DataFrame, lots: DataFrame, row_id: str, unit: str) -> DataFrame:
     """row_id, bbl where exactly one candidate is a lot with the unit's designation."""
     d = lots.select(F.col("unit_lot_bbl").alias("bbl"), normalize_designation(F.col("unit_designation")).alias("__d"))
-    c = rows.select(row_id, unit, F.explode("bbls").alias("bbl")).join(d, "bbl").where(F.col("__d") == F.col(unit))
+    c = rows.dropDuplicates([row_id]).select(row_id, unit, F.explode("bbls").alias("bbl")).join(d, "bbl").where(F.col("__d") == F.col(unit))
     return c.groupBy(row_id).agg(F.count(F.lit(1)).alias("__n"), F.min("bbl").alias("bbl")).where("__n = 1").drop("__n")
 
 
 def by_residence(rows: DataFrame, buildings: DataFrame, row_id: str) -> DataFrame:
     """row_id, bbl where exactly one candidate has residential units."""
-    c = rows.select(row_id, F.explode("bbls").alias("bbl")).join(buildings.where("units_res > 0").select("bbl").distinct(), "bbl")
+    c = rows.dropDuplicates([row_id]).select(row_id, F.explode("bbls").alias("bbl")).join(buildings.where("units_res > 0").select("bbl").distinct(), "bbl")
     return c.groupBy(row_id).agg(F.count(F.lit(1)).alias("__n"), F.min("bbl").alias("bbl")).where("__n = 1").drop("__n")
 
 

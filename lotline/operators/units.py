@@ -28,7 +28,8 @@ def _order(fields: Sequence[str], marketplaces: Sequence[str]) -> Column:
 def keyed(listings: DataFrame, only_active: bool = True) -> DataFrame:
     """Listings with unit_key and unit_id: the unit's, or the row's own where it names no unit."""
     d = listings.where("status = 'active'") if only_active else listings
-    d = d.withColumn("unit_key", group_key(unit_key(F.col("address"), F.col("unit_number"), F.col("bedrooms")), F.col("source"), F.col("source_id")))
+    own = F.struct(group_key(unit_key(F.col("address"), F.col("unit_number"), F.col("bedrooms")), F.col("source"), F.col("source_id")).alias("unit_key"))
+    d = d.drop("unit_key").select("*", F.inline_outer(F.array(own)))  # a column that no later step is merged with, so that it is made once a row
     return d.withColumn("unit_id", ids.unit_id(F.col("unit_key")))
 
 

@@ -85,7 +85,7 @@ def permits(d: DataFrame) -> DataFrame:
 def dob_complaints(d: DataFrame, crosswalk: DataFrame, borough: int | None = None) -> DataFrame:
     """By address; the borough is asked of the building found."""
     d = d.where(X.filled(c("house_number")).isNotNull() & X.filled(c("house_street")).isNotNull())
-    d = d.drop("bbl").withColumn("norm_address", X.normalize_address(F.concat_ws(" ", "house_number", "house_street")))
+    d = X.with_address(d.drop("bbl"), F.concat_ws(" ", "house_number", "house_street"))
     found = first_bbl(d, crosswalk, zipcode="zip_code")
     found = found.where(ids.in_borough(c("bbl"), borough))
     category = F.when(X.filled(c("complaint_category")).isNotNull(), F.concat(F.lit("category "), "complaint_category"))
@@ -99,7 +99,7 @@ def cofo(d: DataFrame) -> DataFrame:
 
 @feed("evictions")
 def evictions(d: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    d = d.drop("bbl").where(X.filled(c("eviction_address")).isNotNull()).withColumn("norm_address", X.normalize_address(c("eviction_address")))
+    d = X.with_address(d.drop("bbl").where(X.filled(c("eviction_address")).isNotNull()), c("eviction_address"))
     found = first_bbl(d, crosswalk, zipcode="eviction_zip")
     apartment = F.when(X.filled(c("eviction_apt_num")).isNotNull(), F.concat(F.lit("apt "), "eviction_apt_num"))
     return events(found, "evictions", "eviction", c("bbl"), iso_date(c("executed_date")), X.join_labels(c("residential_commercial_ind"), apartment))
@@ -124,7 +124,8 @@ def acris_sales(master: DataFrame, legals: DataFrame, borough: int | None = None
 def requests(d: DataFrame, crosswalk: DataFrame, borough: int | None = None) -> DataFrame:
     """The feed's own BBL, else by address."""
     d = d.where(c("bbl").startswith(str(borough))) if borough else d
-    d = d.withColumn("own", ids.ten_digits(c("bbl"))).drop("bbl").withColumn("norm_address", F.when(c("own").isNull(), X.normalize_address(c("incident_address"))).otherwise(""))
+    d = d.withColumn("own", ids.ten_digits(c("bbl"))).drop("bbl")
+    d = X.with_address(d, F.when(c("own").isNull(), c("incident_address")))
     found = first_bbl(d, crosswalk, zipcode="incident_zip").withColumn("path", F.when(c("own").isNotNull(), "bbl").when(c("bbl").isNotNull(), "crosswalk").otherwise("unresolved"))
     return events(found, "sr311", "311", F.coalesce("own", "bbl"), iso_date(c("created_date")), c("complaint_type"), X.filled(X.strip(c("status"))))
 

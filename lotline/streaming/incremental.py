@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from lotline.functions.ids import borough_code, row_hash
 
@@ -29,12 +30,12 @@ def next_offset(log: DataFrame, source: str, scope: str, explicit: int | None =
 
 
 def run_offset_pages(fetch: Callable[[int, int], DataFrame], sink: Callable[[DataFrame], None], start: int | None, page: int, pages: int) -> Iterator[tuple[int, int, int]]:
-    """(offset, requested, rows) of each page; stops after a short one."""
+    """(offset, requested, rows) of each page; stops after a short one. A page is fetched once: ``sink`` runs it, and its rows are counted on the way."""
     offset = start
     for _ in range(pages if offset is not None else 0):
-        d = fetch(offset, page)
-        rows = d.count()
-        sink(d)
+        seen = Observation()
+        sink(fetch(offset, page).observe(seen, F.count(F.lit(1)).alias("rows")))
+        rows = seen.get["rows"]
         yield offset, page, rows
         if rows < page:
             return
@@ -42,21 +43,35 @@ def run_offset_pages(fetch: Callable[[int, int], DataFrame], sink: Callable[[Dat
 
 
 def run_keyset_pages(fetch: Callable[[tuple | None, int], DataFrame], sink: Callable[[DataFrame], None], cursor: tuple | None, key: tuple[str, ...], page: int, pages: int, durable: tuple | None = None, first: bool = False) -> Iterator[tuple | None]:
-    """The cursor after each page: the least key of a page in descending order (``first``: the greatest, in ascending order). A cursor given by hand is refused where a durable one exists."""
+    """The cursor after each page: the least key of a page in descending order (``first``: the greatest, in ascending order). A cursor given by hand is refused where a durable one exists. As above, ``sink`` runs a page once."""
     if cursor is not None and durable is not None:
         raise ValueError("a durable cursor exists; it can't be set by hand")
     at = durable if durable is not None else cursor
     end = F.max if first else F.min
     for _ in range(pages):
-        d = fetch(at, page)
-        r = d.agg(F.count(F.lit(1)).alias("n"), end(F.struct(*key)).alias("k")).first()
-        sink(d)
+        seen = Observation()
+        sink(fetch(at, page).observe(seen, F.count(F.lit(1)).alias("n"), end(F.struct(*key)).alias("k")))
+        r = seen.get
         at = tuple(r["k"]) if r["k"] is not None else None
         yield at
         if r["n"] < page or at is None:
             return
 
 
+def positioned(feed: DataFrame) -> DataFrame:
+    """``feed`` sorted by all its columns, with position from 0 on: what offset pages are cut from. Sorted once; to be written before pages are read."""
+    d = feed.orderBy(*feed.columns).withColumn("__id", F.monotonically_increasing_id())
+    return d.withColumns({"part": F.shiftright("__id", 33), "at": F.col("__id").bitwiseAND((1 << 33) - 1)}).drop("__id")
+
+
+def page_of(staged: DataFrame, offset: int, n: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + n`` of a written ``positioned`` feed."""
+    sizes = staged.groupBy("part").agg(F.count(F.lit(1)).alias("__size"))
+    first = sizes.withColumn("__first", F.coalesce(F.sum("__size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row for each part file
+    d = staged.join(F.broadcast(first.select("part", "__first")), "part")
+    return d.where((F.col("__first") + F.col("at")).between(offset, offset + n - 1)).drop("part", "at", "__first")
+
+
 def stage(raw: DataFrame, staged: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows that the stage lacks, by the hash of their payload: a replayed page adds nothing."""
     d = raw.withColumn("row_id", row_hash(F.col(payload))).dropDuplicates(["row_id"])
@@ -89,8 +104,8 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
 
 
 def latest_by_key(stream: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """State of a stream: each key's events, bounds and last value; the same aggregate runs on a batch."""
-    return stream.groupBy(key).agg(F.count(F.lit(1)).alias("events"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.max_by(value, ts).alias("last_value"))
+    """State of a stream: each key's events, bounds and last value; the same aggregate runs on a batch. Of values at the same time the greatest is the last."""
+    return stream.groupBy(key).agg(F.count(F.lit(1)).alias("events"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.max(F.struct(ts, value)).alias("__last")).withColumn("last_value", F.col("__last")[value]).drop("__last")
 
 
 def distinct_rows(stream: DataFrame, key: str, ts: str, late: str) -> DataFrame:

@@ -39,6 +39,84 @@ def test_records_and_catalog(spark, tmp_path, capsys):
     assert main(["catalog_report", "--db", str(db)], spark) == 0
 
 
+def table(spark, db, name, *drop):
+    d = Lake(spark, str(db)).read(name).drop(*drop)
+    return sorted(map(str, d.select(*sorted(d.columns)).collect()))
+
+
+def test_a_repeated_catalog_run_changes_nothing(spark, tmp_path, capsys):
+    db, rows, sheet = tmp_path / "db", tmp_path / "rows.json", tmp_path / "sheet.json"
+    one = {"violationid": "1", "boroid": "3", "block": "12", "lot": "7", "apartment": "6B", "housenumber": "5", "streetname": "MAIN STREET"}
+    rows.write_text(json.dumps([one, one | {"violationid": "2", "apartment": "Apt 6-b"}, one | {"violationid": "3", "apartment": None}, one | {"violationid": "1", "apartment": "7"}]))
+    sheet.write_text(json.dumps([{"listing_id": "x", "address": "5 Main Street", "unit": "9"}]))
+    args = ["catalog", "--db", db, "--rows", f"hpd_violations={rows}", "--rows", f"ose_str_snapshot={sheet}", "--now", "2026-01-01 00:00:00"]
+    assert run(spark, capsys, *args)[0] == 0
+    names = ["source_documents", "observations", "buildings", "addresses", "units", "entity_matches", "candidates", "sources"]
+    first = {n: table(spark, db, n) for n in names}
+    assert [len(first[n]) for n in names] == [4, 4, 1, 1, 3, 8, 0, 2]
+    assert run(spark, capsys, *args)[0] == 0
+    assert {n: table(spark, db, n) for n in names} == first
+    assert run(spark, capsys, *args[:-1], "2026-01-01 09:00:00")[0] == 0
+    again = {n: table(spark, db, n, "last_seen", "matched_at", "document_id") for n in names}
+    assert len(again.pop("source_documents")) == 8
+    assert all(len(again[n]) == len(first[n]) for n in again)
+    assert {r["first_seen"] for r in Lake(spark, str(db)).read("units").collect()} == {"2026-01-01 00:00:00"}
+
+
+def test_a_repeated_merge_changes_nothing(spark, tmp_path, capsys):
+    db = tmp_path / "db"
+    lake = Lake(spark, str(db))
+    lake.replace("addresses", spark.createDataFrame([("1", "5 MAIN ST", None)], "bbl string, normalized string, zipcode string"))
+    lake.replace("units", spark.createDataFrame([("u1", "1", "two", "2", "2025", "2025")], "unit_id string, bbl string, unit_label string, normalized_unit string, first_seen string, last_seen string"))
+    rows = tmp_path / "a.json"
+    rows.write_text(json.dumps([{"address": "5 Main St", "unit": "2", "source_ref": "r"}, {"address": "5 Main St", "unit": "3", "source_ref": "s"}]))
+    args = ["merge", "--db", db, "--rows", f"a={rows}", "--now", "2026-01-01 00:00:00"]
+    run(spark, capsys, *args)
+    first = {n: table(spark, db, n) for n in ("units", "observations", "entity_matches")}
+    assert [len(x) for x in first.values()] == [2, 2, 4]
+    stored = {r["normalized_unit"]: (r["unit_id"], r["unit_label"], r["first_seen"], r["last_seen"]) for r in lake.read("units").collect()}
+    assert stored["2"] == ("u1", "two", "2025", "2026-01-01 00:00:00")
+    assert {r["entity_id"] for r in lake.read("entity_matches").where("entity_type = 'unit'").collect()} == {x[0] for x in stored.values()}
+    run(spark, capsys, *args)
+    assert {n: table(spark, db, n) for n in first} == first
+
+
+def test_keyset_pages_go_on_from_a_durable_cursor(spark, tmp_path, capsys):
+    db, rows = tmp_path / "db", tmp_path / "rows.json"
+    rows.write_text(json.dumps([{"received_date": f"2026-01-0{i // 2 + 1}", "problem_id": str(i)} for i in range(7)]))
+    args = ["acquire", "--db", db, "--source", "hpd_problems", "--landed", rows, "--page-size", 3, "--keyset"]
+    assert run(spark, capsys, *args)[1] == [{"cursor": ["2026-01-03", "4"]}]
+    assert run(spark, capsys, *args, "--cursor", "2026-01-01,0")[0] == 2
+    assert run(spark, capsys, *args, "--pages-count", 5)[1] == [{"cursor": ["2026-01-01", "1"]}, {"cursor": ["2026-01-01", "0"]}]
+    assert sorted(r["problem_id"] for r in Lake(spark, str(db)).read("landed_hpd_problems").collect()) == [str(i) for i in range(7)]
+    assert run(spark, capsys, "acquire", "--db", db, "--source", "s", "--landed", rows, "--keyset")[0] == 2
+
+
+def test_slots_in_batches(spark, tmp_path, capsys):
+    db = tmp_path / "db"
+    lake = Lake(spark, str(db))
+    lake.replace("buildings", spark.createDataFrame([(str(i), i % 3) for i in range(7)], "bbl string, units_res long"))
+    for _ in range(5):
+        run(spark, capsys, "catalog", "--db", db, "--slots", "r", "--batch", 2)
+    assert lake.read("housing_capacity_slots").count() == sum(i % 3 for i in range(7))
+    assert lake.read("capacity_runs").collect()[0]["completed"]
+
+
+def test_tables_change_together(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "db"))
+    one = lambda x: spark.createDataFrame([(x,)], "x int")
+    lake.replace_all({"a": one(1), "b": one(2)})
+    old = lake.read("a")
+    lake.replace_all({"a": lake.read("b"), "b": lake.read("a")})
+    assert (lake.read("a").first()[0], lake.read("b").first()[0], old.first()[0]) == (2, 1, 1)
+    lake.append("a", one(3))
+    lake.append("c", one(4))
+    assert lake.read("a").count() == 2 and lake.has("c") and not lake.has("d")
+    for i in range(3):
+        lake.replace("a", one(i))
+    assert sum(x.name.startswith("a-") for x in (tmp_path / "db").iterdir()) == 2
+
+
 def test_pages_and_stage(spark, tmp_path, capsys):
     db, rows = tmp_path / "db", tmp_path / "rows.json"
     rows.write_text(json.dumps([{"id": str(i)} for i in range(7)]))

@@ -70,11 +70,11 @@ def addresses(spark):
 
 def test_resolution(spark):
     q = spark.createDataFrame([(1, "5 MAIN ST", "10001"), (2, "5 MAIN ST", None), (3, "5 MAIN ST", "99999"), (4, "7 MAIN ST", "10001"), (5, "7 MAIN ST", ""), (6, "", None), (7, "9 MAIN ST", None), (8, "5 MAIN ST", "")], "id int, norm_address string, zipcode string")
-    d = resolve.candidates(q, addresses(spark), "id")
+    d = resolve.candidates(q, addresses(spark))
     s = d.select("id", resolve.status_of(F.col("bbls"), F.col("norm_address")).alias("s"))
     assert rows(s, "id", "s.bbl", "s.status") == [(1, "1", "resolved"), (2, None, "ambiguous"), (3, None, "unresolved"), (4, "3", "resolved"), (5, "3", "resolved"), (6, None, "unresolved"), (7, "4", "resolved"), (8, None, "unresolved")]
     assert rows(resolve.candidate_rows(d, "id"), "observation_id", "candidate_id") == [(2, "1"), (2, "2")]
-    z = resolve.zip_or_all(q, addresses(spark), "id")
+    z = resolve.zip_or_all(q, addresses(spark))
     assert dict(rows(z, "id", F.array_join("bbls", ",")))[3] == "1,2"
     f = resolve.first_bbl(q, addresses(spark).withColumnRenamed("normalized", "norm_address"))
     assert dict(rows(f, "id", "bbl")) == {1: "1", 2: "1", 3: "1", 4: "3", 5: "3", 6: None, 7: "4", 8: "1"} and f.count() == 8
