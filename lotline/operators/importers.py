@@ -66,6 +66,13 @@ def _bbl(borough: str, own: str | None = None) -> Callable[[], Column]:
     return parts if own is None else lambda: F.coalesce(ids.catalog_bbl(c(own)), parts())
 
 
+def _sales(name: str, own: Callable[[], Column]) -> Source:
+    """Sales sheets have no id of their own: the row's facts make one."""
+    bbl = lambda: F.coalesce(ids.catalog_bbl(own()), ids.assembled_bbl(c("borough"), c("block"), c("lot")))
+    ref = lambda: ids.catalog_id("sale", bbl(), iso_date(c("sale_date")), c("address"), c("apartment_number"), c("sale_price"))
+    return Source(name, "official_sale", ref, lambda: iso_date(c("sale_date")), lambda: c("apartment_number"), lambda: sale_address(c("address"), c("apartment_number")), lambda: c("zip_code"), bbl, lambda: c("building_class_category"), lambda: c("sale_price").try_cast("double"), needs_date=True)
+
+
 SOURCES = {
     s.name: s
     for s in (
@@ -79,10 +86,8 @@ SOURCES = {
         Source("archive_unit_summary", "archived_listing_history", lambda: c("id"), lambda: iso_date(first_date(c("date"), c("scraped_at"), c("snapshot_at"))), lambda: c("unit"), lambda: c("address"), lambda: F.lit(None).cast("string"), status=lambda: c("status"), price=lambda: c("price_numeric").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8),
         Source("archive_mls_listings", "archived_listing_history", lambda: c("core_listing_id"), lambda: iso_date(first_date(c("close_date"), c("list_date"), c("update_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address"), c("unit"))["unit"], lambda: split_mls_address(c("address"), c("unit"))["street"], lambda: filled(c("zip")), status=lambda: c("listing_status"), price=lambda: F.coalesce(c("close_price").try_cast("double"), c("list_price").try_cast("double")), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("core_listing_id", "address", "unit", "zip", "listing_status", "listing_type", "home_type", "ownership_type", "list_price", "close_price", "list_date", "close_date", "update_date", "bedrooms", "bathrooms_total", "living_area_sqft", "year_built", "building_name", "source_mls", "fetched_at")),
         Source("archive_broker_listings", "archived_listing_history", lambda: c("listing_id"), lambda: iso_date(first_date(c("closed_rented_date"), c("fetched_at"), c("snapshot_at"))), lambda: split_mls_address(c("address1"), c("address2"))["unit"], lambda: split_mls_address(c("address1"), c("address2"))["street"], lambda: filled(c("zip_code")), status=lambda: c("listing_status"), price=lambda: c("price").try_cast("double"), grade="archived_secondary_source", payload_kind="archive_row", blank_is_no_dwelling=True, building_confidence=0.8, unit_confidence=0.8, fields=("listing_id", "property_id", "source_id", "listing_status", "transaction_type", "listing_type", "building_type", "property_type", "ownership", "unit_type", "address1", "address2", "zip_code", "borough", "neighborhood", "price", "bedrooms", "bathrooms", "total_bathrooms", "square_footage", "closed_rented_date", "fetched_at")),
-        *(
-            Source(name, "official_sale", lambda: ids.catalog_id("sale", F.coalesce(ids.catalog_bbl(bbl()), ids.assembled_bbl(c("borough"), c("block"), c("lot"))), iso_date(c("sale_date")), c("address"), c("apartment_number"), c("sale_price")), lambda: iso_date(c("sale_date")), lambda: c("apartment_number"), lambda: sale_address(c("address"), c("apartment_number")), lambda: c("zip_code"), lambda: F.coalesce(ids.catalog_bbl(bbl()), ids.assembled_bbl(c("borough"), c("block"), c("lot"))), lambda: c("building_class_category"), lambda: c("sale_price").try_cast("double"), needs_date=True)
-            for name, bbl in (("annualized_sales", lambda: c("bbl")), ("rolling_sales", lambda: F.lit(None).cast("string")))
-        ),
+        _sales("annualized_sales", lambda: c("bbl")),
+        _sales("rolling_sales", lambda: F.lit(None).cast("string")),
         Source("nyc_evictions", "official_eviction_event", lambda: ids.catalog_id("eviction", c("payload")), lambda: iso_date(c("executed_date")), lambda: c("eviction_apt_num"), lambda: c("eviction_address"), lambda: c("eviction_zip"), lambda: ids.catalog_bbl(c("bbl")), lambda: join_labels(c("eviction_possession"), c("ejectment")), payload_kind="nyc_open_data_row_redacted", needs_date=True, by_address_too=True, floor_is_no_dwelling=True, where=lambda: c("residential_commercial_ind") == "Residential", fields=("court_index_number", "docket_number", "eviction_address", "eviction_apt_num", "executed_date", "residential_commercial_ind", "borough", "eviction_zip", "eviction_possession", "ejectment", "bbl")),
         Source("dob_now_job_filings", "official_job_filing", lambda: c("job_filing_number"), lambda: iso_date(first_date(c("filing_date"), c("current_status_date"))), lambda: c("apt_condo_no_s"), lambda: street_address(c("house_no"), c("street_name")), lambda: c("postcode"), lambda: ids.catalog_bbl(c("bbl")), lambda: c("filing_status"), many_labels=True, extra_labels=NOT_DWELLINGS_EXTRA_FILINGS),
         Source("dob_now_approved_permits", "official_approved_permit", lambda: F.concat_ws(":", c("job_filing_number"), c("work_permit")), lambda: iso_date(first_date(c("issued_date"), c("approved_date"))), lambda: c("apt_condo_no_s"), lambda: street_address(c("house_no"), c("street_name")), lambda: c("zip_code"), lambda: ids.catalog_bbl(c("bbl")), lambda: c("permit_status"), many_labels=True, extra_labels=NOT_DWELLINGS_EXTRA_FILINGS),
@@ -114,14 +119,15 @@ def not_a_dwelling(label: Column, extra: Sequence[str] = (), floors: bool = Fals
 
 def with_unit_claim(df: DataFrame, bbl: Column, label: Column, s: Source, mined: Column | None = None, out: str = "unit") -> DataFrame:
     """``df`` with a struct(unit_id, status, confidence, rationale). The label is normalised once a row, in a column of its own that no later step is merged with."""
-    parts = F.struct(bbl.alias("bbl"), normalize_unit(label).alias("unit"), F.upper(strip(F.coalesce(label, F.lit("")))).alias("key"), (F.lit(False) if mined is None else F.coalesce(mined, F.lit(False))).alias("mined"))
+    parts = F.array(normalize_unit(label), F.upper(strip(F.coalesce(label, F.lit("")))))
     d = df.drop(out).select("*", F.explode_outer(F.array(parts)).alias("__parts"))
-    p = lambda name: F.col(f"__parts.{name}")
-    common = _common_area(p("key"), s.extra_labels, s.floor_is_no_dwelling)
-    status = F.when(p("bbl").isNull(), "unresolved").when(common, "not_a_dwelling").when(p("unit") == "", "not_a_dwelling" if s.blank_is_no_dwelling else "unresolved").when(p("mined"), "unresolved").otherwise("resolved")
-    why = F.when(p("bbl").isNull(), "no building").when(common, "the label names a common area").when(p("unit") == "", "no unit label").when(p("mined"), "mined from text").otherwise("building and unit label")
+    unit, key = F.get("__parts", F.lit(0)), F.get("__parts", F.lit(1))
+    common = _common_area(key, s.extra_labels, s.floor_is_no_dwelling)
+    text_mined = F.lit(False) if mined is None else F.coalesce(mined, F.lit(False))
+    status = F.when(bbl.isNull(), "unresolved").when(common, "not_a_dwelling").when(unit == "", "not_a_dwelling" if s.blank_is_no_dwelling else "unresolved").when(text_mined, "unresolved").otherwise("resolved")
+    why = F.when(bbl.isNull(), "no building").when(common, "the label names a common area").when(unit == "", "no unit label").when(text_mined, "mined from text").otherwise("building and unit label")
     ok = status == "resolved"
-    claim = F.struct(F.when(ok, ids.catalog_id("unit", p("bbl"), p("unit"))).alias("unit_id"), status.alias("status"), F.when(ok, s.unit_confidence).otherwise(0.0).alias("confidence"), why.alias("rationale"))
+    claim = F.struct(F.when(ok, ids.catalog_id("unit", bbl, unit)).alias("unit_id"), status.alias("status"), F.when(ok, s.unit_confidence).otherwise(0.0).alias("confidence"), why.alias("rationale"))
     return d.withColumn(out, claim).drop("__parts")
 
 
