@@ -131,22 +131,23 @@ def mix_sources(docs: DataFrame, tree: Sequence[str | Column] = TREE, weights: M
     path = F.array(*[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in tree])
     number = F.monotonically_increasing_id() if uid is None else F.col(uid)
     rows = materialize(docs.select(F.col(doc_id).cast("long").alias("doc_id"), path.alias("leaf"), token_count(F.col(text)).alias("tokens"), number.alias("uid")))
-    leaves = materialize(rows.groupBy("leaf").agg(F.sum("tokens").alias("leaf_tokens"), F.count(F.lit(1)).alias("n")))
-    count, n, tokens = leaves.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("leaf_tokens"), F.lit(0))).first()
+    leaves = rows.groupBy("leaf").agg(F.sum("tokens").alias("leaf_tokens"))
+    n, tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     total = total_tokens if total_tokens is not None else int(total_share * tokens)
-    if count <= driver_leaves:
-        supply = {tuple(r["leaf"]): r["leaf_tokens"] for r in leaves.collect()}
+    found = leaves.limit(driver_leaves + 1).collect()
+    if len(found) <= driver_leaves:
+        supply = {tuple(r["leaf"]): r["leaf_tokens"] for r in found}
         plan = [(list(k), supply[k], b) for k, b in sorted(budgets(supply, weights, total, max_epochs).items())]
         schema = T.StructType([T.StructField("leaf", T.ArrayType(T.StringType())), T.StructField("leaf_tokens", T.LongType()), T.StructField("leaf_budget", T.LongType())])
         table = F.broadcast(spark.createDataFrame(plan, schema))  # DRIVER_LEAVES rows at most
     else:
-        table = budget_table(leaves.select("leaf", "leaf_tokens"), weights, total, max_epochs, len(tree))
+        table = budget_table(leaves, weights, total, max_epochs, len(tree))
     times = lambda op: F.when(F.col("leaf_tokens") > 0, F.expr(f"leaf_budget {op} leaf_tokens")).otherwise(0).cast("long")
     rows = rows.join(table.withColumns({"whole": times("div"), "rest": times("%")}), "leaf")
     order = F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row"), F.col("uid").cast("string"))))
     bits = bits_for(n, PER_BUCKET)
     rows = rows.withColumn("u", hash60(order)).withColumn("bucket", F.shiftright("u", 60 - bits))
-    cut = prefix_sums(materialize(rows), "tokens", "bucket", ["u", "doc_id", "uid"], ["leaf"], fine_count=1 << bits)
+    cut = prefix_sums(rows, "tokens", "bucket", ["u", "doc_id", "uid"], ["leaf"], fine_count=1 << bits)
     epochs = F.when(F.col("before") < F.col("rest"), F.col("whole") + 1).otherwise(F.col("whole"))
     out = cut.withColumn("epochs", epochs).where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)))
     used = F.when(F.col("epoch") < F.col("whole"), F.col("tokens")).otherwise(F.least("tokens", F.col("rest") - F.col("before")))

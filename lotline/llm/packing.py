@@ -126,8 +126,8 @@ def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text
 
 
 def queues(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
-    """A stage table of __source, quantum (tokens a round) and phase of every source, however many there are."""
-    own = materialize(rows.groupBy("source").agg(F.sum("tokens").cast("double").alias("t")))
+    """__source, quantum (tokens a round) and phase of every source, however many there are. ``rows`` is a stage table, of which narrow columns are read twice."""
+    own = rows.groupBy("source").agg(F.sum("tokens").cast("double").alias("t"))
     if targets:
         schema = T.StructType([T.StructField("__s", T.StringType()), T.StructField("w", T.DoubleType())])
         given = rows.sparkSession.createDataFrame([(k, float(w)) for k, w in targets.items() if w > 0], schema)
@@ -137,7 +137,7 @@ def queues(rows: DataFrame, targets: Mapping[str, float] | None = None, window:
     whole = (high or 0.0) + floor * n or 1.0
     quantum = F.when(F.col("t") > 0, F.col("t")).otherwise(floor) * F.lit(window / whole)
     phase = F.pmod(F.xxhash64("source"), F.lit(grain * 64)).cast("double") / 64
-    return materialize(own.select(F.col("source").alias("__source"), quantum.alias("quantum"), phase.alias("phase")))
+    return own.select(F.col("source").alias("__source"), quantum.alias("quantum"), phase.alias("phase"))
 
 
 def cuts(before: int, tokens: int, quantum: float, phase: float, grain: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
