@@ -29,6 +29,10 @@ def stage_tables() -> int:
     return len(_written)
 
 
+def stage_tables_since(since: int) -> list[str]:
+    return _written[since:]
+
+
 def drop_stage_tables(spark: SparkSession, since: int = 0) -> None:
     """Removes the stage tables that this process wrote (all, or those after the first ``since``). Results that rest on them and were not yet written or collected can't be read after that."""
     while len(_written) > since:
