@@ -24,7 +24,7 @@ M = BANDS * ROWS
 #: Nodes of a block and bytes of its shingles, for groups that are compared in full.
 BLOCK, BLOCK_BYTES = 512, 16 << 20
 #: Turns in which a node is compared with one head of its groups.
-SINGLE_TURNS = 3
+SINGLE_TURNS = 1
 #: Words that one step of the signature code holds.
 SLICE_WORDS, SLICE_DOCS = 400_000, 4_000
 
