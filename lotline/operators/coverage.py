@@ -64,6 +64,11 @@ def membership(unexpired: Column, registered: Column, units_res: Column) -> Colu
     )
 
 
+def claim_counts(unit_claims: DataFrame) -> DataFrame:
+    """By building: resolved claims, and the distinct units that official sources name."""
+    return unit_claims.groupBy("bbl").agg(F.count(F.lit(1)).alias("unit_claims"), F.count_distinct(F.when(F.col("grade") == "source_document", F.col("unit_id"))).alias("official_units"))
+
+
 def registration_coverage(registrations: DataFrame, buildings: DataFrame, unit_claims: DataFrame) -> DataFrame:
     """Every building that is registered or residential, with its class and unit counts.
 
@@ -71,7 +76,7 @@ def registration_coverage(registrations: DataFrame, buildings: DataFrame, unit_c
     """
     hpd = registrations.groupBy("bbl").agg(F.bool_or(F.col("timing") == "unexpired").alias("unexpired"), F.count(F.lit(1)).alias("registrations"))
     lots = buildings.where("units_res > 0").select("bbl", "units_res")
-    counts = unit_claims.groupBy("bbl").agg(F.count(F.lit(1)).alias("unit_claims"), F.count_distinct(F.when(F.col("grade") == "source_document", F.col("unit_id"))).alias("official_units"))
+    counts = claim_counts(unit_claims)
     bbls = hpd.select("bbl").union(lots.select("bbl")).distinct()
     d = bbls.join(hpd, "bbl", "left").join(lots, "bbl", "left").join(counts, "bbl", "left")
     no = F.lit(False)

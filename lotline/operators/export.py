@@ -25,6 +25,11 @@ def unit_observations(matches: DataFrame, observations: DataFrame) -> DataFrame:
     return m.join(observations, "observation_id").select(*OBSERVATIONS)
 
 
+def rows_in_order(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """What a file holds: the columns as text in their order, null as '', sorted."""
+    return df.select(*columns).orderBy(*order).select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in columns])
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str]) -> int:
     """One CSV file with a header, in order; null is an empty field. The rows come to the driver partition by partition."""
     rows = 0
@@ -33,8 +38,8 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[
 
         out = csv.writer(f)
         out.writerow(columns)
-        for r in df.select(*columns).orderBy(*order).toLocalIterator(prefetchPartitions=True):
-            out.writerow(["" if v is None else v for v in r])
+        for r in rows_in_order(df, columns, order).toLocalIterator(prefetchPartitions=True):
+            out.writerow(r)
             rows += 1
     return rows
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -86,9 +86,14 @@ def match_upsert(current: DataFrame, incoming: DataFrame, order: str = "pass_no"
     return last_wins(current.unionByName(incoming), ["observation_id", "entity_type"], order)
 
 
+def names(raw: Column, marker: str) -> Column:
+    """Whether a text holds the marker, in any case."""
+    return raw.ilike(f"%{marker}%")
+
+
 def demote(matches: DataFrame, units: DataFrame, observations: DataFrame, marker: str = "TEXT_MINED") -> tuple[DataFrame, DataFrame]:
     """Unit claims of observations whose raw fields name ``marker`` become unresolved, and units without another resolved claim go."""
-    mined = observations.where(F.col("raw_fields").ilike(f"%{marker}%")).select("observation_id").distinct().withColumn("__mined", F.lit(True))
+    mined = observations.where(names(F.col("raw_fields"), marker)).select("observation_id").distinct().withColumn("__mined", F.lit(True))
     m = matches.join(mined, "observation_id", "left").withColumn("__was", F.col("__mined").isNotNull() & (F.col("entity_type") == "unit") & (F.col("status") == "resolved"))
     touched = m.where("__was").select(F.col("entity_id").alias("unit_id")).distinct()
     new = {"entity_id": F.when(F.col("__was"), F.lit(None)).otherwise(F.col("entity_id")), "status": F.when(F.col("__was"), F.lit("unresolved")).otherwise(F.col("status")), "confidence": F.when(F.col("__was"), F.lit(0.0)).otherwise(F.col("confidence"))}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import numbers
-from lotline.operators import keys, rollup
+from lotline.operators import coverage, export, keys, rollup
 from lotline.operators.coverage import distribution
 from lotline.plans.catalog import query, read
 
@@ -30,28 +30,32 @@ def j02_best_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.best(read(spark, sf_dir, "orders"), ["o_custkey"], [rank, c("o_orderkey")]).select("o_custkey", "o_orderkey", "o_orderpriority")
 
 
-@query("SELECT c_mktsegment, count(*) AS customers, count(o.o_custkey) AS with_orders FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') o ON o.o_custkey = c_custkey GROUP BY c_mktsegment")
+@query("SELECT c_mktsegment AS source, count(*) AS listings, count(o.o_custkey) AS resolved FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') o ON o.o_custkey = c_custkey GROUP BY c_mktsegment")
 def j09_left_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hit = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_custkey").distinct()
-    return read(spark, sf_dir, "customer").join(hit, c("c_custkey") == c("o_custkey"), "left").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), F.count("o_custkey").alias("with_orders"))
+    cu = read(spark, sf_dir, "customer").select(c("c_custkey").alias("source_id"), c("c_mktsegment").alias("source"))
+    hit = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(c("o_custkey").alias("source_id")).join(cu, "source_id")
+    return coverage.listing_coverage(cu.withColumns({"zipcode": F.lit(" "), "status": F.lit("active")}), hit).select("source", "listings", "resolved")
 
 
-@query("SELECT c_nationkey, count(*) AS claims, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS filled_orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus <> 'P' LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R' GROUP BY c_nationkey")
+@query("SELECT c_nationkey AS bbl, count(*) AS unit_claims, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS official_units FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus <> 'P' LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R' GROUP BY c_nationkey")
 def j10_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     l = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")  # noqa: E741
     d = read(spark, sf_dir, "customer").join(o, (c("o_custkey") == c("c_custkey")) & (c("o_orderstatus") != "P"), "left")
     d = d.join(l, (c("l_orderkey") == c("o_orderkey")) & (c("l_returnflag") == "R"), "left")
-    return d.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("claims"), F.count_distinct(F.when(c("o_orderstatus") == "F", c("o_orderkey"))).alias("filled_orders"))
+    return coverage.claim_counts(d.select(c("c_nationkey").alias("bbl"), c("o_orderkey").alias("unit_id"), F.when(c("o_orderstatus") == "F", "source_document").alias("grade")))
 
 
-@query("SELECT n_nationkey, coalesce(c, 0) AS customers, coalesce(s, 0) AS suppliers FROM (SELECT c_nationkey AS n_nationkey FROM customer UNION SELECT s_nationkey FROM supplier) LEFT JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS c FROM customer GROUP BY 1) USING (n_nationkey) LEFT JOIN (SELECT s_nationkey AS n_nationkey, count(*) AS s FROM supplier GROUP BY 1) USING (n_nationkey)")
+@query("""
+WITH hpd AS (SELECT s_nationkey AS k, bool_or(s_acctbal > 5000) AS unexpired FROM supplier GROUP BY 1), lots AS (SELECT n_nationkey AS k, n_regionkey AS u FROM nation WHERE n_regionkey > 0), counts AS (SELECT c_nationkey AS k, count(*) AS n, count(DISTINCT CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey END) AS d FROM customer GROUP BY 1)
+SELECT k::VARCHAR AS bbl, u AS units_res, coalesce(n, 0) AS unit_claims, coalesce(d, 0) AS official_units, CASE WHEN unexpired AND u > 0 THEN 'hpd_unexpired_pluto_residential' WHEN unexpired THEN 'hpd_unexpired_no_positive_pluto_count' WHEN unexpired IS NOT NULL AND u > 0 THEN 'hpd_expired_pluto_residential' WHEN u > 0 THEN 'pluto_residential_not_hpd_unexpired' ELSE 'hpd_only_no_pluto_lot' END AS membership_status
+FROM (SELECT k FROM hpd UNION SELECT k FROM lots) LEFT JOIN hpd USING (k) LEFT JOIN lots USING (k) LEFT JOIN counts USING (k)
+""")
 def j11_left_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cu, su = read(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey"), read(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
-    every = cu.select("n_nationkey").union(su.select("n_nationkey")).distinct()
-    count = lambda d, out: d.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias(out))
-    zero = lambda n: F.coalesce(n, F.lit(0)).alias(n)
-    return every.join(count(cu, "customers"), "n_nationkey", "left").join(count(su, "suppliers"), "n_nationkey", "left").select("n_nationkey", zero("customers"), zero("suppliers"))
+    regs = read(spark, sf_dir, "supplier").select(c("s_nationkey").cast("string").alias("bbl"), F.when(c("s_acctbal") > 5000, "unexpired").otherwise("expired").alias("timing"))
+    lots = read(spark, sf_dir, "nation").select(c("n_nationkey").cast("string").alias("bbl"), c("n_regionkey").alias("units_res"))
+    claims = read(spark, sf_dir, "customer").select(c("c_nationkey").cast("string").alias("bbl"), c("c_custkey").alias("unit_id"), F.when(c("c_mktsegment") == "BUILDING", "source_document").otherwise("other").alias("grade"))
+    return coverage.registration_coverage(regs, lots, claims)
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)")
@@ -173,11 +177,11 @@ def u04_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(read(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(c("s_nationkey").alias("nation")), "nation", "left_anti")
 
 
-@query("SELECT o_orderkey, o_orderstatus, l_linenumber, coalesce(CASE WHEN l_linenumber > 1 THEN l_returnflag END, '') AS flag FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P' ORDER BY 1, 3")
+@query("SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, l_linenumber::VARCHAR AS l_linenumber, coalesce(CASE WHEN l_linenumber > 1 THEN l_returnflag END, '') AS flag FROM orders JOIN lineitem ON l_orderkey = o_orderkey ORDER BY orders.o_orderkey, lineitem.l_linenumber")
 def k05_export_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_orderstatus")
-    l = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag")  # noqa: E741
-    return o.join(l, "o_orderkey").select("o_orderkey", "o_orderstatus", "l_linenumber", F.coalesce(F.when(c("l_linenumber") > 1, c("l_returnflag")), F.lit("")).alias("flag")).orderBy("o_orderkey", "l_linenumber")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    l = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("o_orderkey"), "l_linenumber", F.when(c("l_linenumber") > 1, c("l_returnflag")).alias("flag"))  # noqa: E741
+    return export.rows_in_order(o.join(l, "o_orderkey"), ["o_orderkey", "o_orderstatus", "l_linenumber", "flag"], ["o_orderkey", "l_linenumber"])
 
 
 @query("SELECT o_orderstatus AS path, count(*) AS n FROM orders GROUP BY 1")

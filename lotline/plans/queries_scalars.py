@@ -7,39 +7,45 @@ from pyspark.sql import functions as F
 
 from lotline.functions import dates, geo, ids, numbers
 from lotline.functions import text as X
-from lotline.functions.documents import json_field
+from lotline.functions.documents import groups, json_field
 from lotline.operators import enrich
 from lotline.operators.importers import not_a_dwelling
 from lotline.operators.resolve import house_numbers
 from lotline.operators.units import completeness
+from lotline.operators.upsert import names
 from lotline.plans.catalog import query, read
 
 c = F.col
 
 
+# The rules' words, written out anew for the SQL.
+SQL_NOISE = [r"\b\d+\s?BEDS?\b", r"\bSTUDIO\b", r"\b\d+\s?BR\b", r"\b\d+\s?BATH\w*\b", r"\bNO FEE\b", r"\bFURNISHED\b", r"\bDUPLEX\b"]
+SQL_WORDS = "FIRST 1 SECOND 2 THIRD 3 FOURTH 4 FIFTH 5 SIXTH 6 SEVENTH 7 EIGHTH 8 NINTH 9 TENTH 10 ELEVENTH 11 TWELFTH 12 EAST E WEST W NORTH N SOUTH S SAINT ST FT FORT PLZ PLAZA".split()
+SQL_TYPES = "STREET ST AVENUE AVE BOULEVARD BLVD PLACE PL ROAD RD DRIVE DR LANE LN TERRACE TERR PARKWAY PKWY COURT CT SQUARE SQ HIGHWAY HWY TURNPIKE TPKE".split()
+
+
 def _sql_address(a: str) -> str:
     """The address rules in SQL, for ASCII text."""
     e = f"regexp_replace(upper(coalesce({a}, '')), '^\\s+|\\s+$', '', 'g')"
     e = f"regexp_replace({e}, '[,.]', ' ', 'g')"
-    for noise in X.LISTING_NOISE:
+    for noise in SQL_NOISE:
         e = f"regexp_replace({e}, '{noise}', ' ', 'g')"
-    for word, to in X.ORDINALS + X.DIRECTIONS + X.SAME_WORDS:
+    for word, to in zip(SQL_WORDS[::2], SQL_WORDS[1::2], strict=True):
         e = f"regexp_replace({e}, '\\b{word}\\b', '{to}', 'g')"
-    for part, to in X.STREET_TYPES:
-        e = f"replace({e}, '{part}', '{to}')"
-    e = f"regexp_replace({e}, '\\b(?:{X.UNIT_WORDS_IN_ADDRESS})\\b.*$|#.*$', '')"
+    for part, to in zip(SQL_TYPES[::2], SQL_TYPES[1::2], strict=True):
+        e = f"replace({e}, ' {part}', ' {to}')"
+    e = f"regexp_replace({e}, '\\b(?:APARTMENT|APT|UNIT|STE|SUITE|FL|FLOOR|RM|ROOM)\\b.*$|#.*$', '')"
     e = f"regexp_replace({e}, '(\\d+)(?:ST|ND|RD|TH)\\b', '\\1', 'g')"
-    e = f"regexp_replace({e}, '\\b({X.ENDS_OF_STREETS})\\s+\\d+[A-Z]?$', '\\1')"
+    e = f"regexp_replace({e}, '\\b(ST|AVE|BLVD|PL|RD|DR|LN|TERR|PKWY|CT|SQ|HWY|TPKE|PLAZA|CIRCLE|PARK|WALK|ROW)\\s+\\d+[A-Z]?$', '\\1')"
     return f"trim(regexp_replace({e}, '\\s+', ' ', 'g'))"
 
 
 def _sql_unit(u: str) -> str:
-    e = f"regexp_replace(upper(coalesce({u}, '')), '\\b(?:{X.UNIT_WORDS})\\b\\.?', '', 'g')"
+    e = f"regexp_replace(upper(coalesce({u}, '')), '\\b(?:APT|APARTMENT|UNIT|STE|SUITE|FL|FLOOR|RM|ROOM|NO)\\b\\.?', '', 'g')"
     e = f"regexp_replace({e}, '[^A-Z0-9]', '', 'g')"
     return f"(CASE WHEN regexp_full_match({e}, '[0-9]+') THEN CAST(CAST({e} AS BIGINT) AS VARCHAR) ELSE {e} END)"
 
 
-
 def address() -> Column:
     return F.concat(c("p_partkey").cast("string"), F.lit(" West "), (c("p_size") + 1).cast("string"), F.lit("th Street, Apt "), c("p_brand"))
 
@@ -191,14 +197,15 @@ def f65_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS links, len(list_distinct(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1))) AS distinct_links, length(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g'))) AS text_chars FROM pages")
 def s11_html_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    body = F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), "[ \\t\\n\\r]+", " "))
-    return read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(links).cast("long").alias("links"), F.size(F.array_distinct(links)).cast("long").alias("distinct_links"), F.length(body).cast("long").alias("text_chars"))
+    links = groups(c("html"), 'href="([^"]*)"', "href")
+    title = F.coalesce(F.get(groups(c("html"), "<title>([^<]*)</title>", "title"), F.lit(0))["title"], F.lit(""))
+    body = X.strip_tags(c("html"))
+    return read(spark, sf_dir, "pages").select("page_id", title.alias("title"), F.size(links).cast("long").alias("links"), F.size(F.array_distinct(links)).cast("long").alias("distinct_links"), F.length(body).cast("long").alias("text_chars"))
 
 
 @query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1))) AS link FROM pages")
 def s13_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).alias("link"))
+    return read(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(groups(c("html"), 'href="([^"]*)"', "href"))).alias("link")).select("page_id", "link.href").withColumnRenamed("href", "link")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'missing' WHEN strftime(o_orderdate, '%Y-%m-%d') >= '1996-01-01' THEN 'unexpired' ELSE 'expired' END AS timing FROM orders")
@@ -222,8 +229,8 @@ def p15_not_a_dwelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_partkey, p_type ILIKE '%brass%' OR p_brand = 'Brand#11' AS marked FROM part WHERE p_type ILIKE '%steel%' OR p_size BETWEEN 1 AND 10")
 def p13_case_blind_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "part").where(c("p_type").ilike("%steel%") | c("p_size").between(1, 10))
-    return d.select("p_partkey", (c("p_type").ilike("%BRASS%") | (c("p_brand") == "Brand#11")).alias("marked"))
+    d = read(spark, sf_dir, "part").where(names(c("p_type"), "steel") | c("p_size").between(1, 10))
+    return d.select("p_partkey", (names(c("p_type"), "BRASS") | (c("p_brand") == "Brand#11")).alias("marked"))
 
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 3 AND starts_with(n_nationkey::VARCHAR, '2')")
