@@ -23,30 +23,25 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 @query("SELECT user_id, count(*) AS events, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY user_id")
 def t02_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State by key, kept by the stream and replaced as a whole at each batch."""
+    """State by key: a batch writes the keys that it changed, and the last state of a key counts."""
     stream, at = _landed(spark, sf_dir)
     state = incremental.latest_by_key(stream, "user_id", "ts", "value")
-    q = state.writeStream.outputMode("complete").foreachBatch(lambda d, _: d.write.mode("overwrite").parquet(f"{at}/state")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    q = state.writeStream.outputMode("update").foreachBatch(lambda d, i: d.write.mode("overwrite").parquet(f"{at}/state/batch={i}")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    text = lambda n: F.date_format(n, "yyyy-MM-dd HH:mm:ss").alias(n)
-    return spark.read.parquet(f"{at}/state").select("user_id", "events", text("first_seen"), text("last_seen"))
+    last = spark.read.parquet(f"{at}/state").groupBy("user_id").agg(F.max_by(F.struct("events", "first_seen", "last_seen"), "batch").alias("s"))
+    text = lambda n: F.date_format(f"s.{n}", "yyyy-MM-dd HH:mm:ss").alias(n)
+    return last.select("user_id", "s.events", text("first_seen"), text("last_seen"))
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY event_type")
 def t06_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages that are delivered twice add nothing: batches are staged by the hash of their payload."""
+    """Pages that are delivered twice add nothing: the stream keeps the hashes of the payloads that it has seen."""
     stream, at = _landed(spark, sf_dir)
-    columns = "event_id long, event_type string, payload string, row_id string, resolved_at string"
-
-    def apply(d: DataFrame, batch: int) -> None:
-        s = d.sparkSession
-        raw = d.select("event_id", "event_type", F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("payload"))
-        for _ in range(2):  # the second delivery of the same page
-            staged = s.read.schema(columns).parquet(f"{at}/stage/*") if batch or _ else s.createDataFrame([], columns)
-            incremental.stage(raw, staged).select("event_id", "event_type", "payload", "row_id", "resolved_at").write.mode("overwrite").parquet(f"{at}/stage/{batch}-{_}")
-
-    incremental.run_available(stream, apply, f"{at}/checkpoint")
-    return spark.read.schema(columns).parquet(f"{at}/stage/*").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+    again, _ = _landed(spark, sf_dir)
+    page = lambda d: d.select("event_id", "event_type", F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("payload"))
+    new = incremental.stage_stream(page(stream).union(page(again)))
+    incremental.run_available(new, lambda d, i: d.write.mode("overwrite").parquet(f"{at}/stage/batch={i}"), f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/stage").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
 @query("SELECT event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS n FROM events GROUP BY ALL")

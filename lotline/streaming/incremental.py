@@ -78,6 +78,11 @@ def stage(raw: DataFrame, staged: DataFrame, payload: str = "payload") -> DataFr
     return d.join(staged.select("row_id"), "row_id", "left_anti").withColumn("resolved_at", F.lit(None).cast("string"))
 
 
+def stage_stream(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """The same of a stream: the state holds a hash for each payload, and a batch reads no more than itself."""
+    return raw.withColumn("row_id", row_hash(F.col(payload))).dropDuplicates(["row_id"]).withColumn("resolved_at", F.lit(None).cast("string"))
+
+
 def mark_resolved(staged: DataFrame, done: DataFrame, now: str) -> DataFrame:
     """After the catalog has the rows: when they were resolved. Repeating it changes nothing."""
     d = done.select("row_id").distinct().withColumn("__done", F.lit(True))
