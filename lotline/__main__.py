@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -20,7 +21,7 @@ from lotline.functions import ids
 from lotline.lake import Lake
 from lotline.functions.text import normalize_unit
 from lotline.operators import coverage, export, importers, keys, merges, portfolios, reconcile, resolve, rollup, units, upsert
-from lotline.sources import landing, records, registry
+from lotline.sources import landing, records, registry, requests
 from lotline.sources.listings import MARKETPLACES, liveness
 from lotline.streaming import incremental
 
@@ -327,10 +328,29 @@ def health(lake: Lake, a: argparse.Namespace) -> int:
         for r in live:
             print(f"{'up' if r['live'] else 'DOWN':4} {r['source']} {r['rows']}")
     print(f"{len(live) - len(down)} of {len(live)} feeds have rows")
+    if a.readme:
+        with open(a.readme, encoding="utf-8") as f:
+            text = f.read()
+        block = export.status_block([(r["source"], r["rows"], r["live"]) for r in live], a.now[:10], *STATUS_MARKS)
+        with open(a.readme, "w", encoding="utf-8") as f:
+            f.write(export.with_block(text, block, *STATUS_MARKS))
     return len(down)
 
 
-COMMANDS = {"scrape": scrape, "build_record": build_record, "catalog": catalog, "acquire": acquire, "stage": stage, "catalog_export": release, "catalog_report": report, "healthcheck": health, "merge": merge}
+def new_feed(lake: Lake, a: argparse.Namespace) -> int:
+    """A module with an empty feed, --source NAME --out FOLDER; a file that is there stays."""
+    path = os.path.join(a.out or ".", f"{requests.feed_name(a.source)}.py")
+    if os.path.exists(path):
+        print(f"{path} exists", file=sys.stderr)
+        return 1
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(requests.feed_module(a.source))
+    print(path)
+    return 0
+
+
+COMMANDS = {"scrape": scrape, "build_record": build_record, "catalog": catalog, "acquire": acquire, "stage": stage, "catalog_export": release, "catalog_report": report, "healthcheck": health, "merge": merge, "new_feed": new_feed}
+STATUS_MARKS = ("<!-- feeds -->", "<!-- /feeds -->")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -345,6 +365,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", default="feed")
     p.add_argument("--out")
     p.add_argument("--release-id")
+    p.add_argument("--readme", help="a file whose table of feeds healthcheck renews")
     p.add_argument("--commit")
     p.add_argument("--boro")
     p.add_argument("--slots", metavar="RUN")

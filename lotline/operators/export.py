@@ -76,6 +76,19 @@ def release(out_dir: str, units: DataFrame, observed: DataFrame, sources: DataFr
         raise
 
 
+def status_block(feeds: Sequence[tuple[str, int, bool]], day: str, begin: str, end: str) -> str:
+    """A table of feeds (name, rows, live) between two marks: live ones first, then by name."""
+    lines = [f"| `{n}` | {'live' if live else 'down'} | {rows if live else '-'} |" for n, rows, live in sorted(feeds, key=lambda f: (not f[2], f[0]))]
+    return "\n".join([begin, f"{sum(f[2] for f in feeds)} of {len(feeds)} feeds live on {day}", "", "| feed | status | listings |", "|---|---|---|", *lines, end])
+
+
+def with_block(text: str, block: str, begin: str, end: str) -> str:
+    """``text`` with the block in the place of the one between the marks; as it is where a mark lacks."""
+    if begin not in text or end not in text:
+        return text
+    return text[: text.index(begin)] + block + text[text.index(end) + len(end) :]
+
+
 def quality_report(tables: Mapping[str, DataFrame], release_id: str, commit: str | None = None) -> dict:
     """Counts, distributions and open gaps. Only aggregates reach the driver."""
     count = {k: df.count() for k, df in tables.items()}
