@@ -2,7 +2,7 @@
 
 A text is normalised (lower case A-Z, no copyright lines, equivalent spellings made one, punctuation and white space folded to single spaces) and the digest of the whole of it is joined with the digests of known license texts and notices. Documents are looked up as a whole, and each of their lines as a text of its own, so that a notice among other text is found too.
 
-Null and empty texts have no license. Lines that repeat count each. The known table is small (a constant of the library, unless one is given), so it is broadcast. Other columns play no part.
+Null and empty texts have no license. Lines that repeat count each; of licenses with the same canonical text the least name counts. A very long text is made canonical whole, in the memory of a few copies of it. An empty table gives an empty result. The known table is small (a constant of the library, unless one is given), so it is broadcast. Other columns play no part.
 """
 
 from __future__ import annotations
