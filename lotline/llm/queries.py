@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm import chat, exact_dedup, fingerprints, language_id, licenses, mixing, near_dedup, packing, secrets, sharding
+from lotline.llm import centroids, chat, exact_dedup, fingerprints, language_id, licenses, mixing, near_dedup, ngram_join, packing, secrets, sharding, spelling
 from lotline.llm.common import LOWER, UPPER, read
 
 
@@ -131,6 +131,67 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(docs).select("doc_id", "class_id", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of whole texts; of every 31st (document, word), by hash, the text lacks a letter."""
+    d = read(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(spelling.runs(F.col("text"))).alias("run"))
+    d = d.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    word = F.when(F.col("h") % 31 == 0, spelling.without(F.col("run"), F.pmod("h", F.length("run")).cast("int"))).otherwise(F.col("run"))
+    return spelling.variants(d.select(word.alias("word")).where(F.length("word") >= spelling.MIN_LETTERS))
+
+
+OP11_SQL = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{LOWER}') AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM (SELECT run, n, hex(encode(doc_id || ':' || run)) AS x FROM runs), crc),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+emitted AS (SELECT DISTINCT word, n, key FROM (SELECT word, n, word AS key FROM words UNION ALL SELECT word, n, substr(word, 1, i) || substr(word, i + 2) FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words))),
+near AS (SELECT DISTINCT a.word AS word, a.n AS n, b.word AS other, b.n AS m FROM emitted a JOIN emitted b USING (key) WHERE a.word <> b.word
+  AND CASE length(a.word) - length(b.word) WHEN 0 THEN len(list_filter(range(1, length(a.word) + 1), lambda i: substr(a.word, i, 1) <> substr(b.word, i, 1))) = 1 WHEN 1 THEN key = b.word WHEN -1 THEN key = a.word ELSE false END),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, encode(other))) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN other END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at, form FROM formed UNION ALL SELECT chain.word, chain.form, f.form FROM chain JOIN formed f ON chain.form = f.word)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain USING (word) WHERE chain.form IS NULL
+"""
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT uid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
+t AS MATERIALIZED (SELECT uid, len(g) AS n, unnest(g) AS g FROM s),
+cand AS (SELECT a.uid AS a, b.uid AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common FROM t a JOIN t b ON a.g = b.g AND a.uid < b.uid AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n GROUP BY ALL),
+pairs AS (SELECT a, b FROM cand WHERE 100 * common >= 90 * (n + m - common)),
+links AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT uid, uid AS at FROM s UNION SELECT reach.uid, links.b FROM reach JOIN links ON reach.at = links.a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, c.component_id FROM s JOIN (SELECT reach.uid, min(o.doc_id) AS component_id FROM reach JOIN s o ON reach.at = o.uid GROUP BY reach.uid) c USING (uid)
+"""
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("scans")
+
+
+def _op13_sql() -> str:
+    """Each round: the least (distance, number) of each vector, then exact floors of means, or the old centroid."""
+    far = "list_sum(list_transform(range(1, 65), lambda i: (e.v[i] - c.v[i]) * (e.v[i] - c.v[i])))::BIGINT"
+    ctes = []
+    for r in range(4):
+        ctes.append(f"a{r} AS MATERIALIZED (SELECT uid, min((d, c)) AS best FROM (SELECT uid, c.c, {far} AS d FROM e, c{r} c) GROUP BY uid)")
+        if r < 3:
+            ctes.append(f"m{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (SELECT a.best[2] AS c, i, sum(e.v[i]) AS s, count(*) AS n FROM a{r} a JOIN e USING (uid), range(1, 65) r(i) GROUP BY ALL) GROUP BY c)")
+            ctes.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(m{r}.v, o.v) AS v FROM c{r} o LEFT JOIN m{r} USING (c))")
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), v) - 1)::INTEGER AS c, v FROM e ORDER BY c LIMIT 16),
+{", ".join(ctes)},
+f AS (SELECT vec_id, best[2] AS cluster, best[1] AS distance FROM a3 JOIN e USING (uid))
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256 FROM f JOIN c3 ON c = cluster
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -138,8 +199,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_sharding, op4_fingerprints, op5_license_scan, op6_exact_dedup, op7_chat_formatting, op8_mixing, op9_language_id, op10_near_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_sharding, op4_fingerprints, op5_license_scan, op6_exact_dedup, op7_chat_formatting, op8_mixing, op9_language_id, op10_near_dedup, op11_spelling_variants, op12_ngram_join, op13_centroids, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_mixing": _op8_sql()}
+    return {"op5_license_scan": _op5_sql(), "op6_exact_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_mixing": _op8_sql(), "op11_spelling_variants": OP11_SQL, "op12_ngram_join": OP12_SQL, "op13_centroids": _op13_sql()}

@@ -22,4 +22,4 @@ def test_query(spark, sql, name):
 
 
 def test_all_queries_are_registered():
-    assert len(Q.queries()) == 11 and set(Q.oracle_sql()) < set(Q.queries()) and duckdb
+    assert len(Q.queries()) == 14 and set(Q.oracle_sql()) < set(Q.queries()) and duckdb
