@@ -140,6 +140,9 @@ def dedup(docs: DataFrame, batch: Column | None = None, text: str = "text", doc_
 
     ``batch``: the number of the load that a row came with, from 0 on (without it all rows are one load, which meets no snapshot). ``uid``: a column that numbers the rows of a stage table, if there is one.
     """
+    if uid is None:  # texts are found by number later, whatever their doc_id
+        docs = materialize(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), (F.lit(0) if batch is None else batch).alias("batch"), F.monotonically_increasing_id().alias("uid")))
+        text, doc_id, uid, batch = "text", "doc_id", "uid", F.col("batch")
     rows = digests(docs, F.lit(0) if batch is None else batch, text, doc_id, uid)
     buckets = max(1, rows.count() // bucket_rows)
     groups = materialize(group(rows).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")))

@@ -1,6 +1,6 @@
 """Language ID by compression: text is encoded with zstandard against a raw-content dictionary of each language, and the smallest encoding wins.
 
-The dictionaries are raw text of each language, from a bounded sample of labelled rows: ``SAMPLE_DOCS`` documents a language, chosen by a hash of their id, up to ``DICT_BYTES`` bytes in all, from a seeded place in each. Whole texts are encoded, in chunks of ``CHUNK`` characters so that a long text doesn't become its own dictionary. Every chunk follows the same ``FILLER``, which encodes to a few bytes and keeps the encoder from storing a short chunk as it is. Texts of all lengths go the same way.
+The dictionaries are raw text of each language, from a bounded sample of labelled rows: ``SAMPLE_DOCS`` documents a language, chosen by a hash of their id and text, up to ``DICT_BYTES`` bytes in all, from a seeded place in each. Whole texts are encoded, in chunks of ``CHUNK`` characters so that a long text doesn't become its own dictionary. Every chunk follows the same ``FILLER``, which encodes to a few bytes and keeps the encoder from storing a short chunk as it is. Texts of all lengths go the same way.
 
 A document is rejected when the margin, the share of its size that the best language saves against the second best, is below ``MIN_MARGIN``: the bytes asked for grow with the text.
 
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_DOCS, DICT_BYTES, CHUNK, LEVEL = 64, 65_536, 4_000, 12
+#: Languages that get a dictionary, those with the most labelled rows first: each is one more encoding of every text.
+MAX_LANGS = 128
 FILLER = b" " * 128
 MIN_MARGIN = 0.02
 UND = "und"
@@ -30,17 +32,17 @@ def plain(text: str) -> str:
     return between_words(" ", text.lower())
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """Language -> dictionary. Reads lang and doc_id of all labelled rows, but texts of about ``sample_docs`` rows a language only, ``dict_bytes`` characters of each from a seeded place on."""
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES, max_langs: int = MAX_LANGS) -> dict[str, bytes]:
+    """Language -> dictionary. Counts all labelled rows; keeps about ``sample_docs`` distinct rows a language, ``dict_bytes`` characters of each from a seeded place on. At most ``max_langs`` languages, and as many rows a language, reach the driver."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_langs).collect()}
     if not counts:
         return {}
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(9), F.col(doc_id)), 33)
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(9), F.col(doc_id), F.col(text)), 33)
     share = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(min(1.0, 2 * sample_docs / n) * 2**31)))])
     picked = rows.where(u < share[F.col(lang)]).select(F.col(lang).alias("lang"), u.alias("u"), F.col(doc_id).alias("doc_id"), F.substring(F.col(text), 1 + F.pmod(u, F.greatest(F.lit(1), F.length(text) - dict_bytes + 1)).cast("int"), F.lit(dict_bytes)).alias("text"))
     found: dict[str, list] = {}
-    for r in picked.orderBy("u", "doc_id").limit(4 * sample_docs * len(counts)).toLocalIterator():
+    for r in picked.dropDuplicates(["lang", "u"]).orderBy("u", "doc_id").limit(4 * sample_docs * len(counts)).toLocalIterator():
         found.setdefault(r["lang"], []).append(r["text"])
     out = {}
     for k, texts in found.items():

@@ -1,16 +1,15 @@
 """License scans by canonical digest.
 
-A text is normalised (lower case A-Z, no copyright lines, equivalent spellings made one, punctuation and white space folded to single spaces) and the digest of the whole of it is joined with the digests of known license texts and notices. Documents are looked up as a whole, and each of their lines as a text of its own, so that a notice among other text is found too.
+A text is normalised (lower case A-Z, no copyright lines, equivalent spellings made one, punctuation and white space folded to single spaces) and the digest of the whole of it is joined with the digests of known license texts and notices. Documents are looked up as a whole, and each of their lines as a text of its own, so that a notice among other text is found too. Both go through one hash join, a row for each text and line; lines leave no row unless they are known.
 
-Null and empty texts have no license. Lines that repeat count each; of licenses with the same canonical text the least name counts. A very long text is made canonical whole, in the memory of a few copies of it. An empty table gives an empty result. The known table is small (a constant of the library, unless one is given), so it is broadcast. Other columns play no part.
+Null and empty texts have no license. Lines that repeat count each, lines that are empty once normalised don't; of licenses with the same canonical text the least name counts. A very long text is made canonical whole, in the memory of a few copies of it. An empty table gives an empty result. The known table is broadcast if it has up to ``MAX_BROADCAST`` texts, as the library's own has; a larger one is joined by an exchange. Other columns play no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import license_texts
@@ -60,8 +59,8 @@ NAMES = {
     **{f"CC-{k}-{v}": [f"CC {k} {v}", f"Creative Commons {n} {v} {where}", f"Creative Commons {n} {v} {where} License"] for k, n in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")) for v, where in (("3.0", "Unported"), ("4.0", "International"))},
 }
 NOTICES = ("Licensed under", "Released under", "Distributed under", "This project is licensed under", "This work is licensed under", "This software is licensed under", "This code is licensed under")
-#: A line without any of these is not looked up, unless a table of one's own has notices without them.
-MARKS = ("licen", "permission", "software")
+#: Known texts that are broadcast at most, 100 bytes each.
+MAX_BROADCAST = 20_000
 
 
 def _notices() -> list[tuple[str, str]]:
@@ -70,7 +69,7 @@ def _notices() -> list[tuple[str, str]]:
     for license, names in NAMES.items():
         lines = [f"{a} {b}{name}" for a in NOTICES for b in ("", "the ", "a ") for name in [*names, license]]
         ids = [license] if "GPL" not in license else [license, f"{license}-only"]
-        out += [(license, t) for t in lines + [f"SPDX-License-Identifier: {i}" for i in ids] if any(m in t.lower() for m in MARKS)]
+        out += [(license, t) for t in lines + [f"SPDX-License-Identifier: {i}" for i in ids]]
         if "GPL" in license:
             out.append((f"{license}-or-later", f"SPDX-License-Identifier: {license}-or-later"))
     return out
@@ -107,12 +106,21 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
+def canonical_lines(text: Column) -> Column:
+    """The canonical text with its line breaks: each line is canonical but for blanks at its ends."""
     t = ascii_lower(text)
     t = F.regexp_replace(t, COPYRIGHT_LINE, "\n")
     for a, b in SPELLINGS:
         t = F.replace(t, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(t, "[^a-z0-9]+", " "))
+    return F.regexp_replace(t, "[^a-z0-9\n]+", " ")
+
+
+def canonical(text: Column) -> Column:
+    return one_line(canonical_lines(text))
+
+
+def one_line(lines: Column) -> Column:
+    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
 
 
 def canonical_sql(text: str) -> str:
@@ -122,29 +130,23 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({t}, '[^a-z0-9]+', ' ', 'g'))"
 
 
-def known_digests(spark, known=None) -> DataFrame:
-    table = spark.createDataFrame([(n, t) for n, t in (KNOWN if known is None else known)], "license string, known string")
-    return table.select(F.sha2(canonical(F.col("known")), 256).alias("digest"), "license").distinct()
-
-
-def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", known: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """One row per document: doc_id, text_digest (of the whole canonical text), text_license (null if not known), line_licenses (of its lines, sorted, comma-joined) and n_lines (that match).
-
-    ``known``: (license, text) of one's own instead of ``KNOWN``; of licenses whose canonical text is the same the least name counts. No exchange: lines are looked up inside their row, in the same constant table that whole texts are joined with.
-    """
-    spark = docs.sparkSession
-    own = [*known] if known is not None else list(KNOWN)
-    of: dict[str, str] = {}
-    for r in known_digests(spark, own).collect():
-        of[r["digest"]] = min(r["license"], of.get(r["digest"], r["license"]))
-    pairs = sorted(of.items())
-    digests = F.broadcast(spark.createDataFrame(pairs, "__digest string, text_license string"))  # as small as the table
-    table = F.create_map(*[F.lit(x) for pair in pairs for x in pair]) if pairs else F.lit(None).cast("map<string,string>")
-    t = F.coalesce(F.col(text), F.lit(""))
-    marks = MARKS if all("\n" in x or any(m in x.lower() for m in MARKS) for _, x in own) else ("",)
-    # notices hold the word license, or come from a text that does; other lines need no digest
-    lines = F.filter(F.split(ascii_lower(t), "\n"), lambda x: reduce(lambda a, b: a | b, [x.contains(m) for m in marks]))
-    found = F.filter(F.transform(lines, lambda x: table[F.sha2(canonical(x), 256)]), lambda x: x.isNotNull())
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.sha2(canonical(t), 256).alias("text_digest"), found.alias("found"))
-    d = d.join(digests, d["text_digest"] == digests["__digest"], "left")
-    return d.select("doc_id", "text_digest", "text_license", F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("line_licenses"), F.size("found").cast("long").alias("n_lines"))
+def known_digests(spark: SparkSession, known: Sequence[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """known_digest and license, one row a digest. ``known``: (license, text) as a list or as a DataFrame of two columns."""
+    if not isinstance(known, DataFrame):
+        known = spark.createDataFrame([*(KNOWN if known is None else known)], "license string, known string")
+    texts = known.toDF("license", "known").where("license IS NOT NULL AND known IS NOT NULL")
+    of = texts.groupBy(F.sha2(canonical(F.col("known")), 256).alias("known_digest")).agg(F.min("license").alias("license"))
+    return F.broadcast(of) if texts.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else of
+
+
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", known: Sequence[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """One row per document: doc_id, text_digest (of the whole canonical text), text_license (null if not known), line_licenses (of its lines, sorted, comma-joined) and n_lines (that match)."""
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), canonical_lines(F.coalesce(F.col(text), F.lit(""))).alias("lines"), F.monotonically_increasing_id().alias("row"))
+    whole = F.struct(F.sha2(one_line(F.col("lines")), 256).alias("digest"), F.lit(False).alias("line"))
+    lines = F.transform(F.filter(F.transform(F.split("lines", "\n"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.struct(F.sha2(x, 256).alias("digest"), F.lit(True).alias("line")))
+    e = d.select("row", "doc_id", F.explode(F.concat(F.array(whole), lines)).alias("x")).select("row", "doc_id", "x.digest", "x.line")
+    k = known_digests(docs.sparkSession, known)
+    hit = e.join(k, e["digest"] == k["known_digest"], "left").where(~F.col("line") | F.col("license").isNotNull())
+    on = lambda line, c: F.when(F.col("line") == line, F.col(c))
+    out = hit.groupBy("row", "doc_id").agg(F.min(on(False, "digest")).alias("text_digest"), F.min(on(False, "license")).alias("text_license"), F.collect_set(on(True, "license")).alias("found"), F.count_if("line").alias("n_lines"))
+    return out.select("doc_id", "text_digest", "text_license", F.array_join(F.array_sort("found"), ",").alias("line_licenses"), F.col("n_lines").cast("long").alias("n_lines"))

@@ -41,11 +41,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op5_sql() -> str:
     known = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)
     return f"""
-WITH known AS (SELECT DISTINCT license, sha256({licenses.canonical_sql("t")}) AS digest FROM (VALUES {known}) k(license, t)),
+WITH known AS (SELECT min(license) AS license, sha256({licenses.canonical_sql("t")}) AS digest FROM (VALUES {known}) k(license, t) GROUP BY 2),
 d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS uid FROM documents),
 lines AS (SELECT uid, unnest(string_split(text, chr(10))) AS line FROM d),
 hits AS (SELECT uid, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n_lines
-  FROM (SELECT uid, sha256({licenses.canonical_sql("line")}) AS digest FROM lines WHERE line ILIKE '%licen%' OR line ILIKE '%permission%' OR line ILIKE '%software%') JOIN known USING (digest) GROUP BY uid),
+  FROM (SELECT uid, sha256({licenses.canonical_sql("line")}) AS digest FROM lines WHERE {licenses.canonical_sql("line")} <> '') JOIN known USING (digest) GROUP BY uid),
 w AS (SELECT uid, doc_id, sha256({licenses.canonical_sql("text")}) AS text_digest FROM d)
 SELECT doc_id, text_digest, license AS text_license, coalesce(line_licenses, '') AS line_licenses, coalesce(n_lines, 0) AS n_lines
 FROM w LEFT JOIN known ON text_digest = digest LEFT JOIN hits USING (uid)

@@ -2,13 +2,14 @@
 
 One model stands for ordinary identifiers, one for random strings of each alphabet that keys are written in. A model's state is the character before or, after digits, how many of them there were; a run of text also may end in every state. They are trained on labelled strings: what the fixed patterns find is labelled random (with seeded strings of the same alphabets, since such values are few), and the words around it ordinary, alone and joined as identifiers are.
 
-Text is scored character by character: the bits by which an alphabet's model explains it better, less ``DRIFT``. A stretch is a secret if its sum reaches ``MIN_BITS``; of a run of the models' characters the best stretch is taken, then the best of what is left on both sides. So a key is found behind a path or inside a longer token, whatever its characters and its length. Stretches that touch a fixed pattern's span are left to it.
+Text is scored character by character: the bits by which an alphabet's model explains it better, less ``DRIFT``. A stretch is a secret if its sum reaches ``MIN_BITS``; of a run of the models' characters the best stretch is taken, then the best of what is left on both sides. So a key is found behind a path or inside a longer token, whatever its characters and its length. Of a stretch that touches fixed patterns' spans, what lies beside them is scored by itself.
 
 Null texts count as empty. Spans are in code points, the end exclusive; spans that begin together are ordered by kind. Each document is scanned by itself, whole (a very long one with some 100 bytes a character), so skew and repeated rows are no matter. An empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -153,8 +154,28 @@ class Scanner:
         return sorted(out)
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
+        """Base spans, and random stretches; of a stretch that touches base spans what lies beside them counts by itself."""
         base = self.base(text)
-        more = [(s, 3, e) for s, e in self.markov(text) if not any(b < e and s < t for b, _, t in base)]
+        covered: list[list[int]] = []
+        for b, _, t in base:
+            if covered and b <= covered[-1][1]:
+                covered[-1][1] = max(covered[-1][1], t)
+            else:
+                covered.append([b, t])
+        ends, more = [t for _, t in covered], []
+        for s, e in self.markov(text):
+            k = bisect.bisect_right(ends, s)
+            if k == len(covered) or covered[k][0] >= e:
+                more.append((s, 3, e))
+                continue
+            at = s
+            while at < e:
+                b, t = covered[k] if k < len(covered) else (e, e)
+                own: list[tuple[int, int]] = []
+                if at < (stop := min(b, e)):
+                    self._within(self._cells(codes_of(text[at:stop])), at, own)
+                more += [(i, 3, j) for i, j in own]
+                at, k = t, k + 1
         return sorted(base + more)
 
 
@@ -177,10 +198,10 @@ def labelled_strings(text: str, words: int = SAMPLE_WORDS, seed: int = SEED) ->
 
 
 def labelled_samples(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = SEED) -> tuple[list[str], list[str]]:
-    """(random strings, ordinary words) of about ``SAMPLE_DOCS`` documents, chosen by a hash of their id; of each, ``SAMPLE_WORDS`` strings of a kind at most."""
+    """(random strings, ordinary words) of about ``SAMPLE_DOCS`` documents, chosen by a hash of their id and text; of each, ``SAMPLE_WORDS`` strings of a kind at most."""
     n = docs.count()
     share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * 2**31)
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 33)
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)), 33)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -75,3 +75,17 @@ def test_screening_sees_earlier_loads_only(spark):
     hits = {(r["digest"], r["batch"], r["old"]) for r in E.screen(g, E.build_filters(g.where("batch < 2"))).collect()}
     want = {(f"d{k}", 1, 0) for k in range(40, 50)} | {(f"d{k}", 2, 1) for k in range(80, 90)}
     assert want <= hits and all(new > old for _, new, old in hits) and len(hits) < len(want) + 8
+
+
+def test_a_third_of_all_rows_has_no_id(spark):
+    """Texts of filter hits are found by row number: N hits without an id don't meet all rows without one."""
+    rows = [(None, f"text {i % 400}") for i in range(900)] + [(5, f"text {i}") for i in range(300)] + [(1000 + i, f"text {i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = E.dedup(df, F.pmod(F.xxhash64("text", "doc_id"), F.lit(3)).cast("int"))
+    assert out.count() == len(rows)
+    per = {}
+    for r in out.collect():
+        per.setdefault(r["digest"], []).append(r)
+    assert len(per) == 900 and all(sum(r["kept"] for r in g) == 1 and {r["group_size"] for r in g} == {len(g)} for g in per.values())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan

@@ -30,9 +30,25 @@ def test_texts_and_lines(spark, clash):
     assert C.scan(documents(spark, [])).count() == 0
 
 
-def test_lines_that_can_match_are_looked_up():
-    """The cheap test before hashing a line never hides a known text."""
-    assert all(any(w in t.lower() for w in ("licen", "permission", "software")) for _, t in C.KNOWN if "\n" not in t)
+def test_notices_without_the_word_license(spark):
+    """Notices are found whatever words they hold; the library's table has them all."""
+    lines = {"Released under MIT": "MIT", "Distributed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "distributed under a CC-BY-NC-ND-4.0": "CC-BY-NC-ND-4.0", "Released under the GPLv3": "GPL-3.0", "Distributed under MPL 2.0": "MPL-2.0"}
+    data = [(i, f"some prose\n\n  {t}  \nmore", "en", "s", 0) for i, t in enumerate(lines)]
+    by = {r["doc_id"]: r["line_licenses"] for r in C.scan(documents(spark, data)).collect()}
+    assert [by[i] for i in range(len(lines))] == list(lines.values())
+    made = {(n, f"{a} {b}{name}") for n, names in C.NAMES.items() for name in [*names, n] for a in C.NOTICES for b in ("", "the ", "a ")}
+    assert made <= set(C.KNOWN)
+
+
+def test_a_large_table_is_not_broadcast(spark, monkeypatch):
+    docs = documents(spark, [(1, "x\nuse, at WILL!\n\n", "en", "s", 0), (1, "Use at will", "en", "s", 0), (None, None, None, None, None)])
+    own = spark.createDataFrame([("own", "Use at will."), ("a", "use at will"), (None, "x"), ("b", None)], "n string, t string")
+    rows = lambda: sorted(map(str, C.scan(docs, known=own).collect()))
+    small = rows()
+    monkeypatch.setattr(C, "MAX_BROADCAST", 0)
+    assert rows() == small and sum("line_licenses='a'" in r for r in small) == 2
+    plan = C.scan(docs, known=own)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
 
 
 def test_whole_texts_and_notices_of_the_usual_licenses(spark):
@@ -44,7 +60,7 @@ def test_whole_texts_and_notices_of_the_usual_licenses(spark):
     assert [by[i][0] for i in range(len(TEXTS))] == list(TEXTS)
     assert by[100] == (None, "CC-BY-NC-4.0") and by[101] == ("MPL-2.0", "MPL-2.0") and by[102][0] == "BSD-3-Clause" and by[103] == (None, "AGPL-3.0")
     of = {}
-    assert all(of.setdefault(r["digest"], r["license"]) == r["license"] for r in C.known_digests(spark).collect())
+    assert all(of.setdefault(r["known_digest"], r["license"]) == r["license"] for r in C.known_digests(spark).collect())
 
 
 def test_a_table_of_ones_own(spark):

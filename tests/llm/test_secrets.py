@@ -148,3 +148,26 @@ def test_sample_covers_whole_texts():
 def test_empty(spark, data):
     docs = documents(spark, data)
     assert [r["found"] for r in S.scan(docs, S.train(docs)).collect()] == [[] for _ in data]
+
+
+def test_what_lies_beside_a_base_span_counts_by_itself(spark):
+    """A random run that goes on after a fixed pattern's span, or before it, isn't lost with it."""
+    rng = random.Random(8)
+    texts = ["the value of index " * 40 for _ in range(30)]
+    scanner = S.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz23456789", k=48))
+    hexed = "".join(rng.choices("0123456789abcdef", k=32))
+    for text in (f"{hexed}G{key}", f"{key}G{hexed}", f"{key}G{hexed}G{key}"):
+        found = scanner.spans(text)
+        base = [(s, e) for s, k, e in found if k < 3]
+        more = [(s, e) for s, k, e in found if k == 3]
+        assert base and more and all(not (b < e and s < t) for s, e in more for b, t in base)
+        assert sum(e - s for s, e in more) >= 0.7 * text.count(key) * len(key)
+
+
+def test_sample_without_doc_ids(spark):
+    """Rows without an id, or sharing one, are dealt by their text."""
+    rows = [(None, f"password = {i:032x}{'z' * 4} some words {i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found, words = S.labelled_samples(df)
+    assert 0.3 * S.SAMPLE_DOCS < len(found) < 2 * S.SAMPLE_DOCS and words
