@@ -50,16 +50,18 @@ def scrape(lake: Lake, a: argparse.Namespace) -> int:
             for k, v in (x.split(":", 1) for x in a.label or []):
                 pages = pages.withColumn(k, F.lit(v))
             got = registry.LISTING_FEEDS[name](pages).drop("source").withColumn("arrival", F.monotonically_increasing_id())
-            current = lake.read("listings", LISTINGS)
-            merged = upsert.snapshot_merge(current, got, name, a.now, FIELDS)
-            line = upsert.pull_log(merged, name, a.now)
-            log = lake.spark.createDataFrame(line.collect(), line.schema)  # one row, read before the table that it counts is replaced
+            table = lake.buckets("listings", LISTINGS, ["source_id"], ["source"])
+            mine = table.read().where(F.col("source") == name)
+            counts = upsert.pull_log(upsert.snapshot_merge(mine, got, name, a.now, FIELDS), name, a.now)
+            log = lake.spark.createDataFrame(counts.collect(), counts.schema)  # one row, read before the table that it counts changes
             if not got.isEmpty():
-                history = lake.read("price_history", HISTORY)
                 today = upsert.history_rows(got, name, a.now[:10])
-                lake.replace("price_history", history.join(today.select("source", "source_id", "snapshot_date"), ["source", "source_id", "snapshot_date"], "left_anti").unionByName(today))
+                history = lake.buckets("price_history", HISTORY, ["source_id", "snapshot_date"], ["source"])
+                history.merge(today, lambda old, new: keys.insert_or_replace(old, new.withColumn("__n", F.lit(0)), ["source", "source_id", "snapshot_date"], "__n"))
+                # what the pull lacks becomes inactive: active rows of the source, and no other source, are touched too
+                merge = lambda old, new: upsert.snapshot_merge(old, new.drop("source"), name, a.now, FIELDS)
+                table.merge(got.withColumn("source", F.lit(name)), merge, also=(F.col("source") == name) & (F.col("status") == "active") & (F.col("last_seen") < a.now))
                 lake.append("pull_log", log)
-                lake.replace("listings", merged.drop("action"))
             show(log)
         except Exception as e:  # noqa: BLE001
             failed += 1
@@ -119,6 +121,7 @@ UNITS = "unit_id string, bbl string, unit_label string, normalized_unit string,
 OBSERVATIONS = "observation_id string, document_id string, source string, source_ref string, observed_at string, observation_kind string, address string, unit_label string, price double, status string, raw_fields string, evidence_grade string, zipcode string"
 MATCHES = "observation_id string, entity_type string, entity_id string, status string, confidence double, rationale string, matched_at string"
 DOCUMENTS = "document_id string, source string, source_ref string, payload string, retrieved_at string"
+EVIDENCE = "observation_id string, entity_type string, evidence_observation_id string, role string"
 SOURCES = "source string, source_kind string, methodology string, first_seen string, last_seen string"
 
 
@@ -198,7 +201,7 @@ def slots(lake: Lake, run: str, batch: int | None) -> None:
 
 
 def settle(lake: Lake, now: str) -> None:
-    """Ambiguous listings that official unit evidence settles."""
+    """Ambiguous listings that official unit evidence settles. Edges to the evidence are added: those of earlier runs stay."""
     obs, matches = lake.read("observations"), lake.read("entity_matches")
     open_ = matches.where("entity_type = 'building' AND status = 'ambiguous'").select("observation_id")
     found = lake.read("candidates", "observation_id string, entity_type string, candidate_id string").groupBy("observation_id").agg(F.collect_set("candidate_id").alias("bbls"))
@@ -210,7 +213,8 @@ def settle(lake: Lake, now: str) -> None:
     done = settled.where("outcome = 'resolved'")
     claim = lambda kind, value: done.select("observation_id", F.lit(kind).alias("entity_type"), F.col(value).alias("entity_id"), F.lit("resolved").alias("status"), "confidence", "rationale", F.lit(now).alias("matched_at"))
     new = claim("building", "bbl").unionByName(claim("unit", "unit_id"))
-    lake.replace_all({"entity_matches": matches.join(new.select("observation_id", "entity_type"), ["observation_id", "entity_type"], "left_anti").unionByName(new), "entity_match_evidence": reconcile.evidence_edges(settled)})
+    edges = keys.insert_or_ignore(lake.read("entity_match_evidence", EVIDENCE), reconcile.evidence_edges(settled).withColumn("arrival", F.lit(0)), ["observation_id", "entity_type", "evidence_observation_id"], "arrival").drop("arrival")
+    lake.replace_all({"entity_matches": matches.join(new.select("observation_id", "entity_type"), ["observation_id", "entity_type"], "left_anti").unionByName(new), "entity_match_evidence": edges})
     show(lake.read("entity_match_evidence").agg(F.count_distinct("observation_id").alias("settled")))
 
 

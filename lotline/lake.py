@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lotline.buckets import BucketTable
+
 LIST = "tables.json"
 
 
 class Lake:
     """Tables by name under one folder, in any store that Spark reads. ``tables.json`` says which folder holds a table now; a folder of a table's name counts where it says nothing.
 
-    A replacement writes new folders and then the list, by one rename, so that all tables of a call change at once and a reader finds either the old ones or the new. The folders that the list no longer names are removed with the next replacement of their table, when readers of the old list are done.
+    A replacement writes new folders and then the list, by one rename, so that all tables of a call change at once and a reader finds either the old ones or the new. The folders that the list no longer names are removed with the next replacement of their table, when readers of the old list are done. A table that another writer has replaced since it was read here is not replaced: the change would be lost.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._seen: dict[str, str] = {}
 
     def _fs(self, path: str):
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -47,7 +51,7 @@ class Lake:
         jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(new), fs.makeQualified(p), options)
 
     def _at(self, name: str) -> str | None:
-        at = self._list().get(name, name)
+        at = self._seen[name] = self._list().get(name, name)
         fs, p = self._fs(f"{self.root}/{at}")
         return f"{self.root}/{at}" if fs.exists(p) else None
 
@@ -61,7 +65,11 @@ class Lake:
             if schema is None:
                 raise FileNotFoundError(f"no table {name} in {self.root}")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(at)
+        return BucketTable(self.spark, at).read() if BucketTable.at(self.spark, at) else self.spark.read.parquet(at)
+
+    def buckets(self, name: str, schema: str, keys: Sequence[str], by: Sequence[str] = (), n: int = 64) -> BucketTable:
+        """A table whose merges rewrite only what they touch; it stays under its own name."""
+        return BucketTable(self.spark, f"{self.root}/{name}", schema, keys, by, n)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         self.replace_all({name: df})
@@ -73,6 +81,12 @@ class Lake:
         for name, df in tables.items():
             df.write.parquet(f"{self.root}/{name}-{run}")
         was = self._list()
+        if lost := [n for n in tables if n in self._seen and was.get(n, n) != self._seen[n]]:
+            for name in tables:
+                fs, p = self._fs(f"{self.root}/{name}-{run}")
+                fs.delete(p, True)
+            raise RuntimeError(f"another writer replaced {', '.join(lost)}; read again")
+        self._seen |= {name: f"{name}-{run}" for name in tables}
         self._write_list(was | {name: f"{name}-{run}" for name in tables} | {f"{name} before": was.get(name, name) for name in tables})
         for name in tables:
             if old := was.get(f"{name} before"):

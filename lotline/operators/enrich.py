@@ -1,74 +1,24 @@
-"""Context for buildings: nearest points, areas, polygons."""
+"""Context for buildings: nearest stations, amenities near by, areas."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions import ids
-from lotline.functions.geo import census_geoid, haversine, in_rings
+from lotline.functions.geo import census_geoid, in_rings
 from lotline.functions.numbers import half_even
 from lotline.functions.text import routes
+from lotline.operators.spatial import count_within, in_areas, nearest
 
-#: Up to so many places one array of them all is scanned for each building; more are looked up by cell.
-MAX_PLACES = 20_000
-#: Widths of the cells, in degrees, that are tried one after another; the last is the whole world.
-CELLS = (0.01, 0.16, 2.56, 40.96, 1000.0)
-METRES_A_DEGREE = 111_000.0
-
+#: Kinds of amenities, a column each.
+MAX_KINDS = 64
 
 def with_points(buildings: DataFrame, borough: int | None = None, limit: int | None = None) -> DataFrame:
     d = buildings.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).where(ids.in_borough(F.col("bbl"), borough))
     return d.orderBy("bbl").limit(limit) if limit is not None else d
 
 
-PLACE = "struct<name:string,lat:double,lng:double,lines:string>"
-
-
-def _least(table: Column, lat: Column, lng: Column) -> Column:
-    """The nearest of an array of places: the least distance, then the name."""
-    of = lambda p: F.struct(haversine(lat, lng, p["lat"], p["lng"]).alias("distance"), p["name"].alias("name"), p["lines"].alias("lines"))
-    return F.array_min(F.transform(table, of))
-
-
-def nearest(points: DataFrame, places: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
-    """``points`` with nearest (struct of distance, name, lines): the least distance, then the name. ``places``: name, lat, lng, lines.
-
-    A small, checked table of places becomes one array that every row scans in place, so no pairs of rows come to be; a larger one goes by cells, with the same result.
-    """
-    known = places.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("name", "lat", "lng", "lines")
-    rows = known.limit(MAX_PLACES + 1).collect()
-    if len(rows) > MAX_PLACES:
-        return nearest_by_cells(points, known, lat, lng)
-    table = F.from_json(F.lit(json.dumps([r.asDict() for r in rows])), f"array<{PLACE}>")  # folded to a constant
-    return points.withColumn("nearest", _least(table, F.col(lat), F.col(lng)))
-
-
-def nearest_by_cells(points: DataFrame, places: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
-    """The same for any number of places. A place is known to the nine cells around it, so a point meets one row: the places of its cell. What is found there is the nearest if no place outside the nine cells can be as near; points for which that can't be said go on to wider cells. Only points that no place lies near of meet many places, and the widest cell is built only for points that are left then."""
-    one = places.groupBy("lat", "lng").agg(F.min(F.struct("name", "lines")).alias("p")).select("p.name", "lat", "lng", "p.lines")
-    d = points.withColumn("nearest", F.lit(None).cast("struct<distance:double,name:string,lines:string>"))
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    for width in CELLS:
-        last = width == CELLS[-1]
-        cell = lambda x, w=width: F.floor(x / w)
-        at = one.withColumn("__y", F.explode(F.transform(around, lambda i: cell(F.col("lat")) + i))).withColumn("__x", F.explode(F.transform(around, lambda i: cell(F.col("lng")) + i)))
-        lists = at.groupBy(F.concat_ws(":", "__y", "__x").alias("__cell")).agg(F.collect_list(F.struct("name", "lat", "lng", "lines")).alias("__places"))
-        # points that are done get keys of their own, which no cell has
-        own = F.when(F.col("nearest").isNull(), F.concat_ws(":", cell(F.col(lat)), cell(F.col(lng)))).otherwise(F.concat(F.lit("done"), F.xxhash64(lat, lng).cast("string")))
-        d = d.withColumn("__own", own).join(lists, F.col("__own") == F.col("__cell"), "left")
-        found = _least(F.col("__places"), F.col(lat), F.col(lng))
-        d = d.withColumn("__found", found).drop("__places", "__cell", "__own")
-        reach = METRES_A_DEGREE * width * F.cos(F.radians(F.least(F.lit(90.0), F.abs(lat) + 2 * width)))
-        sure = F.lit(True) if last else (F.col("__found.distance") < reach) & (F.abs(lng) + 2 * width < 180)
-        d = d.withColumn("nearest", F.coalesce("nearest", F.when(sure, F.col("__found")))).drop("__found")
-        if not last and d.where(F.col("nearest").isNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull()).isEmpty():
-            break
-    return d
-
-
 def nearest_station(buildings: DataFrame, stations: DataFrame, borough: int | None = None, limit: int | None = None) -> DataFrame:
     """bbl, nearest_subway, subway_dist_m, subway_lines. ``stations``: name, lat, lng, daytime_routes."""
     s = stations.select("name", "lat", "lng", routes(F.col("daytime_routes")).alias("lines"))
@@ -76,6 +26,23 @@ def nearest_station(buildings: DataFrame, stations: DataFrame, borough: int | No
     return d.select("bbl", F.col("nearest.name").alias("nearest_subway"), half_even(F.col("nearest.distance")).alias("subway_dist_m"), F.col("nearest.lines").alias("subway_lines"))
 
 
+def amenities(buildings: DataFrame, places: DataFrame, metres: float, borough: int | None = None) -> DataFrame:
+    """bbl and, for each kind of place, how many lie within ``metres``. ``places``: kind, lat, lng."""
+    kinds = sorted(r[0] for r in places.where(F.col("kind").isNotNull()).select("kind").distinct().limit(MAX_KINDS + 1).collect())
+    if len(kinds) > MAX_KINDS:
+        raise ValueError(f"more than {MAX_KINDS} kinds of places: a column each is no use")
+    d = with_points(buildings, borough)
+    for k in kinds:
+        d = count_within(d, places.where(F.col("kind") == k), metres, out=f"n_{k}")
+    return d.select("bbl", *[f"n_{k}" for k in kinds])
+
+
+def zones(buildings: DataFrame, areas: DataFrame, borough: int | None = None, holes: bool = True) -> DataFrame:
+    """bbl and the areas (flood zones, school districts) that hold it, sorted; buildings in none are left out. ``areas``: area, rings."""
+    d = in_areas(with_points(buildings, borough).select("bbl", "latitude", "longitude"), areas, holes=holes)
+    return d.groupBy("bbl").agg(F.array_sort(F.collect_set("area")).alias("areas"))
+
+
 def inside(points: DataFrame, rings: Column, out: str, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
     """Whether a point lies in one of an area's rings."""
     return points.withColumn(out, in_rings(F.col(lat), F.col(lng), rings))

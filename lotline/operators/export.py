@@ -7,12 +7,15 @@ import json
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline.operators.coverage import distribution
+from lotline.sources import release as parts_of
 
 UNITS = ["unit_id", "bbl", "unit_label", "normalized_unit", "first_seen", "last_seen"]
 OBSERVATIONS = ["unit_id", "observation_id", "source", "source_ref", "observed_at", "observation_kind", "address", "unit_label", "bedrooms", "bathrooms", "price", "status", "evidence_grade", "resolution_confidence", "resolution_method", "matched_at"]
@@ -76,6 +79,33 @@ def release(out_dir: str, units: DataFrame, observed: DataFrame, sources: DataFr
         raise
 
 
+#: The files of a release: columns, and the order of rows.
+FILES = {"units.csv": (UNITS, ["bbl", "normalized_unit"]), "unit_observations.csv": (OBSERVATIONS, ["unit_id", "observed_at", "observation_kind", "observation_id"]), "sources.csv": (SOURCES, ["source"])}
+
+
+def release_parts(out_dir: str, tables: Mapping[str, DataFrame], generated_at: str, release_id: str | None = None, files: Mapping[str, tuple[Sequence[str], Sequence[str]]] = FILES, parts: int | None = None) -> dict:
+    """A release of any size: rows are dealt by ranges of (file, order), each task writes its parts, and one commit makes the release or nothing. ``tables``: file name -> rows; ``out_dir`` is a folder that all executors reach. A folder that has files is refused. Returns the manifest; each file's parts, in their order, are the file that ``write_csv`` would write."""
+    fs, target = parts_of.place(out_dir)
+    if parts_of.exists(fs, target) and fs.get_file_info(parts_of.pafs.FileSelector(target)):
+        raise FileExistsError(f"{out_dir} is not empty")
+    one = []
+    for name, (columns, order) in files.items():
+        df = tables[name]
+        text = lambda n: F.col(n).cast("string")
+        one.append(df.select(F.lit(name).alias("file"), F.array(*[F.coalesce(text(n), F.lit("")) for n in columns]).alias("fields"), F.struct(*[F.col(n).alias(f"k{i}") for i, n in enumerate(order)], *[F.lit(None).cast("string").alias(f"k{i}") for i in range(len(order), max(len(o) for _, o in files.values()))]).alias("at")))
+    rows = reduce(DataFrame.unionByName, one)
+    spark = rows.sparkSession
+    parts_of.register(spark)
+    keys = ["file", *[f"at.k{i}" for i in range(max(len(o) for _, o in files.values()))]]
+    dealt = (rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)).sortWithinPartitions(*keys).select("file", "fields")
+    base, _, last = out_dir.rstrip("/").rpartition("/")
+    extra = {"format": 1, "release_id": release_id or last, "generated_at": generated_at, "excluded_fields": EXCLUDED}
+    staging = f"{base}/.{last}-{uuid.uuid4().hex}"
+    dealt.write.format("csv_release").mode("append").option("staging", staging).option("headers", json.dumps({n: list(c) for n, (c, _) in files.items()})).option("manifest", json.dumps(extra)).save(out_dir)
+    with fs.open_input_stream(f"{target}/{parts_of.MANIFEST}") as f:
+        return json.loads(f.read())
+
+
 def status_block(feeds: Sequence[tuple[str, int, bool]], day: str, begin: str, end: str) -> str:
     """A table of feeds (name, rows, live) between two marks: live ones first, then by name."""
     lines = [f"| `{n}` | {'live' if live else 'down'} | {rows if live else '-'} |" for n, rows, live in sorted(feeds, key=lambda f: (not f[2], f[0]))]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from lotline.functions import text as X
 from lotline.operators import coverage, enrich, export, importers, keys, merges, portfolios, resolve, rollup, units, upsert
 from lotline.plans.catalog import query, read
 from lotline.plans.queries_entities import DOC_UNITS_SQL, INDEX_SQL, LOOKUP_SQL, M02_SQL, _doc_units, _index, _lookups, _routed
-from lotline.session import shared_dir
+from lotline.session import scratch
 from lotline.sources import landing
 from lotline.streaming import incremental
 
@@ -284,21 +282,21 @@ def m07_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
 def s07_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    at = scratch(spark, "csv")
     read(spark, sf_dir, "nation").coalesce(1).write.option("header", "true").csv(at)
     return landing.csv_rows(spark, at, required=["n_name"]).select("n_nationkey", "n_name")
 
 
 @query("SELECT n_nationkey::VARCHAR AS a, n_name AS b, n_regionkey::VARCHAR AS c, NULL::VARCHAR AS d FROM nation")
 def s09_fixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    at = scratch(spark, "csv")
     read(spark, sf_dir, "nation").coalesce(1).write.option("header", "true").csv(at)
     return landing.fixed_csv(spark, at, ["a", "b", "c", "d"])
 
 
 @query("SELECT o_orderkey::VARCHAR AS id, o_orderpriority AS priority, NULL::VARCHAR AS absent FROM orders WHERE o_orderstatus = 'F'")
 def s02_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    at = scratch(spark, "feed")
     read(spark, sf_dir, "orders").select(text(c("o_orderkey")).alias("id"), c("o_orderpriority").alias("priority"), c("o_orderstatus").alias("status")).write.option("ignoreNullFields", "true").json(at)
     d = spark.read.schema("id string, priority string, status string, absent string").json(at)
     return d.where("status = 'F'").select("id", "priority", "absent")
@@ -308,7 +306,7 @@ def s02_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t03_offset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed read in pages, each once, until a short one."""
     e = read(spark, sf_dir, "events").select("event_id")
-    at = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    at = scratch(spark, "pages")
     incremental.positioned(e).write.parquet(f"{at}/staged")
     staged = spark.read.parquet(f"{at}/staged")
     size = staged.count() // 3 + 1
@@ -322,7 +320,7 @@ def t03_offset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t04_keyset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four pages from the newest event on; the cursor after the last is the least of them."""
     e = read(spark, sf_dir, "events").select("event_id", F.lit("d").alias("day"))
-    at = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    at = scratch(spark, "pages")
     sink = lambda d: d.write.mode("append").parquet(at)
     (*_, last) = incremental.run_keyset_pages(lambda cursor, n: keys.keyset_after(e, "day", "event_id", cursor, n), sink, None, ("day", "event_id"), 50, 4)
     return spark.read.parquet(at).agg(F.min("event_id").alias("least"), F.count(F.lit(1)).cast("int").alias("n")).where(c("least") == last[1])

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions.ids import row_hash
 from lotline.plans.catalog import query, read
-from lotline.session import shared_dir
+from lotline.session import scratch
 from lotline.streaming import incremental
 
 c = F.col
@@ -18,7 +16,7 @@ c = F.col
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     path = f"{sf_dir}/events.parquet"
     # as a pattern, since a plain path has to be a folder and the table may be a single file
-    return incremental.stream_files(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    return incremental.stream_files(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema), scratch(spark, "stream")
 
 
 @query("SELECT user_id, count(*) AS events, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY user_id")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +32,29 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Folders of this process that go when it ends.
+_scratch: list[str] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder, removed when the process ends: results that are read lazily may rest on it until then."""
+    if not _scratch:
+        atexit.unregister(_drop_scratch)
+        atexit.register(_drop_scratch)
+    _scratch.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def _drop_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or SparkContext._active_spark_context is None:
+        return
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        while _scratch:
+            p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 #: Bytes of an Arrow batch: documents are long, and each task holds a batch or two on both sides of the pipe to Python.
 ARROW_BYTES = "8m"
 

@@ -140,6 +140,18 @@ def test_reconcile_demote_and_merge(spark, tmp_path, capsys):
     got = {(r["observation_id"], r["entity_type"]): (r["entity_id"], r["status"], r["confidence"]) for r in lake.read("entity_matches").collect()}
     assert got[("l", "unit")] == ("u1", "resolved", 0.98) and got[("l", "building")][0] == "1" and got[("m", "unit")] == (None, "unresolved", 0.0)
     assert [r["unit_id"] for r in lake.read("units").collect()] == ["u1"]
+    # the edges outlive the next run, which finds nothing open
+    edges = sorted(map(tuple, lake.read("entity_match_evidence").collect()))
+    assert edges == [("l", k, "v", "corroborates_candidate") for k in ("building", "unit")]
+    assert run(spark, capsys, "catalog", "--db", db, "--reconcile")[1] == [{"settled": 1}]
+    assert sorted(map(tuple, lake.read("entity_match_evidence").collect())) == edges
+    # and a third run adds what is new
+    more = [("l2", "listing", "9", "5 Main Street", "6B", "x")]
+    lake.append("observations", frame(more, "observation_id string, source string, source_ref string, address string, unit_label string, raw_fields string"))
+    lake.append("entity_matches", frame([("l2", "building", None, "ambiguous", 0.0, "", "")], claim))
+    lake.append("candidates", frame([("l2", "building", "1"), ("l2", "building", "2")], "observation_id string, entity_type string, candidate_id string"))
+    assert run(spark, capsys, "catalog", "--db", db, "--reconcile")[1] == [{"settled": 2}]
+    assert lake.read("entity_match_evidence").count() == 4
     lake.replace("addresses", frame([("1", "5 MAIN ST", None)], "bbl string, normalized string, zipcode string"))
     rows = tmp_path / "a.json"
     rows.write_text(json.dumps([{"address": "5 Main St", "unit": "2", "source_ref": "r"}, {"address": "x", "unit": "2", "source_ref": "q"}]))

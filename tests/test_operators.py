@@ -183,17 +183,3 @@ def test_missing_buildings(spark):
     assert rows(resolve.missing_buildings(spark.createDataFrame([("1",), ("2",), ("2",)], "bbl string"), spark.createDataFrame([("1",)], "bbl string")), "bbl") == [("2",)]
     assert rows(upsert.with_columns_of(spark.range(1), {"id": "long", "x": "double"}), "id", "x") == [(0, None)]
     assert ids.in_borough(F.lit("1"), None) is not None
-
-
-def test_nearest_by_cells_equals_a_scan(spark):
-    import random
-
-    rng = random.Random(3)
-    spots = [(f"p{i}", rng.choice([40.7, -10.0, 60.0]) + rng.gauss(0, 0.3), rng.choice([-74.0, 179.9, 5.0]) + rng.gauss(0, 0.05), "A") for i in range(300)]
-    spots += [("a0", spots[0][1], spots[0][2], "B"), ("none", None, 1.0, "")]
-    places = spark.createDataFrame(spots, "name string, lat double, lng double, lines string")
-    at = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(100)] + [(100 + i, s[1] + rng.gauss(0, 0.01), s[2] + rng.gauss(0, 0.01)) for i, s in enumerate(spots[:200])]
-    points = spark.createDataFrame(at + [(999, None, 1.0)], "id int, latitude double, longitude double")
-    known = places.where("lat IS NOT NULL")
-    scan, cells = (sorted(map(str, d.where("id < 999").select("id", "nearest").collect())) for d in (enrich.nearest(points, places), enrich.nearest_by_cells(points, known)))
-    assert cells == scan and enrich.nearest_by_cells(points, known).count() == len(at) + 1

@@ -1,5 +1,6 @@
 import io
 import json
+import re
 import zipfile
 
 import pytest
@@ -183,3 +184,139 @@ def test_paged_feed(spark, tmp_path):
     assert side.rdd.getNumPartitions() == 3 and side.count() == 8
     with pytest.raises(OSError):
         paged.fetch(f"file://{tmp_path}/none.json", retries=2, pause=0)
+
+
+class Service:
+    """A feed behind HTTP: equality in where, offset and limit, counts; it keeps the requests."""
+
+    def __init__(self, rows):
+        import http.server
+        import threading
+        from urllib.parse import parse_qs, urlsplit
+
+        self.rows, self.asked, self.broken = rows, [], set()
+        outer = self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def answer(self, q):
+                q = {k: v[0] for k, v in q.items()}
+                outer.asked.append(q)
+                rows = outer.rows
+                for term in q.get("where", "").split(" AND "):
+                    if m := re.fullmatch(r"(\w+) = '(.*)'", term):
+                        rows = [r for r in rows if str(r.get(m[1])) == m[2]]
+                if q.get("count"):
+                    body = [{"count": str(len(rows))}]
+                else:
+                    at, n = int(q["offset"]), int(q["limit"])
+                    if at in outer.broken:
+                        self.send_response(500)
+                        self.end_headers()
+                        return
+                    names = q["select"].split(",") if q.get("select") else None
+                    body = [{k: v for k, v in r.items() if names is None or k in names} for r in rows[at : at + n]]
+                    if q.get("paged"):
+                        body = {"items": body, "pages": -(-len(rows) // n)}
+                data = json.dumps(body).encode()
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(data)
+
+            def do_GET(self):
+                self.answer(parse_qs(urlsplit(self.path).query))
+
+            def do_POST(self):
+                q = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                self.answer({k: [str(v)] for k, v in q.items()})
+
+            def log_message(self, *a):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.base = f"http://127.0.0.1:{self.server.server_port}/"
+        self.url = self.base + "?offset={offset}&limit={limit}&where={where}&select={select}&order={order}"
+        self.count = self.base + "?count=1&where={where}"
+
+
+@pytest.fixture
+def service():
+    s = Service([{"id": f"{i:03}", "boro": "12345"[i % 5], "name": f"it's {i}", "unused": "x" * 50} for i in range(47)])
+    yield s
+    s.server.shutdown()
+
+
+def feed(spark, service, **options):
+    from lotline.sources import paged
+
+    paged.register(spark)
+    r = spark.read.format("paged_feed").option("url", service.url).option("fields", "id,boro").option("page_size", 5).option("pause", 0)
+    for k, v in options.items():
+        r = r.option(k, v)
+    return r.load()
+
+
+def test_filters_and_columns_reach_the_feed(spark, service):
+    d = feed(spark, service, count=service.count)
+    got = sorted(r["id"] for r in d.where("boro = '3' AND id >= '010' AND id <> '012'").collect())
+    want = [f"{i:03}" for i in range(47) if i % 5 == 2 and i >= 10 and i != 12]
+    assert got == want
+    sent = [q for q in service.asked if not q.get("count")]
+    assert sent and all("boro = '3'" in q["where"] and "id >= '010'" in q["where"] and q["select"] == "id,boro" for q in sent)
+    counts = [q for q in service.asked if q.get("count")]
+    assert counts and all("boro = '3'" in q["where"] for q in counts)
+    # 9 rows have that boro: as many tasks as pages of them
+    assert len({q["offset"] for q in sent}) == 2
+    service.asked.clear()
+    plain = feed(spark, service, count=service.count, pushdown="false")
+    assert sorted(r["id"] for r in plain.where("boro = '3' AND id >= '010' AND id <> '012'").collect()) == want
+    assert all("boro" not in q.get("where", "") for q in service.asked)
+
+
+def test_clauses():
+    from pyspark.sql import datasource as D
+
+    from lotline.sources.paged import clause
+
+    assert clause(D.EqualTo(("name",), "it's")) == "name = 'it''s'"
+    assert clause(D.In(("boro",), ("1", "2"))) == "boro IN ('1', '2')" and clause(D.In(("boro",), ("1", None))) is None
+    assert clause(D.Not(D.IsNull(("a_b",)))) == "NOT (a_b IS NULL)" and clause(D.StringStartsWith(("bbl",), "3")) == "starts_with(bbl, '3')"
+    assert clause(D.EqualTo(("x; drop",), "1")) is None and clause(D.EqualTo(("s", "x"), "1")) is None and clause(D.StringContains(("x",), "1")) is None
+
+
+def test_page_count_from_the_first_answer_and_broken_pages(spark, service):
+    body = json.dumps({"offset": "{offset}", "limit": "{limit}", "paged": "1"})
+    d = feed(spark, service, url=service.base, body=body, rows_field="items", page_count_field="pages", fields="id,_page_error", retries=2)
+    assert d.count() == 47 and d.rdd.getNumPartitions() == 10
+    service.broken.add(10)
+    rows = d.collect()
+    assert len([r for r in rows if r["id"]]) == 42 and [r["_page_error"][:8] for r in rows if r["_page_error"]] == ["page 3: "]
+    with pytest.raises(Exception, match="500"):
+        feed(spark, service, url=service.base, body=body, rows_field="items", page_count_field="pages", fields="id", retries=1).count()
+
+
+def test_a_stream_that_dies_after_its_write_repeats_no_row(spark, service, tmp_path):
+    from lotline.sources import paged
+    from lotline.streaming import incremental
+
+    paged.register(spark)
+    stream = lambda: spark.readStream.format("paged_feed").option("url", service.url).option("fields", "id,boro").option("page_size", 5).option("pause", 0).option("count", service.count).load()
+    out, died = str(tmp_path / "out"), []
+
+    def sink(d, i):
+        d.write.mode("overwrite").parquet(f"{out}/batch={i}")
+        if not died:
+            died.append(i)
+            raise RuntimeError("killed before the commit")
+
+    with pytest.raises(Exception, match="killed"):
+        incremental.run_available(stream(), sink, str(tmp_path / "checkpoint"))
+    service.rows += [{"id": f"{i:03}", "boro": "9"} for i in range(47, 60)]
+    for _ in range(2):
+        incremental.run_available(stream(), sink, str(tmp_path / "checkpoint"))
+    ids = sorted(r["id"] for r in spark.read.parquet(out).collect())
+    assert ids == [f"{i:03}" for i in range(60)]
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    service.asked.clear()
+    incremental.run_available(stream(), sink, str(tmp_path / "checkpoint"))
+    assert all(q.get("count") for q in service.asked)  # nothing new, no page asked for
