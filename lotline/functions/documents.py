@@ -23,6 +23,38 @@ def canonical_json(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
 
 
+#: Marks a number inside a string while keys are sorted: a character for private use.
+_NUMBER = "\ue000"
+
+
+def canonical_payload(raw: Column) -> Column:
+    """JSON text in one form for all that is the same: keys sorted at every depth, ``", "`` and ``": "`` between parts, all but printable ASCII as lower-case \\u escapes (pairs beyond the basic plane), fractions without needless zeros. Null for what isn't JSON or repeats a key. Numbers in exponent notation are written in full.
+
+    A variant sorts the keys; strings and what lies between them are then told apart by one pass of a pattern, so nothing inside a string is taken for a separator.
+    """
+    string = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    tokens = lambda t: F.regexp_extract_all(t, F.lit(f'{string}|[^"]++'), F.lit(0))
+    kept = lambda t: F.transform(tokens(t), lambda x: F.when(x.startswith('"'), x).otherwise(F.regexp_replace(x, r"(-?\d+\.\d+)(?![\d.eE])", f'"{_NUMBER}$1"')))
+    compact = F.to_json(F.try_parse_json(F.array_join(kept(raw), "")))
+
+    def code(n: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
+
+    def escaped(x: Column) -> Column:
+        n = F.ascii(x).cast("long")
+        pair = F.concat(code(F.lit(0xD800) + F.shiftright(n - 0x10000, 10)), code(F.lit(0xDC00) + (n - 0x10000).bitwiseAND(0x3FF)))
+        return F.when(x.rlike(r"^\\u"), F.lower(x)).when(F.length(x) > 1, x).when((n >= 32) & (n < 127), x).when(n < 0x10000, code(n)).otherwise(pair)
+
+    def written(x: Column) -> Column:
+        digits = F.regexp_replace(F.substring(x, F.lit(3), F.length(x) - 3), r"(\.\d+?)0+$", "$1")
+        odd = F.array_join(F.transform(F.regexp_extract_all(x, F.lit(r"\\u[0-9A-Fa-f]{4}|\\.|(?s)."), F.lit(0)), escaped), "")
+        text = F.when(x.rlike(r"[^ -~]|\\u"), odd).otherwise(x)
+        between = F.replace(F.replace(x, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": "))
+        return F.when(x.startswith(f'"{_NUMBER}'), digits).when(x.startswith('"'), text).otherwise(between)
+
+    return F.array_join(F.transform(tokens(compact), written), "")
+
+
 def rate_terms(rates: Column) -> Column:
     """A map of months to prices as [{term, price}], by months."""
     by_months = lambda x, y: F.when(x["key"].cast("int") < y["key"].cast("int"), -1).when(x["key"].cast("int") > y["key"].cast("int"), 1).otherwise(0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,3 +97,35 @@ def catalog_status(**tables: DataFrame) -> DataFrame:
 def optional_count(spark: SparkSession, table: str) -> int | None:
     """None where the table doesn't exist."""
     return spark.table(table).count() if spark.catalog.tableExists(table) else None
+
+
+def all_distributions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """key, value and n of each of ``keys``, and the number of rows (a null key), by one scan: grouping sets."""
+    sets = df.select(*keys).groupingSets([[k] for k in keys] + [[]], *keys).agg(F.count(F.lit(1)).alias("n"), *[F.grouping(k).alias(f"__g{i}") for i, k in enumerate(keys)])
+    here = lambda i: F.col(f"__g{i}") == 0
+    return sets.select(F.coalesce(*[F.when(here(i), F.lit(k)) for i, k in enumerate(keys)]).alias("key"), F.coalesce(*[F.when(here(i), F.col(k).cast("string")) for i, k in enumerate(keys)]).alias("value"), "n")
+
+
+def store_run(snapshot: DataFrame, path: str, run: str) -> None:
+    """A snapshot as a partition of its own: what was stored stays, a second snapshot of a run is refused."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", run):
+        raise ValueError(f"not a name for a run: {run!r}")
+    snapshot.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/run={run}")
+
+
+def stored_run(spark: SparkSession, path: str, run: str) -> DataFrame:
+    return spark.read.parquet(f"{path.rstrip('/')}/run={run}")
+
+
+def run_difference(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """key, change (entered, left or changed) and the columns before and after: what differs between two runs."""
+    side = lambda d, s: d.select(key, F.lit(True).alias(f"__{s}"), *[F.col(c).alias(f"{c}_{s}") for c in columns])
+    both = side(before, "before").join(side(after, "after"), key, "full_outer")
+    same = reduce(lambda a, b: a & b, [F.col(f"{c}_before").eqNullSafe(F.col(f"{c}_after")) for c in columns])
+    change = F.when(F.col("__before").isNull(), "entered").when(F.col("__after").isNull(), "left").when(~same, "changed")
+    return both.select(key, change.alias("change"), *[f"{c}_{s}" for c in columns for s in ("before", "after")]).where("change IS NOT NULL")
+
+
+def newly_resolved(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys that a second pass resolves and the first didn't: what the two sets of hits differ by."""
+    return after.select(*keys).distinct().join(before.select(*keys).distinct(), [*keys], "left_anti")

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.operators.coverage import distribution
+from lotline.operators.coverage import all_distributions
 from lotline.sources import release as parts_of
 
 UNITS = ["unit_id", "bbl", "unit_label", "normalized_unit", "first_seen", "last_seen"]
@@ -120,13 +120,22 @@ def with_block(text: str, block: str, begin: str, end: str) -> str:
 
 
 def quality_report(tables: Mapping[str, DataFrame], release_id: str, commit: str | None = None) -> dict:
-    """Counts, distributions and open gaps. Only aggregates reach the driver."""
-    count = {k: df.count() for k, df in tables.items()}
-    obs, matches = tables["observations"], tables["entity_matches"]
-    pairs = lambda df, key: {r[0]: r[1] for r in distribution(df, key).collect()}
-    unit = matches.where("entity_type = 'unit'")
-    by_status = pairs(unit, "status")
+    """Counts, distributions and open gaps: one job a table. Only aggregates reach the driver."""
+    asked = {"observations": ["source", "evidence_grade"], "entity_matches": ["unit_status"]}
+    count, found = {}, {}
+    for name, df in tables.items():
+        if name == "entity_matches":
+            df = df.select(F.when(F.col("entity_type") == "unit", F.coalesce("status", F.lit(""))).alias("unit_status"))
+        keys = asked.get(name, [])
+        for r in all_distributions(df, keys).collect() if keys else [(None, None, df.count())]:
+            if r[0] is None:
+                count[name] = r[2]
+            else:
+                found.setdefault(r[0], []).append((r[1], r[2]))
+        count.setdefault(name, 0)
+    ordered = lambda k: dict(sorted(found.get(k, []), key=lambda x: (-x[1], x[0] is not None, x[0] or "")))
+    by_status = {k: n for k, n in ordered("unit_status").items() if k is not None}  # null: claims of other kinds
     whole = sum(by_status.values())
     counts = count | {"unit_resolution_rate": round(by_status.get("resolved", 0) / whole, 6) if whole else 0.0}
     gaps = [f"{n} unit claims are {s}" for s, n in by_status.items() if s != "resolved"]
-    return {"format": 1, "release_id": release_id, "software_commit": commit, "counts": counts, "unit_status": by_status, "sources": pairs(obs, "source"), "evidence_grades": pairs(obs, "evidence_grade"), "warnings": [] if whole else ["no unit claims"], "open_gaps": gaps}
+    return {"format": 1, "release_id": release_id, "software_commit": commit, "counts": counts, "unit_status": by_status, "sources": ordered("source"), "evidence_grades": ordered("evidence_grade"), "warnings": [] if whole else ["no unit claims"], "open_gaps": gaps}

@@ -29,4 +29,4 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-from lotline.plans import queries_entities, queries_feeds, queries_importers, queries_more, queries_relations, queries_scalars, queries_streams  # noqa: E402, F401  they register themselves
+from lotline.plans import queries_entities, queries_feeds, queries_importers, queries_more, queries_relations, queries_scalars, queries_scale, queries_streams  # noqa: E402, F401  they register themselves
