@@ -266,7 +266,7 @@ def acquire(lake: Lake, a: argparse.Namespace) -> int:
         print("the feed's last page was read")
         return 0
     staged = lake.replace("feed_in_order", incremental.positioned(feed))
-    for offset, requested, rows in incremental.run_offset_pages(lambda o, n: incremental.page_of(staged, o, n), sink, start, a.page_size, a.pages):
+    for offset, requested, rows in incremental.run_offset_pages(incremental.Positions(staged).page, sink, start, a.page_size, a.pages):
         lake.append("acquisition_pages", lake.spark.createDataFrame([(a.source, scope, offset, requested, rows)], log.schema))
         print(json.dumps({"offset": offset, "rows": rows}))
     return 0

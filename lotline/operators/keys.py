@@ -48,6 +48,11 @@ def insert_or_replace(current: DataFrame, incoming: DataFrame, keys: Sequence[st
     return current.join(new.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, first: int = 1) -> DataFrame:
+    """The number of each row within its key, from ``first`` on; ``order`` should be total."""
+    return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long") + (first - 1))
+
+
 def seen_bounds(df: DataFrame, keys: Sequence[str], first: str = "first_seen", last: str = "last_seen") -> DataFrame:
     return df.groupBy(*keys).agg(F.min(first).alias(first), F.max(last).alias(last))
 

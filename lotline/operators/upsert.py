@@ -6,9 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from lotline.operators.keys import insert_new, last_wins
+from lotline.operators.keys import first_wins, insert_new, last_wins
 
 
 def snapshot_merge(current: DataFrame, incoming: DataFrame, source: str, now: str, fields: Sequence[str], present: Mapping[str, str] | None = None, arrival: str = "arrival") -> DataFrame:
@@ -59,8 +58,7 @@ def add_events(current: DataFrame, incoming: DataFrame, arrival: str = "arrival"
     """The events that are new by (bbl, event_type, event_date, source, detail): a null detail equals '', a null date never equals another."""
     keys = ["bbl", "event_type", "event_date", "source", "__detail"]
     e = incoming.withColumn("__detail", F.coalesce("detail", F.lit("")))
-    w = W.partitionBy(*keys).orderBy(arrival)
-    dated = e.where(F.col("event_date").isNotNull()).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    dated = first_wins(e.where(F.col("event_date").isNotNull()), keys, arrival)
     fresh = insert_new(current.where(F.col("event_date").isNotNull()).withColumn("__detail", F.coalesce("detail", F.lit(""))), dated, keys)
     return fresh.unionByName(e.where(F.col("event_date").isNull())).drop("__detail")
 

@@ -168,7 +168,7 @@ def g12_coverage_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 E16_SQL = """
-WITH hpd AS (SELECT o_custkey AS k, bool_or(strftime(o_orderdate, '%Y-%m-%d') >= '1998-01-01') AS unexpired FROM orders WHERE o_orderkey % 5 > 0 GROUP BY 1),
+WITH hpd AS (SELECT o_custkey AS k, bool_or(strftime(o_orderdate, '%Y-%m-%d') >= '1998-01-01') AS unexpired FROM orders GROUP BY 1),
 lots AS (SELECT c_custkey AS k, c_nationkey AS u FROM customer WHERE c_nationkey > 5),
 counts AS (SELECT o_custkey AS k, count(*) AS n, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_partkey END) AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)
 SELECT k::VARCHAR AS bbl, CASE WHEN unexpired AND u > 0 THEN 'hpd_unexpired_pluto_residential' WHEN unexpired THEN 'hpd_unexpired_no_positive_pluto_count' WHEN unexpired IS NOT NULL AND u > 0 THEN 'hpd_expired_pluto_residential' WHEN u > 0 THEN 'pluto_residential_not_hpd_unexpired' ELSE 'hpd_only_no_pluto_lot' END AS membership_status, u AS units_res, coalesce(n, 0) AS unit_claims, coalesce(d, 0) AS official_units
@@ -179,7 +179,7 @@ FROM (SELECT k FROM hpd UNION SELECT k FROM lots) LEFT JOIN hpd USING (k) LEFT J
 @query(E16_SQL)
 def e16_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
-    regs = o.where("o_orderkey % 5 > 0").select(c("o_custkey").cast("string").alias("bbl"), dates.timing(F.date_format("o_orderdate", "yyyy-MM-dd"), "1998-01-01").alias("timing"))
+    regs = o.select(c("o_custkey").cast("string").alias("bbl"), dates.timing(F.date_format("o_orderdate", "yyyy-MM-dd"), "1998-01-01").alias("timing"))
     b = read(spark, sf_dir, "customer").select(c("c_custkey").cast("string").alias("bbl"), F.when(c("c_nationkey") > 5, c("c_nationkey")).alias("units_res"))
     l = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("o_orderkey"), "l_partkey", "l_returnflag")  # noqa: E741
     claims = o.join(l, "o_orderkey").select(c("o_custkey").cast("string").alias("bbl"), c("l_partkey").alias("unit_id"), F.when(c("l_returnflag") == "R", "source_document").otherwise("other").alias("grade"))
@@ -202,7 +202,7 @@ def o03_largest_portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 D01_SQL = """
-WITH cur AS (SELECT user_id AS id, arg_max(value, {'t': ts, 'e': event_id}) AS price FROM events WHERE event_id % 2 = 0 GROUP BY 1),
+WITH cur AS (SELECT user_id AS id, arg_max(value, {'t': ts, 'e': event_id}) AS price FROM events WHERE event_id % 2 = 0 OR user_id % 3 = 0 GROUP BY 1),
 inc AS (SELECT user_id AS id, arg_max(value, {'t': ts, 'e': event_id}) AS price FROM events WHERE event_id % 2 = 1 AND user_id % 3 > 0 GROUP BY 1)
 SELECT coalesce(cur.id, inc.id)::VARCHAR AS source_id, CASE WHEN inc.id IS NOT NULL AND inc.id % 5 > 0 THEN inc.price ELSE cur.price END AS price, CASE WHEN cur.id IS NULL THEN '2026-01-02 00:00:00' ELSE '2026-01-01 00:00:00' END AS first_seen, CASE WHEN inc.id IS NULL THEN '2026-01-01 00:00:00' ELSE '2026-01-02 00:00:00' END AS last_seen, CASE WHEN inc.id IS NULL THEN 'inactive' ELSE 'active' END AS status, CASE WHEN cur.id IS NULL THEN 'new' WHEN inc.id IS NULL THEN 'inactive' ELSE 'updated' END AS action
 FROM cur FULL JOIN inc ON cur.id = inc.id
@@ -214,7 +214,7 @@ UNION ALL SELECT 'other', 1.0, '2026-01-01 00:00:00', '2026-01-01 00:00:00', 'ac
 def d01_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select(c("user_id"), c("value").alias("price"), c("event_id"), F.struct("ts", "event_id").alias("arrival"))
     old = F.lit("2026-01-01 00:00:00")
-    mine = keys.last_wins(e.where("event_id % 2 = 0"), ["user_id"], "arrival").select(F.lit("a").alias("source"), c("user_id").cast("string").alias("source_id"), "price")
+    mine = keys.last_wins(e.where("event_id % 2 = 0 OR user_id % 3 = 0"), ["user_id"], "arrival").select(F.lit("a").alias("source"), c("user_id").cast("string").alias("source_id"), "price")
     other = spark.createDataFrame([("b", "other", 1.0)], "source string, source_id string, price double")
     current = mine.union(other).withColumns({"first_seen": old, "last_seen": old, "status": F.lit("active")})
     incoming = e.where("event_id % 2 = 1 AND user_id % 3 > 0").select(c("user_id").cast("string").alias("source_id"), "price", (c("user_id") % 5 > 0).alias("has_price"), "arrival")
@@ -306,11 +306,11 @@ def e20_listing_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(c("source_id").cast("long").alias("o_orderkey"), "observed_at", "price", "grade")
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'NEW' ELSE c_name END AS address, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_mktsegment END AS zipcode, CASE WHEN c_custkey % 3 = 0 THEN 'nyc_pad' ELSE 'record_db' END AS source FROM customer WHERE c_custkey % 3 > 0 OR c_custkey % 2 = 0")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 OR c_custkey % 3 = 0 THEN 'NEW' ELSE c_name END AS address, CASE WHEN c_custkey % 2 = 0 OR c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS zipcode, CASE WHEN c_custkey % 3 = 0 THEN 'nyc_pad' ELSE 'record_db' END AS source FROM customer")
 def d09_address_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = c("c_custkey")
     d = read(spark, sf_dir, "customer").select(k.cast("string").alias("bbl"), F.lit("n").alias("normalized"), c("c_name").alias("address"), c("c_mktsegment").alias("zipcode"), F.lit("record_db").alias("source"), "c_custkey")
-    new = d.where(k % 2 == 0).select("bbl", "normalized", F.lit("NEW").alias("address"), F.lit(None).cast("string").alias("zipcode"), F.lit("nyc_pad").alias("source"), F.lit(1).alias("arrival"))
+    new = d.where((k % 2 == 0) | (k % 3 == 0)).select("bbl", "normalized", F.lit("NEW").alias("address"), F.lit(None).cast("string").alias("zipcode"), F.lit("nyc_pad").alias("source"), F.lit(1).alias("arrival"))
     out = upsert.address_upsert(d.where(k % 3 > 0).drop("c_custkey"), new)
     return out.select(c("bbl").cast("long").alias("c_custkey"), "address", "zipcode", "source")
 

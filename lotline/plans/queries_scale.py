@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.buckets import BucketTable
-from lotline.operators import enrich, export, keys, spatial, upsert
+from lotline.functions.documents import canonical_payload
+from lotline.operators import coverage, enrich, export, keys, spatial, upsert
 from lotline.plans.catalog import query, read
 from lotline.session import scratch
 from lotline.sources import paged
 from lotline.sources.release import place
-from lotline.streaming import incremental
+from lotline.streaming import incremental, tracked
 
 c = F.col
 text = lambda x: x.cast("string")
@@ -172,3 +173,61 @@ def j25_in_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x08_amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = _places(spark, sf_dir).select(F.when(c("s_suppkey") % 2 == 0, "even").otherwise("odd").alias("kind"), "lat", "lng")
     return enrich.amenities(_points(spark, sf_dir).withColumn("bbl", text(c("c_custkey"))), kinds, 8000.0)
+
+
+# Payloads, reports and tracking.
+
+
+@query("""SELECT c_custkey, concat('{"a": {"name": "', replace(c_name, '"', '\\"'), '", "none": null}, "m": [', c_nationkey, ', "', c_mktsegment, ', x: y"], "z\\u00e9": "\\u00fc\\ud83d\\ude00', c_custkey, '"}') AS payload FROM customer""")
+def f61_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested, non-ASCII and null values in the one form of a payload, whatever the order and spacing they came in."""
+    raw = F.concat(F.lit('{"zé":"ü😀'), text(c("c_custkey")), F.lit('" , "m":['), text(c("c_nationkey")), F.lit(',"'), c("c_mktsegment"), F.lit(', x: y"],\n"a":{"none":null,"name":'), F.to_json(F.array("c_name")).substr(F.lit(2), F.length(F.to_json(F.array("c_name"))) - 2), F.lit("}}"))
+    return read(spark, sf_dir, "customer").select("c_custkey", canonical_payload(raw).alias("payload"))
+
+
+@query("SELECT 'l_returnflag' AS key, l_returnflag AS value, count(*) AS n FROM lineitem GROUP BY 2 UNION ALL SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'l_linenumber', l_linenumber::VARCHAR, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT NULL, NULL, count(*) FROM lineitem")
+def g17_all_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.all_distributions(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"])
+
+
+RUN = "SELECT o_custkey AS k, min(o_orderpriority) AS status, count(*) AS n FROM orders WHERE {} GROUP BY 1"
+RUNS = (RUN.format("o_orderstatus <> 'O'"), RUN.format("o_orderstatus <> 'F'"))
+
+
+def _run_of(spark: SparkSession, sf_dir: str, other: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").where(c("o_orderstatus") != other).groupBy(text(c("o_custkey")).alias("bbl")).agg(F.min("o_orderpriority").alias("status"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT coalesce(a.k, b.k)::VARCHAR AS bbl, CASE WHEN a.k IS NULL THEN 'entered' WHEN b.k IS NULL THEN 'left' ELSE 'changed' END AS change, a.status AS status_before, b.status AS status_after, a.n AS n_before, b.n AS n_after FROM ({RUNS[0]}) a FULL JOIN ({RUNS[1]}) b USING (k) WHERE a.k IS NULL OR b.k IS NULL OR a.status <> b.status OR a.n <> b.n")
+def t08_coverage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored runs, and what they differ by."""
+    at = scratch(spark, "coverage")
+    for run, other in (("r1", "O"), ("r2", "F")):
+        coverage.store_run(_run_of(spark, sf_dir, other), at, run)
+    return coverage.run_difference(*(coverage.stored_run(spark, at, r) for r in ("r1", "r2")), "bbl", ["status", "n"])
+
+
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
+def u06_newly_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    return coverage.newly_resolved(o.where("o_orderstatus = 'O'"), o.where("o_orderstatus = 'F'"), ["o_custkey"])
+
+
+@query("""
+WITH e AS (SELECT user_id, epoch_ms(ts) AS t FROM events), g AS (SELECT *, t - lag(t) OVER (PARTITION BY user_id ORDER BY t) AS gap FROM e)
+SELECT user_id, count(*) FILTER (WHERE gap IS NULL) AS n_new, count(*) FILTER (WHERE gap IS NOT NULL) AS n_updated, count(*) FILTER (WHERE gap > 86400000) + CASE WHEN (SELECT max(t) FROM e) - max(t) >= 86400000 THEN 1 ELSE 0 END AS n_inactive, min(t) AS first_ms, max(t) AS last_ms FROM g GROUP BY user_id
+""")
+def t02_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events as sightings: new, updated, and inactive a day after one that no other follows."""
+    at, path = scratch(spark, "tracked"), f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(path).schema
+
+    def make() -> DataFrame:
+        # all files in one batch: sightings of a key are taken in order of time
+        d = incremental.stream_files(spark, f"{path[:-1]}[t]", schema, 1_000_000)
+        return tracked.tracked(d.withColumn("ts", c("ts").cast("timestamp")), ["user_id"], "ts", "value", 86_400_000)
+
+    tracked.run_tracked(make, lambda d, i: d.write.mode("overwrite").parquet(f"{at}/out/batch={i}"), f"{at}/checkpoint")
+    n = lambda a: F.count_if(c("action") == a).alias(f"n_{a}")
+    seen = F.when(c("action") != "inactive", c("at_ms"))
+    return spark.read.parquet(f"{at}/out").groupBy("user_id").agg(n("new"), n("updated"), n("inactive"), F.min(seen).alias("first_ms"), F.max(seen).alias("last_ms"))

@@ -10,9 +10,10 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
+from lotline.buckets import BucketTable
 from lotline.functions.ids import borough_code, row_hash
+from lotline.operators.keys import insert_new
 
 
 def scope_of(borough: str | int | None) -> str:
@@ -66,10 +67,26 @@ def positioned(feed: DataFrame) -> DataFrame:
 
 def page_of(staged: DataFrame, offset: int, n: int) -> DataFrame:
     """Rows ``offset`` to ``offset + n`` of a written ``positioned`` feed."""
-    sizes = staged.groupBy("part").agg(F.count(F.lit(1)).alias("__size"))
-    first = sizes.withColumn("__first", F.coalesce(F.sum("__size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row for each part file
-    d = staged.join(F.broadcast(first.select("part", "__first")), "part")
-    return d.where((F.col("__first") + F.col("at")).between(offset, offset + n - 1)).drop("part", "at", "__first")
+    return Positions(staged).page(offset, n)
+
+
+class Positions:
+    """Where each part of a written ``positioned`` feed begins: counted once, a number for each part. A page then filters by constants, so only the files (and row groups) that hold it are read."""
+
+    def __init__(self, staged: DataFrame):
+        self.staged, self.parts, at = staged, [], 0
+        for part, n in sorted((r["part"], r["count"]) for r in staged.groupBy("part").count().collect()):
+            self.parts.append((part, at, n))
+            at += n
+        self.rows = at
+
+    def page(self, offset: int, n: int) -> DataFrame:
+        want = F.lit(False)
+        for part, first, size in self.parts:
+            low, high = max(offset, first) - first, min(offset + n, first + size) - first
+            if low < high:
+                want = want | ((F.col("part") == part) & F.col("at").between(low, high - 1))
+        return self.staged.where(want).drop("part", "at")
 
 
 def stage(raw: DataFrame, staged: DataFrame, payload: str = "payload") -> DataFrame:
@@ -79,10 +96,23 @@ def stage(raw: DataFrame, staged: DataFrame, payload: str = "payload") -> DataFr
 
 
 def stage_stream(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """The same of a stream: the state holds a hash for each payload, and a batch reads no more than itself."""
+    """The same of a stream: the state holds a hash for each payload, and a batch reads no more than itself. The state grows with the distinct payloads; ``stage_batches`` keeps none."""
     return raw.withColumn("row_id", row_hash(F.col(payload))).dropDuplicates(["row_id"]).withColumn("resolved_at", F.lit(None).cast("string"))
 
 
+def stage_batches(stream: DataFrame, table: BucketTable, checkpoint: str, payload: str = "payload") -> None:
+    """Stages a stream without state: each batch is merged into the buckets of the stage that its hashes touch, where rows that are there already stay. A batch that is run again adds nothing."""
+
+    def insert(old: DataFrame, new: DataFrame) -> DataFrame:
+        return old.unionByName(insert_new(old, new.dropDuplicates(["row_id"]), ["row_id"]), allowMissingColumns=True)
+
+    def apply(batch: DataFrame, _: int) -> None:
+        rows = batch.withColumn("row_id", row_hash(F.col(payload))).withColumn("resolved_at", F.lit(None).cast("string"))
+        table.merge(rows, insert)
+
+    run_available(stream, apply, checkpoint)
+
+
 def mark_resolved(staged: DataFrame, done: DataFrame, now: str) -> DataFrame:
     """After the catalog has the rows: when they were resolved. Repeating it changes nothing."""
     d = done.select("row_id").distinct().withColumn("__done", F.lit(True))
