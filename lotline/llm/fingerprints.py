@@ -25,6 +25,8 @@ from lotline.llm.common import U, materialize, mix
 BINS = 128
 #: Bytes of text, about, that one task walks.
 RANGE_BYTES = 32 << 20
+#: Ranges at most: the range sample, the map outputs and the rows that meet in the second step stay small whatever the bytes.
+MAX_RANGES = 16_384
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, role string, part string, at int, text string"
 
 
@@ -115,10 +117,10 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Each document's fingerprint, with those of its edited form and of the next document.
 
-    Documents are dealt by ranges of doc_id (and of their hash and number, so that a frequent doc_id is no task of its own), as many as their bytes ask for: the only exchange of texts. A task walks its range in order and hands on only its first and last text, which a second, small step joins.
+    Documents are dealt by ranges of doc_id (and of their hash and number, so that a frequent doc_id is no task of its own), as many as their bytes ask for, up to ``MAX_RANGES``: the only exchange of texts. A task walks its range in order, as a stream whose memory doesn't depend on the range's size, and hands on only its first and last text, which a second, small step joins.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES)
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MAX_RANGES, (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, last, out = uuid.uuid4().hex, TaskContext.get().partitionId(), None, []

@@ -9,7 +9,6 @@ Null texts have size 1 (no bytes, plus 1) and CRC 0. Repeated rows get slots of
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Sequence
 
 import numpy as np
@@ -49,44 +48,45 @@ def bucket_of(key: str, splitters: Sequence[int]) -> Column:
     return find(F.col(key))
 
 
-def weight_below(rows: DataFrame, key: str, weight: str, probes: Sequence[int]) -> list[int]:
+def weight_below(rows: DataFrame, key: str, weight: str, probes: Sequence[int]) -> np.ndarray:
     """The exact weight of the rows whose key lies below each probe (ascending)."""
     counts = rows.select(bucket_of(key, probes).alias("b"), F.col(weight).alias("w")).groupBy("b").agg(F.sum("w").alias("w")).collect()
-    per = np.zeros(len(probes) + 1, dtype=object)
+    per = np.zeros(len(probes) + 1, np.int64)
     for r in counts:
         per[r["b"]] = r["w"]
-    return list(np.cumsum(per)[:-1])
+    return np.cumsum(per)[:-1]
 
 
 def splitters(rows: DataFrame, key: str, weight: str, targets: Sequence[int], slack: Sequence[float], probes: int = PROBES) -> list[int]:
-    """Keys such that the weight below the i-th differs from ``targets[i]`` by ``slack[i]`` at most, or by less than the rows of one key."""
-    probes = max(2, min(probes, MOST_PROBES // max(1, len(targets))))
+    """Keys such that the weight below the i-th differs from ``targets[i]`` by ``slack[i]`` at most, or by less than the rows of one key.
+
+    The driver holds a bracket a target, in arrays: two keys and the weights below them. A round probes the brackets that are still open, ``MOST_PROBES`` keys in all, and narrows them by one search.
+    """
     lo, hi, total = rows.agg(F.min(key), F.max(key), F.sum(weight)).first()
     if lo is None:
         return [0] * len(targets)
-    at, below = [lo, hi + 1], [0, total]  # all that is known so far, ascending
+    t, s = np.array(targets, np.int64), np.array(slack, np.float64)
+    low, high = np.full(len(t), lo, np.int64), np.full(len(t), min(hi + 1, (1 << 63) - 1), np.int64)
+    under, over = np.zeros(len(t), np.int64), np.full(len(t), total, np.int64)
     while True:
-        ask: set[int] = set()
-        for t, s in zip(targets, slack, strict=True):
-            j = bisect.bisect_left(below, t)
-            near = [k for k in (j - 1, j) if 0 <= k < len(at)]
-            if min(abs(below[k] - t) for k in near) <= s or j == 0 or at[j] - at[j - 1] <= 1:
-                continue
-            a, b = at[j - 1], at[j]
-            n = min(probes, b - a - 1)
-            ask.update(a + (b - a) * i // (n + 1) for i in range(1, n + 1))
-        new = sorted(ask - set(at))
-        if not new:
+        live = np.flatnonzero((np.minimum(t - under, over - t) > s) & (high - 1 > low))
+        if not len(live):
             break
-        for k, w in zip(new, weight_below(rows, key, weight, new), strict=True):
-            i = bisect.bisect_left(at, k)
-            at.insert(i, k)
-            below.insert(i, w)
-    out = []
-    for t in targets:
-        j = bisect.bisect_left(below, t)
-        out.append(at[min((k for k in (j - 1, j) if 0 <= k < len(at)), key=lambda k: abs(below[k] - t))])
-    return out
+        brackets = np.unique(np.stack([low[live], high[live]], axis=1), axis=0)
+        n = max(1, min(probes, MOST_PROBES // len(brackets)))
+        width = brackets[:, 1] - brackets[:, 0]
+        i = np.arange(1, n + 1)
+        ask = brackets[:, :1] + width[:, None] // (n + 1) * i + width[:, None] % (n + 1) * i // (n + 1)
+        new = np.unique(ask[(ask > brackets[:, :1]) & (ask < brackets[:, 1:])])
+        below = weight_below(rows, key, weight, new)
+        at = np.searchsorted(below, t[live], side="left")
+        up = np.minimum(at, len(new) - 1)
+        better = (at < len(new)) & (new[up] < high[live]) & (new[up] > low[live])
+        high[live[better]], over[live[better]] = new[up[better]], below[up[better]]
+        down = np.maximum(at - 1, 0)
+        better = (at > 0) & (new[down] > low[live]) & (new[down] < high[live])
+        low[live[better]], under[live[better]] = new[down[better]], below[down[better]]
+    return np.where(t - under <= over - t, low, high).tolist()
 
 
 def at_group_ends(rows: DataFrame, key: str, weight: str, found: Sequence[int], targets: Sequence[int], slack: float) -> list[int]:
@@ -94,7 +94,7 @@ def at_group_ends(rows: DataFrame, key: str, weight: str, found: Sequence[int],
     starts = [k >> GROUP_BITS << GROUP_BITS for k in found]
     options = [[s, s + (1 << GROUP_BITS)] for s in starts]
     asked = sorted({k for o in options for k in o if k < 1 << 63})
-    below = dict(zip(asked, weight_below(rows, key, weight, asked), strict=True))
+    below = dict(zip(asked, weight_below(rows, key, weight, asked).tolist(), strict=True))
     out = []
     for k, o, t in zip(found, options, targets, strict=True):
         fits = [x for x in o if x in below and abs(below[x] - t) <= slack]
@@ -103,7 +103,7 @@ def at_group_ends(rows: DataFrame, key: str, weight: str, found: Sequence[int],
 
 
 def shard(docs: DataFrame, shards: int, key: Column | None = None, size: Column | None = None, text: str = "text", doc_id: str = "doc_id", tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, shard and slot (its place in the shard, in key order). Shards are near equal in ``size``."""
+    """One row per document: doc_id, size, text_crc32, shard and slot (its place in the shard, in key order). Shards are near equal in ``size``. A ``key`` of one's own is a long that is never negative."""
     t = F.coalesce(F.col(text), F.lit(""))
     size = F.octet_length(t) + 1 if size is None else size
     numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
