@@ -1,6 +1,6 @@
 """Chat formatting with schema fingerprints.
 
-A layout's nested field paths, sorted and hashed, are its fingerprint; the fingerprint selects a declarative mapping (where turns lie, which fields hold role and text, what their names mean) that yields canonical turns: conv_id, turn, role, text. A table's own columns and JSON records go the same way. An unknown fingerprint takes the mapping whose fields are the most of those there are; a table that fits none is an error that names its paths, and a record that fits none, isn't JSON or holds something else where a text or number belongs becomes one turn of the role 'unmapped' with the record as text.
+A layout's nested field paths, sorted and hashed, are its fingerprint; the fingerprint selects a declarative mapping (where turns lie, which fields hold role and text, what their names mean) that yields canonical turns: conv_id, turn, role, text. A table's own columns and JSON records go the same way. A fingerprint that isn't known is taken again without the fields that no mapping knows; if that isn't known either, the mapping whose fields are the most of those there are is taken; a table that fits none is an error that names its paths, and a record that fits none, isn't JSON or holds something else where a text or number belongs becomes one turn of the role 'unmapped' with the record as text. A message given as parts says the texts of its parts, a line each; a record with an empty list of messages is a conversation without turns, and gives no row.
 
 The template writes a turn as ``<|role|>`` line, text, ``<|end|>`` line. Inside texts and roles, the backslash and the signs that begin control strings are escaped (in roles the bar too), so no text can pass for a mark, and the output reads back exactly. The loss mask covers the text of assistant turns. Formatting a turn needs no other turn, so it moves no rows.
 
@@ -17,7 +17,7 @@ import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ OPEN, CLOSE, END = "<|", "|>\n", "\n<|end|>\n"
 MAPPINGS: dict[str, dict] = {
     "turn rows": {"paths": ["conv_id", "role", "text", "turn"], "turns": None, "role": "role", "text": "text", "turn": "turn"},
     "messages": {"paths": ["conv_id", "messages[].content", "messages[].role"], "turns": "messages", "role": "role", "text": "content"},
+    "messages of parts": {"paths": ["conv_id", "messages[].content[].text", "messages[].content[].type", "messages[].role"], "turns": "messages", "role": "role", "text": "content"},
+    "no messages": {"paths": ["conv_id", "messages[]"], "turns": "messages", "role": "role", "text": "content"},
     "conversations": {"paths": ["conv_id", "conversations[].from", "conversations[].value"], "turns": "conversations", "role": "from", "text": "value"},
     "prompt and completion": {"paths": ["completion", "conv_id", "prompt"], "fields": [("user", ["prompt"]), ("assistant", ["completion"])]},
     "prompt and response": {"paths": ["conv_id", "prompt", "response"], "fields": [("user", ["prompt"]), ("assistant", ["response"])]},
@@ -61,10 +63,14 @@ def value_paths(value: object, at: str = "") -> set[str]:
     return {at}
 
 
+KNOWN_PATHS = {p for m in MAPPINGS.values() for p in m["paths"]}
+
+
 def mapping_for(paths: list[str]) -> Mapping:
-    """The mapping whose fingerprint ``paths`` has; else the one whose paths are the most of them (extra fields play no part)."""
-    if hashed(paths) in BY_PRINT:
-        return MAPPINGS[BY_PRINT[hashed(paths)]]
+    """The mapping whose fingerprint ``paths`` has, as they are or without fields that no mapping knows; else the one whose paths are the most of them."""
+    for own in (paths, [p for p in paths if p in KNOWN_PATHS]):
+        if hashed(own) in BY_PRINT:
+            return MAPPINGS[BY_PRINT[hashed(own)]]
     fits = [m for m in MAPPINGS.values() if {*m["paths"]} <= {*paths}]
     if not fits:
         raise ValueError(f"no mapping for the fields {sorted(paths)}")
@@ -83,17 +89,27 @@ def canonical_turns(df: DataFrame) -> DataFrame:
         return df.select(F.col("conv_id").cast("long").alias("conv_id"), F.explode(turns).alias("t")).select("conv_id", "t.*")
     if m["turns"]:
         rows = df.select(F.col("conv_id").cast("long").alias("conv_id"), F.posexplode(m["turns"]).alias("turn", "t"))
-        return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), role(F.col("t")[m["role"]]).alias("role"), text(F.col("t")[m["text"]]).alias("text"))
+        said = F.col("t")[m["text"]]
+        if f"{m['turns']}[].{m['text']}[].text" in m["paths"]:
+            said = F.array_join(F.transform(said, lambda x: x["text"]), "\n")  # parts without text, like images, are left out
+        return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), role(F.col("t")[m["role"]]).alias("role"), text(said).alias("text"))
     return df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col(m["turn"]).cast("long").alias("turn"), role(F.col(m["role"])).alias("role"), text(F.col(m["text"])).alias("text"))
 
 
+def said(value: object) -> str:
+    """What a message says: text, or the texts of its parts, a line each."""
+    if isinstance(value, list):
+        return "\n".join(p if isinstance(p, str) else p["text"] for p in value if not isinstance(p, dict) or isinstance(p.get("text"), str))
+    return value or ""
+
+
 def turns_of(record: dict) -> list[tuple[str, str]]:
     m = mapping_for(sorted(value_paths(record)))
     as_role = lambda r: ROLES.get(r, r or "")
     if "fields" in m:
         return [(r, "\n".join(record[n] for n in names if record.get(n))) for r, names in m["fields"]]
     if m["turns"]:
-        return [(as_role(t.get(m["role"])), t.get(m["text"]) or "") for t in record[m["turns"]]]
+        return [(as_role(t.get(m["role"])), said(t.get(m["text"]))) for t in record[m["turns"]]]
     return [(as_role(record.get(m["role"])), record.get(m["text"]) or "")]
 
 
@@ -135,13 +151,19 @@ def json_turns(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).mapInArrow(run, "conv_id long, turn long, role string, text string")
 
 
+#: Signs that begin control strings, and the bar that ends a role, in the order in which they are escaped.
+ESCAPES = {"\\": "\\\\", "<": "\\l", "[": "\\b", "|": "\\p"}
+
+
 def escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("<", "\\l").replace("[", "\\b")
+    for sign in "\\<[":
+        text = text.replace(sign, ESCAPES[sign])
+    return text
 
 
 def escape_role(role: str) -> str:
     """A role stands before a bar, so its own are escaped too."""
-    return escape(role).replace("|", "\\p")
+    return escape(role).replace("|", ESCAPES["|"])
 
 
 _back = {"\\\\": "\\", "\\l": "<", "\\b": "[", "\\p": "|"}
@@ -154,17 +176,16 @@ def unescape(text: str) -> str:
 def format_turns(turns: DataFrame) -> DataFrame:
     """conv_id, turn, role, text, segment, loss (arrays of [start, stop) in the segment, in characters): one row a turn, no exchange. The segments of a conversation in the order of turn, role and text, one after another, are its formatted text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            segments, loss = [], []
-            for role, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                head, body = f"{OPEN}{escape_role(role or '')}{CLOSE}", escape(text or "")
-                segments.append(f"{head}{body}{END}")
-                loss.append([[len(head), len(head) + len(body)]] if role == "assistant" else [])
-            kind = pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(segments, pa.string()), pa.array(loss, kind)], names=["conv_id", "turn", "role", "text", "segment", "loss"])
-
-    return turns.select("conv_id", "turn", "role", "text").mapInArrow(run, "conv_id long, turn long, role string, text string, segment string, loss array<array<long>>")
+    def escaped(c: Column, signs: str) -> Column:
+        for sign in signs:
+            c = F.replace(c, F.lit(sign), F.lit(ESCAPES[sign]))
+        return c
+
+    d = turns.select("conv_id", "turn", "role", "text")
+    d = d.withColumns({"head": F.concat(F.lit(OPEN), escaped(F.coalesce("role", F.lit("")), "\\<[|"), F.lit(CLOSE)), "body": escaped(F.coalesce("text", F.lit("")), "\\<[")})
+    start, stop = F.length("head").cast("long"), (F.length("head") + F.length("body")).cast("long")
+    loss = F.when(F.col("role") == "assistant", F.array(F.array(start, stop))).otherwise(F.array().cast("array<array<long>>"))
+    return d.select("conv_id", "turn", "role", "text", F.concat("head", "body", F.lit(END)).alias("segment"), loss.alias("loss"))
 
 
 TURN = re.compile(r"<\|((?:[^<|\\]|\\.)*)\|>\n((?:[^<\\]|\\.)*)\n<\|end\|>\n", re.DOTALL)

@@ -130,3 +130,23 @@ def test_null_conversation_ids_are_one(spark):
 
 def test_fingerprints_do_not_depend_on_order():
     assert T.hashed(["b", "a"]) == T.hashed(["a", "b"]) and len(T.BY_PRINT) == len(T.MAPPINGS)
+
+
+def test_messages_of_parts_and_without_turns(spark):
+    parts = [{"type": "text", "text": "look"}, {"type": "image_url", "image_url": {"url": "x"}}, {"type": "text", "text": "here <|"}]
+    records = [
+        {"conv_id": 1, "messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}, {"role": "gpt", "content": [{"type": "text", "text": "c"}]}]},
+        {"conv_id": 2, "messages": [{"role": "user", "content": parts}, {"role": "assistant", "content": "plain"}]},
+        {"conv_id": 3, "messages": []},
+        {"conv_id": 4, "messages": [{"role": "user", "content": [{"type": "text", "text": "x"}], "name": "n"}], "model": "m", "meta": {"a": 1}},
+    ]
+    d = spark.createDataFrame([(json.dumps(r),) for r in records], "j string")
+    got = sorted(tuple(r) for r in T.json_turns(d, "j").collect())
+    assert got == [(1, 0, "user", "a\nb"), (1, 1, "assistant", "c"), (2, 0, "user", "look\nhere <|"), (2, 1, "assistant", "plain"), (4, 0, "user", "x")]
+    t = spark.createDataFrame([(1, [("user", [("text", "a"), ("image", None), ("text", "b")]), ("bot", None)])], "conv_id long, messages array<struct<role:string,content:array<struct<type:string,text:string>>>>")
+    assert [tuple(r) for r in T.canonical_turns(t).collect()] == [(1, 0, "user", "a\nb"), (1, 1, "assistant", "")]
+
+
+def test_fields_that_no_mapping_knows_leave_the_fingerprint(spark):
+    assert T.mapping_for(["conv_id", "prompt", "response", "score", "meta.a"]) is T.MAPPINGS["prompt and response"]
+    assert T.mapping_for(["conv_id", "prompt", "response", "system", "x"]) is T.MAPPINGS["system, prompt and response"]
