@@ -128,10 +128,10 @@ def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
 
 
 def same_bytes(docs: DataFrame, pairs: DataFrame, text: str = "text", doc_id: str = "doc_id", uid: str | None = None) -> DataFrame:
-    """The digests of ``pairs`` (digest, old and new: structs of doc_id and uid) whose texts are all the same bytes. Only texts of filter hits move, found by their number or, without one, by doc_id; Spark's runtime bloom filter prunes the rest at the scan where the table is large."""
+    """The digests of ``pairs`` (digest, old and new: structs of doc_id and uid) whose texts are all the same bytes. Only texts of filter hits count, found by their digest and number or, without one, doc_id: rows without an id, or sharing one, meet those of their own digest alone. An exchange at every size, as hits grow with the table; Spark's runtime bloom filter prunes the rest at the scan where the table is large."""
     wanted = pairs.select("digest", F.explode(F.array("old", "new")).alias("w")).select("digest", (F.col("w.doc_id") if uid is None else F.col("w.uid")).alias("__wanted")).distinct()
-    d = docs.select(F.col(doc_id if uid is None else uid).alias("__id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    t = wanted.join(d, wanted["__wanted"].eqNullSafe(d["__id"])).where(F.sha2("__t", 256) == F.col("digest"))
+    d = docs.select(F.col(doc_id if uid is None else uid).alias("__id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("__t")).withColumn("__digest", F.sha2("__t", 256))
+    t = wanted.hint("merge").join(d, (wanted["digest"] == d["__digest"]) & wanted["__wanted"].eqNullSafe(d["__id"]))
     return t.groupBy("digest").agg((F.min("__t") == F.max("__t")).alias("__same")).where("__same").select("digest")
 
 
@@ -140,9 +140,6 @@ def dedup(docs: DataFrame, batch: Column | None = None, text: str = "text", doc_
 
     ``batch``: the number of the load that a row came with, from 0 on (without it all rows are one load, which meets no snapshot). ``uid``: a column that numbers the rows of a stage table, if there is one.
     """
-    if uid is None:  # texts are found by number later, whatever their doc_id
-        docs = materialize(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), (F.lit(0) if batch is None else batch).alias("batch"), F.monotonically_increasing_id().alias("uid")))
-        text, doc_id, uid, batch = "text", "doc_id", "uid", F.col("batch")
     rows = digests(docs, F.lit(0) if batch is None else batch, text, doc_id, uid)
     buckets = max(1, rows.count() // bucket_rows)
     groups = materialize(group(rows).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")))
