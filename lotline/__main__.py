@@ -314,7 +314,8 @@ def release(lake: Lake, a: argparse.Namespace) -> int:
     matches = lake.read("entity_matches").withColumn("method", F.lit("official_bbl_and_unit_label"))
     obs = upsert.with_columns_of(lake.read("observations"), {"bedrooms": "double", "bathrooms": "double"})
     src = _read(lake, "sources", SOURCES)
-    print(json.dumps(export.release(a.out, lake.read("units").dropDuplicates(["unit_id"]), export.unit_observations(matches, obs), src, a.now, a.release_id)))
+    tables = {"units.csv": lake.read("units").dropDuplicates(["unit_id"]), "unit_observations.csv": export.unit_observations(matches, obs), "sources.csv": src}
+    print(json.dumps(export.release_parts(os.path.abspath(a.out) if "://" not in a.out else a.out, tables, a.now, a.release_id)))
     return 0
 
 

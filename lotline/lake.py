@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotline.buckets import BucketTable
 
@@ -68,8 +69,16 @@ class Lake:
         return BucketTable(self.spark, at).read() if BucketTable.at(self.spark, at) else self.spark.read.parquet(at)
 
     def buckets(self, name: str, schema: str, keys: Sequence[str], by: Sequence[str] = (), n: int = 64) -> BucketTable:
-        """A table whose merges rewrite only what they touch; it stays under its own name."""
-        return BucketTable(self.spark, f"{self.root}/{name}", schema, keys, by, n)
+        """A table whose merges rewrite only what they touch; it stays under its own name. A table that was replaced as a whole before is dealt into buckets once."""
+        table = BucketTable(self.spark, f"{self.root}/{name}", schema, keys, by, n)
+        was = self._list()
+        if name in was:
+            old = self.spark.read.parquet(f"{self.root}/{was[name]}")
+            missing = [f for f in table.schema.fields if f.name not in old.columns]
+            table.merge(old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]), lambda _, rows: rows)
+            self._write_list({k: v for k, v in was.items() if k not in (name, f"{name} before")})
+            self._seen.pop(name, None)
+        return table
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         self.replace_all({name: df})

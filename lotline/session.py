@@ -45,14 +45,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return _scratch[-1]
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes the scratch folders of this process; results that rest on them can't be read after that."""
+    while _scratch:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _drop_scratch() -> None:
     spark = SparkSession.getActiveSession()
-    if spark is None or SparkContext._active_spark_context is None:
-        return
-    with contextlib.suppress(Exception):  # the JVM may be gone
-        while _scratch:
-            p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if spark is not None and SparkContext._active_spark_context is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            drop_scratch(spark)
 
 
 #: Bytes of an Arrow batch: documents are long, and each task holds a batch or two on both sides of the pipe to Python.

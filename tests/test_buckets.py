@@ -99,3 +99,12 @@ def test_a_lake_refuses_a_lost_change(spark, tmp_path):
     b.read("t")
     b.replace("t", one(3))
     assert a.read("t").first()[0] == 3
+
+
+def test_a_whole_table_is_dealt_once(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "db"))
+    lake.replace("t", spark.createDataFrame([("1", 1), ("2", 2)], "id string, v long"))
+    t = lake.buckets("t", "id string, v long, w string", ["id"], n=4)
+    assert rows(lake.read("t")) == rows(spark.createDataFrame([("1", 1, None), ("2", 2, None)], "id string, v long, w string"))
+    t.merge(spark.createDataFrame([("2", 5, "x", 0)], "id string, v long, w string, n int"), lambda a, b: keys.insert_or_replace(a, b, ["id"], "n"))
+    assert {r["id"]: r["v"] for r in Lake(spark, str(tmp_path / "db")).buckets("t", "id string, v long, w string", ["id"], n=4).read().collect()} == {"1": 1, "2": 5}

@@ -81,3 +81,30 @@ def test_windows_of_files_that_overlap_in_time(spark, tmp_path):
         d.coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
     got = QUERIES["t10_windowed_counts"](spark, str(tmp_path)).collect()
     assert len(got) == 72 and {r["n"] for r in got} == {4}
+
+
+def test_a_page_reads_its_own_files(spark, tmp_path):
+    """Pages are cut by constants, so files that don't hold a page aren't read."""
+    d = spark.range(0, 1000, 1, 8).withColumn("id", F.col("id"))
+    T.positioned(d).write.parquet(str(tmp_path / "staged"))
+    at = T.Positions(spark.read.parquet(str(tmp_path / "staged")))
+    assert at.rows == 1000
+    pages = [[r["id"] for r in at.page(o, 300).orderBy("id").collect()] for o in (0, 300, 600, 900, 1200)]
+    assert [len(p) for p in pages] == [300, 300, 300, 100, 0] and sorted(sum(pages, [])) == list(range(1000))
+    plan = at.page(300, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "PushedFilters: [" in plan and "part" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_a_stage_without_state(spark, tmp_path):
+    """Batches that bring the same payloads, and a batch that is run again, add nothing."""
+    from lotline.buckets import BucketTable
+
+    src = tmp_path / "in"
+    for i, rows in enumerate(([1, 2, 2], [2, 3], [1, 4])):
+        spark.createDataFrame([(f"p{x}",) for x in rows], "payload string").coalesce(1).write.mode("append").parquet(str(src))
+    table = BucketTable(spark, str(tmp_path / "stage"), "payload string, row_id string, resolved_at string", ["row_id"], buckets=4)
+    stream = lambda: T.stream_files(spark, str(src), spark.read.parquet(str(src)).schema)
+    T.stage_batches(stream(), table, str(tmp_path / "c1"))
+    assert sorted(r["payload"] for r in table.read().collect()) == ["p1", "p2", "p3", "p4"]
+    T.stage_batches(stream(), table, str(tmp_path / "c2"))  # all again, as after a lost checkpoint
+    assert table.read().count() == 4
