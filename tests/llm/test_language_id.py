@@ -78,7 +78,7 @@ def test_short_and_long_texts_are_told_alike(spark):
     """One measure at all lengths: what isn't rejected is right, and the rejected share falls with the length."""
     rng = random.Random(12)
     model = L.Model(L.train(documents(spark, corpus(600))))
-    for n, most in ((3, 0.6), (8, 0.2), (20, 0.02), (120, 0.01), (3000, 0)):  # one text of 180 meets an odd parse of the encoder with this sample; 0 of 1440 with six others
+    for n, most in ((3, 0.6), (8, 0.2), (20, 0.02), (120, 0.01), (3000, 0)):  # one text of 180 meets an odd parse of the encoder with this sample; 0 of 720 with six others
         got = [(lang, *model.predict(sentence(rng, lang, n))) for lang in WORDS for _ in range(60 if n < 1000 else 5)]
         sure = [(lang, pred) for lang, pred, _, margin in got if margin >= L.MIN_MARGIN]
         assert sum(lang == pred for lang, pred in sure) / len(sure) > 0.97 and 1 - len(sure) / len(got) <= most
