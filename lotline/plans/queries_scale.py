@@ -110,7 +110,8 @@ def s15_counted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task for each page of a feed that says how many rows it has; the filter goes to the feed, and holds whether or not it is heard."""
     at, _ = _pages(spark, read(spark, sf_dir, "events").select("event_id", "event_type"), 1000)
     paged.register(spark)
-    d = spark.read.format("paged_feed").option("url", f"{at}/{{page}}.json").option("count", f"{at}/count.json").option("fields", "event_id,event_type").option("page_size", 1000).load()
+    url = paged.folder_url(at)
+    d = spark.read.format("paged_feed").option("url", f"{url}/{{page}}.json").option("count", f"{url}/count.json").option("fields", "event_id,event_type").option("page_size", 1000).load()
     return d.where("event_type = 'click' OR event_type LIKE 'p%'")
 
 

@@ -1,6 +1,6 @@
 """A paged REST feed as a data source, for batches and streams: ``spark.read.format("paged_feed")`` after ``register(spark)``.
 
-Options: ``url`` (with {offset}, {limit} and, where the feed takes them, {where}, {select}, {order}, {page}), ``fields`` (the columns, comma-separated, text), ``page_size``, ``limit`` (rows in all), ``offset``, ``max_pages``, ``retries``, ``timeout``, ``pause``; ``where``, ``select`` and ``order`` by hand; ``pushdown`` (false: the feed gets no filters). Any scheme that Python's urllib opens will do, so landed pages can be read the same way.
+Options: ``url`` (with {offset}, {limit} and, where the feed takes them, {where}, {select}, {order}, {page}), ``fields`` (the columns, comma-separated, text), ``page_size``, ``limit`` (rows in all), ``offset``, ``max_pages``, ``retries``, ``timeout``, ``pause``; ``where``, ``select`` and ``order`` by hand; ``pushdown`` (false: the feed gets no filters). Any scheme that Python's urllib opens will do, so landed pages can be read the same way; so will a plain path and the stores that Arrow opens, whose names are taken as they are.
 
 * Filters and columns: with Spark's ``spark.sql.python.filterPushdown.enabled`` (set by ``register``) the filters of a query on columns are joined to {where}, and {select} is the columns of ``fields``. Spark applies the filters again, so a feed that reads them more widely changes nothing.
 * Partitions: ``count`` (a URL with {where}, whose first answer has the number of rows in ``count_field``), or ``page_count_field`` (in the first page's answer), or ``pages`` by hand make a task for each page. Without any, pages are read one after another until one is short.
@@ -16,25 +16,49 @@ import json
 import time
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from urllib.parse import quote
+from pathlib import Path
+from urllib.parse import quote, urlsplit
 from urllib.request import Request, urlopen
 
+from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql import datasource as D
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lotline.sources.release import place
+
 #: Rows that no feed should need more pages for.
 MAX_PAGES = 100_000
 ERROR = "_page_error"
+#: What urllib opens; the rest is a path in a store.
+SCHEMES = ("http", "https", "ftp", "file", "data")
+
+
+def is_url(url: str) -> bool:
+    return urlsplit(url).scheme.lower() in SCHEMES
+
+
+def folder_url(at: str) -> str:
+    """What a feed's URLs begin with whose pages lie in a folder that Spark writes: a local one has its odd characters coded, so that the pages' names are the same to both."""
+    fs, root = place(at)
+    return Path(root).as_uri() if isinstance(fs, pafs.LocalFileSystem) else at
+
+
+def _body(url: str, headers: dict[str, str] | None, data: bytes | None, timeout: float) -> bytes:
+    if is_url(url):
+        with urlopen(Request(url, data=data, headers=headers or {}), timeout=timeout) as r:
+            return r.read()
+    fs, path = place(url)
+    with fs.open_input_stream(path, compression=None) as f:
+        return f.read()
 
 
 def fetch(url: str, headers: dict[str, str] | None = None, data: bytes | None = None, timeout: float = 30, retries: int = 4, pause: float = 2.0) -> str:
     """The body as text, broken bytes replaced; each failed try waits a step longer."""
     for attempt in range(retries):
         try:
-            with urlopen(Request(url, data=data, headers=headers or {}), timeout=timeout) as r:
-                return r.read().decode("utf-8", errors="replace")
+            return _body(url, headers, data, timeout).decode("utf-8", errors="replace")
         except OSError:
             if attempt == retries - 1:
                 raise
@@ -95,7 +119,7 @@ class Feed:
     def ask(self, template: str, **places: object) -> object:
         body = self._text(self.o["body"], False, **places).encode() if self.o.get("body") else None
         headers = json.loads(self.o["headers"]) if self.o.get("headers") else None
-        return json.loads(fetch(self._text(template, True, **places), headers, body, float(self.o.get("timeout", 30)), int(self.o.get("retries", 4)), float(self.o.get("pause", 2))))
+        return json.loads(fetch(self._text(template, is_url(template), **places), headers, body, float(self.o.get("timeout", 30)), int(self.o.get("retries", 4)), float(self.o.get("pause", 2))))
 
     def places(self, page: int, want: int) -> dict[str, int]:
         return {"offset": self.start + page * self.size, "limit": want, "page": page + 1}

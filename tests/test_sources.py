@@ -186,6 +186,37 @@ def test_paged_feed(spark, tmp_path):
         paged.fetch(f"file://{tmp_path}/none.json", retries=2, pause=0)
 
 
+def test_pages_at_a_plain_path(spark, tmp_path):
+    """Names that a URL would code are taken as they are."""
+    from lotline.sources import paged
+
+    paged.register(spark)
+    at = tmp_path / "a b%20c"
+    at.mkdir()
+    (at / "count.json").write_text('[{"count": 3}]')
+    for page, ids in ((1, [1, 2]), (2, [3])):
+        (at / f"x = 'y' {page}.json").write_text(json.dumps([{"id": i} for i in ids]))
+    for url in (str(at), paged.folder_url(str(at)), paged.folder_url(f"file:{at}"), paged.folder_url(f"file://{at}")):
+        d = spark.read.format("paged_feed").option("url", url + "/{order} {page}.json").option("count", url + "/count.json").option("fields", "id").option("page_size", 2).option("order", "x = 'y'")
+        assert sorted(r["id"] for r in d.load().collect()) == ["1", "2", "3"]
+    with pytest.raises(FileNotFoundError):
+        paged.fetch(f"{at}/none.json", retries=2, pause=0)
+
+
+@pytest.mark.parametrize("name", ["s15_counted_pages"])
+def test_queries_of_pages_in_a_plain_checkpoint_folder(spark, tmp_path, monkeypatch, name):
+    import pyarrow.parquet as pq
+
+    from lotline.plans import catalog, queries_scale
+
+    events = tmp_path / "events.parquet"
+    spark.createDataFrame([(i, ("click", "view", "purchase")[i % 3]) for i in range(2500)], "event_id long, event_type string").write.parquet(str(events))
+    monkeypatch.setattr(queries_scale, "scratch", lambda spark, kind: str(tmp_path / f"a b%20c/{kind}"))
+    got = sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect())
+    rows = pq.read_table(str(events)).to_pylist()
+    assert got == sorted((str(r["event_id"]), r["event_type"]) for r in rows if name.startswith("t") or r["event_type"] != "view")
+
+
 class Service:
     """A feed behind HTTP: equality in where, offset and limit, counts; it keeps the requests."""
 
