@@ -100,7 +100,8 @@ def t05_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a feed of pages, streamed: the offset lies in the checkpoint with the rows."""
     at, _ = _pages(spark, read(spark, sf_dir, "events").select("event_id", "event_type"), 1000)
     paged.register(spark)
-    stream = spark.readStream.format("paged_feed").option("url", f"{at}/{{page}}.json").option("count", f"{at}/count.json").option("fields", "event_id,event_type").option("page_size", 1000).load()
+    url = paged.folder_url(at)
+    stream = spark.readStream.format("paged_feed").option("url", f"{url}/{{page}}.json").option("count", f"{url}/count.json").option("fields", "event_id,event_type").option("page_size", 1000).load()
     incremental.run_available(stream, lambda d, i: d.write.mode("overwrite").parquet(f"{at}/out/batch={i}"), f"{at}/checkpoint")
     return spark.read.parquet(f"{at}/out").select("event_id", "event_type")
 

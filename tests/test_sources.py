@@ -203,7 +203,7 @@ def test_pages_at_a_plain_path(spark, tmp_path):
         paged.fetch(f"{at}/none.json", retries=2, pause=0)
 
 
-@pytest.mark.parametrize("name", ["s15_counted_pages"])
+@pytest.mark.parametrize("name", ["s15_counted_pages", "t05_paged_stream"])
 def test_queries_of_pages_in_a_plain_checkpoint_folder(spark, tmp_path, monkeypatch, name):
     import pyarrow.parquet as pq
 
