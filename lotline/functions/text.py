@@ -198,7 +198,7 @@ def split_trailing_unit(raw: Column) -> Column:
 
 
 def parse_listing_address(raw: Column) -> Column:
-    """struct(street, unit, borough, zipcode) of '160 Some Avenue - 2A, Brooklyn, NY 11206'. A unit needs a sign or a word before it; New York, NY alone is Manhattan."""
+    """struct(street, unit, borough, zipcode) of '160 Some Avenue - 2A, Brooklyn, NY 11206'. A unit needs a sign or a word before it; New York, NY alone is Manhattan. Of several numbers of five digits the last is the zipcode: a house number may have as many."""
     label = r"(?i)(?:-|#|Apt\.?|Apartment|Unit|Suite|Ste\.?)\s*([\w/]+)(?=\s*,|\s*$)"
     unit = F.regexp_extract(raw, label, 1)
     head = strip(F.substring_index(raw, ",", 1))
@@ -209,7 +209,7 @@ def parse_listing_address(raw: Column) -> Column:
     borough = F.when(low.rlike("new york,?\\s*(?:ny|new york)"), F.lit("Manhattan")).otherwise(borough)
     for name in ("Manhattan", "Staten Island", "Queens", "Bronx", "Brooklyn"):  # the last one stands before the others
         borough = F.when(low.contains(name.lower()), F.lit(name)).otherwise(borough)
-    return F.struct(street.alias("street"), unit.alias("unit"), borough.alias("borough"), filled(F.regexp_extract(raw, r"\b(\d{5})\b", 1)).alias("zipcode"))
+    return F.struct(street.alias("street"), unit.alias("unit"), borough.alias("borough"), filled(F.regexp_extract(raw, r"(?s)^.*\b(\d{5})\b", 1)).alias("zipcode"))
 
 
 def parse_money(raw: Column) -> Column:

@@ -118,6 +118,11 @@ def test_listing_addresses(spark, raw, want):
     assert tuple(one(spark, X.parse_listing_address(F.lit(raw)))) == want
 
 
+def test_a_house_number_of_five_digits_is_no_zipcode(spark):
+    for raw, want in (("10000 Oak Avenue - 27A, Brooklyn, NY 11206", "11206"), ("10000 Oak Avenue, Brooklyn, NY 11206-1234, USA", "11206"), ("100001 Oak Avenue - 10002, Brooklyn\nNY 11206", "11206"), ("7 Oak Avenue, NY", None)):
+        assert one(spark, X.parse_listing_address(F.lit(raw)))["zipcode"] == want
+
+
 def test_small_parsers(spark):
     o = lambda c: one(spark, c)
     assert tuple(o(X.split_trailing_unit(F.lit("343 Gold Street Apartment 1816")))) == ("343 Gold Street", "1816")
