@@ -220,14 +220,14 @@ WITH e AS (SELECT user_id, epoch_ms(ts) AS t FROM events), g AS (SELECT *, t - l
 SELECT user_id, count(*) FILTER (WHERE gap IS NULL) AS n_new, count(*) FILTER (WHERE gap IS NOT NULL) AS n_updated, count(*) FILTER (WHERE gap > 86400000) + CASE WHEN (SELECT max(t) FROM e) - max(t) >= 86400000 THEN 1 ELSE 0 END AS n_inactive, min(t) AS first_ms, max(t) AS last_ms FROM g GROUP BY user_id
 """)
 def t02_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's events as sightings: new, updated, and inactive a day after one that no other follows."""
+    """Each user's events as sightings: new, updated, and inactive a day after one that no other follows. Times are to the nearest millisecond, as the SQL takes them, before the stream's watermark is."""
     at, path = scratch(spark, "tracked"), f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
 
     def make() -> DataFrame:
         # all files in one batch: sightings of a key are taken in order of time
         d = incremental.stream_files(spark, f"{path[:-1]}[t]", schema, 1_000_000)
-        return tracked.tracked(d.withColumn("ts", c("ts").cast("timestamp")), ["user_id"], "ts", "value", 86_400_000)
+        return tracked.tracked(d.withColumn("ts", F.timestamp_micros(F.round(F.unix_micros(c("ts").cast("timestamp")), -3))), ["user_id"], "ts", "value", 86_400_000)
 
     tracked.run_tracked(make, lambda d, i: d.write.mode("overwrite").parquet(f"{at}/out/batch={i}"), f"{at}/checkpoint")
     n = lambda a: F.count_if(c("action") == a).alias(f"n_{a}")

@@ -3,6 +3,8 @@
 import json
 from datetime import UTC, datetime
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lotline.operators import upsert
@@ -48,3 +50,18 @@ def test_state_is_dropped(spark, tmp_path):
     tracked.run_tracked(make, lambda d, i: d.write.mode("overwrite").parquet(f"{out}/batch={i}"), str(tmp_path / "checkpoint"))
     got = sorted((r["at_ms"] // DAY, r["action"]) for r in spark.read.parquet(out).where(F.col("source_id") == "2").collect())
     assert got == [(1, "new"), (2, "inactive"), (8, "new")]
+
+
+def test_times_between_milliseconds(spark, tmp_path):
+    """Sightings within, at and beyond a day of each other once they are rounded, against the query's SQL."""
+    from lotline.plans import catalog
+
+    at = 1_704_067_200_000_000  # microseconds
+    micros = {1: [0, 499, 500, 86_400_000_499], 2: [1_500, 86_400_001_999], 3: [700, 86_400_001_500], 4: [3_499], 5: [3_500], 6: [4_499], 7: [1, 999], 8: [86_400_003_600]}
+    rows = [(user, pd.Timestamp(at + t, unit="us"), 1.0) for user, ts in micros.items() for t in ts]
+    path = str(tmp_path / "events.parquet")
+    pd.DataFrame(rows, columns=["user_id", "ts", "value"]).astype({"ts": "datetime64[us]"}).to_parquet(path)
+    names = ["user_id", "n_new", "n_updated", "n_inactive", "first_ms", "last_ms"]
+    want = duckdb.sql(catalog.ORACLES["t02_tracked"].replace("FROM events", f"FROM '{path}'")).df()
+    got = catalog.QUERIES["t02_tracked"](spark, str(tmp_path)).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(want[names].astype("int64").itertuples(index=False, name=None))
