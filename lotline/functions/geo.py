@@ -21,17 +21,27 @@ def haversine(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     return F.lit(2 * RADIUS) * F.asin(F.sqrt(a))
 
 
-def in_ring(lat: Column, lng: Column, ring: Column) -> Column:
-    """Ray casting: an odd number of edges lies to the right. False without a point or a ring."""
+def crosses(lat: Column, lng: Column, p: Column | dict[str, Column], q: Column | dict[str, Column]) -> Column:
+    """Whether the edge from q to p lies to the right of a point, at its height."""
+    x = (q["lng"] - p["lng"]) * (lat - p["lat"]) / (q["lat"] - p["lat"] + F.lit(1e-16)) + p["lng"]
+    return ((p["lat"] > lat) != (q["lat"] > lat)) & (lng < x)
+
+
+def odd_crossings(lat: Column, lng: Column, edges: Column) -> Column:
+    """Whether an odd number of edges, structs of the points p and q, lies to the right."""
+    return F.size(F.filter(edges, lambda e: crosses(lat, lng, e["p"], e["q"]))) % 2 == 1
+
+
+def ring_edges(ring: Column) -> Column:
+    """An array of struct(p, q): each point of a ring that has some, and the one before it."""
     n = F.size(ring)
-    edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, F.pmod(i - 1, n)).alias("q")))
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, F.pmod(i - 1, n)).alias("q")))
 
-    def crosses(e: Column) -> Column:
-        p, q = e["p"], e["q"]
-        x = (q["lng"] - p["lng"]) * (lat - p["lat"]) / (q["lat"] - p["lat"] + F.lit(1e-16)) + p["lng"]
-        return ((p["lat"] > lat) != (q["lat"] > lat)) & (lng < x)
 
-    odd = F.size(F.filter(edges, crosses)) % 2 == 1
+def in_ring(lat: Column, lng: Column, ring: Column) -> Column:
+    """Ray casting: an odd number of edges lies to the right. False without a point or a ring."""
+    n = F.size(ring)
+    odd = odd_crossings(lat, lng, ring_edges(ring))
     return F.when((n > 0) & lat.isNotNull() & lng.isNotNull(), odd).otherwise(F.lit(False))
 
 

@@ -12,13 +12,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotline.functions.geo import RADIUS, haversine, in_ring, in_rings
+from lotline.functions.geo import RADIUS, crosses, haversine, odd_crossings, ring_edges
+from lotline.session import scratch
 
 #: Bits by which cells grow from level to level, levels, and the width of the finest cells in degrees.
 BITS, LEVELS = 3, 8
 FINEST = 360.0 / (1 << BITS * (LEVELS - 1))
 #: Cells of the tree's top, places of its finest cells on average, and cells that cover an area, at most.
 TOP, LEAF, COVER = 64, 8, 256
+#: Edges of a cell that are columns of their own: a ray over them is compiled, one over an array isn't.
+FEW = 8
 #: Bounds are widened by these, relative to themselves and absolutely (as shares of the sphere).
 SLACK, LEAST = 1e-9, 1e-18
 
@@ -103,9 +106,10 @@ def _with_bounds(e: DataFrame) -> DataFrame:
     return e.withColumns({"near": near, "far": far})
 
 
-def _spots(points: DataFrame, lat: str, lng: str) -> DataFrame:
-    """The distinct coordinates of points that have some."""
-    return points.where(_usable(F.col(lat), F.col(lng))).select(F.col(lat).alias("lat"), F.col(lng).alias("lng")).distinct()
+def _spots(points: DataFrame, lat: str, lng: str, parts: int | None = None) -> DataFrame:
+    """The distinct coordinates of points that have some, in so many parts."""
+    d = points.where(_usable(F.col(lat), F.col(lng))).select(F.col(lat).alias("lat"), F.col(lng).alias("lng"))
+    return (d.repartition(parts, "lat", "lng") if parts else d).distinct()
 
 
 def _back(points: DataFrame, found: DataFrame, lat: str, lng: str, how: str = "left") -> DataFrame:
@@ -179,47 +183,82 @@ def count_within(points: DataFrame, places: DataFrame, metres: float, lat: str =
 
 
 def covering(areas: DataFrame, area: str = "area", rings: str = "rings", holes: bool = False) -> DataFrame:
-    """level, y, x, area, inner: the cells that cover each area, at most ``COVER``. No edge comes near an inner cell, so that all of it lies inside; the others may hold a border."""
+    """level, y, x, area, inner, edges: the cells that cover each area, at most ``COVER``. No edge comes near an inner cell, so that all of it lies inside; the others may hold a border, and have of each ring the edges that a ray from the cell may cross: those that reach its latitudes."""
     ring = F.filter(F.col(rings), lambda r: F.size(r) > 0)
     flat = F.flatten(ring)
     lats, lngs = F.transform(flat, lambda p: p["lat"]), F.transform(flat, lambda p: p["lng"])
-    d = areas.select(F.col(area).alias("area"), ring.alias("rings"), F.array_min(lats).alias("south"), F.array_max(lats).alias("north"), F.array_min(lngs).alias("west"), F.array_max(lngs).alias("east"))
+    d = areas.select(F.col(area).alias("area"), F.transform(ring, ring_edges).alias("edges"), F.array_min(lats).alias("south"), F.array_max(lats).alias("north"), F.array_min(lngs).alias("west"), F.array_max(lngs).alias("east"))
     d = d.where(_usable(F.col("south"), F.col("west")) & _usable(F.col("north"), F.col("east")))
     span = lambda lo, hi, k: _cell(F.col(hi), k) - _cell(F.col(lo), k) + 1
     fits = [F.when(span("south", "north", k) * span("west", "east", k) <= COVER, F.lit(k)) for k in reversed(range(LEVELS))]
     d = d.withColumn("level", F.coalesce(*fits, F.lit(0)))
     d = d.withColumn("y", F.explode(F.sequence(_cell(F.col("south"), F.col("level")), _cell(F.col("north"), F.col("level")))))
-    d = d.withColumn("x", F.explode(F.sequence(_cell(F.col("west"), F.col("level")), _cell(F.col("east"), F.col("level")))))
     width = F.lit(FINEST) * F.pow(F.lit(float(1 << BITS)), F.lit(LEVELS - 1) - F.col("level"))
     margin = width * 1e-6
     low, high = {a: F.col(a) * width - 180.0 - margin for a in ("y", "x")}, {a: (F.col(a) + 1) * width - 180.0 + margin for a in ("y", "x")}
-
-    def touches(r: Column) -> Column:
-        near = lambda p, q: (F.least(p["lat"], q["lat"]) <= high["y"]) & (F.greatest(p["lat"], q["lat"]) >= low["y"]) & (F.least(p["lng"], q["lng"]) <= high["x"]) & (F.greatest(p["lng"], q["lng"]) >= low["x"])
-        return F.exists(F.sequence(F.lit(0), F.size(r) - 1), lambda i: near(F.get(r, i), F.get(r, F.pmod(i - 1, F.size(r)))))
-
-    d = d.withColumn("border", F.exists("rings", touches))
-    middle = in_area((F.col("y") + 0.5) * width - 180.0, (F.col("x") + 0.5) * width - 180.0, F.col("rings"), holes)
-    return d.where(F.col("border") | middle).select("level", "y", "x", "area", (~F.col("border")).alias("inner"))
+    near = lambda e, a, c: (F.least(e["p"][c], e["q"][c]) <= high[a]) & (F.greatest(e["p"][c], e["q"][c]) >= low[a])
+    row = F.transform("edges", lambda r: F.filter(r, lambda e: near(e, "y", "lat")))
+    # exploded from an array of one, so that what follows doesn't compute it again
+    d = d.withColumn("edges", F.explode(F.array(row)))
+    d = d.withColumn("x", F.explode(F.sequence(_cell(F.col("west"), F.col("level")), _cell(F.col("east"), F.col("level")))))
+    border = F.exists("edges", lambda r: F.exists(r, lambda e: near(e, "x", "lng")))
+    d = d.withColumn("border", F.explode(F.array(border)))
+    middle = _inside((F.col("y") + 0.5) * width - 180.0, (F.col("x") + 0.5) * width - 180.0, F.col("edges"), holes)
+    return d.where(F.col("border") | middle).select("level", "y", "x", "area", (~F.col("border")).alias("inner"), F.when(F.col("border"), F.col("edges")).alias("edges"))
 
 
-def in_area(lat: Column, lng: Column, rings: Column, holes: bool = False) -> Column:
-    """Inside of any ring, or (``holes``) of an odd number of rings."""
-    if not holes:
-        return in_rings(lat, lng, rings)
-    return F.size(F.filter(rings, lambda r: in_ring(lat, lng, r))) % 2 == 1
+def _inside(lat: Column, lng: Column, edges: Column, holes: bool) -> Column:
+    """Inside of any ring, or (``holes``) of an odd number of rings, by the edges of each."""
+    if holes:
+        return odd_crossings(lat, lng, F.flatten(edges))
+    return F.exists(edges, lambda r: odd_crossings(lat, lng, r))
 
 
 def in_areas(points: DataFrame, areas: DataFrame, lat: str = "latitude", lng: str = "longitude", area: str = "area", rings: str = "rings", holes: bool = False) -> DataFrame:
-    """``points`` with the area that each lies in: a row for each area, none without one. ``areas``: a key and its rings, arrays of struct(lng, lat). Points in an inner cell need no ray; for the others the area's rings are fetched by its key."""
-    cover = covering(areas, area, rings, holes)
+    """``points`` with the area that each lies in: a row for each area, none without one. ``areas``: a key and its rings, arrays of struct(lng, lat). Areas of equal rings are covered once, and points of equal coordinates cast one ray; points in an inner cell need none. The cover is written to the shared folder, as it is read more than once."""
+    spark = points.sparkSession
+    at, parts = scratch(spark, "areas"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = areas.where(F.col(rings).isNotNull()).select(F.col(area).alias("area"), F.col(rings).alias("rings"), F.sha2(F.to_json(F.col(rings)), 256).alias("form"))
+    forms = named.groupBy("form").agg(F.any_value("rings").alias("rings")).withColumn("shape", F.monotonically_increasing_id())
+    shapes = _written(forms, f"{at}/shapes")
+    members = _written(named.select("area", "form").join(shapes.select("form", "shape"), "form").select("area", "shape"), f"{at}/members")
+    cover = _written(_few_edges(covering(shapes.repartition(parts), "shape", "rings", holes).withColumnRenamed("area", "shape"), holes), f"{at}/cover")
     levels = sorted(r[0] for r in cover.select("level").distinct().collect())  # as many as there are levels
-    spots = _spots(points, lat, lng)
-    at = F.array(*[F.struct(F.lit(k).alias("level"), _cell(F.col("lat"), k).alias("y"), _cell(F.col("lng"), k).alias("x")) for k in levels])
     if not levels:
         return points.limit(0).join(areas.select(F.col(area).alias("area")).limit(0), F.lit(True), "inner")
-    found = spots.withColumn("k", F.explode(at)).select("lat", "lng", "k.*").join(cover, ["level", "y", "x"])
-    sure = found.where("inner").select("lat", "lng", "area")
-    shapes = areas.select(F.col(area).alias("area"), F.col(rings).alias("rings"))
-    cast = found.where("NOT inner").select("lat", "lng", "area").join(shapes, "area").where(in_area(F.col("lat"), F.col("lng"), F.col("rings"), holes)).select("lat", "lng", "area")
-    return _back(points, sure.unionByName(cast), lat, lng, "inner")
+
+    def on(d: DataFrame, y: Column, x: Column, cells: DataFrame) -> DataFrame:
+        cell = F.array(*[F.struct(F.lit(k).alias("level"), _cell(y, k).alias("y"), _cell(x, k).alias("x")) for k in levels])
+        return d.withColumn("k", F.explode(cell)).select(*d.columns, "k.*").join(cells, ["level", "y", "x"]).drop("level", "y", "x")
+
+    # dealt anew: a small file of points is one task's, and may lie in many areas
+    p = points.where(_usable(F.col(lat), F.col(lng))).select(F.struct(*points.columns).alias("point"), F.col(lat).alias("lat"), F.col(lng).alias("lng"))
+    sure = on(p.repartition(parts), F.col("lat"), F.col("lng"), cover.where("inner").select("level", "y", "x", "shape")).select("point", "shape")
+    spots = _spots(points, lat, lng, parts)
+    rays = lambda cells, inside: on(spots, F.col("lat"), F.col("lng"), cells).where(inside).select("lat", "lng", "shape")
+    one = [F.coalesce(crosses(F.col("lat"), F.col("lng"), *ends), F.lit(False)) for ends in _ends()]
+    few = rays(cover.where("few").drop("inner", "few", "edges"), reduce(lambda a, b: a != b, one))
+    many = rays(cover.where("NOT inner AND NOT few").select("level", "y", "x", "shape", "edges"), _inside(F.col("lat"), F.col("lng"), F.col("edges"), holes))
+    cast = few.unionByName(many)
+    both = sure.join(members, "shape").unionByName(cast.join(p, ["lat", "lng"]).select("point", "shape").join(members, "shape"))
+    return both.select("point.*", "area")
+
+
+def _ends() -> list[tuple[dict[str, Column], dict[str, Column]]]:
+    """The columns of a cell's few edges."""
+    return [tuple({c: F.col(f"{end}{i}_{c}") for c in ("lat", "lng")} for end in "pq") for i in range(FEW)]
+
+
+def _few_edges(cover: DataFrame, holes: bool) -> DataFrame:
+    """``cover`` with few: a border cell whose edges, of one ring if each ring counts for itself, are no more than ``FEW``; they are columns then."""
+    rows = F.size(F.filter("edges", lambda r: F.size(r) > 0))
+    # exploded from arrays of one, so that each column doesn't compute them again
+    d = cover.withColumn("flat", F.explode(F.array(F.flatten("edges"))))
+    d = d.withColumn("few", F.explode(F.array(~F.col("inner") & (F.size("flat") <= FEW) & (F.lit(True) if holes else rows <= 1))))
+    columns = [F.when(F.col("few"), F.get("flat", F.lit(i))[end][c]).alias(f"{end}{i}_{c}") for i in range(FEW) for end in "pq" for c in ("lat", "lng")]
+    return d.select("level", "y", "x", "shape", "inner", "few", F.when(~F.col("inner") & ~F.col("few"), F.col("edges")).alias("edges"), *columns)
+
+
+def _written(d: DataFrame, at: str) -> DataFrame:
+    d.write.parquet(at)
+    return d.sparkSession.read.schema(d.schema).parquet(at)

@@ -140,3 +140,30 @@ def test_enrichers(spark):
     zone = [[{"lng": -74.0, "lat": 40.0}, {"lng": -73.0, "lat": 40.0}, {"lng": -73.0, "lat": 40.6}, {"lng": -74.0, "lat": 40.6}]]
     a = spark.createDataFrame([("flood", zone), ("school", zone)], "area string, rings array<array<struct<lng:double,lat:double>>>")
     assert [tuple(r) for r in enrich.zones(b, a).collect()] == [("1", ["flood", "school"])]
+
+
+@pytest.mark.parametrize("holes", [False, True])
+def test_equal_areas_are_covered_once(spark, monkeypatch, holes):
+    """Areas of the same rings, a key twice and one without a name; cells of few edges, of many, and of several rings."""
+    import math
+
+    rng = random.Random(6)
+    octagon = [{"lng": -73.5 + 0.3 * math.cos(i * math.pi / 4), "lat": 40.5 + 0.3 * math.sin(i * math.pi / 4)} for i in range(8)]
+    star = [{"lng": -73.5 + (0.4 if i % 2 else 0.02) * math.cos(i * math.pi / 100), "lat": 40.5 + (0.4 if i % 2 else 0.02) * math.sin(i * math.pi / 100)} for i in range(200)]
+    square = [{"lng": x, "lat": y} for x, y in ((-73.7, 40.3), (-73.4, 40.3), (-73.4, 40.6), (-73.7, 40.6))]
+    forms = [[octagon], [star], [octagon, square]]
+    areas = [(i, forms[i % 3]) for i in range(30)] + [(0, [octagon]), (None, [square]), (99, None), (98, [])]
+    seen, covers, real, written = [], [], spatial.covering, spatial._written
+    monkeypatch.setattr(spatial, "covering", lambda a, *x, **k: seen.append(a.where("size(rings) > 0").count()) or real(a, *x, **k))
+    monkeypatch.setattr(spatial, "_written", lambda d, at: covers.append(written(d, at)) or covers[-1])
+    points = [(i, 40.5 + rng.uniform(-0.42, 0.42), -73.5 + rng.uniform(-0.42, 0.42)) for i in range(300)]
+    points += [(1000 + i, y, x) for i, y, x in points[:50]]
+    d = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    a = spark.createDataFrame(areas, "area int, rings array<array<struct<lng:double,lat:double>>>")
+    got = [(r["id"], r["area"]) for r in spatial.in_areas(d, a, holes=holes).collect()]
+    assert seen == [4]
+    test = lambda lat, lng, rings: sum(inside(lat, lng, [(p["lng"], p["lat"]) for p in r]) for r in rings)
+    held = lambda n: n % 2 == 1 if holes else n > 0
+    want = [(i, k) for i, y, x in points for k, rings in areas if rings and held(test(y, x, rings))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert covers[-1].where("few").count() > 10 and covers[-1].where("NOT few AND NOT inner").count() > 10
