@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotline.llm.common import released
+
 SAMPLE_DOCS, DICT_BYTES, CHUNK, LEVEL = 64, 65_536, 4_000, 12
 #: Languages that get a dictionary, those with the most labelled rows first: each is one more encoding of every text.
 MAX_LANGS = 128
@@ -99,7 +101,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             cols = [*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array([k == UND or m < min_margin for k, m in zip(langs, margins, strict=True)], pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, "lang_pred", "score", "rejected"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

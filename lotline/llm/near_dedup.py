@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotline.llm.common import U, materialize, mix
+from lotline.llm.common import U, materialize, mix, released
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 6
@@ -26,7 +26,7 @@ BLOCK, BLOCK_BYTES = 512, 16 << 20
 #: Turns in which a node is compared with one head of its groups.
 SINGLE_TURNS = 1
 #: Words that one step of the signature code holds.
-SLICE_WORDS, SLICE_DOCS = 400_000, 4_000
+SLICE_WORDS, SLICE_DOCS = 100_000, 4_000
 
 
 def words(text: Column) -> Column:
@@ -146,7 +146,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[some].ravel()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), b.column(1).slice(i, n), pa.array(digest[0]), pa.array(digest[1]), bands], names=["uid", "doc_id", "d1", "d2", "bands"])
 
-    return docs.select("uid", "doc_id", words(F.col("text")).alias("w")).mapInArrow(run, "uid long, doc_id long, d1 long, d2 long, bands array<long>")
+    return docs.select("uid", "doc_id", words(F.col("text")).alias("w")).mapInArrow(released(run), "uid long, doc_id long, d1 long, d2 long, bands array<long>")
 
 
 def multisets(docs: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def multisets(docs: DataFrame) -> DataFrame:
                 bags = [expanded(element[s:e], weight[s:e]).tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(bags, pa.binary())], names=["node", "bag"])
 
-    return docs.select("uid", words(F.col("text")).alias("w")).mapInArrow(run, "node long, bag binary")
+    return docs.select("uid", words(F.col("text")).alias("w")).mapInArrow(released(run), "node long, bag binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -185,7 +185,7 @@ def verify(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             sims = [overlap(np.frombuffer(p.as_buffer(), U), np.frombuffer(q.as_buffer(), U)) for p, q in zip(x.column(2), x.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(sims, pa.float64())], names=["a", "b", "sim"])
 
-    return both.mapInArrow(run, "a long, b long, sim double")
+    return both.mapInArrow(released(run), "a long, b long, sim double")
 
 
 def block_links(ids: np.ndarray, label: np.ndarray, bags: list[np.ndarray], first: np.ndarray, threshold: float) -> tuple[list[int], list[int]]:

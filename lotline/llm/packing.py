@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotline.llm.common import bits_for, materialize, prefix_sums, uniform_hash
+from lotline.llm.common import bits_for, materialize, prefix_sums, released, uniform_hash
 
 VOCABULARY, END, WINDOW, SEED = "word_bpe_49k.json", 2, 4096, 7
 #: Tokens that a queue sends at once, at least.
@@ -122,7 +122,7 @@ def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "tokens", "ids"])
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
-    return d.mapInArrow(run, "doc_id long, source string, tokens long, ids binary")
+    return d.mapInArrow(released(run), "doc_id long, source string, tokens long, ids binary")
 
 
 def queues(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
@@ -165,7 +165,7 @@ def pieces(queued: DataFrame, grain: int = GRAIN) -> DataFrame:
             cols = [b.column(0).take(pa.array(of)), b.column(1).take(pa.array(of)), pa.array(at[of] + start), pa.array(start), pa.array(length), pa.array(rnd)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return queued.select("uid", "source", "in_queue", "tokens", "quantum", "phase").mapInArrow(run, "uid long, source string, in_queue long, piece long, tokens long, round long")
+    return queued.select("uid", "source", "in_queue", "tokens", "quantum", "phase").mapInArrow(released(run), "uid long, source string, in_queue long, piece long, tokens long, round long")
 
 
 def places(rows: DataFrame, targets: Mapping[str, float] | None = None, window: int = WINDOW, seed: int = SEED, grain: int = GRAIN) -> DataFrame:
@@ -225,4 +225,4 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: in
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(released(run), schema)

@@ -61,13 +61,16 @@ def _drop_scratch() -> None:
 
 #: Bytes of an Arrow batch: documents are long, and each task holds a batch or two on both sides of the pipe to Python.
 ARROW_BYTES = "8m"
+#: Rows that the Parquet reader holds at a time: a column of 4096 documents is an array of 16 MB or more, for which the collector grows the heap.
+READER_ROWS = "512"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Makes a session ready for the operators that run Python: executors get this package (which a cluster may have installed anyway), and Arrow batches a bound of bytes, unless the session has one of its own."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if key not in {k for k, _ in spark.sparkContext.getConf().getAll()}:
-        spark.conf.set(key, ARROW_BYTES)
+    """Makes a session ready for the operators that run Python: executors get this package (which a cluster may have installed anyway), and batches of documents a bound (bytes for Arrow, rows for Parquet), unless the session has one of its own."""
+    own = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in {"spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READER_ROWS}.items():
+        if key not in own:
+            spark.conf.set(key, value)
     sc = spark.sparkContext
     if getattr(sc, "_lotline_shipped", False):
         return
