@@ -18,6 +18,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,12 @@ from lotline.llm.common import bits_for, materialize, prefix_sums, released, uni
 VOCABULARY, END, WINDOW, SEED = "word_bpe_49k.json", 2, 4096, 7
 #: Tokens that a queue sends at once, at least.
 GRAIN = 16
-#: Words, and pieces of words, that a worker process keeps with their ids: the first ones it meets, which the frequent ones are among.
-CACHE = 200_000
+#: Words that a worker process keeps with their ids: the first ones it meets, which the frequent ones are among. Half as many pieces of words are kept.
+CACHE = 400_000
+#: Characters of the longest word that is kept.
+KEPT = 64
+#: Bytes of text that are encoded together, unless one text has more.
+PART = 8 << 20
 #: Rounds whose pieces are ordered together.
 ROUNDS = 4
 
@@ -45,38 +50,39 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Texts that the tokenizer encodes whole.
+OTHER = r"[^\x00-\x1b\x20-\x{2ff}]|\x{130}|<\|(?:start|end)oftext\|>"
+
+
 class Encoder:
-    """Ids of the tokenizer as 16-bit numbers. Below U+0300 its normaliser only folds white space and case, and its pieces (letters, a digit, other signs) never reach across white space: such texts are split at white space, and what stands between is looked up or, the first time, cut into pieces and given to the tokenizer's model. The tokenizer encodes all other texts whole."""
+    """Ids of the tokenizer as 16-bit numbers. Below U+0300 its normaliser only folds white space and case, and its pieces (letters, a digit, other signs) never reach across white space: such texts are split at white space, a batch at a time, and each different word is looked up or, the first time, cut into pieces and given to the tokenizer's model. The tokenizer encodes all other texts whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model.tokenize
-        self.known: dict[str, bytes] = {}
+        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.binary())
         self.known_pieces: dict[str, bytes] = {}
         low = [chr(c) for c in range(0x300)]
         of = lambda kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind)
         letters, digits = of("L"), of("N")
         self.pieces = re.compile(f"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^{letters}{digits}]+").findall
-        self.other = re.compile("[^\x00-\x1b\x20-\u02ff]|\u0130|<\\|(?:start|end)oftext\\|>").search
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in byte-level BPE
         hidden = iter(range(256, 512))
         self.bytes = {b: chr(b if b in shown else next(hidden)) for b in range(256)}
 
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u2").tobytes()
-
     def piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.bytes)
         ids = b"".join([TWO_BYTES[t.id] for t in self.model(shown)])
-        if len(self.known_pieces) < CACHE:
+        if len(self.known_pieces) < CACHE // 2 and len(piece) <= KEPT:
             self.known_pieces[piece] = ids
         return ids
 
     def word(self, word: str) -> bytes:
-        """Ids of what stands between white space. Words, and words with one sign after them, need no pattern to be cut."""
+        """Ids of what stands between white space, which in an empty text is nothing. Words, and words with one sign after them, need no pattern to be cut."""
+        if not word:
+            return b""
         known = self.known_pieces
         if word.isalpha():
             return known.get(word) or self.piece(word)
@@ -85,20 +91,39 @@ class Encoder:
             return (known.get(head) or self.piece(head)) + (known.get(last) or self.piece(last))
         return b"".join([known.get(p) or self.piece(p) for p in self.pieces(word)])
 
+    def look_up(self, words: pa.StringArray) -> tuple[np.ndarray, pa.BinaryArray]:
+        """The place of each word in an array of ids, and that array."""
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(at.is_null()).dictionary_encode()
+        found = [self.word(w) for w in new.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        ids = pa.concat_arrays([self.known_ids, pa.array(found, pa.binary())])
+        places = np.array(at.fill_null(-1))
+        places[places < 0] = np.array(new.indices) + len(self.known)
+        if len(self.known) < CACHE:
+            short = pc.less_equal(pc.utf8_length(new.dictionary), KEPT)
+            kept = [x.filter(short)[: CACHE - len(self.known)] for x in (new.dictionary, ids[len(self.known) :])]
+            self.known, self.known_ids = pa.concat_arrays([self.known, kept[0]]), pa.concat_arrays([self.known_ids, kept[1]])
+        return places, ids
+
+    def encode_all(self, texts: pa.StringArray, last: bytes = b"") -> pa.BinaryArray:
+        """The ids of each text, and ``last`` after them. Null texts are empty."""
+        texts = texts.fill_null("")
+        other = pc.match_substring_regex(texts, OTHER)
+        # trimmed, as Arrow looks at the character after white space, which at a text's end is another's or none
+        lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.if_else(other, "", texts))))
+        places, ids = self.look_up(lists.flatten())
+        whole = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts.filter(other).to_pylist()]
+        # a text's words, or the text itself, and then what comes last
+        n = np.array(pc.list_value_length(lists), np.int64)
+        places = np.insert(places, np.cumsum(n)[np.array(other)], len(ids) + np.arange(len(whole)))
+        ends = np.cumsum(n + np.array(other))
+        places = np.insert(places, ends, len(ids) + len(whole))
+        joined = pa.concat_arrays([ids, pa.array([*whole, last], pa.binary())]).take(pa.array(places))
+        offsets = np.frombuffer(joined.buffers()[1], np.int32)[joined.offset :][np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), joined.buffers()[2]])
+
     def encode(self, text: str) -> bytes:
-        if self.other(text):
-            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        known, word = self.known, self.word
-        words = text.lower().split()
-        found = list(map(known.get, words))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    w = words[i]
-                    ids = found[i] = known.get(w) or word(w)
-                    if len(known) < CACHE:
-                        known[w] = ids
-        return b"".join(found)
+        return self.encode_all(pa.array([text], pa.string()))[0].as_py()
 
 
 @functools.lru_cache(4)
@@ -107,19 +132,23 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text: str = "text", doc_id: str = "doc_id", source: str = "source", group: int = 64) -> DataFrame:
-    """doc_id, source, tokens, ids (little-endian 16-bit, with the end token)."""
+def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, text: str = "text", doc_id: str = "doc_id", source: str = "source", group: int = 64, part: int = PART) -> DataFrame:
+    """doc_id, source, tokens, ids (little-endian 16-bit, with the end token). Texts are encoded ``part`` bytes at a time, and leave in batches of ``group`` rows."""
     last = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = encoder(vocabulary_path(vocabulary)).encode
+        encode = encoder(vocabulary_path(vocabulary)).encode_all
         for b in batches:
-            for at in range(0, b.num_rows, group):
-                part = b.slice(at, group)
-                ids = [encode(t or "") + last for t in part.column(2).to_pylist()]
-                cols = [part.column(0), part.column(1), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "tokens", "ids"])
+            size = np.cumsum(np.array(pc.binary_length(b.column(2)).fill_null(0), np.int64))
+            for at in np.split(np.arange(b.num_rows), np.flatnonzero(np.diff(size // part)) + 1):
+                if not len(at):
+                    continue
+                rows = b.slice(at[0], len(at))
+                ids = encode(rows.column(2).cast(pa.string()), last)
+                cols = [rows.column(0), rows.column(1), pc.divide(pc.binary_length(ids), 2).cast(pa.int64()), ids]
+                out = pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "tokens", "ids"])
+                yield from (out.slice(k, group) for k in range(0, out.num_rows, group))
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
     return d.mapInArrow(released(run), "doc_id long, source string, tokens long, ids binary")

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lotline.llm import packing as P
@@ -30,6 +31,38 @@ def test_encoder_equals_tokenizer(tokenizer):
         assert np.frombuffer(e.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_batches_equal_tokenizer(tokenizer, monkeypatch):
+    """Texts of all characters below U+0300, of white space at their ends, empty, null, and such as the tokenizer encodes whole, with a cache and without."""
+    rng = random.Random(5)
+    texts = [f"A{chr(c)}B {chr(c)} x{chr(c)}{chr(c)}y \u00c9{chr(c)}" for c in range(0x320)] + [None, "", "  ", "a ", "\t b\n\n", "<|endoftext|>a", "x" * 200]
+    texts += ["".join(rng.choices("abc DE'.,1\u00df\u00bd\t\n-_s\x85\xa0", k=rng.randint(1, 60))) for _ in range(2000)]
+    for cache in (P.CACHE, 50, 0):
+        monkeypatch.setattr(P, "CACHE", cache)
+        e = P.Encoder(P.vocabulary_path(P.VOCABULARY))
+        for k in (1, 30, 1000):
+            rng.shuffle(texts)
+            batch = pa.array(texts[: 2 * k], pa.string()).slice(k)
+            end = np.array([P.END], "<u2").tobytes()
+            for t, ids in zip(batch.to_pylist(), e.encode_all(batch, end).to_pylist(), strict=True):
+                assert np.frombuffer(ids, "<u2").tolist() == encoded(tokenizer, t), t
+
+
+def test_a_word_beyond_the_cache_is_cut_once_a_batch(monkeypatch):
+    monkeypatch.setattr(P, "CACHE", 0)
+    e, cut = P.Encoder(P.vocabulary_path(P.VOCABULARY)), []
+    model = e.model
+    e.model = lambda piece: cut.append(piece) or model(piece)
+    e.encode("seldom word " * 500)
+    assert sorted(cut) == ["seldom", "word"]
+
+
+def test_long_words_are_not_kept():
+    e = P.Encoder(P.vocabulary_path(P.VOCABULARY))
+    for k in range(5):
+        e.encode("short " + "abc" * (1000 + k) + " " + "12" * 1000)
+    assert len(e.known) == 1 and max(map(len, e.known_pieces)) <= 64
+
+
 def check(got, data, tokenizer, window=P.WINDOW):
     want = defaultdict(list)
     for i, t, *_ in data:
@@ -61,6 +94,11 @@ def test_round_trip(spark, tokenizer, clash):
         assert zlib.crc32(np.frombuffer(r["ids"], "<u2").astype("<u4").tobytes()) == r["ids_crc32"]
 
 
+def test_batches_are_encoded_in_parts(spark, tokenizer):
+    data = rows()
+    check(P.pack(documents(spark, data), part=300, group=3).collect(), data, tokenizer)
+
+
 def looped(n, queue_of, order, share, window, phase, grain):
     """(document, first token, tokens) in the order of a plain deficit round-robin loop."""
     line = {s: [(i, k) for i in sorted((i for i in n if queue_of[i] == s), key=lambda i: (order[i], i)) for k in range(n[i])] for s in share}
