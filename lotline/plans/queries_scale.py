@@ -108,7 +108,7 @@ def t05_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id::VARCHAR AS event_id, event_type FROM events WHERE event_type = 'click' OR event_type LIKE 'p%'")
 def s15_counted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A task for each page of a feed that says how many rows it has; the filter goes to the feed, and holds whether or not it is heard."""
+    """A task for each page, or run of pages, of a feed that says how many rows it has; the filter goes to the feed, and holds whether or not it is heard."""
     at, _ = _pages(spark, read(spark, sf_dir, "events").select("event_id", "event_type"), 1000)
     paged.register(spark)
     url = paged.folder_url(at)

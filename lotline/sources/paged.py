@@ -3,7 +3,7 @@
 Options: ``url`` (with {offset}, {limit} and, where the feed takes them, {where}, {select}, {order}, {page}), ``fields`` (the columns, comma-separated, text), ``page_size``, ``limit`` (rows in all), ``offset``, ``max_pages``, ``retries``, ``timeout``, ``pause``; ``where``, ``select`` and ``order`` by hand; ``pushdown`` (false: the feed gets no filters). Any scheme that Python's urllib opens will do, so landed pages can be read the same way; so will a plain path and the stores that Arrow opens, whose names are taken as they are.
 
 * Filters and columns: with Spark's ``spark.sql.python.filterPushdown.enabled`` (set by ``register``) the filters of a query on columns are joined to {where}, and {select} is the columns of ``fields``. Spark applies the filters again, so a feed that reads them more widely changes nothing.
-* Partitions: ``count`` (a URL with {where}, whose first answer has the number of rows in ``count_field``), or ``page_count_field`` (in the first page's answer), or ``pages`` by hand make a task for each page. Without any, pages are read one after another until one is short.
+* Partitions: ``count`` (a URL with {where}, whose first answer has the number of rows in ``count_field``), or ``page_count_field`` (in the first page's answer), or ``pages`` by hand make a task for each page; of more pages than ``MAX_TASKS``, each task reads a run of them, so none is left out. Without any, pages are read one after another until one is short, ``MAX_PAGES`` at most.
 * Answers that aren't a list of rows: ``rows_field`` names the list. ``body`` is posted, with the same places as the URL. ``headers`` is a JSON object.
 * Errors: a page that fails after all tries fails the query; if ``fields`` names ``_page_error``, it gives one row with the error there, and the other pages go on.
 
@@ -28,8 +28,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lotline.sources.release import place
 
-#: Rows that no feed should need more pages for.
+#: Pages that a feed which doesn't say how many it has should not need.
 MAX_PAGES = 100_000
+#: Tasks that pages of a known number are dealt to.
+MAX_TASKS = 1_000
 ERROR = "_page_error"
 #: What urllib opens; the rest is a path in a store.
 SCHEMES = ("http", "https", "ftp", "file", "data")
@@ -174,7 +176,10 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> Sequence[Pages]:
         n = self.feed.known_pages()
-        return [Pages(0, None)] if n is None else [Pages(i, 1) for i in range(min(n, MAX_PAGES))]
+        if n is None:
+            return [Pages(0, None)]
+        run = max(1, -(-n // MAX_TASKS))
+        return [Pages(i, min(run, n - i)) for i in range(0, n, run)]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         return self.feed.pages(partition)

@@ -203,6 +203,24 @@ def test_pages_at_a_plain_path(spark, tmp_path):
         paged.fetch(f"{at}/none.json", retries=2, pause=0)
 
 
+def test_no_page_of_a_counted_feed_is_left_out(tmp_path, monkeypatch):
+    """However many pages a feed has, tasks read them all; a broken page of a task's run hides no other."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lotline.sources import paged
+
+    schema = lambda *names: StructType([StructField(n, StringType()) for n in names])
+    many = paged.PagedReader(schema("id"), {"url": "", "count": f'data:,[{{"count": {10 * paged.MAX_PAGES + 1}}}]', "page_size": "10"}).partitions()
+    assert [x for p in many for x in range(p.first, p.first + p.count)] == list(range(paged.MAX_PAGES + 1))
+    monkeypatch.setattr(paged, "MAX_TASKS", 3)
+    for page in (1, 2, 3, 5):
+        (tmp_path / f"{page}.json").write_text(json.dumps([{"id": page * 2 - 1}, {"id": page * 2}][: 11 - page * 2]))
+    options = {"url": f"{tmp_path}/{{page}}.json", "count": 'data:,[{"count": 9}]', "page_size": "2", "retries": "1"}
+    reader = paged.PagedReader(schema("id", "_page_error"), options)
+    got = [[r[0] or r[1][:7] for r in reader.read(p)] for p in reader.partitions()]
+    assert got == [["1", "2", "3", "4"], ["5", "6", "page 4:"], ["9"]]
+
+
 @pytest.mark.parametrize("name", ["s15_counted_pages", "t05_paged_stream"])
 def test_queries_of_pages_in_a_plain_checkpoint_folder(spark, tmp_path, monkeypatch, name):
     import pyarrow.parquet as pq
